@@ -56,3 +56,40 @@ def bucketed_rank(
     joined = keyed.join(offsets, on=cond, how="inner").drop("__ob", *[f"__o_{i}" for i in range(len(parts))])
     wb = Window.partitionBy(*parts, "__b").orderBy("__ok", *tie_cols)
     return joined.withColumn(out, (F.col("__off") + F.row_number().over(wb)).cast("long")).drop("__b", "__off", "__ok")
+
+
+def rank_within_key(
+    df: DataFrame,
+    key: str,
+    order: str,
+    out: str = "rn",
+    n_buckets: int = 256,
+    rel_error: float = 0.001,
+) -> DataFrame:
+    """1-based occurrence number of each row inside ``key`` by ``order``
+    (numeric, unique), without sending a hot key to one task.
+
+    ``order`` is cut into ``n_buckets`` ranges at approximate quantiles (one
+    sampling pass); per (key, bucket) counts give offsets (that table has at
+    most ``n_buckets`` rows per key, so its window is small); the rank is
+    offset + ``row_number`` inside (key, bucket).  A key holding a third of
+    the rows is spread over all buckets.
+    """
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = sorted(set(df.approxQuantile(order, probs, rel_error)))
+    if cuts:
+        # Count of cut points below the value: a literal-array scan that
+        # stays inside codegen (NULL orders land in bucket 0).
+        arr = F.array(*[F.lit(float(c)) for c in cuts])
+        bucket = F.size(F.filter(arr, lambda c: c < F.col(order).cast("double")))
+    else:
+        bucket = F.lit(0)
+    keyed = df.withColumn("__rb", bucket)
+    counts = keyed.groupBy(key, "__rb").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(key).orderBy("__rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(key).alias("__rk"), F.col("__rb").alias("__rob"),
+                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__roff"))
+    cond = F.col(key).eqNullSafe(F.col("__rk")) & (F.col("__rb") == F.col("__rob"))
+    joined = keyed.join(offsets, on=cond, how="inner").drop("__rk", "__rob")
+    wb = Window.partitionBy(key, "__rb").orderBy(order)
+    return joined.withColumn(out, (F.col("__roff") + F.row_number().over(wb)).cast("long")).drop("__rb", "__roff")
