@@ -93,3 +93,43 @@ def rank_within_key(
     joined = keyed.join(offsets, on=cond, how="inner").drop("__rk", "__rob")
     wb = Window.partitionBy(key, "__rb").orderBy(order)
     return joined.withColumn(out, (F.col("__roff") + F.row_number().over(wb)).cast("long")).drop("__rb", "__roff")
+
+
+def running_sum(
+    df: DataFrame,
+    partition_col: str,
+    order_col: str,
+    value_cols: list[str],
+    max_partitions: int,
+    n_buckets: int = 256,
+    suffix: str = "_before",
+) -> DataFrame:
+    """For each row, the sum of ``value_cols`` over rows of the same
+    ``partition_col`` with a strictly smaller ``order_col`` (unique within the
+    partition, e.g. distinct values or scores).
+
+    A window ordered over a whole partition would sort every distinct value of
+    a descriptor in one task.  Instead each partition's order values are cut
+    at approximate quantiles (``percentile_approx`` per partition; the cut
+    table has ``max_partitions * n_buckets`` entries at most and is
+    broadcast), bucket totals give offsets, and the running window only spans
+    one (partition, bucket).
+    """
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = df.groupBy(F.col(partition_col).alias("__pc")).agg(
+        F.array_distinct(F.percentile_approx(F.col(order_col).cast("double"), probs, 1000)).alias("__cuts"))
+    cuts = bounded_broadcast(cuts, max_partitions)
+    keyed = df.join(cuts, F.col(partition_col).eqNullSafe(F.col("__pc")), "inner").drop("__pc")
+    keyed = keyed.withColumn("__bk", F.size(F.filter("__cuts", lambda c: c < F.col(order_col).cast("double")))) \
+        .drop("__cuts")
+    totals = keyed.groupBy(partition_col, "__bk").agg(*[F.sum(c).alias(f"__t_{c}") for c in value_cols])
+    wo = Window.partitionBy(partition_col).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col(partition_col).alias("__op"), F.col("__bk").alias("__ob"),
+        *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0)).alias(f"__o_{c}") for c in value_cols])
+    j = keyed.join(offsets, (F.col(partition_col).eqNullSafe(F.col("__op"))) & (F.col("__bk") == F.col("__ob")),
+                   "inner").drop("__op", "__ob")
+    wi = Window.partitionBy(partition_col, "__bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    for c in value_cols:
+        j = j.withColumn(f"{c}{suffix}", F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0)))
+    return j.drop("__bk", *[f"__o_{c}" for c in value_cols])
