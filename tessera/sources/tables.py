@@ -54,3 +54,14 @@ def events_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     for name in TABLES:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin repartition before CPU-heavy per-row work (text
+    featurisation), but only when the scan produced fewer partitions than the
+    cluster has cores -- e.g. a file with a single row group.  Planning-only
+    check (no job); on a cluster reading many files it is a no-op."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores * factor)
+    return df
