@@ -36,11 +36,11 @@ def score_groups(df: DataFrame, y: str, score: str, by: str | None = None, max_g
     return run.join(bounded_broadcast(tot, max_groups), "grp")
 
 
-def auc_ap(df: DataFrame, y: str, score: str, by: str | None = None) -> DataFrame:
+def auc_ap(df: DataFrame, y: str, score: str, by: str | None = None, max_groups: int = 16) -> DataFrame:
     """K1 + K2 (+ K5): per group AUROC (trapezoid, ties count half) and
     average precision sum_n (R_n - R_{n-1}) P_n over distinct thresholds.
     NULL when a class is missing or any input is non-finite."""
-    g = score_groups(df, y, score, by)
+    g = score_groups(df, y, score, by, max_groups=max_groups)
     tp = F.col("P") - F.col("pos_before")
     fp = F.col("N") - F.col("neg_before")
     res = g.groupBy("grp").agg(
