@@ -28,6 +28,7 @@ _MODULES = (
     "setops",
     "scalars",
     "io",
+    "streams",
 )
 
 
