@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranks import bounded_broadcast
+from tessera.operators.ranks import bounded_broadcast, exact_quantiles
 
 # Fixed values that must equal the reference's behaviour.
 BINARY_TOKENS = ["0", "1", "false", "true", "inactive", "active", "no", "yes", "n", "y"]
@@ -121,9 +121,8 @@ def box_stats(df: DataFrame, class_col: str, cols: list[str]) -> DataFrame:
     long = df.select(F.col(class_col).cast("string").alias("class"),
                      _stack([(c, _q(c).cast("double")) for c in cols], "v").alias("s")) \
         .select("class", "s.*").filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    q = long.groupBy("class", "column").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("q"))
-    q = q.select("class", "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
+    q = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["class", "column"], max_groups=1000 * len(cols))
+    q = q.select("class", "column", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     fences = q.withColumn("lo_f", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
         .withColumn("hi_f", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     j = long.join(bounded_broadcast(fences, 1000 * len(cols)), ["class", "column"])

@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.ranks import exact_quantiles
+
 SCALERS = ("robust", "standard", "minmax", "none")
 DEFAULT_VARIANCE_THRESHOLD = 0.8 * (1 - 0.8)
 DEFAULT_CORR_THRESHOLD = 0.95
@@ -52,9 +54,11 @@ class Fitted:
 
 
 def scale_stat_exprs(c: str, scaler: str) -> list[Column]:
+    """Aggregates for the scale statistics (robust quantiles come from
+    ``exact_quantiles`` instead: no single-task value buffer)."""
     x = _q(c).cast("double")
     if scaler == "robust":
-        return [F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q")]
+        return []
     if scaler == "standard":
         return [F.avg(x).alias(f"{c}__mean"), F.stddev_pop(x).alias(f"{c}__sd")]
     if scaler == "minmax":
@@ -90,7 +94,12 @@ def fit(train: DataFrame, features: list[str], scaler: str = "robust",
     for c in features:
         aggs += scale_stat_exprs(c, scaler)
         aggs.append(F.var_pop(_q(c).cast("double")).alias(f"{c}__var"))
-    row = train.agg(*aggs).first()
+    row = train.agg(*aggs).first().asDict()
+    if scaler == "robust":
+        long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("v"))
+                                                for c in features])).alias("s")).select("s.*")
+        for r in exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column"], max_groups=len(features)).collect():
+            row[f"{r['column']}__q"] = (r["q0"], r["q1"], r["q2"])
     center, scale, variance = {}, {}, {}
     for c in features:
         center[c], scale[c] = _center_scale(row, c, scaler)

@@ -34,20 +34,25 @@ def bucketed_rank(
     out: str = "rn",
     bits: int = 16,
     max_strata: int = 32,
+    total_col: str | None = None,
 ) -> DataFrame:
     """Add ``out`` = 1-based rank of each row by ``order_key`` inside ``partition_cols``.
 
     ``order_key`` must be an md5 hex string (uniform leading bits).
     ``max_strata`` is the caller's bound on distinct ``partition_cols`` values; it
-    bounds the offset table at ``max_strata * 2**bits`` rows.
+    bounds the offset table at ``max_strata * 2**bits`` rows.  ``total_col``
+    adds the stratum's row count (from the same small table, so callers need
+    no separate ``count()`` action).
     """
     parts = list(partition_cols)
     keyed = df.withColumn("__ok", order_key).withColumn("__b", hash_bucket(F.col("__ok"), bits))
     counts = keyed.groupBy(*parts, "__b").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*parts).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*parts, "__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    wt = Window.partitionBy(*parts)
+    offsets = counts.select(*parts, "__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"),
+                            F.sum("__n").over(wt).alias("__tot"))
     offsets = offsets.select(*[F.col(p).alias(f"__o_{i}") for i, p in enumerate(parts)],
-                             F.col("__b").alias("__ob"), "__off")
+                             F.col("__b").alias("__ob"), "__off", "__tot")
     offsets = bounded_broadcast(offsets, max_strata * (1 << bits))
     # Null-safe on the strata so a NULL class is its own stratum.
     cond = F.col("__b") == F.col("__ob")
@@ -55,7 +60,10 @@ def bucketed_rank(
         cond = cond & F.col(p).eqNullSafe(F.col(f"__o_{i}"))
     joined = keyed.join(offsets, on=cond, how="inner").drop("__ob", *[f"__o_{i}" for i in range(len(parts))])
     wb = Window.partitionBy(*parts, "__b").orderBy("__ok", *tie_cols)
-    return joined.withColumn(out, (F.col("__off") + F.row_number().over(wb)).cast("long")).drop("__b", "__off", "__ok")
+    res = joined.withColumn(out, (F.col("__off") + F.row_number().over(wb)).cast("long"))
+    if total_col:
+        res = res.withColumn(total_col, F.col("__tot").cast("long"))
+    return res.drop("__b", "__off", "__ok", "__tot")
 
 
 def rank_within_key(
@@ -133,3 +141,44 @@ def running_sum(
     for c in value_cols:
         j = j.withColumn(f"{c}{suffix}", F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0)))
     return j.drop("__bk", *[f"__o_{c}" for c in value_cols])
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value_col: str,
+    probs: list[float],
+    group_cols: list[str] | tuple[str, ...] = (),
+    max_groups: int = 1024,
+    prefix: str = "q",
+    n_buckets: int = 32,
+) -> DataFrame:
+    """Exact linear-interpolated quantiles (numpy ``percentile`` / DuckDB
+    ``quantile_cont``) per group, without buffering a group in one task.
+
+    ``percentile`` keeps every value of a group in one aggregation buffer; a
+    group holding a third of the rows would sit in one task.  Here values are
+    folded to (group, distinct value, count) with a map-side combine, a
+    skew-safe running count gives each distinct value its rank range, and the
+    order statistics at floor/ceil of ``(n-1)*p`` are picked by one more
+    aggregate.  Output: group columns + ``{prefix}0, {prefix}1, ...``.
+    """
+    groups = list(group_cols)
+    v = F.col(value_col).cast("double")
+    base = df.select(*groups, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    key = F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
+    vc = base.groupBy(*groups, "__v").agg(F.count(F.lit(1)).alias("__c")).withColumn("__pk", key)
+    run = running_sum(vc, "__pk", "__v", ["__c"], max_partitions=max_groups, n_buckets=n_buckets)
+    tot = vc.groupBy("__pk").agg(F.sum("__c").alias("__n"))
+    j = run.join(bounded_broadcast(tot, max_groups), "__pk")
+    lo_hi = []
+    for i, p in enumerate(probs):
+        h = (F.col("__n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        start, end = F.col("__c_before"), F.col("__c_before") + F.col("__c") - 1
+        lo_hi += [F.max(F.when((lo >= start) & (lo <= end), F.col("__v"))).alias(f"__lo{i}"),
+                  F.max(F.when((hi >= start) & (hi <= end), F.col("__v"))).alias(f"__hi{i}"),
+                  F.first(h - lo).alias(f"__d{i}")]
+    agg = j.groupBy("__pk", *groups).agg(*lo_hi)
+    outs = [(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__d{i}")).alias(f"{prefix}{i}")
+            for i in range(len(probs))]
+    return agg.select(*groups, *outs)

@@ -113,9 +113,9 @@ def generalization(df: DataFrame, train: str = "train", test: str = "test", val:
     overfit (gap >= 0.15) and underfit (both < 0.20 for r2, < 0.65 otherwise)."""
     m = primary_metric(F.col(train), F.col(test))
     out = df.filter(F.col("state") == "COMPLETED").withColumn("metric_name", m).filter(F.col("metric_name").isNotNull())
-    tv = F.col(train).getItem(F.col("metric_name"))
-    sv = F.col(test).getItem(F.col("metric_name"))
-    vv = F.col(val).getItem(F.col("metric_name"))
+    tv = F.col(train)[F.col("metric_name")]
+    sv = F.col(test)[F.col("metric_name")]
+    vv = F.col(val)[F.col("metric_name")]
     out = out.withColumn("train_value", tv).withColumn("test_value", sv).withColumn("val_value", vv)
     out = out.withColumn("gap_train_minus_test", F.col("train_value") - F.col("test_value"))
     thr = F.when(F.col("metric_name") == "r2", F.lit(UNDERFIT_R2)).otherwise(F.lit(UNDERFIT_CLS))

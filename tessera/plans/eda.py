@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import hash_key
 from tessera.operators import curate as C
 from tessera.operators import eda as E
+from tessera.operators.ranks import exact_quantiles
 from tessera.plans import register
 from tessera.sources.tables import table
 
@@ -211,9 +212,10 @@ def h19(spark, sf_dir):
     labels = spark.createDataFrame(list(enumerate(BAND_NAMES)), "pos int, band string")
     counts = labels.join(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band", "left").select(
         F.lit("band").alias("metric"), F.col("band").alias("key"), F.coalesce("n", F.lit(0)).cast("double").alias("value"))
-    nums = s.agg(F.round(F.avg("score"), 6).alias("mean"), F.round(F.median("score"), 6).alias("median"),
+    med = exact_quantiles(s, "score", [0.5], max_groups=1).select(F.round("q0", 6).alias("median"))
+    nums = s.agg(F.round(F.avg("score"), 6).alias("mean"),
                  F.count_if(F.col("score") >= 0.67).cast("double").alias("ge67"),
-                 F.count_if(F.col("score") >= 0.85).cast("double").alias("ge85"))
+                 F.count_if(F.col("score") >= 0.85).cast("double").alias("ge85")).join(med, how="inner")
     def kv(metric, key, col):
         return F.struct(F.lit(metric).alias("metric"), F.lit(key).alias("key"), F.col(col).cast("double").alias("value"))
 

@@ -10,6 +10,7 @@ from tessera.operators.align import row_overlap
 from tessera.operators.split import random_holdout
 from tessera.plans import register
 from tessera.plans.splits import _holdout_sql
+from tessera.session import cut_lineage
 from tessera.sources.tables import LINEITEM_KEY_SQL, ROW_INDEX, lineitem_rows
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_gross", "l_disc10"]
@@ -23,9 +24,13 @@ def _features(spark, sf_dir):
 
 
 def _with_split(spark, sf_dir):
+    """Features joined with their split, checkpointed once into the shared
+    checkpoint folder: the fit makes two aggregate passes and the transform a
+    third, and none of them should recompute the split (lineage cut, so a
+    lost executor re-reads the checkpoint instead of re-ranking)."""
     f = _features(spark, sf_dir)
     sp = random_holdout(f.select(ROW_INDEX), test_size=0.2, val_size=0.1, seed=42)
-    return f.join(sp, on=ROW_INDEX)
+    return cut_lineage(f.join(sp, on=ROW_INDEX))
 
 
 BASE_SQL = (f"base AS (SELECT {LINEITEM_KEY_SQL} AS rid, l_quantity, l_extendedprice, l_discount, l_tax, "

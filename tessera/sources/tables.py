@@ -42,8 +42,9 @@ LINEITEM_KEY_SQL = (
 
 
 def lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with its natural row id in ``__row_index``."""
-    return table(spark, sf_dir, "lineitem").withColumn(ROW_INDEX, lineitem_key())
+    """lineitem with its natural row id in ``__row_index`` (spread over the
+    cores when the scan is a single split; no-op on a many-file table)."""
+    return spread(table(spark, sf_dir, "lineitem")).withColumn(ROW_INDEX, lineitem_key())
 
 
 def events_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
