@@ -340,3 +340,25 @@ def invalid_key_mask(df: DataFrame, key: str, canon: Column, drop_invalid: bool
     if drop_invalid:
         out = out.filter(F.col("__canon").isNotNull())
     return out.withColumn(key, F.coalesce(F.col("__canon"), _q(key))).drop("__canon")
+
+
+LABELLED_COLUMNS = ["molecule_chembl_id", "__row_index", "canonical_smiles", "standard_value", "class"]
+
+
+def labelled_projection(df: DataFrame, keep_all: bool = False) -> DataFrame:
+    """After class labelling keep the known id / key / value / class
+    columns that are present (or everything with ``keep_all``)."""
+    if keep_all:
+        return df
+    cols = [c for c in LABELLED_COLUMNS if c in df.columns]
+    return df.select(*[_q(c) for c in cols]) if cols else df
+
+
+def coerce_target(df: DataFrame, col: str, min_fraction: float = 0.9) -> DataFrame:
+    """Convert the target to numbers only if at least ``min_fraction``
+    of its non-null cells parse (one aggregate decides); otherwise leave it."""
+    parsed = _q(col).cast("string").try_cast("double")
+    r = df.agg(F.count(_q(col)).alias("n"), F.count(parsed).alias("ok")).first()
+    if r["n"] and r["ok"] / r["n"] >= min_fraction:
+        return df.withColumn(col, parsed)
+    return df

@@ -136,3 +136,23 @@ def rule_issues(rules: list[tuple[str, str, str, Column]]) -> Column:
 def numbered(df: DataFrame, order: str, fmt: str, out: str) -> DataFrame:
     """G12 / parent ids: ``fmt % position`` over a bounded grid table."""
     return df.withColumn(out, F.format_string(fmt, F.row_number().over(Window.orderBy(order))))
+
+
+def dotted_map(df: DataFrame, struct_col: str) -> Column:
+    """G1: a nested struct (e.g. a parsed JSON config) -> ``map<string,string>``
+    with dotted keys, built from the schema (no per-row Python)."""
+    from pyspark.sql import types as T
+
+    def walk(dt, path, name):
+        out = []
+        for f in dt.fields:
+            p = f"{path}.`{f.name}`"
+            key = f"{name}.{f.name}" if name else f.name
+            if isinstance(f.dataType, T.StructType):
+                out += walk(f.dataType, p, key)
+            else:
+                out.append((key, F.col(p).cast("string")))
+        return out
+
+    entries = walk(df.schema[struct_col].dataType, f"`{struct_col}`", "")
+    return F.map_filter(F.create_map(*[x for k, v in entries for x in (F.lit(k), v)]), lambda k, v: v.isNotNull())

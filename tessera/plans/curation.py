@@ -331,3 +331,29 @@ GROUP BY event_type""")
 def r11(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("v", safe_float(F.get_json_object("props", "$.k")))
     return e.groupBy("event_type").agg(F.count("v").alias("n_parsed"), F.round(F.sum("v"), 6).alias("total"))
+
+
+@register("p7_labelled_projection", f"""
+SELECT {LINEITEM_KEY_SQL} AS __row_index, l_partkey AS canonical_smiles, l_extendedprice AS standard_value,
+       CASE WHEN l_extendedprice <= 20000.0 THEN 'active' WHEN l_extendedprice > 60000.0 THEN 'inactive'
+            ELSE 'intermediate' END AS class
+FROM lineitem WHERE l_returnflag = 'A'""")
+def p7(spark, sf_dir):
+    li = lineitem_rows(spark, sf_dir).filter(F.col("l_returnflag") == "A")
+    li = li.withColumnRenamed("l_partkey", "canonical_smiles").withColumnRenamed("l_extendedprice", "standard_value")
+    return C.labelled_projection(C.label_classes(li, "standard_value", 20000.0, 60000.0))
+
+
+@register("p16_target_numeric_coercion", """
+SELECT 'numeric' AS target_kind, CAST(sum(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS DOUBLE) AS total
+FROM events
+UNION ALL SELECT 'text', CAST(count(*) AS DOUBLE) FROM events""")
+def p16(spark, sf_dir):
+    """A target whose cells all parse is converted; ``event_type`` (0 %
+    numeric) is left as text."""
+    e = table(spark, sf_dir, "events").select(F.get_json_object("props", "$.k").alias("k"), "event_type")
+    a = C.coerce_target(e, "k")
+    b = C.coerce_target(e, "event_type")
+    assert dict(a.dtypes)["k"] == "double" and dict(b.dtypes)["event_type"] == "string"
+    return a.agg(F.sum("k").alias("total")).select(F.lit("numeric").alias("target_kind"), "total").unionByName(
+        b.agg(F.count("event_type").cast("double").alias("total")).select(F.lit("text").alias("target_kind"), "total"))

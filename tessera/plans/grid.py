@@ -249,3 +249,21 @@ def g10(spark, sf_dir):
                F.count_if(F.col("vc") == 0).alias("skipped_parent_cases"))
     # both sides are one-row aggregates
     return a.join(b, how="inner")
+
+
+@register("g1_flatten_nested_config", """
+SELECT event_type AS model_type, CASE WHEN user_id % 2 = 0 THEN 'holdout' ELSE 'cv' END AS split_mode,
+       count(*) AS n, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k
+FROM events GROUP BY ALL""")
+def g1_flatten(spark, sf_dir):
+    """Nested config documents (struct) -> dotted-key maps -> read back by
+    dotted path."""
+    e = table(spark, sf_dir, "events")
+    cfg = e.select(F.struct(
+        F.struct(F.struct(F.col("event_type").alias("type")).alias("model")).alias("train"),
+        F.struct(F.when(F.col("user_id") % 2 == 0, "holdout").otherwise("cv").alias("mode")).alias("split"),
+        F.from_json("props", "k long").alias("extra")).alias("cfg"))
+    m = cfg.select(G.dotted_map(cfg, "cfg").alias("m"))
+    return m.groupBy(G.get_dotted(F.col("m"), "train.model.type").alias("model_type"),
+                     G.get_dotted(F.col("m"), "split.mode").alias("split_mode")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(G.get_dotted(F.col("m"), "extra.k").cast("long")).cast("long").alias("sum_k"))

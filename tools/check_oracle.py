@@ -38,6 +38,18 @@ def norm(v):
     return v
 
 
+SPARK_FAMILY = {"tinyint": "int32", "smallint": "int32", "int": "int32", "bigint": "int64", "double": "float64",
+                "float": "float32", "string": "str", "boolean": "bool"}
+DUCK_FAMILY = {"INTEGER": "int32", "SMALLINT": "int32", "TINYINT": "int32", "BIGINT": "int64", "HUGEINT": "int128",
+               "DOUBLE": "float64", "FLOAT": "float32", "VARCHAR": "str", "BOOLEAN": "bool"}
+
+
+def type_report(sdf, desc):
+    s = {n: SPARK_FAMILY.get(t, t) for n, t in sdf.dtypes}
+    d = {x[0]: DUCK_FAMILY.get(str(x[1]), str(x[1])) for x in desc}
+    return {n: (s[n], d.get(n)) for n in s if n in d and s[n] != d[n]}
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in rows]
@@ -91,7 +103,9 @@ def main():
             print(f"MISMATCH   {name}: rows {len(a)} vs {len(b)}\n   spark-only {diff_a}\n   duck-only  {diff_b}")
             bad += 1
         else:
-            print(f"OK         {name}: {len(a)} rows ({dt:.1f}s)")
+            diff = type_report(sdf, res.description)
+            note = f"  TYPES {diff}" if diff else ""
+            print(f"OK         {name}: {len(a)} rows ({dt:.1f}s){note}")
             ok += 1
     print(f"== {ok} ok, {bad} bad")
 
