@@ -124,7 +124,7 @@ def v7(spark, sf_dir):
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     k = V.canonical_key(F.col("text"))
     return d.select("doc_id", k.alias("k")).filter(F.col("k").isNotNull()).select(
-        "doc_id", F.length("k").alias("key_length"), F.md5("k").alias("key_md5"))
+        "doc_id", F.length("k").cast("long").alias("key_length"), F.md5("k").alias("key_md5"))
 
 
 FIRST_TOKEN_SQL = "(" + TOKS_SQL + ")[1]"
@@ -169,7 +169,9 @@ sims AS (SELECT *, c / (a + b - c) AS tanimoto, 2.0 * c / (a + b) AS dice, c / s
 def similarity_pairs(spark, sf_dir):
     q = doc_bits(spark, sf_dir, "benchmark", "item_id")
     c = doc_bits(spark, sf_dir)
-    pairs = V.overlap_counts(q, c, "item_id", "doc_id")
+    pairs = V.overlap_counts_indexed(q, c, "item_id", "doc_id", n_bits=2048)
+    if pairs is None:  # query side above the broadcast bound: shuffle join on the bit
+        pairs = V.overlap_counts(q, c, "item_id", "doc_id")
     metrics = ["tanimoto", "dice", "cosine", "sokal", "russel", "kulczynski", "mcconnaughey", "tversky"]
     return pairs.select("*", *[V.set_similarity(F.col("c"), F.col("a"), F.col("b"), F.lit(2048), m).alias(m)
                                for m in metrics])

@@ -73,7 +73,7 @@ def s3(spark, sf_dir):
 
 
 @register("s4_per_run_json_documents", """
-SELECT count(*) + 1 AS n_documents, 1 AS n_corrupt, round(sum(avg_test), 6) AS sum_test FROM (
+SELECT count(*) + 1 AS n_documents, CAST(1 AS BIGINT) AS n_corrupt, round(sum(avg_test), 6) AS sum_test FROM (
   SELECT user_id, avg(value / 500.0) AS avg_test FROM events GROUP BY user_id)""")
 def s4(spark, sf_dir):
     """One multi-line JSON document per parent (split metrics), plus one
