@@ -180,41 +180,59 @@ def overlap_counts(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str,
 
 def overlap_counts_indexed(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, n_bits: int,
                            bits: str = "bits", max_query_bits: int = 2_000_000) -> DataFrame | None:
-    """Same result as ``overlap_counts`` without exploding the corpus.
-
-    The query side's inverted index (bit -> sorted query positions) is
-    size-checked (``max_query_bits`` (query, bit) pairs) and compiled into one
-    constant array.  Each corpus row looks up its own bits in it (O(1) per
-    bit), sorts the hit list and run-length encodes it inside the row, so
-    only (row, query) pairs that share a bit leave the row -- no shuffle of
-    the exploded corpus.  Returns None when the query side is too large; the
-    caller then uses the shuffle join of ``overlap_counts``.
+    """Same result as ``overlap_counts`` without exploding and shuffling the
+    corpus.
+
+    The query side's inverted index (bit -> query positions, CSR arrays) is
+    size-checked (at most ``max_query_bits`` (query, bit) pairs) and shipped
+    with the task closure.  Each Arrow batch of corpus rows looks its bits up
+    in the index and counts hits per query with ``numpy.bincount``; only
+    (row, query) pairs that share a bit are emitted.  Returns None when the
+    query side is too large; the caller then uses the shuffle join of
+    ``overlap_counts``.
     """
-    qb = queries.select(F.col(q_id).alias("__q"), F.size(bits).alias("__a"), F.explode(bits).alias("__bit"))
+    import numpy as np
+
+    qb = queries.select(F.col(q_id).alias("__q"), F.explode(bits).alias("__bit"))
     if qb.count() > max_query_bits:
         return None
     q_rows = queries.select(q_id, F.size(bits).alias("a")).orderBy(q_id).collect()
+    q_ids = np.array([r[q_id] for r in q_rows], dtype=np.int64)
+    q_sizes = np.array([r["a"] for r in q_rows], dtype=np.int64)
     pos = {r[q_id]: i for i, r in enumerate(q_rows)}
-    index: list[list[int]] = [[] for _ in range(n_bits)]
-    for r in qb.select("__q", "__bit").collect():
-        index[r["__bit"]].append(pos[r["__q"]])
-    lit_index = "array(" + ",".join("array(" + ",".join(map(str, sorted(v))) + ")" if v else "cast(array() as array<int>)"
-                                    for v in index) + ")"
-    ids = F.array(*[F.lit(r[q_id]) for r in q_rows])
-    sizes = F.array(*[F.lit(int(r["a"])) for r in q_rows])
-    idx = F.expr(lit_index)  # folded to one literal by ConstantFolding
-    hits = F.array_sort(F.flatten(F.transform(bits, lambda b: F.element_at(idx, b + 1))))
-    step1 = corpus.select(F.col(c_id), F.size(bits).alias("b"), hits.alias("__h"))
-    n = F.size("__h")
-    starts = F.filter(F.sequence(F.lit(1), n), lambda j: (j == 1) | (F.element_at("__h", j) != F.element_at("__h", j - 1)))
-    step2 = step1.filter(n > 0).select(c_id, "b", "__h", starts.alias("__s"))
-    ends = F.concat(F.slice("__s", 2, F.size("__s")), F.array(F.size("__h") + 1))
-    runs = F.arrays_zip(F.col("__s").alias("s"), ends.alias("e"))
-    pairs = step2.select(c_id, "b", F.explode(F.transform(runs, lambda z: F.struct(
-        F.element_at("__h", z["s"]).alias("qpos"), (z["e"] - z["s"]).alias("c")))).alias("p"))
-    return pairs.select(F.element_at(ids, F.col("p.qpos") + 1).alias(q_id), c_id,
-                        F.col("p.c").cast("long").alias("c"), F.element_at(sizes, F.col("p.qpos") + 1).alias("a"),
-                        F.col("b"))
+    per_bit: list[list[int]] = [[] for _ in range(n_bits)]
+    for r in qb.collect():
+        per_bit[r["__bit"]].append(pos[r["__q"]])
+    offsets = np.zeros(n_bits + 1, dtype=np.int64)
+    offsets[1:] = np.cumsum([len(v) for v in per_bit])
+    members = np.array([i for v in per_bit for i in v], dtype=np.int64)
+    n_q = len(q_rows)
+
+    def count(batches):
+        for pdf in batches:
+            out_q, out_c, out_n, out_b = [], [], [], []
+            for cid, arr in zip(pdf[c_id].to_numpy(), pdf[bits]):
+                b = np.asarray(arr, dtype=np.int64)
+                if b.size == 0:
+                    continue
+                lo, hi = offsets[b], offsets[b + 1]
+                lens = hi - lo
+                if lens.sum() == 0:
+                    continue
+                idx = np.repeat(lo - np.cumsum(np.r_[0, lens[:-1]]), lens) + np.arange(lens.sum())
+                counts = np.bincount(members[idx], minlength=n_q)
+                nz = np.nonzero(counts)[0]
+                out_q.append(nz)
+                out_c.append(counts[nz])
+                out_n.append(np.full(nz.size, cid, dtype=np.int64))
+                out_b.append(np.full(nz.size, b.size, dtype=np.int64))
+            if out_q:
+                qi = np.concatenate(out_q)
+                yield pd.DataFrame({q_id: q_ids[qi], c_id: np.concatenate(out_n), "c": np.concatenate(out_c),
+                                    "a": q_sizes[qi], "b": np.concatenate(out_b)})
+
+    schema = f"{q_id} long, {c_id} long, c long, a long, b long"
+    return corpus.select(F.col(c_id).cast("long").alias(c_id), bits).mapInPandas(count, schema)
 
 
 def top_k_neighbours(pairs: DataFrame, q_id: str, c_id: str, score: str, k: int = 5) -> DataFrame:
