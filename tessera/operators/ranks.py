@@ -150,35 +150,88 @@ def exact_quantiles(
     group_cols: list[str] | tuple[str, ...] = (),
     max_groups: int = 1024,
     prefix: str = "q",
-    n_buckets: int = 32,
+    n_buckets: int = 64,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy ``percentile`` / DuckDB
     ``quantile_cont``) per group, without buffering a group in one task.
 
     ``percentile`` keeps every value of a group in one aggregation buffer; a
-    group holding a third of the rows would sit in one task.  Here values are
-    folded to (group, distinct value, count) with a map-side combine, a
-    skew-safe running count gives each distinct value its rank range, and the
-    order statistics at floor/ceil of ``(n-1)*p`` are picked by one more
-    aggregate.  Output: group columns + ``{prefix}0, {prefix}1, ...``.
+    group holding a third of the rows would sit in one task.  Here:
+
+    1. values are folded to (group, distinct value, count) with a map-side
+       combine;
+    2. each group's distinct values are cut into ``n_buckets`` ranges at
+       approximate quantiles and the per-bucket counts (a table of at most
+       ``max_groups * n_buckets`` rows) are collected;
+    3. the driver locates, for every requested rank floor/ceil((n-1)*p), the
+       bucket holding it and the count before that bucket;
+    4. only those few buckets are ranked (running count inside the bucket),
+       and the order statistics are interpolated.
+
+    Output: group columns + ``{prefix}0, {prefix}1, ...``.
     """
+    import math
+
+    spark = df.sparkSession
     groups = list(group_cols)
     v = F.col(value_col).cast("double")
     base = df.select(*groups, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
     key = F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
     vc = base.groupBy(*groups, "__v").agg(F.count(F.lit(1)).alias("__c")).withColumn("__pk", key)
-    run = running_sum(vc, "__pk", "__v", ["__c"], max_partitions=max_groups, n_buckets=n_buckets)
-    tot = vc.groupBy("__pk").agg(F.sum("__c").alias("__n"))
-    j = run.join(bounded_broadcast(tot, max_groups), "__pk")
-    lo_hi = []
-    for i, p in enumerate(probs):
-        h = (F.col("__n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        start, end = F.col("__c_before"), F.col("__c_before") + F.col("__c") - 1
-        lo_hi += [F.max(F.when((lo >= start) & (lo <= end), F.col("__v"))).alias(f"__lo{i}"),
-                  F.max(F.when((hi >= start) & (hi <= end), F.col("__v"))).alias(f"__hi{i}"),
-                  F.first(h - lo).alias(f"__d{i}")]
-    agg = j.groupBy("__pk", *groups).agg(*lo_hi)
-    outs = [(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__d{i}")).alias(f"{prefix}{i}")
-            for i in range(len(probs))]
-    return agg.select(*groups, *outs)
+    probs_b = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = vc.groupBy(F.col("__pk").alias("__cpk")).agg(
+        F.array_distinct(F.percentile_approx("__v", probs_b, 1000)).alias("__cuts"))
+    keyed = vc.join(bounded_broadcast(cuts, max_groups), F.col("__pk") == F.col("__cpk")).drop("__cpk")
+    keyed = keyed.withColumn("__bk", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
+    # Two jobs read the distinct-value table: keep it (memory, spilling to
+    # disk) for their duration only.
+    from pyspark import StorageLevel
+    keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+    counts: dict[str, dict[int, int]] = {}
+    for r in keyed.groupBy("__pk", "__bk").agg(F.sum("__c").alias("n")).collect():
+        counts.setdefault(r["__pk"], {})[r["__bk"]] = r["n"]
+    targets, ranks = set(), []
+    for pk, per in counts.items():
+        order = sorted(per)
+        n = sum(per.values())
+        starts, acc = {}, 0
+        for b in order:
+            starts[b] = acc
+            acc += per[b]
+
+        def locate(rank):
+            for b in order:
+                if starts[b] <= rank < starts[b] + per[b]:
+                    return b
+            return order[-1]
+
+        for i, p in enumerate(probs):
+            h = (n - 1) * float(p)
+            lo, hi = math.floor(h), math.ceil(h)
+            for rk in (lo, hi):
+                b = locate(rk)
+                targets.add((pk, b, starts[b]))
+            ranks.append((pk, i, lo, hi, h - lo))
+    if not ranks:
+        schema = ", ".join([f"{g} string" for g in groups] + [f"{prefix}{i} double" for i in range(len(probs))])
+        return spark.createDataFrame([], schema)
+    tdf = spark.createDataFrame(sorted(targets), "__tpk string, __tbk int, __off long")
+    sel = keyed.join(bounded_broadcast(tdf, 2 * len(probs) * max_groups),
+                     (F.col("__pk") == F.col("__tpk")) & (F.col("__bk") == F.col("__tbk")))
+    w = Window.partitionBy("__pk", "__bk").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    sel = sel.withColumn("__before", F.col("__off") + F.coalesce(F.sum("__c").over(w), F.lit(0)))
+    rdf = spark.createDataFrame(ranks, "__rpk string, __i int, __lo long, __hi long, __d double")
+    j = sel.join(bounded_broadcast(rdf, len(probs) * max_groups), F.col("__pk") == F.col("__rpk"))
+    start, end = F.col("__before"), F.col("__before") + F.col("__c") - 1
+    picked = j.groupBy("__pk", *groups, "__i").agg(
+        F.max(F.when((F.col("__lo") >= start) & (F.col("__lo") <= end), F.col("__v"))).alias("__vl"),
+        F.max(F.when((F.col("__hi") >= start) & (F.col("__hi") <= end), F.col("__v"))).alias("__vh"),
+        F.first("__d").alias("__d"))
+    val = F.col("__vl") + (F.col("__vh") - F.col("__vl")) * F.col("__d")
+    wide = picked.groupBy("__pk", *groups).agg(*[F.max(F.when(F.col("__i") == i, val)).alias(f"{prefix}{i}")
+                                                  for i in range(len(probs))]).drop("__pk")
+    # The result is one row per group: materialise it, then release the cache.
+    rows = wide.collect()
+    out = spark.createDataFrame(rows, wide.schema)
+    keyed.unpersist()
+    return out

@@ -22,8 +22,7 @@ def predictions(spark, sf_dir, with_split: bool = False):
     p = li.select(ROW_INDEX, y.alias("y_true"), (F.floor((0.5 * u + 0.3 * y) * 100) / 100).alias("y_score"),
                   (F.col("l_extendedprice") / 1000).alias("y_reg"), (1.5 * F.col("l_quantity") + 5 * u).alias("y_hat"))
     if with_split:
-        sp = random_holdout(p.select(ROW_INDEX), test_size=0.2, val_size=0.1, seed=42)
-        p = p.join(sp, ROW_INDEX)
+        p = random_holdout(p, test_size=0.2, val_size=0.1, seed=42, keep_columns=True)
     return p
 
 

@@ -21,8 +21,7 @@ def model_table(spark, sf_dir):
     li = lineitem_rows(spark, sf_dir).select(
         ROW_INDEX, "l_quantity", "l_discount", "l_tax", "l_extendedprice",
         (F.col("l_extendedprice") / 1000).alias("y_reg"), (F.col("l_returnflag") == "R").cast("double").alias("y_cls"))
-    sp = random_holdout(li.select(ROW_INDEX), test_size=0.2, val_size=0.1, seed=42)
-    return li.join(sp, ROW_INDEX)
+    return random_holdout(li, test_size=0.2, val_size=0.1, seed=42, keep_columns=True)
 
 
 def _fit_score(spark, sf_dir, model_type, task):

@@ -29,8 +29,7 @@ def _with_split(spark, sf_dir):
     third, and none of them should recompute the split (lineage cut, so a
     lost executor re-reads the checkpoint instead of re-ranking)."""
     f = _features(spark, sf_dir)
-    sp = random_holdout(f.select(ROW_INDEX), test_size=0.2, val_size=0.1, seed=42)
-    return cut_lineage(f.join(sp, on=ROW_INDEX))
+    return cut_lineage(random_holdout(f, test_size=0.2, val_size=0.1, seed=42, keep_columns=True))
 
 
 BASE_SQL = (f"base AS (SELECT {LINEITEM_KEY_SQL} AS rid, l_quantity, l_extendedprice, l_discount, l_tax, "

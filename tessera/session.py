@@ -61,6 +61,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
+    """Reliable checkpoint into the shared checkpoint folder (never local).
+
+    AQE may have coalesced a small result into very few partitions; reading
+    the checkpoint back is then spread over the cores again (a round-robin
+    repartition of an already small table -- large tables keep their own
+    partitioning)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    ck = df.checkpoint(eager=True)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if ck.rdd.getNumPartitions() < cores:
+        ck = ck.repartition(cores)
+    return ck
