@@ -135,13 +135,15 @@ def config_hash_dedupe(df: DataFrame, hash_col: str, order: str, status_col: str
 
 
 def first_occurrence_distinct(df: DataFrame, group_col: str, value_col: str, order_col: str,
-                              out: str = "values") -> DataFrame:
-    """Per group, the distinct values in first-seen order joined with ','.
+                              out: str = "position") -> DataFrame:
+    """Per group, the distinct values in first-seen order, as a long
+    table (group, position, value).
 
     Values are first folded to one row per (group, value) with their first
-    position (partial aggregate), so the per-group list holds distinct values
-    only, never raw rows.
+    position (partial aggregate); positions are a skew-safe rank inside the
+    group.  A group is never gathered into one array, so a hot group with
+    millions of distinct values stays distributed.
     """
+    from tessera.operators.ranks import rank_within_key
     firsts = df.groupBy(group_col, value_col).agg(F.min(order_col).alias("__o"))
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("__o").alias("o"), F.col(value_col).alias("v"))))
-    return firsts.groupBy(group_col).agg(F.concat_ws(",", F.transform(ordered, lambda x: x["v"])).alias(out))
+    return rank_within_key(firsts, group_col, "__o", out=out).select(group_col, out, value_col)

@@ -27,12 +27,18 @@ def sanitize(c: Column) -> Column:
     return F.when(s == "", F.lit("x")).otherwise(s)
 
 
-def axes_row(axes: dict[str, DataFrame]) -> DataFrame:
+def axes_row(axes: dict[str, DataFrame], max_cases: int = DEFAULT_MAX_CASES) -> DataFrame:
     """One row: map axis -> sorted distinct values.  Each axis is a one-column
-    DataFrame derived from data; the union is folded without joins."""
+    DataFrame derived from data; the union is folded without joins.  Axis
+    sizes are checked first (distinct counts, one small job), so no axis
+    larger than the grid limit is ever gathered into an array."""
     long = reduce(lambda a, b: a.unionByName(b), [
         df.select(F.lit(name).alias("axis"), F.col(df.columns[0]).cast("string").alias("value")).distinct()
         for name, df in axes.items()])
+    sizes = {r["axis"]: r["n"] for r in long.groupBy("axis").agg(F.count(F.lit(1)).alias("n")).collect()}
+    too_big = {a: n for a, n in sizes.items() if n > max_cases}
+    if too_big:
+        raise ValueError(f"grid axes above max_cases={max_cases}: {too_big}")
     per = long.groupBy("axis").agg(F.array_sort(F.collect_set("value")).alias("values"))
     return per.agg(F.map_from_entries(F.collect_list(F.struct("axis", "values"))).alias("axes"))
 

@@ -105,6 +105,6 @@ def d7(spark, sf_dir):
 
 @register("d8_first_occurrence_list", """
 WITH f AS (SELECT user_id, event_type, min(event_id) AS o FROM events GROUP BY ALL)
-SELECT user_id, string_agg(event_type, ',' ORDER BY o) AS "values" FROM f GROUP BY user_id""")
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY o) AS position, event_type FROM f""")
 def d8(spark, sf_dir):
     return D.first_occurrence_distinct(table(spark, sf_dir, "events"), "user_id", "event_type", "event_id")

@@ -258,20 +258,20 @@ WITH logs AS (SELECT user_id, event_id, 'Submitted batch job ' || CAST(event_id
 ids AS (SELECT user_id, event_id, unnest(regexp_extract_all(text, 'Submitted batch job (\d+)', 1)) AS job_id,
                generate_subscripts(regexp_extract_all(text, 'Submitted batch job (\d+)', 1), 1) AS pos FROM logs),
 f AS (SELECT user_id, job_id, min(event_id * 100 + pos) AS o FROM ids GROUP BY 1, 2)
-SELECT user_id, count(*) AS n_ids, string_agg(job_id, ',' ORDER BY o) AS job_ids FROM f GROUP BY 1""")
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY o) AS position, job_id FROM f""")
 def r8(spark, sf_dir):
-    """Orchestrator log lines (one per event) -> all job ids, first-seen order,
-    unique per user.  Per-line extraction, then the D8 fold."""
+    """Orchestrator log lines (one per event) -> all job ids, unique, in
+    first-seen order per user, as (user, position, job id) rows: per-line
+    extraction, then the D8 fold (no per-user array)."""
+    from tessera.operators.dedupe import first_occurrence_distinct
     e = table(spark, sf_dir, "events")
     text = F.concat(F.lit("Submitted batch job "), F.col("event_id").cast("string"),
                     F.lit(" ok; retry: Submitted batch job "),
                     (F.col("user_id") * 100000 + F.dayofmonth("ts")).cast("string"))
     ids = e.select("user_id", "event_id", F.posexplode(F.regexp_extract_all(text, F.lit(r"Submitted batch job (\d+)"), 1))
                    .alias("pos", "job_id"))
-    f = ids.groupBy("user_id", "job_id").agg(F.min(F.col("event_id") * 100 + F.col("pos") + 1).alias("o"))
-    ordered = F.array_sort(F.collect_list(F.struct("o", "job_id")))
-    return f.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_ids"),
-                                    F.concat_ws(",", F.transform(ordered, lambda x: x["job_id"])).alias("job_ids"))
+    ids = ids.withColumn("o", F.col("event_id") * 100 + F.col("pos") + 1)
+    return first_occurrence_distinct(ids, "user_id", "job_id", "o")
 
 
 @register("r9_delimited_line_parse", """

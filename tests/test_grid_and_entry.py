@@ -15,6 +15,8 @@ def test_size_guard_refuses_large_grid(spark):
     row = G.axes_row(axes)
     with pytest.raises(ValueError):
         G.size_guard(row, ["a", "b"], max_cases=10_000)
+    with pytest.raises(ValueError):
+        G.axes_row(axes, max_cases=150)
     assert G.size_guard(row, ["a", "b"], max_cases=20_000) == 20_000
 
 
