@@ -128,15 +128,20 @@ def f13(spark, sf_dir):
     return back.groupBy("event_type").agg(F.sum("d.p.k").cast("long").alias("sum_k"), F.count(F.lit(1)).alias("n"))
 
 
-@register("f14_array_functions", """
-WITH per AS (SELECT user_id, list_sort(list_distinct(list(event_type))) AS types FROM events GROUP BY 1)
-SELECT user_id, array_to_string(types, ',') AS types, list_contains(types, 'error') AS has_error FROM per""")
+@register("f14_array_functions", r"""
+WITH t AS (SELECT doc_id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+                                                          lambda x: x <> ''))) AS u FROM documents)
+SELECT doc_id, len(u) AS n_unique, md5(array_to_string(u, ',')) AS joined_md5, list_contains(u, 'the') AS has_the FROM t""")
 def f14(spark, sf_dir):
-    """Distinct event types per user (bounded: the distinct types), sorted,
-    joined, membership."""
-    e = table(spark, sf_dir, "events").select("user_id", "event_type").distinct()
-    per = e.groupBy("user_id").agg(F.array_sort(F.array_distinct(F.collect_list("event_type"))).alias("t"))
-    return per.select("user_id", F.concat_ws(",", "t").alias("types"), F.array_contains("t", "error").alias("has_error"))
+    """Per-row arrays over the whole text: unique, sorted, joined, membership
+    (no per-group collection)."""
+    from tessera.operators.features import tokens
+    from tessera.sources.tables import spread
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    u = F.array_sort(F.array_distinct(tokens(F.col("text"))))
+    x = d.select("doc_id", u.alias("u"))
+    return x.select("doc_id", F.size("u").cast("long").alias("n_unique"), F.md5(F.concat_ws(",", "u")).alias("joined_md5"),
+                    F.array_contains("u", "the").alias("has_the"))
 
 
 @register("f15_f16_append_reason_first_non_blank", """
