@@ -29,12 +29,6 @@ def normalize_strategy(strategy: str | None) -> str | None:
     return s
 
 
-def _row_struct(df: DataFrame):
-    # The order column goes first so struct ordering == row order.
-    cols = [ROW_INDEX] + [c for c in df.columns if c != ROW_INDEX]
-    return F.struct(*[F.col(f"`{c}`") for c in cols]), cols
-
-
 def keep_first(df: DataFrame, key: str, order: str = ROW_INDEX, last: bool = False) -> DataFrame:
     """The row with the lowest (or highest) ``order`` per ``key``.
 
