@@ -73,26 +73,41 @@ def rank_within_key(
     out: str = "rn",
     n_buckets: int = 256,
     rel_error: float = 0.001,
+    hot_fraction: float = 0.01,
 ) -> DataFrame:
     """1-based occurrence number of each row inside ``key`` by ``order``
-    (numeric, unique), without sending a hot key to one task.
-
-    ``order`` is cut into ``n_buckets`` ranges at approximate quantiles (one
-    sampling pass); per (key, bucket) counts give offsets (that table has at
-    most ``n_buckets`` rows per key, so its window is small); the rank is
-    offset + ``row_number`` inside (key, bucket).  A key holding a third of
-    the rows is spread over all buckets.
+    (numeric, unique within the key), without sending a hot key to one task.
+
+    ``order`` is cut into ``n_buckets`` ranges at approximate quantiles; per
+    (key, bucket) counts give offsets (at most ``n_buckets`` rows per key, so
+    that window is small); the rank is offset + ``row_number`` inside
+    (key, bucket).  Keys holding more than ``hot_fraction`` of the rows (at
+    most 1/hot_fraction of them, found by one count aggregate) get cuts of
+    their own, so a hot key is spread over all buckets even when its order
+    values sit in a narrow range of the global distribution.
     """
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = sorted(set(df.approxQuantile(order, probs, rel_error)))
-    if cuts:
-        # Count of cut points below the value: a literal-array scan that
-        # stays inside codegen (NULL orders land in bucket 0).
-        arr = F.array(*[F.lit(float(c)) for c in cuts])
-        bucket = F.size(F.filter(arr, lambda c: c < F.col(order).cast("double")))
+    arr = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__kn"))
+    total = per_key.agg(F.sum("__kn").alias("t")).first()["t"] or 0
+    hot = [r[key] for r in per_key.filter(F.col("__kn") > hot_fraction * total).collect()]
+    keyed = df
+    if hot:
+        hot_cuts = (df.filter(F.col(key).isin(hot)).groupBy(F.col(key).alias("__hk"))
+                    .agg(F.array_distinct(F.percentile_approx(F.col(order).cast("double"), probs, 1000)).alias("__hc")))
+        # bounded: at most 1/hot_fraction keys x n_buckets cut points
+        hot_cuts = bounded_broadcast(hot_cuts, int(1 / hot_fraction) + 1)
+        keyed = keyed.join(hot_cuts, F.col(key).eqNullSafe(F.col("__hk")), "left").drop("__hk")
+        cut_arr = F.coalesce(F.col("__hc"), arr)
     else:
-        bucket = F.lit(0)
-    keyed = df.withColumn("__rb", bucket)
+        cut_arr = arr
+    # Count of cut points below the value: a literal-array scan that stays
+    # inside codegen (NULL orders land in bucket 0).
+    bucket = F.size(F.filter(cut_arr, lambda c: c < F.col(order).cast("double")))
+    keyed = keyed.withColumn("__rb", bucket)
+    if hot:
+        keyed = keyed.drop("__hc")
     counts = keyed.groupBy(key, "__rb").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(key).orderBy("__rb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col(key).alias("__rk"), F.col("__rb").alias("__rob"),
