@@ -13,6 +13,8 @@ QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
 _MODULES = (
+    "token_counts",
+    "word_shuffle_bpe",
     "token_store",
     "packing",
 )
