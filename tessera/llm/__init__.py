@@ -15,6 +15,7 @@ ORACLES: dict[str, str] = {}
 _MODULES = (
     "token_counts",
     "word_shuffle_bpe",
+    "radix_dedup",
     "token_store",
     "packing",
 )
