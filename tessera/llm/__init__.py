@@ -16,6 +16,7 @@ _MODULES = (
     "token_counts",
     "word_shuffle_bpe",
     "radix_dedup",
+    "host_quality",
     "token_store",
     "packing",
 )
