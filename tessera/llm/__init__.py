@@ -17,6 +17,7 @@ _MODULES = (
     "word_shuffle_bpe",
     "radix_dedup",
     "host_quality",
+    "warc",
     "token_store",
     "packing",
 )
