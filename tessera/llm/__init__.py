@@ -14,6 +14,7 @@ ORACLES: dict[str, str] = {}
 
 _MODULES = (
     "token_counts",
+    "license_scan",
     "word_shuffle_bpe",
     "radix_dedup",
     "host_quality",
