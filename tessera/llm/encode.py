@@ -16,7 +16,7 @@ import numpy as np
 _ENCODERS: dict[tuple[str, int], "PieceEncoder"] = {}
 
 
-def encoder(path: str, max_pieces: int = 700_000) -> "PieceEncoder":
+def encoder(path: str, max_pieces: int = 1_200_000) -> "PieceEncoder":
     """One encoder per Python worker, kept between tasks."""
     key = (path, max_pieces)
     if key not in _ENCODERS:
