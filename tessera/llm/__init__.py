@@ -18,6 +18,7 @@ _MODULES = (
     "word_shuffle_bpe",
     "radix_dedup",
     "host_quality",
+    "substring_dedup",
     "warc",
     "token_store",
     "packing",
