@@ -20,6 +20,7 @@ _MODULES = (
     "host_quality",
     "substring_dedup",
     "warc",
+    "ngram_join",
     "token_store",
     "packing",
 )
