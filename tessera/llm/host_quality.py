@@ -44,12 +44,16 @@ def repeated_words(words: str) -> F.Column:
     )
 
 
-def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source") -> DataFrame:
+def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", rows: bool = False) -> DataFrame:
+    """Counts per document; with ``rows`` also the whole input row (``row``)."""
+    carried = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
+    own = ["row"] if rows else []
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{domain_col}`").cast("string").alias("domain"), text.alias("text"))
+    counted = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{domain_col}`").cast("string").alias("domain"), text.alias("text"), *carried)
     bare = F.translate("text", STRIPPED, "")
     ends = F.regexp_replace("text", rf"\A{SPACE}|{SPACE}\z", "")
-    rows = rows.select(
+    counted = counted.select(
+        *own,
         "doc_id",
         "domain",
         F.when(F.length(bare) > 0, F.split(ends, SPACE)).otherwise(F.array().cast("array<string>")).alias("words"),
@@ -57,7 +61,8 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, STRIPPED, "")) > 0).alias("lines"),
     )
-    rows = rows.select(
+    counted = counted.select(
+        *own,
         "doc_id",
         "domain",
         F.size("words").cast("long").alias("n_words"),
@@ -70,7 +75,7 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  (x, i) -> named_struct('w', concat_ws(' ', x, get(words, i + 1), get(words, i + 2)), 'i', i)))"""
         ).alias("windows"),
     )
-    return rows.withColumn("n_repeat_words", repeated_words("windows")).drop("windows")
+    return counted.withColumn("n_repeat_words", repeated_words("windows")).drop("windows")
 
 
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
@@ -100,14 +105,24 @@ def shrunk_rates(counts: DataFrame) -> DataFrame:
 def host_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", host_limit: float = 0.5) -> DataFrame:
     """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept."""
-    prepare(docs.sparkSession)
-    counts = base_counts(docs, id_col, text_col, domain_col)
+    judged = _judged(base_counts(docs, id_col, text_col, domain_col), host_limit)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", host_limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their columns."""
+    judged = _judged(base_counts(docs, id_col, text_col, domain_col, rows=True), host_limit)
+    return judged.where("kept").select("row.*")
+
+
+def _judged(counts: DataFrame, host_limit: float) -> DataFrame:
+    prepare(counts.sparkSession)
     counts, _ = store(counts.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("soft_failed", F.expr(SOFT)), "quality")
     rates, _ = store(shrunk_rates(counts), "rates")
     rates = rates.withColumnRenamed("domain", "host")
     judged = counts.join(rates, counts["domain"].eqNullSafe(rates["host"]), "left")
     verdict = ~F.col("base_failed") & (F.col("soft_failed") < 2) & ~((F.col("soft_failed") > 0) & (F.col("rate") > host_limit))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", verdict.alias("kept"))
+    return judged.withColumn("kept", verdict)
 
 
 ORACLE = rf"""

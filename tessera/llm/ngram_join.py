@@ -44,7 +44,7 @@ from . import register
 from .common import SPACE, documents, prepare, remove, store, texts
 from .substring_dedup import LAST, _Hashes, _mix
 
-SMALL = 32  # bands below: one partition per shingle
+SMALL = 64  # bands below: one partition per shingle
 HOT = 8  # holders of a signature in one batch that make it hot
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,6 +58,12 @@ def spare(n: int, limit_pct: int) -> int:
     return 1 + differences(n, limit_pct) // 4
 
 
+def partitions(tag: int, limit_pct: int) -> int:
+    """Partitions of the domain for a band: about a third more than the
+    largest set of the band signs, so that enough of them are filled."""
+    return max(1, (1 << tag) * 34 * (100 - limit_pct) // (10 * limit_pct))
+
+
 def _sets(batch: pa.RecordBatch, column: int, size: int, empty: int):
     """Distinct shingle hashes of each document of a batch."""
     h = _Hashes(batch.column(column), empty)
@@ -74,16 +80,19 @@ def _sets(batch: pa.RecordBatch, column: int, size: int, empty: int):
 
 
 def _identity(s: np.ndarray, seed: int) -> tuple[int, int]:
-    sums = (_mix(s ^ np.uint64(seed)).sum(dtype=np.uint64), _mix(s + np.uint64(0x51ED270B)).sum(dtype=np.uint64))
-    a, b = (int(_mix(x + np.uint64(len(s)))) for x in sums)
+    sums = np.array([_mix(s ^ np.uint64(seed)).sum(dtype=np.uint64), _mix(s + np.uint64(0x51ED270B)).sum(dtype=np.uint64)])
+    a, b = _mix(sums + np.uint64(len(s))).tolist()
     return a - (1 << 64) if a >> 63 else a, b - (1 << 64) if b >> 63 else b
 
 
-def signatures(s: np.ndarray, limit_pct: int, seed: int) -> np.ndarray | None:
-    """Signatures of a set in its band and, near its top, the next; None if
-    too few partitions are filled for the guarantee."""
+def signatures(s: np.ndarray, limit_pct: int, seed: int) -> tuple[np.ndarray, int]:
+    """Signatures of a set in its band and, near its top, the next, and how
+    many of them a linked partner with no shorter prefix shares at least (less
+    than 1: hashing filled too few partitions)."""
     n = len(s)
-    need = differences(n, limit_pct) + spare(n, limit_pct)
+    differ = differences(n, limit_pct)
+    need = differ + spare(n, limit_pct)
+    sure = need - differ
     g = _mix(s ^ np.uint64(seed))
     band = n.bit_length() - 1
     out = []
@@ -94,31 +103,30 @@ def signatures(s: np.ndarray, limit_pct: int, seed: int) -> np.ndarray | None:
         if 1 << tag < SMALL:
             out.append(_mix(np.sort(g)[:need] + mark))
             continue
-        part = g % np.uint64(1 << (tag - 1))
+        part = g % np.uint64(partitions(tag, limit_pct))
         order = np.argsort(part, kind="stable")
         part = part[order]
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        if len(first) < need:
-            return None
+        sure = min(sure, len(first) - differ)
         content = np.add.reduceat(_mix(g + np.uint64(1))[order], first)[:need]
         out.append(_mix(content ^ _mix(part[first][:need] + mark)))
-    return np.concatenate(out)
+    return np.concatenate(out), sure
 
 
 def _set_rows(hashed: DataFrame, size: int, limit_pct: int, empty: int, seed: int) -> DataFrame:
-    """(ord, text_key, n, node, check, proven) per document."""
-    names = ["ord", "text_key", "n", "node", "check", "proven"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+    """(ord, text_key, n, node, check, sure) per document."""
+    names = ["ord", "text_key", "n", "node", "check", "sure"]
+    types = [pa.int64()] * 6
 
     def run(batches):
         for b in batches:
             rows = []
             for o, key, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _sets(b, 2, size, empty)):
-                rows.append((o, key, len(s), *_identity(s, seed), not len(s) or signatures(s, limit_pct, seed) is not None))
+                rows.append((o, key, len(s), *_identity(s, seed), signatures(s, limit_pct, seed)[1] if len(s) else 0))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return hashed.mapInArrow(run, "ord long, text_key long, n long, node long, check long, proven boolean")
+    return hashed.mapInArrow(run, "ord long, text_key long, n long, node long, check long, sure long")
 
 
 def _signature_rows(hashed: DataFrame, size: int, limit_pct: int, empty: int, seed: int, ranges: int) -> DataFrame:
@@ -130,7 +138,7 @@ def _signature_rows(hashed: DataFrame, size: int, limit_pct: int, empty: int, se
             sigs, nodes = [], []
             for s in _sets(b, 2, size, empty):
                 if len(s):
-                    own = signatures(s, limit_pct, seed)
+                    own, _ = signatures(s, limit_pct, seed)
                     sigs.append(own)
                     nodes.append(np.full(len(own), _identity(s, seed)[0], np.int64))
             if not sigs:
@@ -285,6 +293,28 @@ def ngram_join(
     docs: DataFrame, size: int = 5, limit_pct: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = 512, seed: int = 1
 ) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
+    shown = lambda c: F.when(F.col(c) != LAST, F.col(c))
+    out = _components_of(docs, size, limit_pct, id_col, text_col, block, seed)
+    return out.select(shown("ord").alias("doc_id"), F.col("n").alias("n_shingles"), shown("first").alias("component_id"))
+
+
+def keep_unlinked(docs: DataFrame, size: int = 5, limit_pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns: of each component
+    one with the smallest id, and rows without words."""
+    found, _ = store(_components_of(docs, size, limit_pct, id_col, text_col), "components")
+    best = found.where("n > 0").groupBy("component").agg(F.min(F.struct("ord", "text_key")).alias("r")).select("r.ord", "r.text_key")
+    stays, _ = store(best.unionByName(found.where("n = 0").select("ord", "text_key")).distinct(), "stays")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_keys(id_col, text_col))
+    return keyed.join(stays, ["ord", "text_key"], "left_semi").dropDuplicates(["ord", "text_key"]).select("row.*")
+
+
+def _keys(id_col: str, text_col: str) -> list:
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("ord"), F.xxhash64(text).alias("text_key")]
+
+
+def _components_of(docs: DataFrame, size: int, limit_pct: int, id_col: str, text_col: str, block: int = 512, seed: int = 1) -> DataFrame:
+    """(ord, text_key, n, component, first) per document."""
     spark = docs.sparkSession
     prepare(spark)
     ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -295,10 +325,10 @@ def ngram_join(
     while True:
         sets, path = store(_set_rows(hashed, size, limit_pct, empty, seed), "sets")
         nodes = sets.where("n > 0").groupBy("node").agg(
-            F.first("n").alias("n"), F.min(F.struct("ord", "text_key")).alias("r"), (F.min("check") != F.max("check")).alias("clash"), F.min("proven").alias("proven")
+            F.first("n").alias("n"), F.min(F.struct("ord", "text_key")).alias("r"), (F.min("check") != F.max("check")).alias("clash"), F.min("sure").alias("sure")
         )
         nodes, nodes_path = store(nodes, "nodes")
-        if nodes.where("clash or not proven").isEmpty():
+        if nodes.where("clash or sure < 1").isEmpty():
             break
         remove(spark, path, nodes_path)
         seed += 1
@@ -314,6 +344,9 @@ def ngram_join(
     # a node that links shares at least as many signatures as its smallest partner must
     smallest = F.floor(F.col("n") * limit_pct / 100)
     need = 1 + F.floor(F.floor(smallest * (100 - limit_pct) / limit_pct) / 4)
+    # one number: sets whose partitions were filled too thinly to share as many
+    thin = nodes.where(F.col("sure") < 1 + F.floor(F.floor(F.col("n") * (100 - limit_pct) / limit_pct) / 4)).agg(F.min("sure")).first()[0]
+    need = need if thin is None else F.least(need, F.lit(thin))
     able = groups.groupBy("node").agg(F.sum("shared").alias("shared")).join(nodes, "node").where(F.col("shared") >= need).select("node", "r")
     able, _ = store(able, "able")
     members = groups.select("leader", "node").join(able.select("node"), "node", "left_semi")
@@ -331,11 +364,9 @@ def ngram_join(
     labels = components(compared.distinct())
 
     named = sets.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node"))
-    named, _ = store(named.select("ord", "n", F.when(F.col("n") > 0, F.col("component")).alias("component")), "named")
+    named, _ = store(named.select("ord", "text_key", "n", F.when(F.col("n") > 0, F.col("component")).alias("component")), "named")
     firsts, _ = store(named.where("component is not null").groupBy("component").agg(F.min("ord").alias("first")), "firsts")
-    out = named.join(firsts, "component", "left").select("ord", "n", F.coalesce("first", "ord").alias("first"))
-    shown = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return out.select(shown("ord").alias("doc_id"), F.col("n").alias("n_shingles"), shown("first").alias("component_id"))
+    return named.join(firsts, "component", "left").select("ord", "text_key", "n", "component", F.coalesce("first", "ord").alias("first"))
 
 
 ORACLE = r"""

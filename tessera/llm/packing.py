@@ -219,7 +219,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, rows_a_bucket: int = 50_000) -
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:
     prepare(docs.sparkSession)
-    pieces, _ = store(cut_documents(docs, path, end_id, capacity), "pieces")
+    pieces, _ = store(cut_documents(texts(docs), path, end_id, capacity), "pieces")
     return pack(pieces, capacity)
 
 
@@ -227,4 +227,4 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 0, capacity: int =
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack_documents(texts(documents(spark, sf_dir)), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))

@@ -84,7 +84,7 @@ def radix_groups(rows: DataFrame, first_digit: int = 64, growth: int = 4, hot_ro
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    """Per document: doc_id, keep_id, group_size, kept, text_sha256, n_points."""
     prepare(docs.sparkSession)
     rows = texts(docs, id_col, text_col).select("doc_id", F.length("text").alias("n_points"), F.translate("text", STRIPPED, "").cast("binary").alias("rest"))
     rows = rows.select("doc_id", "n_points", F.sha2("rest", 256).alias("text_sha256"), "rest")
@@ -100,9 +100,26 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("d").isNull() | (F.col("d") == F.col("row"))).alias("kept"),
         "text_sha256",
+        "n_points",
     )
 
 
+def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns.  The digest only
+    finds the row that was decided on again."""
+    stays = exact_dedup(docs, id_col, text_col).where("kept").select("doc_id", "text_sha256", "n_points").distinct()
+    stays, _ = store(stays.toDF("k_id", "k_text", "k_points"), "stays")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{id_col}`").cast("long").alias("id"),
+        F.sha2(F.translate(text, STRIPPED, "").cast("binary"), 256).alias("t"),
+        F.length(text).alias("n"),
+    )
+    same = F.col("id").eqNullSafe(F.col("k_id")) & (F.col("t") == F.col("k_text")) & (F.col("n") == F.col("k_points"))
+    return keyed.join(stays, same, "left_semi").dropDuplicates(["id", "t", "n"]).select("row.*")
+
+
 ORACLE = r"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k FROM documents),
 g AS (SELECT doc_id, first_value(doc_id) OVER (PARTITION BY k ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY k) AS group_size, sha256(k) AS text_sha256 FROM t)
@@ -112,4 +129,4 @@ SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, text_sha256 FROM g
 
 @register("op4_radix_dedup", ORACLE)
 def op4_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(documents(spark, sf_dir))
+    return exact_dedup(documents(spark, sf_dir)).drop("n_points")

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import register
-from .common import SPACE, documents, prepare, remove, store, texts
+from .common import SPACE, documents, prepare, remove, store
 
 WINDOW = 50
 GRAM = 16
@@ -162,7 +162,8 @@ def block_windows(hashed_with_blocks: DataFrame, empty: int) -> DataFrame:
 
 
 def _kept(batches):
-    """Words left when the windows of every listed block's mask are removed."""
+    """Words left when the windows of every listed block's mask are removed;
+    further columns go through."""
     for b in batches:
         out = []
         for ord_, text, blocks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
@@ -181,7 +182,8 @@ def _kept(batches):
             out.append((None if ord_ == LAST else ord_, n_words, removed, hashlib.sha256(kept).hexdigest(), kept.decode()))
         cols = list(zip(*out)) or [()] * 5
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+        names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)] + b.columns[3:], names + b.schema.names[3:])
 
 
 def duplicate_windows(rows: DataFrame) -> DataFrame:
@@ -220,15 +222,31 @@ def duplicate_windows(rows: DataFrame) -> DataFrame:
     return masks.groupBy("ord", "text_key").agg(F.collect_set(F.struct("at", "n", "mask")).alias("blocks"))
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_words, n_removed, kept_sha256, kept_text."""
+KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: bool = False) -> DataFrame:
+    """Per document: doc_id, n_words, n_removed, kept_sha256, kept_text; with
+    ``rows`` also the whole input row (``row``)."""
     prepare(docs.sparkSession)
-    rows = texts(docs, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(LAST)).alias("ord"), F.xxhash64("text").alias("text_key"), "text"
-    )
-    found, _ = store(duplicate_windows(rows), "duplicate-windows")
-    whole = rows.join(found, ["ord", "text_key"], "left").select("ord", "text", "blocks")
-    return whole.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    carried = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    whole = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("ord"), text.alias("text"), F.xxhash64(text).alias("text_key"), *carried)
+    found, _ = store(duplicate_windows(whole.select("ord", "text_key", "text")), "duplicate-windows")
+    own = ["row"] if rows else []
+    whole = whole.join(found, ["ord", "text_key"], "left").select("ord", "text", "blocks", *own)
+    return whole.mapInArrow(_kept, KEPT + (f", row {whole.schema['row'].dataType.simpleString()}" if rows else ""))
+
+
+def remove_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs`` without their duplicate spans, with their columns:
+    a text that loses words becomes the kept words joined by one space, a row
+    that loses all of them goes, any other stays as it is."""
+    found = substring_dedup(docs, id_col, text_col, rows=True).where("n_removed = 0 or n_removed < n_words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row").getField(text_col))
+    size = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("row").getField(length_col)) if length_col in docs.columns else None
+    new = {text_col: text} | ({length_col: size.cast(docs.schema[length_col].dataType)} if size is not None else {})
+    return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 ORACLE = r"""
