@@ -86,7 +86,7 @@ def _splice(chunks: DataFrame) -> DataFrame:
     left = chunks.select("key", "chunk", "n", "tail")
     right = chunks.where("chunk > 0").select("key", (F.col("chunk") - 1).alias("chunk"), "head")
     border = F.array_min(F.array_intersect(F.col("tail.at"), F.col("head.at")))
-    before = lambda side: F.element_at(F.filter(side, lambda x: x["at"] == F.col("border")), 1)["before"]
+    before = lambda side: F.get(F.filter(side, lambda x: x["at"] == F.col("border")), F.lit(0))["before"]
     seams = (
         right.join(left, ["key", "chunk"])
         .withColumn("border", border)

@@ -103,7 +103,10 @@ def _parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
         key, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("bad header line")
-        headers[key.strip().lower().decode("latin-1")] = value.strip().decode("latin-1")
+        key = key.strip().lower().decode("latin-1")
+        if key in headers and key != "warc-concurrent-to":  # a cut record runs into the next one
+            raise ValueError("a header is repeated")
+        headers[key] = value.strip().decode("latin-1")
     size = headers.get("content-length", "")
     if not (size.isascii() and size.isdigit()):
         raise ValueError("no content length")
@@ -119,14 +122,17 @@ def _parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
 
 
 def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    z = zlib.decompressobj(31)
+    z, out, end, view = zlib.decompressobj(31), [], at, memoryview(data)
     try:
-        out = z.decompress(data[at:])
+        while not z.eof and end < len(data):
+            part = view[end : end + 65536]
+            out.append(z.decompress(part))
+            end += len(part)
     except zlib.error as exc:
         raise ValueError(f"gzip member: {exc}") from None
     if not z.eof:
         raise ValueError("gzip member is cut")
-    return out, len(data) - len(z.unused_data)
+    return b"".join(out), end - len(z.unused_data)
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
