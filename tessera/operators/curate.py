@@ -7,6 +7,7 @@ each predicate into the parquet scan when the plan allows it.
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -70,38 +71,28 @@ def require_non_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """Drop rows missing any of ``cols``; unknown column -> error."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError("required_non_null_columns contain missing columns: " + ", ".join(sorted(missing)))
+        raise ValueError(f"columns that must not be null are absent: {sorted(missing)}")
     if not cols:
         return df
     return df.filter(reduce(lambda a, b: a & b, [not_missing(c) for c in cols]))
 
 
-def normalize_row_filters(filters: dict | None) -> dict[str, list]:
-    """P5: scalar -> one-element list; empty list -> error."""
-    out: dict[str, list] = {}
-    for raw, vals in (filters or {}).items():
-        col = str(raw).strip()
-        if not col:
-            continue
-        values = list(vals) if isinstance(vals, (list, tuple, set)) else [vals]
-        if not values:
-            raise ValueError(f"row_filters[{col!r}] must contain at least one allowed value.")
-        out[col] = values
-    return out
-
-
 def row_filters(df: DataFrame, filters: dict | None) -> DataFrame:
-    """P5: conjunction of ``col IN (values)``.  Literals are cast to the
-    column's type (ANSI would raise on a bad implicit cast, pandas says false)."""
-    norm = normalize_row_filters(filters)
-    types = dict(df.dtypes)
-    conds = []
-    for col, values in norm.items():
-        if col not in df.columns:
-            raise ValueError(f"row_filters configured column {col!r}, but it was not found in the dataset.")
-        lits = [F.lit(v).try_cast(types[col]) for v in values]
-        conds.append(_q(col).isin(*lits))
-    return df.filter(reduce(lambda a, b: a & b, conds)) if conds else df
+    """P5: conjunction of ``col IN (values)``; one value stands for a list of
+    it, blank names are skipped.  Literals are cast to the column's type (ANSI
+    would raise on a bad implicit cast, pandas says false)."""
+    for name, allowed in (filters or {}).items():
+        column = str(name).strip()
+        if column == "":
+            continue
+        field = next((f for f in df.schema.fields if f.name == column), None)
+        if field is None:
+            raise ValueError(f"cannot filter on {column!r}: no such column")
+        several = allowed if isinstance(allowed, (list, tuple, set)) else (allowed,)
+        if len(several) == 0:
+            raise ValueError(f"the filter on {column!r} allows no value")
+        df = df.filter(_q(column).isin(*[F.lit(v).try_cast(field.dataType) for v in several]))
+    return df
 
 
 def select_columns(df: DataFrame, key: str, properties: list[str] | None = None, label: str | None = None,
@@ -137,11 +128,12 @@ def label_classes(df: DataFrame, value_col: str, active: float = 1000.0, inactiv
 
 
 def neg_log10_nano(value: Column) -> Column:
-    """``-log10(min(v, 1e8) * 1e-9)``; NULL/NaN stay NULL; v <= 0 gives
-    +inf like NumPy (Spark's log10 would give NULL)."""
+    """``-log10(min(v, 1e8) * 1e-9)``; NULL/NaN stay NULL.  As NumPy's
+    logarithm has it, 0 gives +inf and a negative value NaN (Spark's log10
+    would give NULL for both)."""
     v = value.cast("double")
     capped = F.when(F.isnan(v), F.lit(None)).when(v > F.lit(VALUE_CAP), F.lit(VALUE_CAP)).otherwise(v)
-    return F.when(capped <= 0, F.lit(float("inf"))).otherwise(-F.log10(capped * F.lit(1e-9)))
+    return F.when(capped == 0, F.lit(float("inf"))).when(capped < 0, F.lit(float("nan"))).otherwise(-F.log10(capped * F.lit(1e-9)))
 
 
 def two_class_subset(df: DataFrame, class_col: str = "class", p_col: str = "pIC50") -> DataFrame:
@@ -164,23 +156,23 @@ def normalize_binary_labels(df: DataFrame, source: str, target: str, positive: l
 
 
 def strict_binary(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """At most two distinct non-null values, mapped to 0/1, else error.
-    The guard is one aggregate; violations surface through ``raise_error``."""
+    """The non-null values are either exactly the words active and
+    inactive, or all numbers 0 / 1; anything else (a mixture, one of the words
+    alone, a third value) is an error.  One aggregate decides for the table."""
     out = out or col
-    tok = token(col)
-    mapped = F.coalesce(
-        binary01(_q(col)),
-        F.when(tok == "active", F.lit(1)).when(tok == "inactive", F.lit(0)),
-    )
-    n_distinct = df.agg(F.count_distinct(_q(col)).alias("n")).first()["n"]
-    if n_distinct > 2:
-        raise ValueError(f"Expected binary labels, found {n_distinct} distinct values.")
-    return df.withColumn(
-        out,
-        F.when(_q(col).isNull(), F.lit(None).cast("int"))
-        .when(mapped.isNotNull(), mapped)
-        .otherwise(F.raise_error(F.concat(F.lit("Unsupported label value: "), _q(col).cast("string")))),
-    )
+    tok, number, value = token(col), binary01(_q(col)), _q(col)
+    seen = df.agg(
+        F.count(value).alias("n"),
+        F.count_distinct(value).alias("values"),
+        F.count(number).alias("numbers"),
+        F.count_if(tok == "active").alias("active"),
+        F.count_if(tok == "inactive").alias("inactive"),
+    ).first()
+    if seen["values"] <= 2 and seen["numbers"] == seen["n"]:
+        return df.withColumn(out, number)
+    if seen["active"] and seen["inactive"] and seen["active"] + seen["inactive"] == seen["n"]:
+        return df.withColumn(out, F.when(tok == "active", F.lit(1)).when(tok == "inactive", F.lit(0)))
+    raise ValueError(f"column {col!r} is not a binary label: {seen['values']} distinct values, {seen['numbers']} of {seen['n']} cells are 0 or 1")
 
 
 def exclude_columns(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -286,17 +278,13 @@ def band(value: Column, edges: list[float], labels: list[str]) -> Column:
 def sanitize_feature_names(columns: list[str]) -> list[tuple[str, str]]:
     """P25: '[', ']', '<', '>' -> '_'; empty -> 'feature'; collisions get
     ``__2``, ``__3`` ...  Returns (original, sanitized) pairs.  Schema-only."""
-    used: set[str] = set()
-    pairs = []
-    for c in columns:
-        base = "".join("_" if ch in "[]<>" else ch for ch in str(c)) or "feature"
-        name, k = base, 2
-        while name in used:
-            name = f"{base}__{k}"
-            k += 1
-        used.add(name)
-        pairs.append((c, name))
-    return pairs
+    plain = {ord(ch): "_" for ch in "[]<>"}
+    taken: dict[str, str] = {}  # sanitized -> original position, in order
+    for position, column in enumerate(columns):
+        stem = str(column).translate(plain) or "feature"
+        candidates = itertools.chain([stem], (f"{stem}__{k}" for k in itertools.count(2)))
+        taken[next(x for x in candidates if x not in taken)] = position
+    return [(columns[position], name) for name, position in taken.items()]
 
 
 def rename_source_columns(df: DataFrame) -> DataFrame:

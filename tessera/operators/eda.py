@@ -16,11 +16,7 @@ from tessera.operators.ranks import bounded_broadcast, exact_quantiles
 
 # Fixed values that must equal the reference's behaviour.
 BINARY_TOKENS = ["0", "1", "false", "true", "inactive", "active", "no", "yes", "n", "y"]
-DISTINCT_CAP = 20000
 HIST_BINS = 30
-MAX_HIST_COLUMNS = 12
-MAX_CORR_COLUMNS = 20
-MAX_BOX_COLUMNS = 6
 
 
 def _q(c: str) -> Column:
@@ -81,7 +77,6 @@ def numeric_columns(df: DataFrame, target: str | None = None) -> list[str]:
 def histograms(df: DataFrame, cols: list[str], bins: int = HIST_BINS) -> DataFrame:
     """Equal-width bins over [min, max] per column, last bin closed,
     empty bins kept (zero fill by exploding ``sequence(0, bins-1)``)."""
-    cols = cols[:MAX_HIST_COLUMNS]
     vals = {c: F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")) for c in cols}
     long = df.select(_stack([(c, vals[c]) for c in cols], "v").alias("s")).select("s.*").filter(F.col("v").isNotNull())
     rng = long.groupBy("column").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
@@ -97,9 +92,8 @@ def histograms(df: DataFrame, cols: list[str], bins: int = HIST_BINS) -> DataFra
 
 
 def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for the first 20 numeric columns,
+    """Pairwise-complete Pearson r for all given columns,
     one aggregate, long form (col_a < col_b in column order)."""
-    cols = cols[:MAX_CORR_COLUMNS]
     clean = {c: F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")) for c in cols}
     pairs = [(a, b) for j, b in enumerate(cols) for a in cols[:j]]
     wide = df.agg(*[F.corr(clean[a], clean[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
@@ -117,7 +111,6 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def box_stats(df: DataFrame, class_col: str, cols: list[str]) -> DataFrame:
     """Per class and column: quartiles (linear), 1.5 IQR fences, the
     most extreme points inside them (whiskers) and the outlier count."""
-    cols = cols[:MAX_BOX_COLUMNS]
     long = df.select(F.col(class_col).cast("string").alias("class"),
                      _stack([(c, _q(c).cast("double")) for c in cols], "v").alias("s")) \
         .select("class", "s.*").filter(F.col("v").isNotNull() & ~F.isnan("v"))
@@ -175,14 +168,14 @@ def rule_compliance(flags: DataFrame, rules: list[str]) -> DataFrame:
 
 
 def probe(df: DataFrame, target: str, key_candidates: list[str] | None = None) -> DataFrame:
-    """Rows, distinct target values (capped at 20000), binary
+    """Rows, distinct target values, binary
     target test and the inferred task, in one aggregate."""
     t = _q(target)
     tok = F.lower(F.trim(t.cast("string")))
     num = t.cast("string").try_cast("double")
     agg = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.least(F.count_distinct(t), F.lit(DISTINCT_CAP)).cast("long").alias("n_distinct_target"),
+        F.count_distinct(t).alias("n_distinct_target"),
         F.count(t).alias("n_non_null"),
         F.count_if(t.isNotNull() & num.isNull()).alias("n_non_numeric"),
         F.count_if(num.isNotNull() & ~num.isin(0.0, 1.0)).alias("n_numeric_not_01"),

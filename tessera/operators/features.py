@@ -86,32 +86,33 @@ def canonical_key(text: Column, separator: str = r"\.", prefer_largest: bool = T
 
 def map_features(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType,
                  keep: list[str], on_error: str = "null") -> DataFrame:
-    """V1 / V2: user featuriser per row, applied per Arrow batch.
+    """V1 / V2: user featuriser over Arrow batches.
 
-    ``fn`` maps a one-row-per-input pandas frame to feature columns.  A row
-    whose call raises gets NULL features (``on_error='null'``) or is dropped
-    (``'drop'``); ids in ``keep`` are carried through.
+    ``fn`` maps a pandas frame to one row of feature columns per input row,
+    each from its own row.  A batch that raises is halved until only the rows
+    that raise are left; those get NULL features (``on_error='null'``) or are
+    dropped (``'drop'``).  Ids in ``keep`` are carried through.
     """
     feat_names = [f.name for f in schema.fields if f.name not in keep]
 
+    def features(part: pd.DataFrame) -> list[pd.DataFrame]:
+        try:
+            out = fn(part).reset_index(drop=True)[feat_names]
+            if len(out) != len(part):
+                raise ValueError(f"{len(out)} rows of features for {len(part)} rows")
+            return [pd.concat([part[keep].reset_index(drop=True), out], axis=1)]
+        except Exception:  # noqa: BLE001 - failure of a row is the contract
+            if len(part) > 1:
+                half = len(part) // 2
+                return features(part.iloc[:half]) + features(part.iloc[half:])
+        if on_error == "drop":
+            return []
+        return [part[keep].reset_index(drop=True).assign(**dict.fromkeys(feat_names))]
+
     def run(batches):
         for pdf in batches:
-            rows = []
-            ok = []
-            for i in range(len(pdf)):
-                one = pdf.iloc[[i]]
-                try:
-                    out = fn(one)
-                    rows.append([out.iloc[0][c] for c in feat_names])
-                    ok.append(True)
-                except Exception:  # noqa: BLE001 - per-row failure is the contract
-                    rows.append([None] * len(feat_names))
-                    ok.append(False)
-            res = pd.concat([pdf[keep].reset_index(drop=True),
-                             pd.DataFrame(rows, columns=feat_names)], axis=1)
-            if on_error == "drop":
-                res = res[pd.Series(ok)]
-            yield res
+            if len(pdf):
+                yield from features(pdf)
 
     return df.mapInPandas(run, schema)
 
@@ -243,16 +244,16 @@ def top_k_neighbours(pairs: DataFrame, q_id: str, c_id: str, score: str, k: int
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def catalogue_flags(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, max_patterns: int = 10_000):
+def catalogue_flags(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame) -> DataFrame:
     """Rows matching any pattern of named catalogues; the matching
-    catalogue names per row.  The pattern table is small and size-checked,
-    so the non-equi ``rlike`` join is a broadcast nested loop on the
-    pattern side."""
-    n = patterns.count()
-    pats = bounded_broadcast(patterns, n, limit=max_patterns)
-    hits = texts.join(pats, F.expr(f"{text_col} rlike pattern"), "inner")
-    return hits.groupBy(id_col).agg(F.array_sort(F.collect_set("catalog")).alias("catalogs"),
-                                    F.count(F.lit(1)).alias("n_matches"))
+    catalogue names per row and the number of matching patterns.  The
+    catalogue is a stated list: each pattern becomes one literal ``rlike``
+    (compiled once) in a scan of the texts, without a join."""
+    listed = [(r["catalog"], r["pattern"]) for r in patterns.select("catalog", "pattern").collect()]
+    hit = [F.when(F.col(text_col).rlike(p), F.lit(c)) for c, p in listed]
+    matched = F.filter(F.array(*hit) if hit else F.array().cast("array<string>"), lambda c: c.isNotNull())
+    rows = texts.select(id_col, F.explode(matched).alias("catalog"))
+    return rows.groupBy(id_col).agg(F.array_sort(F.collect_set("catalog")).alias("catalogs"), F.count(F.lit(1)).alias("n_matches"))
 
 
 def kmeans_k(n: int) -> int:

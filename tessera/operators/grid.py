@@ -49,7 +49,7 @@ def size_guard(row: DataFrame, names: list[str], max_cases: int = DEFAULT_MAX_CA
     total = 1
     for n in names:
         if sizes[n] == 0:
-            raise ValueError(f"search_space.{n} must contain at least one value.")
+            raise ValueError(f"grid axis {n!r} is empty")
         total *= sizes[n]
     if total > max_cases:
         raise ValueError(f"Expanded grid has {total} combinations > max_cases={max_cases}")

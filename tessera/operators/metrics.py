@@ -45,12 +45,12 @@ def auc_ap(df: DataFrame, y: str, score: str, by: str | None = None, max_groups:
     fp = F.col("N") - F.col("neg_before")
     res = g.groupBy("grp").agg(
         F.first("P").alias("P"), F.first("N").alias("N"), F.first("bad").alias("bad"),
-        F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))).alias("__auc_num"),
-        F.sum(F.when(F.col("pos") > 0, F.col("pos") * tp / (tp + fp))).alias("__ap_num"))
+        F.sum(F.col("pos").cast("double") * (F.col("neg_before") + 0.5 * F.col("neg"))).alias("__auc_num"),
+        F.sum(F.when(F.col("pos") > 0, F.col("pos").cast("double") * tp / (tp + fp))).alias("__ap_num"))
     valid = (F.col("P") > 0) & (F.col("N") > 0) & (F.col("bad") == 0)
     return res.select(
         F.col("grp").alias(by or "group"), (F.col("P") + F.col("N")).alias("n"),
-        F.when(valid, F.col("__auc_num") / (F.col("P") * F.col("N"))).alias("auc"),
+        F.when(valid, F.col("__auc_num") / (F.col("P").cast("double") * F.col("N"))).alias("auc"),
         F.when(valid, F.col("__ap_num") / F.col("P")).alias("auprc"))
 
 

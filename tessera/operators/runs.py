@@ -108,6 +108,34 @@ def primary_metric(train: Column, test: Column) -> Column:
     return expr
 
 
+# Step names, in the order in which they decide.
+FEATURE_STEPS = ["featurize.morgan", "featurize.rdkit_labeled", "featurize.rdkit", "featurize.none"]
+
+
+def feature_input(nodes: str, declared: str, model: str):
+    """The first feature step of the pipeline, else the declared input,
+    else what the model type implies, else ``none`` for a pipeline that
+    trains.  Curated features count as no featurisation."""
+    curated = F.lit("use.curated_features")
+    has = lambda step: F.array_contains(nodes, step)
+    steps = [F.when(has(s), F.lit(s)) for s in FEATURE_STEPS]
+    input_ = F.trim(F.coalesce(F.col(declared), F.lit("")))
+    return F.coalesce(
+        *steps,
+        F.when(has(curated), F.lit("featurize.none")),
+        F.when(input_ == curated, F.lit("featurize.none")).when(input_ != "", input_),
+        F.when(F.lower(F.trim(F.col(model))).isin("chemprop", "chemeleon"), F.lit("smiles_native")),
+        F.when(has("train"), F.lit("none")),
+    )
+
+
+def complete_only(records: DataFrame, completion: DataFrame) -> DataFrame:
+    """Aggregated records of groups of which every slice completed.
+    ``completion``: (aggregate_key, slice_count, completed_slices)."""
+    done = completion.where("slice_count > 0 and completed_slices = slice_count").select("aggregate_key")
+    return records.join(done, "aggregate_key", "left_semi")
+
+
 def generalization(df: DataFrame, train: str = "train", test: str = "test", val: str = "val") -> DataFrame:
     """Per COMPLETED run with metrics: primary metric, gap = train - test,
     overfit (gap >= 0.15) and underfit (both < 0.20 for r2, < 0.65 otherwise)."""

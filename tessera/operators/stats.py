@@ -46,11 +46,18 @@ def mann_whitney(df: DataFrame, class_col: str, a: str, b: str, descriptors: lis
         F.sum("na").alias("n1"), F.sum("nb").alias("n2"),
         F.sum(F.col("na") * mid).alias("r1"),
         F.sum(F.col("n").cast("double") ** 3 - F.col("n")).alias("tie"))
-    n = F.col("n1") + F.col("n2")
-    u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
-    mu = F.col("n1") * F.col("n2") / 2.0
-    sigma = F.sqrt(F.col("n1") * F.col("n2") / 12.0 * ((n + 1) - F.col("tie") / (n * (n - 1))))
-    u_big = F.greatest(u1, F.col("n1") * F.col("n2") - u1)
+    return u_statistic(per)
+
+
+def u_statistic(per: DataFrame) -> DataFrame:
+    """H1 from (descriptor, n1, n2, r1, tie).  Counts become doubles before
+    they are multiplied: products of counts overflow a long from 3e9 rows."""
+    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
+    n = n1 + n2
+    u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
+    mu = n1 * n2 / 2.0
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie") / (n * (n - 1))))
+    u_big = F.greatest(u1, n1 * n2 - u1)
     return per.select("descriptor", F.col("n1").cast("long").alias("n1"), F.col("n2").cast("long").alias("n2"),
                       u1.alias("statistic"), ((u_big - mu - 0.5) / sigma).alias("z"))
 
@@ -93,16 +100,24 @@ def cardinality_guard(df: DataFrame, col: str, limit: int = MAX_CHI2_VALUES) ->
 def chi_squared(df: DataFrame, row_col: str, col_col: str, descriptor: str | None = None) -> DataFrame:
     """H4: sum (O-E)^2/E over the full contingency table, Yates-corrected
     when dof == 1."""
+    for col in (row_col, col_col):
+        if not cardinality_guard(df, col):
+            raise ValueError(f"chi-squared test: {col!r} has more than {MAX_CHI2_VALUES} values")
     cells = crosstab_long(df.filter(F.col(row_col).isNotNull() & F.col(col_col).isNotNull()), row_col, col_col)
+    return chi_squared_cells(cells, descriptor or col_col)
+
+
+def chi_squared_cells(cells: DataFrame, descriptor: str) -> DataFrame:
+    """H4 from (r, c, observed), the full table."""
     rt = cells.groupBy("r").agg(F.sum("observed").alias("rt"))
     ct = cells.groupBy("c").agg(F.sum("observed").alias("ct"))
     tot = cells.agg(F.sum("observed").alias("n"), F.count_distinct("r").alias("nr"), F.count_distinct("c").alias("nc"))
     e = cells.join(rt, "r").join(ct, "c").join(bounded_broadcast(tot, 1), how="inner")
     dof = (F.col("nr") - 1) * (F.col("nc") - 1)
-    exp = F.col("rt") * F.col("ct") / F.col("n")
+    exp = F.col("rt").cast("double") * F.col("ct") / F.col("n")
     dev = F.abs(F.col("observed") - exp)
     dev = F.when(dof == 1, F.greatest(dev - 0.5, F.lit(0.0))).otherwise(dev)
-    return e.groupBy(F.lit(descriptor or col_col).alias("descriptor")).agg(
+    return e.groupBy(F.lit(descriptor).alias("descriptor")).agg(
         F.sum(dev * dev / exp).alias("statistic"), F.first(dof).cast("double").alias("dof"))
 
 

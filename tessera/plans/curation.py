@@ -81,7 +81,7 @@ def p8(spark, sf_dir):
                                   F.round(F.avg("o_totalprice"), 6).alias("mean_value"))
 
 
-PIC50_SQL = ("CASE WHEN least(o_totalprice, 1e8) <= 0 THEN 'inf'::DOUBLE "
+PIC50_SQL = ("CASE WHEN o_totalprice = 0 THEN 'inf'::DOUBLE WHEN o_totalprice < 0 THEN 'nan'::DOUBLE "
              "ELSE -log10(least(o_totalprice, 1e8) * 1e-9) END")
 
 

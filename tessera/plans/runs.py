@@ -37,7 +37,7 @@ def run_table(spark, sf_dir):
     mode = F.when(F.col("user_id") % 2 == 0, "holdout").otherwise("cv")
     strategy = F.when(k % 2 == 0, "random").otherwise("scaffold")
     scaler = F.element_at(F.array(*[F.lit(s) for s in SCALERS]), (F.col("user_id") % 4 + 1).cast("int"))
-    case_name = F.concat(F.lit("case_"), F.lpad(F.col("event_id").cast("string"), 5, "0"), F.lit("__p"),
+    case_name = F.concat(F.lit("case_"), F.format_string("%05d", F.col("event_id").cast("long")), F.lit("__p"),
                          (F.col("user_id") % 3).cast("string"), F.lit("__"), model, F.lit("__"), mode, F.lit("__"),
                          strategy)
     start = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
@@ -88,7 +88,7 @@ rc AS (
          ['robust', 'standard', 'minmax', 'none'][user_id % 4 + 1] AS scaler FROM rb),
 runs AS (
   SELECT case_index, user_id, k, value, event_type, model_type, split_mode, split_strategy, scaler,
-         'case_' || lpad(CAST(case_index AS VARCHAR), 5, '0') || '__p' || CAST(user_id % 3 AS VARCHAR) || '__'
+         'case_' || printf('%05d', case_index) || '__p' || CAST(user_id % 3 AS VARCHAR) || '__'
            || model_type || '__' || split_mode || '__' || split_strategy AS case_name,
          printf('parent_%04d', user_id) AS parent_case_id,
          'sid_' || CAST(user_id AS VARCHAR) || '_' || model_type AS scientific_config_id,
@@ -292,10 +292,11 @@ def r9(spark, sf_dir):
 WITH n AS (SELECT CASE WHEN CAST(json_extract(props, '$.k') AS BIGINT) % 3 = 0 THEN ['get_data', 'curate', 'featurize.morgan', 'train']
                        WHEN CAST(json_extract(props, '$.k') AS BIGINT) % 3 = 1 THEN ['get_data', 'featurize.rdkit', 'preprocess.features', 'train']
                        ELSE ['get_data', 'curate', 'train'] END AS nodes, user_id FROM events)
-SELECT CASE WHEN list_contains(nodes, 'featurize.morgan') THEN 'morgan' WHEN list_contains(nodes, 'featurize.rdkit') THEN 'rdkit'
-            ELSE 'none' END AS feature_input,
-       CASE WHEN list_contains(nodes, 'preprocess.features') THEN ['robust', 'standard', 'minmax', 'none'][user_id % 4 + 1]
-            ELSE 'none' END AS scaler, count(*) AS n FROM n GROUP BY ALL""")
+SELECT CASE WHEN list_contains(nodes, 'featurize.morgan') THEN 'featurize.morgan'
+            WHEN list_contains(nodes, 'featurize.rdkit') THEN 'featurize.rdkit'
+            WHEN user_id % 5 = 0 THEN 'featurize.none' WHEN user_id % 5 = 1 THEN 'custom_input'
+            WHEN user_id % 5 = 2 THEN 'smiles_native' ELSE 'none' END AS feature_input,
+       ['robust', 'standard', 'minmax', 'none'][user_id % 4 + 1] AS scaler, count(*) AS n FROM n GROUP BY ALL""")
 def r10(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("long")
@@ -303,11 +304,12 @@ def r10(spark, sf_dir):
         .when(k % 3 == 1, F.array(*[F.lit(x) for x in ["get_data", "featurize.rdkit", "preprocess.features", "train"]])) \
         .otherwise(F.array(*[F.lit(x) for x in ["get_data", "curate", "train"]]))
     configured = F.element_at(F.array(*[F.lit(s) for s in SCALERS]), (F.col("user_id") % 4 + 1).cast("int"))
-    x = e.select(nodes.alias("nodes"), configured.alias("configured"))
-    feat = F.when(F.array_contains("nodes", "featurize.morgan"), "morgan") \
-        .when(F.array_contains("nodes", "featurize.rdkit"), "rdkit").otherwise("none")
-    scal = F.when(F.array_contains("nodes", "preprocess.features"), F.col("configured")).otherwise("none")
-    return x.groupBy(feat.alias("feature_input"), scal.alias("scaler")).agg(F.count(F.lit(1)).alias("n"))
+    u = F.col("user_id") % 5
+    declared = F.when(u == 0, "use.curated_features").when(u == 1, " custom_input ").otherwise("")
+    model = F.when(u == 2, "Chemprop").otherwise("svm")
+    x = e.select(nodes.alias("nodes"), configured.alias("configured"), declared.alias("declared"), model.alias("model"))
+    return x.groupBy(R.feature_input("nodes", "declared", "model").alias("feature_input"), F.col("configured").alias("scaler")) \
+        .agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("r12_primary_metric_choice", "WITH " + RUNS_SQL + """
@@ -348,10 +350,13 @@ aggr AS (SELECT *, gap >= 0.15 AS overfit_flag,
 
 def aggregated(spark, sf_dir):
     j = merged_jobs(spark, sf_dir)
+    return R.aggregate_generalization(R.generalization(j), group_completion(j))
+
+
+def group_completion(j):
     key = F.coalesce("parent_case_id", "scientific_config_id", "case_name")
-    summary = j.groupBy(key.alias("aggregate_key")).agg(
+    return j.groupBy(key.alias("aggregate_key")).agg(
         F.count(F.lit(1)).alias("slice_count"), F.count_if(F.col("state") == "COMPLETED").alias("completed_slices"))
-    return R.aggregate_generalization(R.generalization(j), summary)
 
 
 @register("r14_j17_aggregated_gap", "WITH " + RUNS_SQL + AGG_SQL + """
@@ -379,12 +384,29 @@ def r15(spark, sf_dir):
                  .alias("n_complete_groups"), F.count(F.lit(1)).alias("n_groups"))
 
 
-@register("r16_gap_by_model_scaler", "WITH " + RUNS_SQL + """
+# Complete aggregated records: groups of which every slice completed, with the
+# model and scaler of the case that names the group and all its config paths.
+COMPLETE_SQL = AGG_SQL + """,
+done AS (SELECT aggregate_key FROM summ WHERE slice_count > 0 AND completed_slices = slice_count),
+complete AS (SELECT aggr.*, m.model_type, m.scaler FROM aggr JOIN done USING (aggregate_key) JOIN merged m USING (case_name)),
+paths AS (SELECT DISTINCT coalesce(parent_case_id, scientific_config_id, case_name) AS aggregate_key, metric_name,
+                 '/study/cases/' || case_name || '.yaml' AS config_path FROM gen)"""
+
+
+def complete_records(spark, sf_dir):
+    j = merged_jobs(spark, sf_dir)
+    a = aggregated(spark, sf_dir)
+    named = j.select("case_name", "model_type", "scaler")
+    return R.complete_only(a, group_completion(j)).join(named, "case_name")
+
+
+@register("r16_gap_by_model_scaler", "WITH " + RUNS_SQL + COMPLETE_SQL + """
 SELECT model_type, scaler, count(*) AS n, round(avg(gap), 6) AS mean_gap, round(median(gap), 6) AS median_gap,
        round(max(gap), 6) AS max_gap, count(*) FILTER (WHERE overfit_flag) AS n_overfit,
-       count(*) FILTER (WHERE underfit_flag) AS n_underfit FROM gen GROUP BY 1, 2""")
+       count(*) FILTER (WHERE underfit_flag) AS n_underfit FROM complete GROUP BY 1, 2""")
 def r16(spark, sf_dir):
-    g = R.generalization(merged_jobs(spark, sf_dir))
+    """Over complete aggregated records (every slice of the group completed)."""
+    g = complete_records(spark, sf_dir)
     med = exact_quantiles(g, "gap_train_minus_test", [0.5], ["model_type", "scaler"], max_groups=64)
     agg = g.groupBy("model_type", "scaler").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("gap_train_minus_test"), 6).alias("mean_gap"),
@@ -492,11 +514,18 @@ def r24(spark, sf_dir):
     return a.unionByName(b)
 
 
-@register("r25_flagged_config_list", "WITH " + RUNS_SQL + """
-SELECT DISTINCT '/study/cases/' || case_name || '.yaml' AS config_path FROM gen WHERE overfit_flag ORDER BY 1""")
+@register("r25_flagged_config_list", "WITH " + RUNS_SQL + COMPLETE_SQL + """
+SELECT DISTINCT 'overfit' AS flag, config_path FROM complete JOIN paths USING (aggregate_key, metric_name) WHERE overfit_flag
+UNION ALL
+SELECT DISTINCT 'underfit', config_path FROM complete JOIN paths USING (aggregate_key, metric_name) WHERE underfit_flag""")
 def r25(spark, sf_dir):
-    g = R.generalization(merged_jobs(spark, sf_dir)).filter("overfit_flag")
-    return g.select(F.explode(F.array("config_path")).alias("config_path")).distinct().orderBy("config_path")
+    """Config paths of flagged complete records, both flags."""
+    j = merged_jobs(spark, sf_dir)
+    key = F.coalesce("parent_case_id", "scientific_config_id", "case_name").alias("aggregate_key")
+    paths = R.generalization(j).select(key, "metric_name", "config_path").distinct()
+    flagged = R.complete_only(aggregated(spark, sf_dir), group_completion(j)).join(paths, ["aggregate_key", "metric_name"])
+    flags = F.explode(F.array(*[F.when(F.col(f"{f}_flag"), F.lit(f)) for f in ("overfit", "underfit")])).alias("flag")
+    return flagged.select(flags, "config_path").where("flag is not null").distinct()
 
 
 @register("r26_metric_by_case_index", "WITH " + RUNS_SQL + """
@@ -558,16 +587,15 @@ SELECT model_type, scaler, split_mode, split_strategy, count(*) AS n FROM merged
 GROUP BY GROUPING SETS ((model_type), (scaler), (split_mode), (split_strategy))""")
 def r30(spark, sf_dir):
     j = merged_jobs(spark, sf_dir).filter(F.col("state") == "COMPLETED")
-    j.createOrReplaceTempView("__completed_runs")
     return j.sparkSession.sql("""
-        SELECT model_type, scaler, split_mode, split_strategy, count(*) AS n FROM __completed_runs
-        GROUP BY GROUPING SETS ((model_type), (scaler), (split_mode), (split_strategy))""")
+        SELECT model_type, scaler, split_mode, split_strategy, count(*) AS n FROM {runs}
+        GROUP BY GROUPING SETS ((model_type), (scaler), (split_mode), (split_strategy))""", runs=j)
 
 
 @register("j8_two_key_fallback_lookup", "WITH " + RUNS_SQL + """,
 att AS (SELECT CASE WHEN case_index % 4 = 0 THEN NULL ELSE case_name END AS a_case, config_path AS a_path,
-               case_index AS a_order, attempt_state AS a_state FROM runs2
-        UNION ALL SELECT case_name, config_path, case_index + 1000000, 'COMPLETED' FROM runs2 WHERE event_type = 'error'),
+               (0, case_index) AS a_order, attempt_state AS a_state FROM runs2
+        UNION ALL SELECT case_name, config_path, (1, case_index), 'COMPLETED' FROM runs2 WHERE event_type = 'error'),
 by_case AS (SELECT a_case, arg_max(a_state, a_order) AS s FROM att WHERE a_case IS NOT NULL GROUP BY 1),
 by_path AS (SELECT a_path, arg_max(a_state, a_order) AS s FROM att GROUP BY 1)
 SELECT coalesce(c.s, p.s) AS attempt_state, count(*) AS n
@@ -577,10 +605,10 @@ def j8(spark, sf_dir):
     (retries appended later) wins -- ``max_by`` per key, two left joins."""
     r = run_table(spark, sf_dir)
     att = r.select(F.when(F.col("case_index") % 4 == 0, F.lit(None)).otherwise(F.col("case_name")).alias("a_case"),
-                   F.col("config_path").alias("a_path"), F.col("case_index").alias("a_order"),
+                   F.col("config_path").alias("a_path"), F.struct(F.lit(0), F.col("case_index")).alias("a_order"),
                    F.col("attempt_state").alias("a_state")).unionByName(
         r.filter(F.col("event_type") == "error").select(F.col("case_name").alias("a_case"), F.col("config_path").alias("a_path"),
-                                                         (F.col("case_index") + 1000000).alias("a_order"),
+                                                         F.struct(F.lit(1), F.col("case_index")).alias("a_order"),
                                                          F.lit("COMPLETED").alias("a_state")))
     by_case = att.filter(F.col("a_case").isNotNull()).groupBy("a_case").agg(F.max_by("a_state", "a_order").alias("sc"))
     by_path = att.groupBy("a_path").agg(F.max_by("a_state", "a_order").alias("sp"))

@@ -23,21 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def lineitem_key():
     """Natural row id of lineitem (P20).  (l_orderkey, l_linenumber) is not
     unique in the test data; (l_orderkey, l_linenumber, l_partkey, l_suppkey)
-    is.  Zero-padded so string order == lexicographic numeric order, and no
-    width limit on the key ranges (a packed long would overflow at scale)."""
+    is.  Padded with zeros, so up to the given widths string order is numeric
+    order; a longer key is kept whole (``format_string`` pads, never cuts)."""
     return F.concat_ws(
         "-",
-        F.lpad(F.col("l_orderkey").cast("string"), 12, "0"),
+        F.format_string("%012d", F.col("l_orderkey").cast("long")),
         F.col("l_linenumber").cast("string"),
-        F.lpad(F.col("l_partkey").cast("string"), 10, "0"),
-        F.lpad(F.col("l_suppkey").cast("string"), 10, "0"),
+        F.format_string("%010d", F.col("l_partkey").cast("long")),
+        F.format_string("%010d", F.col("l_suppkey").cast("long")),
     )
 
 
 # DuckDB twin of ``lineitem_key`` for oracle SQL.
 LINEITEM_KEY_SQL = (
-    "concat_ws('-', lpad(CAST(l_orderkey AS VARCHAR), 12, '0'), CAST(l_linenumber AS VARCHAR), "
-    "lpad(CAST(l_partkey AS VARCHAR), 10, '0'), lpad(CAST(l_suppkey AS VARCHAR), 10, '0'))"
+    "concat_ws('-', printf('%012d', l_orderkey), CAST(l_linenumber AS VARCHAR), "
+    "printf('%010d', l_partkey), printf('%010d', l_suppkey))"
 )
 
 

@@ -31,16 +31,21 @@ def stream_source(spark: SparkSession, directory: str, file_glob: str, max_files
 
 def keep_first_sink(out_path: str, key: str, order: str):
     """foreachBatch function: keep the first row per key of the batch, drop
-    keys already written by earlier batches, write this batch's folder."""
+    keys already written by earlier batches, write this batch's folder.
+    Within a batch ``order`` decides; across batches the earlier batch wins."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         firsts = keep_first(batch, key, order)
         try:  # keys of earlier batches (partition discovery on batch=<id>)
-            earlier = spark.read.parquet(out_path).filter(F.col("batch") < batch_id).select(key).distinct()
+            written = spark.read.parquet(out_path)
+        except AnalysisException as exc:
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            written = None  # the first batch
+        if written is not None:
+            earlier = written.filter(F.col("batch") < batch_id).select(key).distinct()
             firsts = firsts.join(earlier, key, "left_anti")
-        except AnalysisException:
-            pass  # nothing written yet
         firsts.write.mode("overwrite").parquet(os.path.join(out_path, f"batch={batch_id}"))
 
     return run
