@@ -108,6 +108,101 @@ def primary_metric(train: Column, test: Column) -> Column:
     return expr
 
 
+# The metrics of a run and the order in which one is primary for an audit.
+METRICS = ["r2", "mae", "rmse", "mse", "auc", "auprc", "accuracy", "f1"]
+AUDIT_METRICS = ["auc", "r2", "mae", "rmse", "accuracy", "f1", "auprc"]
+SPLITS = ["train", "test", "val"]
+METRIC_FIELDS = METRICS + [f"{split}_{m}" for m in METRICS for split in SPLITS]
+
+
+def metric_rows(runs: DataFrame, top: str = "top", train: str = "train", test: str = "test", val: str = "val") -> DataFrame:
+    """The 32 metric columns of every run from its metric maps.  A
+    metric without a split is the top-level value, else that of test, val or
+    train, whichever is the first to have it."""
+    whole = [F.coalesce(*[F.col(c)[m] for c in (top, test, val, train)]).alias(m) for m in METRICS]
+    parts = dict(zip(SPLITS, (train, test, val)))
+    split = [F.col(parts[s])[m].alias(f"{s}_{m}") for m in METRICS for s in SPLITS]
+    return runs.select(*[c for c in runs.columns if c not in METRIC_FIELDS], *whole, *split)
+
+
+def aggregate_metric_rows(rows: DataFrame, key: str, state: str = "state", order: str = "case_index") -> DataFrame:
+    """Per group the slice counts, the group state, and mean and
+    population standard deviation of all 32 metrics over completed runs."""
+    done = F.col(state) == "COMPLETED"
+    used = {m: F.when(done, F.col(m)) for m in METRIC_FIELDS}
+    sums = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("slice_count"),
+        F.count_if(done).alias("completed_slices"),
+        F.count_if(F.coalesce(~done, F.lit(True))).alias("failed_slices"),
+        *[F.avg(c).alias(m) for m, c in used.items()],
+        *[F.stddev_pop(c).alias(f"{m}_std") for m, c in used.items()],
+    )
+    return sums.join(group_state(rows, key, state, order), key)
+
+
+def integrity_audit(raw: DataFrame, groups: DataFrame, records: DataFrame, manifest: DataFrame, children: DataFrame,
+                    primary: str | None = None, expected_children: int | None = None,
+                    expected_folds: int | None = None) -> DataFrame:
+    """One row per rule, (issue, n); a study may be claimed final when
+    every n is 0.
+
+    raw: one row per execution (state, failure_reason, config_path, job_id);
+    groups: ``aggregate_metric_rows``; records: aggregated generalisation
+    records with their state; manifest, children: the planned cases and the
+    submitted jobs.  Left unset, the expected number of executions is that of
+    the manifest, the folds are the most frequent slice count (the smaller on
+    ties), and the primary metric is the first that any group has."""
+    bad = lambda c: F.count_if(F.coalesce(F.col(c), F.lit("")) != "COMPLETED")
+    text = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) != ""
+    failed = F.coalesce(F.col("state"), F.lit("")) != "COMPLETED"
+    has_scaler = {name: int("scaler" not in df.columns) for name, df in (("raw", raw), ("groups", groups))}
+    r = raw.agg(F.count(F.lit(1)).alias("raw_rows"), bad("state").alias("raw_bad"), F.count_if(text("failure_reason")).alias("reasons"),
+                F.count_if(failed & text("config_path")).alias("failed_configs"), F.count_if(failed & text("job_id")).alias("failed_jobs"))
+    sizes = groups.groupBy("slice_count").agg(F.count(F.lit(1)).alias("c"))
+    modal = sizes.agg(F.max_by("slice_count", F.struct(F.col("c"), -F.col("slice_count"))).alias("modal"))
+    folds = F.lit(expected_folds).cast("long") if expected_folds else F.col("modal")
+    present = [m for m in ([primary] if primary else AUDIT_METRICS)]
+    finite = lambda m: F.col(m).isNotNull() & ~F.isnan(m) & (F.abs(m) != float("inf"))
+    uneven = (F.col("slice_count") != F.col("completed_slices")) | (F.col("failed_slices") != 0)
+    uneven = uneven | (folds.isNotNull() & ((F.col("slice_count") != folds) | (F.col("completed_slices") != folds)))
+    # one-row tables are joined without a condition
+    g = groups.join(F.broadcast(modal)).agg(
+        F.count(F.lit(1)).alias("group_rows"), bad("state").alias("group_bad"), F.count_if(uneven).alias("uneven"), F.first("modal").alias("modal"),
+        *[F.count(m).alias(f"has_{m}") for m in present], *[F.count_if(~finite(m)).alias(f"bad_{m}") for m in present])
+    one = r.join(g).join(records.agg(bad("state").alias("partial"))).join(manifest.agg(F.count(F.lit(1)).alias("planned"))) \
+        .join(children.agg(F.count(F.lit(1)).alias("submitted")))
+    want = F.lit(expected_children).cast("long") if expected_children is not None else F.col("planned")
+    parents = F.when(want % folds == 0, (want / folds).cast("long"))
+    differs = lambda a, b: F.coalesce((a != b).cast("long"), F.lit(0).cast("long"))
+    nonfinite = F.coalesce(*[F.when(F.col(f"has_{m}") > 0, F.col(f"bad_{m}")) for m in present], F.lit(0))
+    issues = [
+        ("mapping_mismatch", differs(F.col("submitted"), F.col("raw_rows"))),
+        ("submitted_differ_from_planned", differs(F.col("submitted"), F.col("planned"))),
+        ("expected_not_divisible_by_folds", differs(want % folds, F.lit(0)) if expected_folds else F.lit(0)),
+        ("planned_differ_from_expected", differs(F.col("planned"), want)),
+        ("submitted_differ_from_expected", differs(F.col("submitted"), want)),
+        ("execution_rows_differ_from_expected", differs(F.col("raw_rows"), want)),
+        ("group_rows_differ_from_expected", differs(F.col("group_rows"), parents) if expected_folds else F.lit(0)),
+        ("failure_reasons_present", F.col("reasons")),
+        ("non_completed_executions", F.col("raw_bad")),
+        ("non_completed_groups", F.col("group_bad")),
+        ("groups_without_scaler_column", F.lit(has_scaler["groups"])),
+        ("executions_without_scaler_column", F.lit(has_scaler["raw"])),
+        ("groups_with_missing_or_failed_slices", F.col("uneven")),
+        ("partial_generalization_records", F.col("partial")),
+        ("non_finite_primary_metric", nonfinite),
+        ("failed_config_paths", F.col("failed_configs")),
+        ("failed_job_ids", F.col("failed_jobs")),
+    ]
+    rows = F.array(*[F.struct(F.lit(k).alias("issue"), v.cast("long").alias("n")) for k, v in issues])
+    return one.select(F.explode(rows).alias("r")).select("r.issue", "r.n")
+
+
+def final_claim_ready(audit: DataFrame) -> DataFrame:
+    """One row: no rule of the audit found anything."""
+    return audit.agg((F.sum("n") == 0).alias("final_claim_ready"))
+
+
 # Step names, in the order in which they decide.
 FEATURE_STEPS = ["featurize.morgan", "featurize.rdkit_labeled", "featurize.rdkit", "featurize.none"]
 
