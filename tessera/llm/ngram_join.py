@@ -35,9 +35,8 @@ columns are ignored.  Shingles are compared by 64-bit hashes.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import register
@@ -227,6 +226,10 @@ def _shingle_sets(hashed: DataFrame, size: int, empty: int) -> DataFrame:
 def forest(nodes: np.ndarray, sets: list[np.ndarray], limit_pct: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, smallest node of its component) over all pairs that link."""
     n = len(sets)
+    if n < 2:
+        return nodes[:0], nodes[:0]
+    if n <= 4:
+        return _few(nodes, sets, limit_pct)
     size = np.array([len(s) for s in sets], np.float64)
     row = np.repeat(np.arange(n), size.astype(np.int64))
     values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -263,15 +266,50 @@ def forest(nodes: np.ndarray, sets: list[np.ndarray], limit_pct: int) -> tuple[n
     return nodes[other], root[other]
 
 
+def _few(nodes: np.ndarray, sets: list[np.ndarray], limit_pct: int) -> tuple[np.ndarray, np.ndarray]:
+    """``forest`` pair by pair, without pairs that are connected already."""
+    root = nodes.copy()
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a], sets[b]
+            small, large = sorted((len(x), len(y)))
+            if root[a] == root[b] or 100 * small < limit_pct * large:
+                continue
+            at = np.minimum(np.searchsorted(x, y), len(x) - 1)  # both sorted
+            both = int((x[at] == y).sum())
+            if 100 * both >= limit_pct * (small + large - both):
+                root[(root == root[a]) | (root == root[b])] = min(root[a], root[b])
+    other = root != nodes
+    return nodes[other], root[other]
+
+
 def _compare(limit_pct: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        nodes = pdf["node"].to_numpy()
-        u, v = forest(nodes, [np.frombuffer(x, np.uint64) for x in pdf["shingles"]], limit_pct)
-        return pd.DataFrame({"node": u, "root": v})
+    """Edges of blocks whose rows (leader, i, j, node, shingles) come together."""
+
+    def run(batches):
+        key, nodes, sets = None, [], []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for b in batches:
+            keys = zip(*(b.column(k).to_pylist() for k in range(3)))
+            for k, node, raw in zip(keys, b.column(3).to_pylist(), b.column(4).to_pylist()):
+                if k != key:
+                    found.append(forest(np.array(nodes, np.int64), sets, limit_pct))
+                    key, nodes, sets = k, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(raw, np.uint64))
+            yield _edges(found)
+            found = []
+        yield _edges([forest(np.array(nodes, np.int64), sets, limit_pct)])
 
     return run
 
 
+def _edges(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    none = np.zeros(0, np.int64)
+    columns = [np.concatenate([none, *(x[k] for x in found)]) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "root"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable, for every node with an edge."""
     both, _ = store(edges.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(edges.select(F.col("root").alias("u"), F.col("node").alias("v"))).distinct(), "edges")
@@ -320,7 +358,8 @@ def _components_of(docs: DataFrame, size: int, limit_pct: int, id_col: str, text
     ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     empty = spark.range(1).select(F.xxhash64(F.lit("")).alias("h")).first()["h"]
     rows = texts(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(LAST)).alias("ord"), F.xxhash64("text").alias("text_key"), F.translate("text", UPPER, LOWER).alias("text"))
-    hashed = rows.select("ord", "text_key", F.transform(F.split("text", SPACE), lambda x: F.xxhash64(x)).alias("hashes"))
+    hashes = F.transform(F.split("text", SPACE), lambda x: F.xxhash64(x)).alias("hashes")
+    hashed = rows.select("ord", "text_key", hashes)
 
     while True:
         sets, path = store(_set_rows(hashed, size, limit_pct, empty, seed), "sets")
@@ -347,20 +386,25 @@ def _components_of(docs: DataFrame, size: int, limit_pct: int, id_col: str, text
     # one number: sets whose partitions were filled too thinly to share as many
     thin = nodes.where(F.col("sure") < 1 + F.floor(F.floor(F.col("n") * (100 - limit_pct) / limit_pct) / 4)).agg(F.min("sure")).first()[0]
     need = need if thin is None else F.least(need, F.lit(thin))
-    able = groups.groupBy("node").agg(F.sum("shared").alias("shared")).join(nodes, "node").where(F.col("shared") >= need).select("node", "r")
-    able, _ = store(able, "able")
-    members = groups.select("leader", "node").join(able.select("node"), "node", "left_semi")
-    members, _ = store(members, "members")
+    able = groups.groupBy("node").agg(F.sum("shared").alias("shared")).join(nodes, "node").where(F.col("shared") >= need)
+    able, _ = store(able.select("node", "r", need.alias("need")), "able")
+    # Two nodes that link share ``need`` signatures or more.  If each leaves
+    # groups with fewer than half of that in all, one shared group remains.
+    rising = Window.partitionBy("node").orderBy("shared", "leader").rowsBetween(Window.unboundedPreceding, 0)
+    members = groups.join(able.select("node", "need"), "node").withColumn("least", F.sum("shared").over(rising))
+    members, _ = store(members.where(F.col("least") > F.floor((F.col("need") - 1) / 2)).select("leader", "node"), "members")
     sizes = members.groupBy("leader").agg(F.count("*").alias("members")).where("members > 1")
     sizes, _ = store(sizes.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).select("leader", "blocks"), "sizes")
 
     wanted = able.select(F.col("r.ord").alias("ord"), F.col("r.text_key").alias("text_key"), "node")
-    shingles = _shingle_sets(hashed.join(wanted, ["ord", "text_key"]).dropDuplicates(["node"]).select("ord", "text_key", "hashes", "node"), size, empty)
+    wanted = rows.join(wanted, ["ord", "text_key"]).dropDuplicates(["node"])
+    shingles = _shingle_sets(wanted.select("ord", "text_key", hashes, "node"), size, empty)
     shingles, _ = store(shingles, "shingles")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = members.join(sizes, "leader").withColumn("mine", mine).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     placed = placed.select("leader", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node")
-    compared = placed.join(shingles, "node").groupBy("leader", "i", "j").applyInPandas(_compare(limit_pct), "node long, root long")
+    placed = placed.join(shingles, "node").repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
+    compared = placed.select("leader", "i", "j", "node", "shingles").mapInArrow(_compare(limit_pct), "node long, root long")
     labels = components(compared.distinct())
 
     named = sets.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node"))
