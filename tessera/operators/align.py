@@ -52,7 +52,8 @@ def row_overlap(train: DataFrame, test: DataFrame, cols: list[str] | None = None
     return test.join(t, on=cond, how="left_semi")
 
 
-def nth_occurrence_join(left: DataFrame, right: DataFrame, key: str, left_order: str, right_order: str,
+def nth_occurrence_join(left: DataFrame, right: DataFrame, key: str, left_order: str | list[str],
+                        right_order: str | list[str],
                         how: str = "left") -> DataFrame:
     """The k-th copy of a key on the left matches the k-th on the right.
     Occurrence numbers come from the skew-safe ``rank_within_key``."""

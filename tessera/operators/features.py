@@ -180,7 +180,7 @@ def overlap_counts(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str,
 
 
 def overlap_counts_indexed(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, n_bits: int,
-                           bits: str = "bits", max_query_bits: int = 2_000_000) -> DataFrame | None:
+                           bits: str = "bits", max_query_bits: int = 2_000_000, top_k: int | None = None) -> DataFrame | None:
     """Same result as ``overlap_counts`` without exploding and shuffling the
     corpus.
 
@@ -188,7 +188,10 @@ def overlap_counts_indexed(queries: DataFrame, corpus: DataFrame, q_id: str, c_i
     size-checked (at most ``max_query_bits`` (query, bit) pairs) and shipped
     with the task closure.  Each Arrow batch of corpus rows looks its bits up
     in the index and counts hits per query with ``numpy.bincount``; only
-    (row, query) pairs that share a bit are emitted.  Returns None when the
+    (row, query) pairs that share a bit are emitted.  With ``top_k`` a batch
+    emits, per query, only pairs whose Tanimoto similarity is among the batch's
+    ``top_k`` largest (ties included), which loses none of the corpus's
+    ``top_k``.  Returns None when the
     query side is too large; the caller then uses the shuffle join of
     ``overlap_counts``.
     """
@@ -228,9 +231,17 @@ def overlap_counts_indexed(queries: DataFrame, corpus: DataFrame, q_id: str, c_i
                 out_n.append(np.full(nz.size, cid, dtype=np.int64))
                 out_b.append(np.full(nz.size, b.size, dtype=np.int64))
             if out_q:
-                qi = np.concatenate(out_q)
-                yield pd.DataFrame({q_id: q_ids[qi], c_id: np.concatenate(out_n), "c": np.concatenate(out_c),
-                                    "a": q_sizes[qi], "b": np.concatenate(out_b)})
+                qi, hits, sizes = np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_b)
+                out = pd.DataFrame({q_id: q_ids[qi], c_id: np.concatenate(out_n), "c": hits, "a": q_sizes[qi], "b": sizes})
+                if top_k is not None:
+                    score = hits / (q_sizes[qi] + sizes - hits)
+                    by_query = np.lexsort((-score, qi))
+                    first = np.flatnonzero(np.diff(qi[by_query], prepend=-1))
+                    last = np.minimum(first + top_k, np.append(first[1:], len(qi))) - 1
+                    least = np.zeros(n_q)
+                    least[qi[by_query[first]]] = score[by_query[last]]
+                    out = out[score >= least[qi]]
+                yield out
 
     schema = f"{q_id} long, {c_id} long, c long, a long, b long"
     return corpus.select(F.col(c_id).cast("long").alias(c_id), bits).mapInPandas(count, schema)

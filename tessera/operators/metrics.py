@@ -32,7 +32,7 @@ def score_groups(df: DataFrame, y: str, score: str, by: str | None = None, max_g
         F.count_if(~is_finite("s") | ~is_finite("__y")).alias("bad"))
     ok = base.filter(is_finite("s") & is_finite("__y"))
     per = ok.groupBy("grp", "s").agg(F.count_if(F.col("__y") == 1).alias("pos"), F.count_if(F.col("__y") == 0).alias("neg"))
-    run = running_sum(per, "grp", "s", ["pos", "neg"], max_partitions=max_groups)
+    run = running_sum(per, "grp", "s", ["pos", "neg"])
     return run.join(bounded_broadcast(tot, max_groups), "grp")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_bucket
+from tessera.session import cut_lineage
 
 # Broadcast only tables whose row count is bounded by construction and below
 # this many rows; anything else goes through a normal shuffle join.
@@ -66,56 +67,32 @@ def bucketed_rank(
     return res.drop("__b", "__off", "__ok", "__tot")
 
 
-def rank_within_key(
-    df: DataFrame,
-    key: str,
-    order: str,
-    out: str = "rn",
-    n_buckets: int = 256,
-    rel_error: float = 0.001,
-    hot_fraction: float = 0.01,
-) -> DataFrame:
-    """1-based occurrence number of each row inside ``key`` by ``order``
-    (numeric, unique within the key), without sending a hot key to one task.
-
-    ``order`` is cut into ``n_buckets`` ranges at approximate quantiles; per
-    (key, bucket) counts give offsets (at most ``n_buckets`` rows per key, so
-    that window is small); the rank is offset + ``row_number`` inside
-    (key, bucket).  Keys holding more than ``hot_fraction`` of the rows (at
-    most 1/hot_fraction of them, found by one count aggregate) get cuts of
-    their own, so a hot key is spread over all buckets even when its order
-    values sit in a narrow range of the global distribution.
-    """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(df.approxQuantile(order, probs, rel_error)))
-    arr = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__kn"))
-    total = per_key.agg(F.sum("__kn").alias("t")).first()["t"] or 0
-    hot = [r[key] for r in per_key.filter(F.col("__kn") > hot_fraction * total).collect()]
-    keyed = df
-    if hot:
-        hot_cuts = (df.filter(F.col(key).isin(hot)).groupBy(F.col(key).alias("__hk"))
-                    .agg(F.array_distinct(F.percentile_approx(F.col(order).cast("double"), probs, 1000)).alias("__hc")))
-        # bounded: at most 1/hot_fraction keys x n_buckets cut points
-        hot_cuts = bounded_broadcast(hot_cuts, int(1 / hot_fraction) + 1)
-        keyed = keyed.join(hot_cuts, F.col(key).eqNullSafe(F.col("__hk")), "left").drop("__hk")
-        cut_arr = F.coalesce(F.col("__hc"), arr)
-    else:
-        cut_arr = arr
-    # Count of cut points below the value: a literal-array scan that stays
-    # inside codegen (NULL orders land in bucket 0).
-    bucket = F.size(F.filter(cut_arr, lambda c: c < F.col(order).cast("double")))
-    keyed = keyed.withColumn("__rb", bucket)
-    if hot:
-        keyed = keyed.drop("__hc")
-    counts = keyed.groupBy(key, "__rb").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(key).orderBy("__rb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col(key).alias("__rk"), F.col("__rb").alias("__rob"),
+def _ranged(df: DataFrame, *order: str) -> DataFrame:
+    """Rows cut into ranges of ``order``, with the range number ``__bk``.
+
+    Spark samples the cut points, so ranges are even whatever the key: a key
+    of a third of the rows takes a third of the ranges.  The result is stored
+    (reliable checkpoint): range numbers must not change between the count of
+    the ranges and their use, also when an executor is lost."""
+    return cut_lineage(df.repartitionByRange(*[F.col(c) for c in order]).withColumn("__bk", F.spark_partition_id()))
+
+
+def rank_within_key(df: DataFrame, key: str, order: str | list[str], out: str = "rn") -> DataFrame:
+    """1-based occurrence number of each row inside ``key`` by ``order`` (one
+    column or several, together unique within the key), without sending a hot key, or the null key, to
+    one task: the rank is the rows of the key in earlier ranges plus
+    ``row_number`` inside (key, range)."""
+    order = [order] if isinstance(order, str) else list(order)
+    keyed = _ranged(df, key, *order)
+    counts = keyed.groupBy(key, "__bk").agg(F.count(F.lit(1)).alias("__n"))
+    # a key has as many rows here as it has ranges
+    w = Window.partitionBy(key).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(key).alias("__rk"), F.col("__bk").alias("__rob"),
                             F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__roff"))
-    cond = F.col(key).eqNullSafe(F.col("__rk")) & (F.col("__rb") == F.col("__rob"))
+    cond = F.col(key).eqNullSafe(F.col("__rk")) & (F.col("__bk") == F.col("__rob"))
     joined = keyed.join(offsets, on=cond, how="inner").drop("__rk", "__rob")
-    wb = Window.partitionBy(key, "__rb").orderBy(order)
-    return joined.withColumn(out, (F.col("__roff") + F.row_number().over(wb)).cast("long")).drop("__rb", "__roff")
+    wb = Window.partitionBy(key, "__bk").orderBy(*order)
+    return joined.withColumn(out, (F.col("__roff") + F.row_number().over(wb)).cast("long")).drop("__bk", "__roff")
 
 
 def running_sum(
@@ -123,8 +100,6 @@ def running_sum(
     partition_col: str,
     order_col: str,
     value_cols: list[str],
-    max_partitions: int,
-    n_buckets: int = 256,
     suffix: str = "_before",
 ) -> DataFrame:
     """For each row, the sum of ``value_cols`` over rows of the same
@@ -132,19 +107,11 @@ def running_sum(
     partition, e.g. distinct values or scores).
 
     A window ordered over a whole partition would sort every distinct value of
-    a descriptor in one task.  Instead each partition's order values are cut
-    at approximate quantiles (``percentile_approx`` per partition; the cut
-    table has ``max_partitions * n_buckets`` entries at most and is
-    broadcast), bucket totals give offsets, and the running window only spans
-    one (partition, bucket).
+    a descriptor in one task.  Here totals per (partition, range) give
+    offsets, and the running window only spans one (partition, range); ``df``
+    is computed once.
     """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = df.groupBy(F.col(partition_col).alias("__pc")).agg(
-        F.array_distinct(F.percentile_approx(F.col(order_col).cast("double"), probs, 1000)).alias("__cuts"))
-    cuts = bounded_broadcast(cuts, max_partitions)
-    keyed = df.join(cuts, F.col(partition_col).eqNullSafe(F.col("__pc")), "inner").drop("__pc")
-    keyed = keyed.withColumn("__bk", F.size(F.filter("__cuts", lambda c: c < F.col(order_col).cast("double")))) \
-        .drop("__cuts")
+    keyed = _ranged(df, partition_col, order_col)
     totals = keyed.groupBy(partition_col, "__bk").agg(*[F.sum(c).alias(f"__t_{c}") for c in value_cols])
     wo = Window.partitionBy(partition_col).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -165,7 +132,6 @@ def exact_quantiles(
     group_cols: list[str] | tuple[str, ...] = (),
     max_groups: int = 1024,
     prefix: str = "q",
-    n_buckets: int = 64,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy ``percentile`` / DuckDB
     ``quantile_cont``) per group, without buffering a group in one task.
@@ -175,9 +141,9 @@ def exact_quantiles(
 
     1. values are folded to (group, distinct value, count) with a map-side
        combine;
-    2. each group's distinct values are cut into ``n_buckets`` ranges at
-       approximate quantiles and the per-bucket counts (a table of at most
-       ``max_groups * n_buckets`` rows) are collected;
+    2. the distinct values are cut into ranges of (group, value) and the
+       counts per (group, range) are collected: at most groups + ranges rows,
+       and the groups are counted against ``max_groups``;
     3. the driver locates, for every requested rank floor/ceil((n-1)*p), the
        bucket holding it and the count before that bucket;
     4. only those few buckets are ranked (running count inside the bucket),
@@ -193,17 +159,13 @@ def exact_quantiles(
     base = df.select(*groups, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
     key = F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
     vc = base.groupBy(*groups, "__v").agg(F.count(F.lit(1)).alias("__c")).withColumn("__pk", key)
-    probs_b = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = vc.groupBy(F.col("__pk").alias("__cpk")).agg(
-        F.array_distinct(F.percentile_approx("__v", probs_b, 1000)).alias("__cuts"))
-    keyed = vc.join(bounded_broadcast(cuts, max_groups), F.col("__pk") == F.col("__cpk")).drop("__cpk")
-    keyed = keyed.withColumn("__bk", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
-    # Two jobs read the distinct-value table: keep it (memory, spilling to
-    # disk) for their duration only.
-    from pyspark import StorageLevel
-    keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = _ranged(vc, "__pk", "__v")
     counts: dict[str, dict[int, int]] = {}
-    for r in keyed.groupBy("__pk", "__bk").agg(F.sum("__c").alias("n")).collect():
+    per_range = keyed.groupBy("__pk", "__bk").agg(F.sum("__c").alias("n"))
+    n_groups = per_range.select("__pk").distinct().limit(max_groups + 1).count() if groups else 1
+    if n_groups > max_groups:
+        raise ValueError(f"quantiles for more than {max_groups} groups: raise max_groups")
+    for r in per_range.collect():
         counts.setdefault(r["__pk"], {})[r["__bk"]] = r["n"]
     targets, ranks = set(), []
     for pk, per in counts.items():
@@ -245,8 +207,4 @@ def exact_quantiles(
     val = F.col("__vl") + (F.col("__vh") - F.col("__vl")) * F.col("__d")
     wide = picked.groupBy("__pk", *groups).agg(*[F.max(F.when(F.col("__i") == i, val)).alias(f"{prefix}{i}")
                                                   for i in range(len(probs))]).drop("__pk")
-    # The result is one row per group: materialise it, then release the cache.
-    rows = wide.collect()
-    out = spark.createDataFrame(rows, wide.schema)
-    keyed.unpersist()
-    return out
+    return wide

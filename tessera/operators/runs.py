@@ -19,7 +19,6 @@ PRIMARY_METRICS = ["r2", "auc", "auprc", "accuracy", "f1"]
 OVERFIT_T = 0.15
 UNDERFIT_R2 = 0.20
 UNDERFIT_CLS = 0.65
-NO_INDEX = 10 ** 9
 
 
 def _blank(c: Column) -> Column:
@@ -257,7 +256,7 @@ def aggregate_generalization(gen: DataFrame, summary: DataFrame | None = None) -
         F.avg("val_value").alias("val_value"), F.avg("gap_train_minus_test").alias("gap_train_minus_test"),
         F.coalesce(F.stddev_pop("gap_train_minus_test"), F.lit(0.0)).alias("gap_train_minus_test_std"),
         F.count(F.lit(1)).alias("metric_slices_used"),
-        F.min_by(F.col("case_name"), F.struct(F.coalesce(F.col("case_index"), F.lit(NO_INDEX)), F.col("case_name")))
+        F.min_by(F.col("case_name"), F.struct(F.col("case_index").isNull().alias("none"), F.col("case_index"), F.col("case_name")))
         .alias("case_name"))
     if summary is not None:
         g = g.join(summary, "aggregate_key", "left")

@@ -40,7 +40,7 @@ def mann_whitney(df: DataFrame, class_col: str, a: str, b: str, descriptors: lis
     long = long_values(df, class_col, a, b, descriptors)
     vc = long.groupBy("descriptor", "v").agg(F.count_if("is_a").alias("na"), F.count_if(~F.col("is_a")).alias("nb")) \
         .withColumn("n", F.col("na") + F.col("nb"))
-    run = running_sum(vc, "descriptor", "v", ["n"], max_partitions=len(descriptors))
+    run = running_sum(vc, "descriptor", "v", ["n"])
     mid = F.col("n_before") + (F.col("n") + 1) / 2.0
     per = run.groupBy("descriptor").agg(
         F.sum("na").alias("n1"), F.sum("nb").alias("n2"),

@@ -166,10 +166,10 @@ sims AS (SELECT *, c / (a + b - c) AS tanimoto, 2.0 * c / (a + b) AS dice, c / s
                c / (0.5 * (a - c) + 0.5 * (b - c) + c) AS tversky FROM pairs)""")
 
 
-def similarity_pairs(spark, sf_dir):
+def similarity_pairs(spark, sf_dir, top_k=None):
     q = doc_bits(spark, sf_dir, "benchmark", "item_id")
     c = doc_bits(spark, sf_dir)
-    pairs = V.overlap_counts_indexed(q, c, "item_id", "doc_id", n_bits=2048)
+    pairs = V.overlap_counts_indexed(q, c, "item_id", "doc_id", n_bits=2048, top_k=top_k)
     if pairs is None:  # query side above the broadcast bound: shuffle join on the bit
         pairs = V.overlap_counts(q, c, "item_id", "doc_id")
     metrics = ["tanimoto", "dice", "cosine", "sokal", "russel", "kulczynski", "mcconnaughey", "tversky"]
@@ -194,7 +194,7 @@ SELECT item_id, doc_id, rank, round(tanimoto, 6) AS tanimoto FROM (
   SELECT item_id, doc_id, tanimoto, row_number() OVER (PARTITION BY item_id ORDER BY tanimoto DESC, doc_id) AS rank
   FROM sims) WHERE rank <= 5""")
 def v12(spark, sf_dir):
-    s = similarity_pairs(spark, sf_dir)
+    s = similarity_pairs(spark, sf_dir, top_k=5)
     top = V.top_k_neighbours(s, "item_id", "doc_id", "tanimoto", k=5)
     return top.select("item_id", "doc_id", F.col("rank").cast("long").alias("rank"),
                       F.round("tanimoto", 6).alias("tanimoto"))

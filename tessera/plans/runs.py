@@ -514,19 +514,19 @@ SELECT scientific_config_id, arg_min(case_name, case_index) AS case_name FROM me
 def r22(spark, sf_dir):
     j = merged_jobs(spark, sf_dir)
     return j.groupBy("scientific_config_id").agg(
-        F.min_by("case_name", F.struct(F.coalesce("case_index", F.lit(R.NO_INDEX)), F.col("case_name"))).alias("case_name"))
+        F.min_by("case_name", F.struct(F.col("case_index").isNull().alias("none"), F.col("case_index"), F.col("case_name"))).alias("case_name"))
 
 
 @register("r23_group_order_index", "WITH " + RUNS_SQL + """,
-g AS (SELECT scientific_config_id, coalesce(min(case_index), 1000000000) AS mi FROM merged GROUP BY 1)
-SELECT row_number() OVER (ORDER BY mi, scientific_config_id) AS group_index, scientific_config_id FROM g""")
+g AS (SELECT scientific_config_id, min(case_index) AS mi FROM merged GROUP BY 1)
+SELECT row_number() OVER (ORDER BY mi NULLS LAST, scientific_config_id) AS group_index, scientific_config_id FROM g""")
 def r23(spark, sf_dir):
     """Groups numbered by (min case index, key).  The group table is one row
     per config; the rank uses the skew-safe bucketed rank on min index."""
     g = merged_jobs(spark, sf_dir).groupBy("scientific_config_id").agg(
-        F.coalesce(F.min("case_index"), F.lit(R.NO_INDEX)).alias("mi"))
-    # min case indexes are unique per group here (each case is in one group)
-    r = rank_within_key(g.withColumn("__all", F.lit(0)), "__all", "mi", out="group_index")
+        F.min("case_index").alias("mi")).withColumns({"__all": F.lit(0), "none": F.col("mi").isNull()})
+    # groups without an index come last, by key
+    r = rank_within_key(g, "__all", ["none", "mi", "scientific_config_id"], out="group_index")
     return r.select(F.col("group_index").cast("long").alias("group_index"), "scientific_config_id")
 
 

@@ -212,10 +212,8 @@ def t12(spark, sf_dir):
     payload = o.select(F.col("o_custkey").alias("k"), raw.alias("raw_split"), F.col("o_totalprice").alias("p"))
     payload = payload.withColumn("split", F.when(F.lower("raw_split").isin("valid", "validation"), "val")
                                  .otherwise(F.lower("raw_split")))
-    # Occurrence order on the payload side: (p, raw_split) packed into one
-    # orderable numeric is not possible, so order by p (unique per key here).
     cur = o.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias(ROW_INDEX))
-    j = nth_occurrence_join(payload.select("k", "split", "p"), cur, "k", "p", ROW_INDEX, how="inner")
+    j = nth_occurrence_join(payload.select("k", "split", "p", "raw_split"), cur, "k", ["p", "raw_split"], ROW_INDEX, how="inner")
     return j.select(F.col(f"r_{ROW_INDEX}").alias(ROW_INDEX), "split")
 
 
