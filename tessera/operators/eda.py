@@ -222,8 +222,9 @@ def contract_violations(df: DataFrame, required: list[str], any_of: list[list[st
 
 
 def shared_groups(df: DataFrame, keys: list[str], item: str) -> DataFrame:
-    """Groups with more than one member (e.g. configs sharing an output
-    directory).  Members are reported as a count plus the smallest two, not a
-    full list, so a hot group never builds an unbounded array."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(item).alias("first_item"),
-                                 F.max(item).alias("last_item")).filter(F.col("n") > 1)
+    """Groups of more than one row and all their members, one row each
+    (keys, n, member); a hot group is never gathered."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = counts.select(*[F.col(k).alias(f"__{k}") for k in keys], "n")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return df.join(counts, same).select(*keys, "n", F.col(item).alias("member"))
\ No newline at end of file

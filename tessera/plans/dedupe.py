@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import checks
 from tessera.operators import dedupe as D
 from tessera.plans import register
-from tessera.sources.tables import ROW_INDEX, events_rows, lineitem_rows, table
+from tessera.sources.tables import LINEITEM_KEY_SQL, ROW_INDEX, events_rows, lineitem_rows, table
 
 
 def _keyed(spark, sf_dir):
@@ -70,9 +71,9 @@ def d4(spark, sf_dir):
 
 
 @register("d5_full_row_distinct", """
-SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem""")
+SELECT DISTINCT * FROM customer""")
 def d5(spark, sf_dir):
-    return D.distinct_rows(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    return D.distinct_rows(table(spark, sf_dir, "customer"))
 
 
 @register("d6_duplicate_feature_rows", """
@@ -87,6 +88,15 @@ def d6(spark, sf_dir):
                  F.count_if(F.col("__n") > 1).cast("long").alias("n_duplicated_groups"))
 
 
+@register("d6_first_of_equal_feature_rows", f"""
+SELECT rid AS __row_index, l_quantity, l_discount, l_tax, l_returnflag FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_quantity, l_discount, l_tax, l_returnflag ORDER BY rid) AS rn
+  FROM (SELECT {LINEITEM_KEY_SQL} AS rid, * FROM lineitem)) WHERE rn = 1""")
+def d6_rows(spark, sf_dir):
+    values = ["l_quantity", "l_discount", "l_tax", "l_returnflag"]
+    return checks.distinct_feature_rows(lineitem_rows(spark, sf_dir).select(ROW_INDEX, *values), values)
+
+
 @register("d7_config_hash_dedupe", """
 WITH h AS (SELECT o_orderkey, md5(o_orderstatus || '|' || o_orderpriority) AS config_hash, 'valid' AS status
            FROM orders),

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import checks
 from tessera.operators import split as S
 from tessera.operators.align import nth_occurrence_join
 from tessera.plans import register
@@ -171,7 +172,7 @@ SELECT o_orderkey AS __row_index, CASE WHEN (rn - 1) % 5 = 2 THEN 'test' ELSE 't
 FROM r WHERE repeat = 1""")
 def t10(spark, sf_dir):
     folds = S.repeated_kfold(_orders(spark, sf_dir).select(ROW_INDEX), k=5, repeats=2, seed=42)
-    return S.select_fold(folds, repeat=1, fold=2)
+    return checks.checked_fold(folds, repeat=1, fold=2)
 
 
 @register("t11_nested_holdout_cv", "WITH RECURSIVE "
@@ -257,6 +258,25 @@ def t15(spark, sf_dir):
                                   F.round(F.count("__present") / F.count(F.lit(1)), 6).alias("coverage"))
 
 
+@register("t15_resolved_partitions", "WITH " + _holdout_sql("orders", "o_orderkey", 42, 0.2, 0.1) + """
+SELECT h.o_orderkey AS __row_index, CASE split WHEN 'test' THEN 'train' WHEN 'val' THEN 'test' ELSE split END AS split
+FROM h JOIN (SELECT o_orderkey FROM orders WHERE o_totalprice > 20000) USING (o_orderkey)""")
+def t15_rows(spark, sf_dir):
+    """A split without a test part (its rows train): validation serves as test."""
+    o = _orders(spark, sf_dir)
+    sp = S.random_holdout(o.select(ROW_INDEX), test_size=0.2, val_size=0.1, seed=42)
+    sp = sp.withColumn("split", F.when(F.col("split") == "test", "train").otherwise(F.col("split")))
+    return checks.resolved_partitions(sp, o.filter(F.col("o_totalprice") > 20000), min_coverage={"test": 0.5})
+
+
+@register("j7_split_positions", "WITH " + _holdout_sql("orders", "o_orderkey", 42, 0.2, 0.1) + """
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position, split FROM h""")
+def j7_positions(spark, sf_dir):
+    o = _orders(spark, sf_dir).select(ROW_INDEX)
+    sp = S.random_holdout(o, test_size=0.2, val_size=0.1, seed=42)
+    return checks.split_positions(checks.checked_split(sp, o, min_coverage=1.0), o)
+
+
 @register("t16_dataset_fingerprint", """
 SELECT count(*) AS n_rows, CAST(sum(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|'
        || CAST(o_orderstatus AS VARCHAR)), 1, 15))::BIGINT) AS VARCHAR) AS fingerprint FROM orders""")
