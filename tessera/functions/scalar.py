@@ -117,3 +117,10 @@ def na_to_null(c) -> Column:
     """Pandas NA spellings -> NULL."""
     col = _c(c)
     return F.when(F.trim(col).isin(*PANDAS_NA_TOKENS) | col.isNull(), F.lit(None)).otherwise(col)
+
+
+def pearson(x: Column, y: Column) -> Column:
+    """Aggregate: pairwise-complete Pearson r; null when a side is constant
+    (``corr`` divides by zero there under ANSI)."""
+    a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.scalar import pearson
 from tessera.operators.ranks import bounded_broadcast, exact_quantiles
 
 # Fixed values that must equal the reference's behaviour.
@@ -96,12 +97,7 @@ def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
     one aggregate, long form (col_a < col_b in column order)."""
     clean = {c: F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")) for c in cols}
     pairs = [(a, b) for j, b in enumerate(cols) for a in cols[:j]]
-    # corr() divides by zero on a constant column under ANSI; such a pair has no r
-    def r(a, b):
-        x, y = F.when(clean[b].isNotNull(), clean[a]), F.when(clean[a].isNotNull(), clean[b])
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-    wide = df.agg(*[r(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[pearson(clean[a], clean[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     return wide.select(F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                                                     F.col(f"p{i}").alias("r")) for i, (a, b) in enumerate(pairs)]))
                        .alias("s")).select("s.*")

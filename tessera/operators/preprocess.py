@@ -10,10 +10,12 @@ compiles into one codegen stage over any number of rows.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.scalar import pearson
 from tessera.operators.ranks import exact_quantiles
 
 SCALERS = ("robust", "standard", "minmax", "none")
@@ -22,7 +24,7 @@ DEFAULT_CORR_THRESHOLD = 0.95
 DEFAULT_CLIP = (-1e10, 1e10)
 # One aggregate per column pair; beyond this many survivors, correlations are
 # computed from an unpivoted long table instead of one wide aggregate.
-WIDE_CORR_LIMIT = 64
+PAIRS_A_PASS = 500
 
 
 def _q(c: str) -> Column:
@@ -53,6 +55,39 @@ class Fitted:
                                            "scaled_variance double, passes_variance boolean, corr_dropped boolean")
 
 
+def load_fitted(artifact: DataFrame, features: list[str] | None = None, clip_range: tuple[float, float] = DEFAULT_CLIP) -> Fitted:
+    """A ``Fitted`` from its stored table, ready for ``transform``.
+    ``features`` gives the column order (else by name: a table has none)."""
+    rows = {r["feature"]: r for r in artifact.collect()}  # one row per feature
+    order = features or sorted(rows)
+    missing = [c for c in order if c not in rows]
+    if missing or not rows:
+        raise ValueError(f"the stored fit lacks {missing or 'all features'}")
+    by = lambda name: {c: rows[c][name] for c in order}
+    chosen = lambda name: [c for c in order if rows[c][name]]
+    scaler = next(iter(rows.values()))["scaler"]
+    return Fitted(scaler, list(order), by("center"), by("scale"), by("scaled_variance"), chosen("passes_variance"), chosen("corr_dropped"), clip_range)
+
+
+def fit_step(rows: DataFrame, splits: DataFrame, features: list[str], label: str, path: str, id_col: str = "__row_index", **how) -> DataFrame:
+    """Fit on the training rows, transform all, write ``features``,
+    ``labels`` and ``fitted`` under ``path``, and return per part of the split
+    how many rows equal a training row on every kept feature (leakage)."""
+    part = rows.join(splits.select(id_col, "split"), id_col)
+    fitted = fit(part.where("split = 'train'"), features, **how)
+    transform(rows, fitted, keep=[id_col]).write.parquet(f"{path}/features")
+    rows.select(id_col, label).write.parquet(f"{path}/labels")
+    spark = rows.sparkSession
+    fitted.table(spark).write.parquet(f"{path}/fitted")
+    ready = spark.read.parquet(f"{path}/features").join(splits.select(id_col, "split"), id_col)
+    train = ready.where("split = 'train'").select(*[_q(c) for c in fitted.kept]).distinct()
+    train = train.select(*[_q(c).alias(f"__t{i}") for i, c in enumerate(fitted.kept)])
+    same = reduce(lambda a, b: a & b, [_q(c).eqNullSafe(F.col(f"__t{i}")) for i, c in enumerate(fitted.kept)])
+    rest = ready.where("split <> 'train'")
+    seen = rest.join(train, same, "left_semi").groupBy("split").agg(F.count(F.lit(1)).alias("n_seen_in_train"))
+    return rest.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows")).join(seen, "split", "left").na.fill(0, ["n_seen_in_train"])
+
+
 def scale_stat_exprs(c: str, scaler: str) -> list[Column]:
     """Aggregates for the scale statistics (robust quantiles come from
     ``exact_quantiles`` instead: no single-task value buffer)."""
@@ -89,7 +124,7 @@ def fit(train: DataFrame, features: list[str], scaler: str = "robust",
     when any earlier column i (dropped or not) has |r| > threshold."""
     scaler = str(scaler or "robust").strip().lower()
     if scaler not in SCALERS:
-        raise ValueError("preprocess.scaler must be one of: 'robust', 'standard', 'minmax', 'none'.")
+        raise ValueError(f"unknown scaler {scaler!r}: robust, standard, minmax or none")
     aggs = []
     for c in features:
         aggs += scale_stat_exprs(c, scaler)
@@ -107,7 +142,7 @@ def fit(train: DataFrame, features: list[str], scaler: str = "robust",
         variance[c] = (raw / (scale[c] ** 2)) if raw is not None else float("nan")
     survivors = [c for c in features if variance[c] > variance_threshold]
     if not survivors:
-        raise ValueError("No features left after the variance filter.")
+        raise ValueError(f"no feature has a scaled variance over {variance_threshold}")
     corr = pairwise_corr(train, survivors)
     drop = []
     for j, cj in enumerate(survivors):
@@ -120,23 +155,19 @@ def fit(train: DataFrame, features: list[str], scaler: str = "robust",
 
 
 def pairwise_corr(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
-    """Pairwise-complete Pearson r (pandas ``DataFrame.corr``): one aggregate
-    with ``corr(ci, cj)`` per pair; Spark's ``corr`` skips rows where either
-    side is NULL.  NaN -> NULL first so NaN behaves like pandas' missing."""
+    """Pairwise-complete Pearson r (pandas ``DataFrame.corr``): aggregates
+    over at most ``PAIRS_A_PASS`` pairs.  NaN -> NULL first so NaN behaves like
+    pandas' missing."""
     pairs = [(a, b) for j, b in enumerate(cols) for a in cols[:j]]
     if not pairs:
         return {}
     clean = {c: F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")) for c in cols}
-    if len(cols) <= WIDE_CORR_LIMIT:
-        row = df.agg(*[F.corr(clean[a], clean[b]).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first()
-        return {p: row[f"{i}"] for i, p in enumerate(pairs)}
-    # Wide input: long form (pair, x, y) -> groupBy(pair).  Codegen limits
-    # would otherwise break a single aggregate with thousands of columns.
-    stack = F.explode(F.array(*[F.struct(F.lit(i).alias("p"), clean[a].alias("x"), clean[b].alias("y"))
-                                for i, (a, b) in enumerate(pairs)]))
-    long = df.select(stack.alias("s")).select("s.*")
-    res = {r["p"]: r["r"] for r in long.groupBy("p").agg(F.corr("x", "y").alias("r")).collect()}
-    return {p: res.get(i) for i, p in enumerate(pairs)}
+    found = {}
+    for i in range(0, len(pairs), PAIRS_A_PASS):  # a single aggregate of all pairs would outgrow its plan
+        part = pairs[i : i + PAIRS_A_PASS]
+        row = df.agg(*[pearson(clean[a], clean[b]).alias(f"{k}") for k, (a, b) in enumerate(part)]).first()
+        found |= {p: row[f"{k}"] for k, p in enumerate(part)}
+    return found
 
 
 def scaled(c: str, fitted: Fitted) -> Column:
@@ -164,8 +195,9 @@ def quality_checks(df: DataFrame, cols: list[str]) -> DataFrame:
     """X11: duplicate rows present?  columns with exactly one distinct value."""
     dup = df.groupBy(*[_q(c) for c in cols]).count().agg(
         F.count(F.lit(1)).alias("n_distinct_rows"), F.sum("count").alias("n_rows"))
-    const = df.agg(*[F.count_distinct(_q(c)).alias(c) for c in cols])
-    n_const = sum([F.when(F.col(f"`{c}`") == 1, 1).otherwise(0) for c in cols])
+    # one value: smallest and largest agree (no distinct counts, which would multiply the rows)
+    const = df.agg(*[F.when(F.min(_q(c)) == F.max(_q(c)), 1).otherwise(0).alias(c) for c in cols])
+    n_const = sum([F.col(f"`{c}`") for c in cols])
     return dup.join(const.select(n_const.alias("n_constant_columns")), how="inner").select(
         "n_rows", "n_distinct_rows", (F.col("n_rows") > F.col("n_distinct_rows")).alias("has_duplicates"),
         F.col("n_constant_columns").cast("long").alias("n_constant_columns"))
