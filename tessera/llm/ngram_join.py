@@ -397,7 +397,8 @@ def _components_of(docs: DataFrame, size: int, limit_pct: int, id_col: str, text
     sizes, _ = store(sizes.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).select("leader", "blocks"), "sizes")
 
     wanted = able.select(F.col("r.ord").alias("ord"), F.col("r.text_key").alias("text_key"), "node")
-    wanted = rows.join(wanted, ["ord", "text_key"]).dropDuplicates(["node"])
+    # ``wanted`` grows with the corpus, so it is never broadcast, however small
+    wanted = rows.join(wanted.hint("merge"), ["ord", "text_key"]).dropDuplicates(["node"])
     shingles = _shingle_sets(wanted.select("ord", "text_key", hashes, "node"), size, empty)
     shingles, _ = store(shingles, "shingles")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
