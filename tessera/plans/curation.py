@@ -357,3 +357,28 @@ def p16(spark, sf_dir):
     assert dict(a.dtypes)["k"] == "double" and dict(b.dtypes)["event_type"] == "string"
     return a.agg(F.sum("k").alias("total")).select(F.lit("numeric").alias("target_kind"), "total").unionByName(
         b.agg(F.count("event_type").cast("double").alias("total")).select(F.lit("text").alias("target_kind"), "total"))
+
+
+@register("s13_source_column_rename", """
+SELECT p_name AS smiles, p_size AS label, p_brand FROM part""")
+def s13(spark, sf_dir):
+    """``Drug`` and ``Y`` get their standard names."""
+    p = table(spark, sf_dir, "part").select(F.col("p_name").alias("Drug"), F.col("p_size").alias("Y"), "p_brand")
+    return C.rename_source_columns(p)
+
+
+@register("s14_column_resolution", """
+SELECT c_name AS "key", c_acctbal AS target FROM customer""")
+def s14(spark, sf_dir):
+    """The key is the first known alias present, the target any case of its name."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("Smiles"), F.col("c_acctbal").alias("PIC50"))
+    key, target = C.resolve_key(c.columns), C.resolve_target(c.columns, "pic50")
+    return c.select(F.col(key).alias("key"), F.col(target).alias("target"))
+
+
+@register("s15_header_cleaning", """
+SELECT n_nationkey, n_name AS name, n_regionkey AS region FROM nation""")
+def s15(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("\ufeffn_nationkey"), F.col("n_name").alias(" name "),
+                                              F.col("n_regionkey").alias("region\t"))
+    return C.clean_header(n)
