@@ -12,6 +12,9 @@ lengths (at most ``capacity`` rows, whatever the corpus size):
 4. small pieces, longest first, go to the open sequence with the least room
    that still holds them.
 
+The number of groups and what counts as large are chosen by the histogram:
+the scheme that needs the fewest sequences wins (``best_plan``).
+
 All steps work on runs: ranges of pieces of one length and of sequences with
 equal room.  The number of runs depends on the number of distinct lengths, not
 on the number of pieces.  Pieces find their run by length and rank; ranks come
@@ -179,6 +182,19 @@ def plan_runs(histogram: dict[int, int], capacity: int = 2048, groups: int = 24,
     return runs
 
 
+# (groups, large) tried: from few pieces in a configuration to many.
+SCHEMES = ((24, 2), (8, 3), (24, 3), (12, 4), (16, 6))
+
+
+def best_plan(histogram: dict[int, int], capacity: int = 2048) -> list[tuple[int, int, int, int, int]]:
+    """The runs of the scheme that needs the fewest sequences.  Rounding loses
+    more the more pieces share a configuration, plain best fit loses more the
+    fewer small pieces there are; the histogram alone decides, at no pass over
+    the data."""
+    plans = [plan_runs(histogram, capacity, groups, large) for groups, large in SCHEMES]
+    return min(plans, key=lambda runs: max((first + count for _, _, count, first, _ in runs), default=0))
+
+
 def pack(pieces: DataFrame, capacity: int = 2048, rows_a_bucket: int = 50_000) -> DataFrame:
     """Adds sequence_id and offset to (doc_id, piece, start, length, ids_crc32)."""
     spark = pieces.sparkSession
@@ -189,7 +205,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, rows_a_bucket: int = 50_000) -
     w = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts, _ = store(counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).toLocalIterator()}
-    runs = plan_runs(histogram, capacity)
+    runs = best_plan(histogram, capacity)
     by_length: dict[int, list[tuple[int, int, int, int]]] = {}
     for n, rank, _, first, offset in runs:
         by_length.setdefault(n, []).append((rank, first, offset))

@@ -125,13 +125,14 @@ def test_packing(make, rows):
     check_packing(out, rows, 256)
 
 
-def test_plan_is_close_to_the_bound():
+@pytest.mark.parametrize("plan, over", [(packing.plan_runs, 1.02), (packing.best_plan, 1.001)])
+def test_plan_is_close_to_the_bound(plan, over):
     rnd = random.Random(2)
     histogram = {}
     for _ in range(50_000):
         n = min(2048, int(rnd.lognormvariate(6, 1)) + 1)
         histogram[n] = histogram.get(n, 0) + 1
-    runs = packing.plan_runs(histogram)
+    runs = plan(histogram)
     room, placed = {}, {}
     for n, rank, count, first, offset in runs:
         placed.setdefault(n, []).append((rank, count))
@@ -150,7 +151,15 @@ def test_plan_is_close_to_the_bound():
             at += n
         assert at <= 2048
     bound = math.ceil(sum(n * c for n, c in histogram.items()) / 2048)
-    assert len(room) <= 1.02 * bound
+    assert len(room) <= over * bound
+
+
+def test_configurations_win_without_small_pieces():
+    """Pieces of a third and of two thirds and a little: pairs must not be broken."""
+    histogram = {700: 900, 1300: 300, 690: 300, 660: 600}
+    used = lambda runs: max(first + count for _, _, count, first, _ in runs)
+    plain = packing.plan_runs(histogram, large=1)  # best fit alone
+    assert used(packing.best_plan(histogram)) < used(plain)
 
 
 def test_empty_tables(spark, make):
