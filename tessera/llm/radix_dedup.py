@@ -64,7 +64,9 @@ def radix_groups(rows: DataFrame, first_digit: int = 64, growth: int = 4, hot_ro
         if most > 1:  # at most rows / hot_rows groups
             keyed = keyed.drop("salt").join(F.broadcast(hot), ["group", "digit", "ended"], "left")
             keyed = keyed.withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int"))).drop("salts")
-        moved = keyed.join(salted.select("group", "digit", "ended", "salt", "next"), ["group", "digit", "ended", "salt"], "left")
+        # the groups grow with the corpus, so they are never broadcast, however few
+        groups = salted.select("group", "digit", "ended", "salt", "next").hint("merge")
+        moved = keyed.join(groups, ["group", "digit", "ended", "salt"], "left")
         moved = moved.select("doc_id", "n_points", "text_sha256", "ended", F.col("next").alias("group"), F.when(F.col("next").isNotNull() & ~F.col("ended"), F.col("rest")).alias("rest"))
         before = held
         moved, held = store(moved, "radix-rows")
