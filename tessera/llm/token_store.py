@@ -29,13 +29,15 @@ from .common import documents, prepare, remove, scratch, store, texts
 
 STEP = 256
 BLOCK_IDS = 1 << 18
-ENCODED = "doc_id long, n_tokens long, ids binary"
+ENCODED = "doc_id long, n_tokens long, ids binary, counts binary"
 BLOCK = "part int, block int, doc_ids binary, n_ids binary, doc_bytes binary, marks binary, bits binary"
 READ = "part int, doc_id long, local_start long, n_tokens long, ids_crc32 long, block_tokens long, block int"
 
 
 def encode_documents(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids packed little-endian, 2 or 4 bytes each."""
+    """(doc_id, n_tokens, ids, counts): ids packed little-endian, 2 or 4 bytes
+    each; counts, in the first row of each batch, how often the batch has each
+    id (32-bit ids, then 64-bit numbers)."""
 
     def run(batches):
         from .encode import encoder
@@ -43,9 +45,15 @@ def encode_documents(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
         for b in batches:
+            if not b.num_rows:
+                continue
             ids = [x + end for x in enc.encode(b.column(1).to_pylist())]
             n = pa.array([len(x) // enc.dtype.itemsize for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), n, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            total = np.bincount(np.frombuffer(b"".join(ids), enc.dtype))
+            seen = np.flatnonzero(total)
+            counts = seen.astype("<u4").tobytes() + total[seen].astype("<u8").tobytes()
+            columns = [b.column(0), n, pa.array(ids, pa.binary()), pa.array([counts] + [None] * (len(ids) - 1), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "counts"])
 
     return docs.mapInArrow(run, ENCODED)
 
@@ -97,26 +105,28 @@ def canonical(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _encode_bits(ids: np.ndarray, n_ids: np.ndarray, lengths, codes):
     """Bits of several documents, each from a byte border: (bits, bytes of
     each document, bit offset within its document of every STEP-th id)."""
-    size = lengths[ids].astype(np.int64)
-    end = np.cumsum(size)
+    size = lengths[ids]
+    end = np.cumsum(size, dtype=np.int64)
     first = np.cumsum(n_ids) - n_ids
-    start = end - size
-    doc_start = start[first]
+    doc_start = end[first] - size[first]
     doc_bits = end[first + n_ids - 1] - doc_start
     doc_bytes = (doc_bits + 7) // 8
     doc_at = np.cumsum(doc_bytes) - doc_bytes
-    offset = start - np.repeat(doc_start, n_ids)
-    within = np.arange(len(ids)) - np.repeat(first, n_ids)
-    marks = offset[within % STEP == 0].astype("<u4")
-    offset += np.repeat(doc_at * 8, n_ids)
-    word = codes[ids].astype(np.uint64) << (np.uint64(40) - (offset & 7).astype(np.uint64) - size.astype(np.uint64))
-    total = int(doc_bytes.sum())
-    at = offset >> 3
-    bits = np.zeros(total + 5, np.float64)  # bits of different ids never overlap, so sums are unions
-    for k in range(5 if lengths.max() > 17 else 3):
-        part = (word >> np.uint64(32 - 8 * k)) & np.uint64(255)
-        bits[: total + 5] += np.bincount(at + k, weights=part, minlength=total + 5)[: total + 5]
-    return bits[:total].astype(np.uint8).tobytes(), doc_bytes, marks
+    start = end - size
+    marks = [np.arange(s, s + n, STEP) for s, n in zip(first.tolist(), n_ids.tolist())]
+    lanes = [len(m) for m in marks]
+    marks = (start[np.concatenate(marks)] - np.repeat(doc_start, lanes)).astype("<u4")
+    start += np.repeat(doc_at * 8 - doc_start, n_ids)
+    at, within = start >> 3, (start & 7).astype(np.uint8)
+    wide = int(lengths.max()) > 17
+    room, parts, kind = (48, 6, np.uint64) if wide else (24, 3, np.uint32)
+    word = codes[ids].astype(kind) << (room - within - size).astype(kind)
+    # codes that begin in one byte never overlap: their sum is their union, and exact in a double
+    begun = np.bincount(at, weights=word, minlength=int(doc_bytes.sum())).astype(kind)
+    bits = np.zeros(len(begun) + parts, np.uint8)
+    for k in range(parts):
+        bits[k : k + len(begun)] += (begun >> kind(room - 8 - 8 * k)).astype(np.uint8)
+    return bits[: int(doc_bytes.sum())].tobytes(), doc_bytes, marks
 
 
 def write_store(encoded: DataFrame, path: str, vocab: int) -> None:
@@ -128,14 +138,15 @@ def write_store(encoded: DataFrame, path: str, vocab: int) -> None:
     def counted(batches):
         total = np.zeros(vocab, np.int64)
         for b in batches:
-            raw = b"".join(b.column(0).to_pylist())
-            total += np.bincount(np.frombuffer(raw, f"<u{wide}"), minlength=vocab)
+            for raw in b.column(0).to_pylist():
+                n = len(raw) // 12
+                total[np.frombuffer(raw, "<u4", n)] += np.frombuffer(raw, "<u8", n, 4 * n).astype(np.int64)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids], pa.int64())], ["id", "n"])
 
     counts = np.zeros(vocab, np.int64)
-    # one row per id of the vocabulary at most
-    for r in encoded.select("ids").mapInArrow(counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
+    per_id = encoded.select("counts").where("counts is not null").mapInArrow(counted, "id int, n long")
+    for r in per_id.groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():  # one row per id of the vocabulary at most
         counts[r["id"]] = r["n"]
     lengths = code_lengths(counts)
     codes, _ = canonical(lengths)
