@@ -40,6 +40,7 @@ class PieceEncoder:
         self.specials = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.max_pieces = max_pieces
+        self.bytes_of = self._bytes_of_ids()
         self.table: dict[str, bytes | bool] = {}  # False: no ids of its own
 
     def whole(self, text: str) -> bytes:
@@ -101,12 +102,31 @@ class PieceEncoder:
             self._learn_joined(inner[i : i + 512])
 
     def _learn_joined(self, pieces: list[str]) -> None:
-        """Ids of " piece" for many pieces by one call; offsets tell them apart."""
-        got = self.lib.encode(" " + " ".join(pieces), add_special_tokens=False)
-        ids = np.array(got.ids, self.dtype)
-        at = np.fromiter((o[0] for o in got.offsets), np.int64, len(ids))
-        starts = np.cumsum([0] + [len(p) + 1 for p in pieces])
+        """Ids of " piece" for many pieces by one call; the bytes or the
+        offsets of the ids tell the pieces apart."""
+        text = " " + " ".join(pieces)
+        if self.bytes_of is None:
+            got = self.lib.encode(text, add_special_tokens=False)
+            ids = np.array(got.ids, self.dtype)
+            at = np.fromiter((o[0] for o in got.offsets), np.int64, len(ids))
+            starts = np.cumsum([0] + [len(p) + 1 for p in pieces])
+        else:
+            ids = np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            size = self.bytes_of[ids]
+            at = np.cumsum(size) - size
+            starts = np.cumsum([0] + [len(p.encode()) + 1 for p in pieces])
         cuts = np.searchsorted(at, starts).tolist()
         raw, w = ids.tobytes(), self.dtype.itemsize
-        for p, a, b in zip(pieces, cuts, cuts[1:]):
-            self.table[p] = raw[a * w : b * w]
+        self.table.update(zip(pieces, [raw[a * w : b * w] for a, b in zip(cuts, cuts[1:])]))
+
+    def _bytes_of_ids(self) -> np.ndarray | None:
+        """Bytes that each id stands for, if every byte of a text is in its
+        ids: a byte-level vocabulary spells each byte as one character."""
+        sizes = np.zeros(self.lib.get_vocab_size(), np.int64)
+        for token, i in self.lib.get_vocab().items():
+            sizes[i] = len(token)
+        for i, token in self.lib.get_added_tokens_decoder().items():
+            sizes[i] = len(token.content.encode())
+        sample = " Some words,\n\ttabs  and 'll 1234 \u00e9e\u0301 \u4e2d\u6587 \U0001f600\x00\x85 A!"
+        ids = self.lib.encode(sample, add_special_tokens=False).ids
+        return sizes if self.lib.normalizer is None and sizes[ids].sum() == len(sample.encode()) else None
