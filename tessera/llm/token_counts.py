@@ -18,7 +18,6 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +54,18 @@ def _chunk_counts(long_texts: DataFrame, path: str, chunk: int, overlap: int) ->
                     row = [pa.array([key]), pa.array([k], pa.int64()), pa.array([last]), part]
                     yield pa.RecordBatch.from_arrays(row, ["key", "chunk", "last", "part"])
 
+    def borders(got, part, order, near):
+        """(position, token) of ASCII characters that start a pre-token, as
+        far as ``order`` goes before it leaves the overlap."""
+        found = []
+        for t in order:
+            at = got.token_to_chars(t)[0]
+            if not near(at):
+                break
+            if at < len(part) and part[at].isascii() and (t == 0 or got.token_to_word(t) != got.token_to_word(t - 1)):
+                found.append((at, t))
+        return found
+
     def encode(batches):
         from .encode import encoder
 
@@ -64,14 +75,12 @@ def _chunk_counts(long_texts: DataFrame, path: str, chunk: int, overlap: int) ->
             out = []
             for key, k, last, part in zip(*(c.to_pylist() for c in b.columns)):
                 got = enc.lib.encode(part, add_special_tokens=False)
-                at = np.fromiter((o[0] for o in got.offsets), np.int64, len(got))
-                word = np.array([-1 if w is None else w for w in got.word_ids], np.int64)
-                first = np.flatnonzero(np.diff(word, prepend=-2) != 0)
-                first = [int(t) for t in first if at[t] < len(part) and part[at[t]].isascii()]
-                borders = [{"at": k * chunk + int(at[t]), "before": t} for t in first]
-                head = [x for x in borders if x["at"] - k * chunk <= overlap]
-                tail = [] if last else [x for x in borders if chunk <= x["at"] - k * chunk < len(part) - margin]
-                out.append({"key": key, "chunk": k, "n": len(got), "head": head, "tail": tail})
+                head = borders(got, part, range(len(got)), lambda at: at <= overlap)
+                tail = [] if last else borders(got, part, range(len(got) - 1, -1, -1), lambda at: at >= chunk)
+                row = {"key": key, "chunk": k, "n": len(got)}
+                for name, found in (("head", head), ("tail", [x for x in tail if x[0] < len(part) - margin])):
+                    row[name] = [{"at": k * chunk + at, "before": t} for at, t in found]
+                out.append(row)
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
