@@ -71,7 +71,10 @@ class PieceEncoder:
             pieces = t.split(" ")
             pieces[0] = "\0" + pieces[0]
             got = list(map(get, pieces))
-            missing = [i for i, g in enumerate(got) if g is None] if None in got else []
+            missing, i = [], -1
+            for _ in range(got.count(None)):
+                i = got.index(None, i + 1)
+                missing.append(i)
             new.update([pieces[i] for i in missing])
             found.append((pieces, got, missing))
         self._learn(new)
