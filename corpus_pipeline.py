@@ -19,7 +19,8 @@ from tessera.llm.substring_dedup import remove_substrings
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_quality(docs)
+    """Hosts judged against the fitted prior."""
+    return keep_quality(docs, host_limit=None)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

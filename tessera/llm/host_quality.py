@@ -8,6 +8,11 @@
 3. Domain verdicts are joined back.  A document goes if it fails the base
    rules, two soft rules, or one soft rule on a domain whose shrunk rate is
    over ``host_limit``; a document that fails no rule is kept on any domain.
+   Without a limit (None) the domain is judged against the fitted prior: its
+   shrunk rate is over the prior's mean by more than ``MARGIN`` of the prior's
+   standard deviation.  A limit that no domain reaches would decide nothing.
+   There, symbols in every third word or more are a soft rule of their own
+   (``FITTED_RULES``), so texts of bare symbols go on any domain.
 
 Counts are stored once, so texts are scanned once; the domain join carries
 counts only, and a domain of a third of all rows is split by the adaptive join
@@ -87,10 +92,16 @@ SOFT_RULES = (
     "100 * n_repeat_words > 30 * n_words",
 )
 SOFT = " + ".join(f"CASE WHEN {rule} THEN 1 ELSE 0 END" for rule in SOFT_RULES)
+#: Implies the first soft rule: it adds no failed document, only a second failure.
+FITTED_RULES = (*SOFT_RULES, "10 * n_symbols > 3 * n_words")
+FITTED_SOFT = " + ".join(f"CASE WHEN {rule} THEN 1 ELSE 0 END" for rule in FITTED_RULES)
+#: Standard deviations of the prior by which a bad domain's shrunk rate is over its mean.
+MARGIN = 0.5
 
 
 def shrunk_rates(counts: DataFrame) -> DataFrame:
-    """(domain, rate): failure rates shrunk by a beta prior over all domains."""
+    """(domain, rate, bar): failure rates shrunk by a beta prior over all
+    domains, and the rate over which the prior calls a domain bad."""
     by = counts.groupBy("domain").agg(F.count("*").alias("n"), F.sum((F.col("base_failed") | (F.col("soft_failed") > 0)).cast("long")).alias("k"))
     by, _ = store(by, "domains")
     share = F.col("k") / F.col("n")
@@ -99,29 +110,33 @@ def shrunk_rates(counts: DataFrame) -> DataFrame:
     shrunk = (F.col("k") + F.col("m") * F.col("strength")) / (F.col("n") + F.col("strength"))
     # ``prior`` is one row
     joined = by.crossJoin(F.broadcast(prior)).withColumn("strength", F.when(F.col("v") > 1e-12, strength))
-    return joined.select("domain", F.when(F.col("strength").isNull(), F.col("corpus")).otherwise(shrunk).alias("rate"))
+    bar = F.col("m") + MARGIN * F.sqrt(F.col("m") * (1 - F.col("m")) / (F.col("strength") + 1))
+    unfitted = F.col("strength").isNull()
+    return joined.select("domain", F.when(unfitted, F.col("corpus")).otherwise(shrunk).alias("rate"), F.when(unfitted, F.col("corpus")).otherwise(bar).alias("bar"))
 
 
-def host_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", host_limit: float = 0.5) -> DataFrame:
+def host_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", host_limit: float | None = 0.5) -> DataFrame:
     """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept."""
     judged = _judged(base_counts(docs, id_col, text_col, domain_col), host_limit)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", host_limit: float = 0.5) -> DataFrame:
+def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", host_limit: float | None = 0.5) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns."""
     judged = _judged(base_counts(docs, id_col, text_col, domain_col, rows=True), host_limit)
     return judged.where("kept").select("row.*")
 
 
-def _judged(counts: DataFrame, host_limit: float) -> DataFrame:
+def _judged(counts: DataFrame, host_limit: float | None) -> DataFrame:
     prepare(counts.sparkSession)
-    counts, _ = store(counts.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("soft_failed", F.expr(SOFT)), "quality")
+    soft = FITTED_SOFT if host_limit is None else SOFT
+    counts, _ = store(counts.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("soft_failed", F.expr(soft)), "quality")
     rates, _ = store(shrunk_rates(counts), "rates")
     rates = rates.withColumnRenamed("domain", "host")
     judged = counts.join(rates, counts["domain"].eqNullSafe(rates["host"]), "left")
-    verdict = ~F.col("base_failed") & (F.col("soft_failed") < 2) & ~((F.col("soft_failed") > 0) & (F.col("rate") > host_limit))
+    bar = F.col("bar") if host_limit is None else F.lit(host_limit)
+    verdict = ~F.col("base_failed") & (F.col("soft_failed") < 2) & ~((F.col("soft_failed") > 0) & (F.col("rate") > bar))
     return judged.withColumn("kept", verdict)
 
 

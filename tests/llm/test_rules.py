@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from tessera.llm import host_quality, license_scan, warc
 from tessera.llm.common import scratch
 
@@ -117,6 +119,41 @@ def test_keep_quality(make):
     assert got(out, "doc_id") == sorted(((r[0],) for r in brute_quality(quality_rows()) if r[-1]), key=repr)
 
 
+def realistic_hosts():
+    """Hosts of 40 documents that fail at 10 % (three) and at 25 % (one), all
+    under one half; on each a document whose every second word is '|' and one
+    with a few symbols, and the rest of the failures too short."""
+    rnd = random.Random(23)
+    out = []
+    for host, failures in (("a", 4), ("b", 4), ("c", 4), ("d", 10)):
+        for i in range(40):
+            text = words(rnd, 80)
+            if i == 0:
+                text = " ".join(f"{w} |" for w in words(rnd, 60).split())
+            elif i == 1:
+                text += " ###########"
+            elif i < failures:
+                text = "too short"
+            out.append((f"{host}{i}", text, host))
+    return [(k, t, host) for k, (_, t, host) in enumerate(out)]
+
+
+def test_fitted_host_verdict_and_symbol_texts(make):
+    docs, table = make(realistic_hosts()), realistic_hosts()
+    clean = {d for d, _, _ in table if d % 40 >= {"a": 4, "b": 4, "c": 4, "d": 10}[table[d][2]]}
+    # few symbols: kept on the hosts of 10 %, gone on that of 25 %; '|' texts go everywhere, clean ones stay everywhere
+    want = clean | {1, 41, 81}
+    out = host_quality.host_quality(docs, host_limit=None)
+    assert {r.doc_id for r in out.collect() if r.kept} == want
+    assert {r.doc_id for r in host_quality.keep_quality(docs, host_limit=None).collect()} == want
+
+
+def test_pipeline_stage_judges_hosts(make, spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, make(realistic_hosts()), "").collect()}
+    assert {1, 41, 81} <= kept and not kept & {0, 40, 80, 120, 121}
+
+
 # --- WARC ------------------------------------------------------------------
 
 
