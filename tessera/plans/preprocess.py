@@ -186,6 +186,19 @@ def x8_leak(spark, sf_dir):
         F.count(F.lit(1)).alias("n_test_rows_seen_in_train"))
 
 
+@register("x8_leakage_check_all_features", "WITH " + BASE_SQL + f""",
+tr AS (SELECT DISTINCT {", ".join(FEATURES)} FROM h WHERE split = 'train')
+SELECT count(*) AS n_test_rows_seen_in_train FROM h WHERE split = 'test'
+  AND EXISTS (SELECT 1 FROM tr WHERE {" AND ".join(f"tr.{c} IS NOT DISTINCT FROM h.{c}" for c in FEATURES)})""")
+def x8_leak_all(spark, sf_dir):
+    """Two columns have few value pairs, which any large train part holds: a
+    row is seen in train only if all its features are."""
+    d = _with_split(spark, sf_dir)
+    return row_overlap(d.filter(F.col("split") == "train").select(*FEATURES),
+                       d.filter(F.col("split") == "test").select(*FEATURES), FEATURES).agg(
+        F.count(F.lit(1)).alias("n_test_rows_seen_in_train"))
+
+
 @register("x11_quality_checks", """
 WITH g AS (SELECT l_returnflag, l_linestatus, l_quantity, count(*) AS n FROM lineitem GROUP BY ALL)
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct_rows, sum(n) > count(*) AS has_duplicates,

@@ -45,3 +45,16 @@ def test_no_feature_left_raises(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "a double")
     with pytest.raises(ValueError):
         X.fit(df, ["a"], scaler="standard")
+
+
+def test_leakage_query_compares_all_features(spark, tmp_path):
+    """One quantity and discount everywhere: two columns call every test row
+    seen, but prices tell the rows apart."""
+    from tessera.plans import QUERIES, load_all
+
+    load_all()
+    rows = [(k, 1, k, k, 5.0, 100.0 + k, 0.05, 0.02) for k in range(200)]
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert QUERIES["x8_leakage_check_after_transform"](spark, str(tmp_path)).first()[0] == 40
+    assert QUERIES["x8_leakage_check_all_features"](spark, str(tmp_path)).first()[0] == 0
