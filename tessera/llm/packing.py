@@ -13,7 +13,9 @@ lengths (at most ``capacity`` rows, whatever the corpus size):
    that still holds them.
 
 The number of groups and what counts as large are chosen by the histogram:
-the scheme that needs the fewest sequences wins (``best_plan``).
+the scheme that needs the fewest sequences wins (``best_plan``).  In the first
+scheme a configuration is a single large piece, so it is plain best fit
+decreasing; grouping has an effect in the others only.
 
 All steps work on runs: ranges of pieces of one length and of sequences with
 equal room.  The number of runs depends on the number of distinct lengths, not
