@@ -1,4 +1,4 @@
-"""Substring dedup by relative Lempel-Ziv parsing (operator 6).
+"""Substring dedup by content-cut blocks and window hashes (operator 6).
 
 A window is ``WINDOW`` consecutive words.  A word goes if a window that covers
 it also starts in a document with a smaller doc_id.
@@ -10,14 +10,14 @@ it also starts in a document with a smaller doc_id.
 2. The index over all blocks keeps per anchor the smallest and largest
    document, and whether all its blocks are equal.  Anchors of one document
    only hold no shared window and leave.
-3. Each document is factored against the index: a block whose content an
-   earlier document holds is copied whole.  Consecutive copied windows make
-   one factor.
-4. At factor boundaries, that is in blocks whose anchor is shared while their
-   contents differ, single windows decide.  One representative of each
+3. If all blocks of an anchor are equal, all windows of the block are duplicates
+   in every document but the first.  No longest match is searched and no
+   Lempel-Ziv factor is formed.
+4. In blocks whose anchor is shared while their contents differ, single windows
+   decide.  One representative of each
    distinct block content is looked up (copies are not), its windows' smallest
    documents are found, and every occurrence is judged by them.
-5. Factors become duplicate spans and their words are removed.
+5. The words of duplicate windows are removed.
 
 All aggregates combine before their shuffle, so an anchor in a third of all
 documents is a few rows a task there; joins on anchors read stored tables, so
