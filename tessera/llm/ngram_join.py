@@ -1,4 +1,5 @@
-"""N-gram Jaccard join by PartEnum signatures (operator 8).
+"""N-gram Jaccard join by prefixes of partitions (operator 8): PartEnum's
+partitions signed one by one, without its enumeration of their subsets.
 
 A document's set holds its distinct word shingles; equal sets are one node.
 Two nodes link when |a & b| / |a | b| >= ``limit_pct`` / 100.
