@@ -133,8 +133,9 @@ def classification_outputs(df: DataFrame, proba: str | None = None, score: str |
 
 
 def parity_table(df: DataFrame, y: str, pred: str, by: str) -> DataFrame:
-    """Finite (y, y_hat) pairs per split plus 'all' (``rollup``), with
-    axis limits min/max -+ 5 % of the span (or -+1 when the span is 0)."""
+    """How many finite (y, y_hat) pairs per split plus 'all' (``rollup``),
+    with axis limits min/max -+ 5 % of the span (or -+1 when the span is 0).
+    ``parity_pairs`` gives the pairs."""
     ok = df.filter(is_finite(y) & is_finite(pred))
     g = ok.rollup(by).agg(F.count(F.lit(1)).alias("n"), F.least(F.min(y), F.min(pred)).alias("lo"),
                           F.greatest(F.max(y), F.max(pred)).alias("hi"))
@@ -142,3 +143,10 @@ def parity_table(df: DataFrame, y: str, pred: str, by: str) -> DataFrame:
     pad = F.when(span == 0, F.lit(1.0)).otherwise(0.05 * span)
     return g.select(F.coalesce(F.col(by).cast("string"), F.lit("all")).alias(by), "n",
                     (F.col("lo") - pad).alias("axis_min"), (F.col("hi") + pad).alias("axis_max"))
+
+
+def parity_pairs(df: DataFrame, y: str, pred: str, by: str) -> DataFrame:
+    """The finite (y, y_hat) pairs, each once for its split and once for 'all'."""
+    ok = df.filter(is_finite(y) & is_finite(pred))
+    parts = F.array(F.col(by).cast("string"), F.lit("all"))
+    return ok.select(F.explode(parts).alias(by), F.col(y).alias("y"), F.col(pred).alias("y_hat"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_key
-from tessera.operators.metrics import auc_ap, regression_metrics
+from tessera.operators.metrics import auc_ap, classification_counts, regression_metrics
 from tessera.operators.ranks import bucketed_rank
 from tessera.sources.tables import ROW_INDEX
 
@@ -77,6 +77,12 @@ def split_metrics(scored: DataFrame, label: str, task: str, by: str = "split") -
     return auc_ap(scored, label, "pred_proba", by=by)
 
 
+def fit_step_metrics(scored: DataFrame, label: str, by: str = "split") -> DataFrame:
+    """M7: auc, auprc, accuracy and F1 per split of one scored table."""
+    counts = classification_counts(scored, label, "pred_label", by=by).select(by, "accuracy", "f1")
+    return auc_ap(scored, label, "pred_proba", by=by).join(counts, by)
+
+
 def ensemble(scored: list[DataFrame], id_col: str, pred_col: str) -> DataFrame:
     """M5: mean prediction (soft vote = mean probability) over models scored
     on the same rows, joined on the row id."""

@@ -148,6 +148,37 @@ def k10(spark, sf_dir):
     return r.select("split", "n", F.round("axis_min", 6).alias("axis_min"), F.round("axis_max", 6).alias("axis_max"))
 
 
+@register("k9_per_split_metric_table_with_f1", "WITH " + PRED_SQL + ", src AS (SELECT split AS grp, * FROM h)," + SCORE_SQL + """
+, a AS (SELECT grp AS split, round(sum(pos * (nb + 0.5 * neg)) / (first("P") * first("N")), 6) AS auc,
+           round(sum(CASE WHEN pos > 0 THEN pos * ("P" - pb) / (("P" - pb) + ("N" - nb)) END) / first("P"), 6) AS auprc
+        FROM run GROUP BY grp),
+b AS (SELECT split, round(avg(CASE WHEN (y_score >= 0.5) = (y_true = 1) THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+             round(coalesce(2.0 * count(*) FILTER (WHERE y_true = 1 AND y_score >= 0.5)
+               / nullif(count(*) FILTER (WHERE y_true = 1) + count(*) FILTER (WHERE y_score >= 0.5), 0), 0.0), 6) AS f1,
+             round(1 - sum((y_reg - y_hat) * (y_reg - y_hat)) / (var_pop(y_reg) * count(*)), 6) AS r2,
+             round(avg(abs(y_reg - y_hat)), 6) AS mae FROM h GROUP BY split)
+SELECT split, metric, value FROM (SELECT * FROM a JOIN b USING (split))
+UNPIVOT (value FOR metric IN (auc, auprc, accuracy, f1, r2, mae))""")
+def k9_f1(spark, sf_dir):
+    p = predictions(spark, sf_dir, with_split=True).withColumn("y_pred", (F.col("y_score") >= 0.5).cast("int"))
+    a = K.auc_ap(p, "y_true", "y_score", by="split")
+    b = K.classification_counts(p, "y_true", "y_pred", by="split").select("split", "accuracy", "f1")
+    c = K.regression_metrics(p, "y_reg", "y_hat", by="split").select("split", "r2", "mae")
+    wide = a.join(b, "split").join(c, "split")
+    metrics = ["auc", "auprc", "accuracy", "f1", "r2", "mae"]
+    long = wide.select("split", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.round(m, 6).alias("value"))
+                                                     for m in metrics])).alias("s")).select("split", "s.*")
+    return long.filter(F.col("value").isNotNull())
+
+
+@register("k10_parity_pairs", "WITH " + PRED_SQL + """
+, ok AS (SELECT split, round(y_reg, 6) AS y, round(y_hat, 6) AS y_hat FROM h WHERE isfinite(y_reg) AND isfinite(y_hat))
+SELECT split, y, y_hat FROM ok UNION ALL SELECT 'all', y, y_hat FROM ok""")
+def k10_pairs(spark, sf_dir):
+    r = K.parity_pairs(predictions(spark, sf_dir, with_split=True), "y_reg", "y_hat", "split")
+    return r.select("split", F.round("y", 6).alias("y"), F.round("y_hat", 6).alias("y_hat"))
+
+
 @register("k11_m9_prediction_table", "WITH " + PRED_SQL + """
 SELECT rid AS __row_index, y_true, y_score, round(1 / (1 + exp(-(4 * y_score - 2))), 6) AS y_proba,
        CAST(1 / (1 + exp(-(4 * y_score - 2))) >= 0.5 AS INTEGER) AS y_pred FROM h""")

@@ -99,7 +99,14 @@ def m6(spark, sf_dir):
 def m7(spark, sf_dir):
     """Fit on train, one transform of the whole split table, metrics per split."""
     _, _, scored, label = _fit_score(spark, sf_dir, "random_forest", "classification")
-    return M.split_metrics(scored, label, "classification")
+    return M.fit_step_metrics(scored, label)
+
+
+@register("m7_fit_step_predictions")
+def m7_predictions(spark, sf_dir):
+    """The fit step's prediction table: every row of every split."""
+    _, _, scored, label = _fit_score(spark, sf_dir, "random_forest", "classification")
+    return scored.select(ROW_INDEX, "split", label, "pred_score", "pred_proba", "pred_label")
 
 
 @register("m8_batch_score_persisted_model")

@@ -62,3 +62,18 @@ def test_classification_outputs_sigmoid(spark):
     out = K.classification_outputs(df, score="m").orderBy("m").collect()
     assert out[0].pred_proba == pytest.approx(0.5) and out[0].pred_label == 1
     assert out[1].pred_proba == pytest.approx(1 / (1 + 2.718281828459045 ** -2))
+
+
+def test_parity_pairs_and_fit_step_metrics(spark):
+    from tessera.operators import metrics as K
+    from tessera.operators import models as M
+
+    nan = float("nan")
+    pairs = spark.createDataFrame([("train", 1.0, 2.0), ("train", nan, 1.0), ("test", 3.0, 4.0)], "split string, y double, p double")
+    got = sorted(tuple(r) for r in K.parity_pairs(pairs, "y", "p", "split").collect())
+    assert got == [("all", 1.0, 2.0), ("all", 3.0, 4.0), ("test", 3.0, 4.0), ("train", 1.0, 2.0)]
+
+    rows = [("test", 1, 0.9, 1), ("test", 1, 0.4, 0), ("test", 0, 0.6, 1), ("test", 0, 0.1, 0), ("test", 1, 0.8, 1)]
+    scored = spark.createDataFrame(rows, "split string, label int, pred_proba double, pred_label int")
+    r = M.fit_step_metrics(scored, "label").first().asDict()
+    assert round(r["accuracy"], 6) == 0.6 and round(r["f1"], 6) == 0.666667 and {"auc", "auprc"} <= set(r)
