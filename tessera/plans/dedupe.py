@@ -76,6 +76,15 @@ def d5(spark, sf_dir):
     return D.distinct_rows(table(spark, sf_dir, "customer"))
 
 
+@register("d5_full_row_distinct_after_union", """
+SELECT DISTINCT * FROM (SELECT * FROM lineitem WHERE l_linenumber <= 5
+                        UNION ALL SELECT * FROM lineitem WHERE l_linenumber >= 3)""")
+def d5_union(spark, sf_dir):
+    """The parts overlap, so that the union has duplicates to remove."""
+    li = table(spark, sf_dir, "lineitem")
+    return D.distinct_rows(li.where("l_linenumber <= 5").unionByName(li.where("l_linenumber >= 3")))
+
+
 @register("d6_duplicate_feature_rows", """
 WITH g AS (SELECT l_quantity, l_discount, l_tax, l_returnflag, count(*) AS n
            FROM lineitem GROUP BY ALL)
