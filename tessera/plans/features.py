@@ -98,6 +98,16 @@ def v5(spark, sf_dir):
     return wide.agg(*[F.sum(f"fp_{i}").cast("long").alias(f"fp_{i}") for i in range(16)])
 
 
+@register("v5_fingerprint_expansion_documents", "WITH " + _bits_sql("documents", "doc_id") + """
+, on_bits AS (SELECT unnest(bits) AS bit, count(*) AS n FROM fb GROUP BY 1)
+SELECT r.bit, coalesce(n, 0) AS n FROM (SELECT CAST(unnest(range(2048)) AS INTEGER) AS bit) r LEFT JOIN on_bits USING (bit)""")
+def v5_documents(spark, sf_dir):
+    """All 2,048 columns over all documents, summed up per column."""
+    wide = V.expand_bits(doc_bits(spark, sf_dir), "bits", 2048)
+    columns = F.array(*[F.coalesce(f"fp_{i}", F.lit(0)) for i in range(2048)]).alias("wide")
+    return wide.select(F.posexplode(columns).alias("bit", "on")).groupBy("bit").agg(F.sum("on").cast("long").alias("n"))
+
+
 @register("v6_descriptor_profile", r"""
 SELECT lang, count(*) AS n, round(avg(length(text)), 6) AS n_chars,
        round(avg(len(""" + TOKS_SQL + r""")), 6) AS n_tokens,

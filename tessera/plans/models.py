@@ -183,4 +183,4 @@ def x10(spark, sf_dir):
             acc[i] += v / 5
     rows = [(c, i, float(v)) for i, (c, v) in enumerate(zip(feats, acc))]
     t = spark.createDataFrame(rows, "feature string, position int, importance double")
-    return t.orderBy(F.desc("importance"), "position").limit(3)
+    return t.orderBy(F.desc("importance"), "position").limit(50)

@@ -208,3 +208,17 @@ def x11(spark, sf_dir):
     from tessera.sources.tables import table
     li = table(spark, sf_dir, "lineitem")
     return X.quality_checks(li, ["l_returnflag", "l_linestatus", "l_quantity"])
+
+
+LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                    "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("x11_quality_checks_all_columns", f"""
+WITH g AS (SELECT {", ".join(LINEITEM_COLUMNS)}, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct_rows, sum(n) > count(*) AS has_duplicates,
+       CAST((SELECT {" + ".join(f"(count(DISTINCT {c}) = 1)::INT" for c in LINEITEM_COLUMNS)} FROM lineitem) AS BIGINT) AS n_constant_columns FROM g""")
+def x11_all(spark, sf_dir):
+    from tessera.sources.tables import table
+    li = table(spark, sf_dir, "lineitem")
+    return X.quality_checks(li, li.columns)

@@ -58,3 +58,25 @@ def test_leakage_query_compares_all_features(spark, tmp_path):
     spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
     assert QUERIES["x8_leakage_check_after_transform"](spark, str(tmp_path)).first()[0] == 40
     assert QUERIES["x8_leakage_check_all_features"](spark, str(tmp_path)).first()[0] == 0
+
+
+def test_quality_checks_judge_whole_rows(spark, tmp_path):
+    """Equal in the three columns of the short check, different in others."""
+    from tessera.plans import QUERIES, load_all
+
+    load_all()
+    rows = [(k, k, 7, "R", "F", 5.0) for k in range(20)]
+    columns = "l_orderkey long, l_linenumber long, l_partkey int, l_returnflag string, l_linestatus string, l_quantity double"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert QUERIES["x11_quality_checks"](spark, str(tmp_path)).first().has_duplicates
+    got = QUERIES["x11_quality_checks_all_columns"](spark, str(tmp_path)).first()
+    assert (got.n_distinct_rows, got.has_duplicates, got.n_constant_columns) == (20, False, 4)
+
+
+def test_reports_hold_all_features_and_bits(spark):
+    from tessera.plans import QUERIES, load_all
+
+    load_all()
+    small = "/root/testdata/sf0.001"
+    assert QUERIES["x10_stable_top_k_features"](spark, small).count() == 4
+    assert QUERIES["v5_fingerprint_expansion_documents"](spark, small).count() == 2048
