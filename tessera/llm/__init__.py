@@ -23,6 +23,8 @@ _MODULES = (
     "ngram_join",
     "token_store",
     "packing",
+    "line_dedup",
+
 )
 
 
