@@ -24,6 +24,7 @@ _MODULES = (
     "token_store",
     "packing",
     "line_dedup",
+    "centroids",
 
 )
 
