@@ -25,6 +25,7 @@ _MODULES = (
     "packing",
     "line_dedup",
     "centroids",
+    "lexical_search",
 
 )
 
