@@ -13,13 +13,16 @@
 4. A node holds its term, the largest count of the term and the smallest m
    among the documents below, and the largest count of any later term below.
    The score of a document below is at most what the path can give with these
-   counts and m, plus the least of two sums over the item's later terms: with
-   each term's own largest impact in the block, and with the subtree's largest
-   count and smallest m.
+   counts and m, plus the least of three sums: over the item's later terms with
+   each term's own largest impact in the block, over the same with the subtree's
+   largest count and smallest m, and over the item's nodes in the subtree.  The
+   last comes from running totals over these nodes (found by the tree's lists of
+   nodes per term) in depth-first order, and is exact where a path has no branch.
 5. Per item the tree is searched depth first, most promising nodes first, with
    nodes under the item's k-th best score left out.  Documents that end at a
-   node that is visited are scored exactly, from their vectors.  The k-th best
-   score is carried from block to block within a task.
+   node that is visited, or that are ``few`` under it, are scored exactly, from
+   their vectors.  The k-th best score is carried from block to block within a
+   task.
 6. A task returns k rows an item; two rounds of ranks (by item and salt, then
    by item) merge them.
 
@@ -119,26 +122,43 @@ class DocumentTree:
         self.parent, self.term, most, least_m = (np.concatenate(x).astype(np.int64) for x in zip(root, *levels))
         self.children = np.bincount(self.parent[1:], minlength=base)
         self.child = np.cumsum(self.children) - self.children + 1  # children are numbered in the order of their parents
-        below, end = np.zeros(base, np.int64), base
-        for parents, *_ in reversed(levels):  # largest count of any later term, from the leaves up
+        below, self.size, end = np.zeros(base, np.int64), np.ones(base, np.int64), base
+        for parents, *_ in reversed(levels):  # largest count of any later term and number of nodes, from the leaves up
             here = slice(end - len(parents), end)
             np.maximum.at(below, parents, np.maximum(below[here], most[here]))
+            np.add.at(self.size, parents, self.size[here])
             end = here.start
+        self.place, end = np.zeros(base, np.int64), 1  # in depth-first order
+        for parents, *_ in levels:
+            here = slice(end, end + len(parents))
+            before = np.cumsum(self.size[here]) - self.size[here]
+            self.place[here] = self.place[parents] + 1 + before - before[self.child[parents] - end]
+            end = here.stop
+        self.listed = np.lexsort((self.place, self.term))[1:]  # nodes of each term, without the root
+        self.list_at = np.searchsorted(self.term[self.listed], np.arange(n_terms + 1))
         self.path = impact(most, least_m)
         self.rest = impact(below, least_m)
-        order = np.argsort(last, kind="stable")
-        self.ended = order[np.searchsorted(last[order], 1) :]
-        self.ending = np.bincount(last[self.ended], minlength=base)
-        self.end_at = np.cumsum(self.ending) - self.ending
+        held = np.flatnonzero(length)
+        self.ordered = held[np.argsort(self.place[last[held]], kind="stable")]  # by the node they end at: those below a node are a range
+        ends = self.place[last[self.ordered]]
+        self.first_doc = np.searchsorted(ends, self.place)
+        self.ending = np.searchsorted(ends, self.place, side="right") - self.first_doc
+        self.docs_below = np.searchsorted(ends, self.place + self.size) - self.first_doc
 
     def exact(self, docs: np.ndarray, weight: np.ndarray) -> np.ndarray:
         start, n = self.offsets[docs], self.offsets[docs + 1] - self.offsets[docs]
         pair = ranges(start, n)
         return np.add.reduceat(weight[self.ranks[pair]] * self.impact[pair], np.cumsum(n) - n)
 
-    def search(self, weight: np.ndarray, k: int, top: tuple[np.ndarray, np.ndarray], width: int = 4096) -> tuple[tuple[np.ndarray, np.ndarray], int]:
-        """The k best (score, doc_id) of ``top`` and this tree, and the number of nodes visited."""
+    def search(self, wanted: np.ndarray, weights: np.ndarray, k: int, top: tuple[np.ndarray, np.ndarray], width: int = 1024, few: int = 4) -> tuple[tuple[np.ndarray, np.ndarray], int]:
+        """The k best (score, doc_id) of ``top`` and this tree for the term
+        ranks ``wanted``, and the number of nodes visited."""
         score, doc_id = top
+        weight = np.zeros(len(self.best), np.int64)
+        weight[wanted] = weights
+        hits = self.listed[ranges(self.list_at[wanted], self.list_at[wanted + 1] - self.list_at[wanted])]
+        hits = hits[np.argsort(self.place[hits], kind="stable")]
+        places, totals = self.place[hits], np.concatenate([[0], np.cumsum(weight[self.term[hits]] * self.path[hits])])
         floor = int(score[-1]) if len(score) == k else 1
         later = weight[::-1].cumsum()[::-1] - weight  # weights of the terms after each
         best = (weight * self.best)[::-1].cumsum()[::-1] - weight * self.best
@@ -149,22 +169,29 @@ class DocumentTree:
             held = bound >= floor
             node, partial = node[held], partial[held]
             visited += len(node)
-            ends = np.flatnonzero((self.ending[node] > 0) & (partial >= floor))
-            if len(ends):
-                docs = self.ended[ranges(self.end_at[node[ends]], self.ending[node[ends]])]
+            straight = self.docs_below[node] <= few
+            n = np.where(straight, self.docs_below[node], np.where(partial >= floor, self.ending[node], 0))
+            docs = self.ordered[ranges(self.first_doc[node], n)]
+            if len(docs):
                 new = self.exact(docs, weight)
                 good = new >= floor
                 score, doc_id = np.concatenate([score, new[good]]), np.concatenate([doc_id, self.doc_id[docs[good]]])
                 order = np.lexsort((doc_id, -score))[:k]
                 score, doc_id = score[order], doc_id[order]
                 floor = int(score[-1]) if len(score) == k else 1
+            node, partial = node[~straight], partial[~straight]
             n = self.children[node]
             child = ranges(self.child[node], n)
             if not len(child):
                 continue
             term = self.term[child]
             partial = np.repeat(partial, n) + weight[term] * self.path[child]
-            bound = partial + np.minimum(best[term], later[term] * self.rest[child])
+            rest = np.minimum(best[term], later[term] * self.rest[child])
+            held = partial + rest >= floor
+            child, partial, rest = child[held], partial[held], rest[held]
+            after = self.place[child] + 1
+            inside = totals[np.searchsorted(places, after + self.size[child] - 1)] - totals[np.searchsorted(places, after)]
+            bound = partial + np.minimum(rest, inside)
             held = np.flatnonzero(bound >= floor)
             held = held[np.argsort(bound[held], kind="stable")]
             for i in range(0, len(held), width):  # the most promising nodes end on top
@@ -255,9 +282,7 @@ def search_block(docs: DataFrame, block: list[tuple[int, Counter]], k: int, bloc
         top = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(wanted)
         for tree in trees(batches, rank, documents_n, total, block_pairs):
             for i, (_, at, w) in enumerate(wanted):
-                weights = np.zeros(len(rank), np.int64)
-                weights[at] = w
-                top[i], _ = tree.search(weights, k, top[i])
+                top[i], _ = tree.search(at, w, k, top[i])
         for i, (score, doc_id) in enumerate(top):
             if len(score):
                 yield pa.RecordBatch.from_arrays(
