@@ -12,8 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import pearson
-from tessera.operators.ranks import bounded_broadcast, exact_quantiles
+from tessera.operators.correlation import correlations
+from tessera.operators.radix_select import column_quantiles
+from tessera.operators.ranks import bounded_broadcast
 
 # Fixed values that must equal the reference's behaviour.
 BINARY_TOKENS = ["0", "1", "false", "true", "inactive", "active", "no", "yes", "n", "y"]
@@ -93,14 +94,10 @@ def histograms(df: DataFrame, cols: list[str], bins: int = HIST_BINS) -> DataFra
 
 
 def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for all given columns,
-    one aggregate, long form (col_a < col_b in column order)."""
-    clean = {c: F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")) for c in cols}
-    pairs = [(a, b) for j, b in enumerate(cols) for a in cols[:j]]
-    wide = df.agg(*[pearson(clean[a], clean[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                                    F.col(f"p{i}").alias("r")) for i, (a, b) in enumerate(pairs)]))
-                       .alias("s")).select("s.*")
+    """Pairwise-complete Pearson r for all given columns, one scan, long
+    form (col_a < col_b in column order)."""
+    names = F.array(*[F.lit(c) for c in cols])
+    return correlations(df, cols).select(F.get(names, F.col("i")).alias("col_a"), F.get(names, F.col("j")).alias("col_b"), "r")
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -109,21 +106,27 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(key.alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def box_stats(df: DataFrame, class_col: str, cols: list[str]) -> DataFrame:
+def box_stats(df: DataFrame, class_col: str, cols: list[str], max_classes: int = 1000) -> DataFrame:
     """Per class and column: quartiles (linear), 1.5 IQR fences, the
-    most extreme points inside them (whiskers) and the outlier count."""
-    long = df.select(F.col(class_col).cast("string").alias("class"),
-                     _stack([(c, _q(c).cast("double")) for c in cols], "v").alias("s")) \
-        .select("class", "s.*").filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    q = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["class", "column"], max_groups=1000 * len(cols))
+    most extreme points inside them (whiskers) and the outlier count.  The
+    values stay in their rows: four passes of counters for the quartiles, one
+    aggregate by class for the rest."""
+    values = df.select(F.col(f"`{class_col}`").cast("string").alias("class"), *[_q(c).cast("double").alias(c) for c in cols])
+    q = column_quantiles(values, cols, [0.25, 0.5, 0.75], ["class"], max_classes, stored=True)
     q = q.select("class", "column", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
-    fences = q.withColumn("lo_f", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-        .withColumn("hi_f", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    j = long.join(bounded_broadcast(fences, 1000 * len(cols)), ["class", "column"])
-    inside = (F.col("v") >= F.col("lo_f")) & (F.col("v") <= F.col("hi_f"))
-    return j.groupBy("class", "column", "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col("v"))).alias("whisker_low"), F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n"))
+    fences = q.withColumn("lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn("hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
+    wide = fences.groupBy(F.col("class").alias("__class")).agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("lo", "hi")))).alias("__f"))
+    joined = values.join(bounded_broadcast(wide, max_classes), F.col("class").eqNullSafe(F.col("__class")))
+    aggs = []
+    for i, c in enumerate(cols):
+        v, fence = _q(c), F.col("__f")[c]
+        known = v.isNotNull() & ~F.isnan(v)
+        inside = known & (v >= fence["lo"]) & (v <= fence["hi"])
+        aggs.append(F.struct(F.lit(c).alias("column"), F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
+                             F.count_if(known & ~inside).alias("n_outliers"), F.count_if(known).alias("n")).alias(f"__a{i}"))
+    found = joined.groupBy("class").agg(*aggs).select(F.col("class").alias("__class"), F.explode(F.array(*[f"__a{i}" for i in range(len(cols))])).alias("a"))
+    same = q["class"].eqNullSafe(found["__class"]) & (q["column"] == found["a"]["column"])
+    return q.join(found, same).select("class", q["column"], "q1", "median", "q3", "a.whisker_low", "a.whisker_high", "a.n_outliers", "a.n")
 
 
 def class_density(df: DataFrame, class_col: str, col: str, grid: int = 100, bins: int = 256) -> DataFrame:

@@ -1,30 +1,29 @@
 """Fit-on-train preprocessing.
 
-``fit`` runs two aggregate passes over the training rows only -- scale
-statistics plus raw population variances, then pairwise Pearson correlations
-of the variance survivors -- and returns a small fitted-statistics table.
+``fit`` reads the training rows only: one aggregate for scale statistics and
+raw population variances, four passes of counters for the quantiles of the
+robust scaler, and one scan for the correlations of the variance survivors.
+It returns a small fitted-statistics table.
 ``transform`` is a single ``select`` whose literals come from that table, so it
 compiles into one codegen stage over any number of rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import pearson
-from tessera.operators.ranks import exact_quantiles
+from tessera.operators.correlation import correlations
+from tessera.operators.radix_select import column_quantiles
+from tessera.session import written
 
 SCALERS = ("robust", "standard", "minmax", "none")
 DEFAULT_VARIANCE_THRESHOLD = 0.8 * (1 - 0.8)
 DEFAULT_CORR_THRESHOLD = 0.95
 DEFAULT_CLIP = (-1e10, 1e10)
-# One aggregate per column pair; beyond this many survivors, correlations are
-# computed from an unpivoted long table instead of one wide aggregate.
-PAIRS_A_PASS = 500
 
 
 def _q(c: str) -> Column:
@@ -41,7 +40,6 @@ class Fitted:
     variance_features: list[str]
     corr_drop: list[str]
     clip_range: tuple[float, float]
-    corr: dict[tuple[str, str], float | None] = field(default_factory=dict)
 
     @property
     def kept(self) -> list[str]:
@@ -90,7 +88,7 @@ def fit_step(rows: DataFrame, splits: DataFrame, features: list[str], label: str
 
 def scale_stat_exprs(c: str, scaler: str) -> list[Column]:
     """Aggregates for the scale statistics (robust quantiles come from
-    ``exact_quantiles`` instead: no single-task value buffer)."""
+    ``column_quantiles`` instead: no single-task value buffer)."""
     x = _q(c).cast("double")
     if scaler == "robust":
         return []
@@ -118,22 +116,26 @@ def _center_scale(row, c: str, scaler: str) -> tuple[float, float]:
 
 def fit(train: DataFrame, features: list[str], scaler: str = "robust",
         variance_threshold: float = DEFAULT_VARIANCE_THRESHOLD, corr_threshold: float = DEFAULT_CORR_THRESHOLD,
-        clip_range: tuple[float, float] = DEFAULT_CLIP) -> Fitted:
+        clip_range: tuple[float, float] = DEFAULT_CLIP, stored: bool = False) -> Fitted:
     """X1-X6 on training rows only.  X5 keeps columns whose *scaled*
     population variance is strictly above the threshold; X6 drops column j
-    when any earlier column i (dropped or not) has |r| > threshold."""
+    when any earlier column i (dropped or not) has |r| > threshold.  ``train``
+    is read six times at most, so it should be stored (``stored=False`` writes
+    its features to the checkpoint folder first)."""
     scaler = str(scaler or "robust").strip().lower()
     if scaler not in SCALERS:
         raise ValueError(f"unknown scaler {scaler!r}: robust, standard, minmax or none")
+    train = train.select(*[_q(c).cast("double").alias(c) for c in features])
+    if not stored:
+        train = written(train, "train")
     aggs = []
     for c in features:
+        aggs.append(F.avg(_q(c)).alias(f"{c}__avg"))
         aggs += scale_stat_exprs(c, scaler)
         aggs.append(F.var_pop(_q(c).cast("double")).alias(f"{c}__var"))
     row = train.agg(*aggs).first().asDict()
     if scaler == "robust":
-        long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("v"))
-                                                for c in features])).alias("s")).select("s.*")
-        for r in exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column"], max_groups=len(features)).collect():
+        for r in column_quantiles(train, features, [0.25, 0.5, 0.75], stored=True).collect():  # one row per feature
             row[f"{r['column']}__q"] = (r["q0"], r["q1"], r["q2"])
     center, scale, variance = {}, {}, {}
     for c in features:
@@ -143,31 +145,10 @@ def fit(train: DataFrame, features: list[str], scaler: str = "robust",
     survivors = [c for c in features if variance[c] > variance_threshold]
     if not survivors:
         raise ValueError(f"no feature has a scaled variance over {variance_threshold}")
-    corr = pairwise_corr(train, survivors)
-    drop = []
-    for j, cj in enumerate(survivors):
-        for ci in survivors[:j]:
-            r = corr.get((ci, cj))
-            if r is not None and r == r and abs(r) > corr_threshold:
-                drop.append(cj)
-                break
-    return Fitted(scaler, list(features), center, scale, variance, survivors, drop, tuple(clip_range), corr)
-
-
-def pairwise_corr(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
-    """Pairwise-complete Pearson r (pandas ``DataFrame.corr``): aggregates
-    over at most ``PAIRS_A_PASS`` pairs.  NaN -> NULL first so NaN behaves like
-    pandas' missing."""
-    pairs = [(a, b) for j, b in enumerate(cols) for a in cols[:j]]
-    if not pairs:
-        return {}
-    clean = {c: F.when(~F.isnan(_q(c).cast("double")), _q(c).cast("double")) for c in cols}
-    found = {}
-    for i in range(0, len(pairs), PAIRS_A_PASS):  # a single aggregate of all pairs would outgrow its plan
-        part = pairs[i : i + PAIRS_A_PASS]
-        row = df.agg(*[pearson(clean[a], clean[b]).alias(f"{k}") for k, (a, b) in enumerate(part)]).first()
-        found |= {p: row[f"{k}"] for k, p in enumerate(part)}
-    return found
+    high = correlations(train, survivors, [row[f"{c}__avg"] for c in survivors]).where(F.abs("r") > corr_threshold)
+    late = {r["j"] for r in high.select("j").distinct().collect()}  # positions of survivors
+    drop = [c for j, c in enumerate(survivors) if j in late]
+    return Fitted(scaler, list(features), center, scale, variance, survivors, drop, tuple(clip_range))
 
 
 def scaled(c: str, fitted: Fitted) -> Column:

@@ -67,6 +67,59 @@ def bucketed_rank(
     return res.drop("__b", "__off", "__ok", "__tot")
 
 
+def hash_cuts(df: DataFrame, order_key: Column, id_col: str, ranks, few: int = 10_000) -> tuple[int, list[tuple[str, str] | None]]:
+    """(rows, cuts): for each rank of ``ranks(rows)`` the (key, id as string)
+    of the row with that 1-based rank by (``order_key``, id); None for rank 0.
+
+    Membership by rank then is a comparison in the scan, and no row moves.
+    ``order_key`` is an md5 hex string.  The first job counts rows by the four
+    leading digits (65,536 counters); only buckets that hold a cut are cut
+    further, four digits at a time, until one has at most ``few`` rows, which
+    are sorted.  Equal keys are equal ids (the key is a hash of the id)."""
+    keyed = df.select(order_key.alias("k"), F.col(f"`{id_col}`").cast("string").alias("i"))
+
+    def counts(rows: DataFrame, width: int) -> dict[str, int]:
+        return {r["p"]: r["n"] for r in rows.groupBy(F.substring("k", 1, width).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    found = counts(keyed, 4)
+    total = sum(found.values())
+    left = {r: ("", r) for r in ranks(total)}  # rank: bucket, rank within
+    levels, done = {"": found}, {}
+    for width in range(4, 33, 4):
+        for r, (bucket, rest) in list(left.items()):
+            for p, n in sorted(levels[bucket].items()):
+                if rest <= n:
+                    left[r] = (p, rest)
+                    break
+                rest -= n
+            if r < 1:
+                done[r] = left.pop(r) and None
+            elif n <= few or width == 32:
+                done[r] = left.pop(r)
+        if not left:
+            break
+        deeper = {p for p, _ in left.values()}
+        levels = {p: {} for p in deeper}
+        inside = counts(keyed.where(F.substring("k", 1, width).isin(*deeper)), width + 4)
+        for p, n in inside.items():
+            levels[p[:width]][p] = n
+    cuts: dict[int, tuple[str, str] | None] = {}
+    buckets = {at[0] for at in done.values() if at}
+    rows: dict[str, list[tuple[str, str]]] = {p: [] for p in buckets}
+    for width in {len(p) for p in buckets if len(p) < 32}:
+        own = [p for p in buckets if len(p) == width]
+        for r in keyed.where(F.substring("k", 1, width).isin(*own)).collect():  # at most ``few`` a cut
+            rows[r.k[:width]].append((r.k, r.i))
+    for r, at in done.items():
+        if at is None:
+            cuts[r] = None
+        elif len(at[0]) == 32:  # one key in more rows than ``few``: equal ids
+            cuts[r] = (at[0], keyed.where(F.col("k") == at[0]).agg(F.max("i")).first()[0])
+        else:
+            cuts[r] = sorted(rows[at[0]], key=lambda x: (x[0], x[1] or ""))[at[1] - 1]
+    return total, [cuts[r] for r in ranks(total)]
+
+
 def _ranged(df: DataFrame, *order: str) -> DataFrame:
     """Rows cut into ranges of ``order``, with the range number ``__bk``.
 
@@ -123,88 +176,3 @@ def running_sum(
     for c in value_cols:
         j = j.withColumn(f"{c}{suffix}", F.col(f"__o_{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0)))
     return j.drop("__bk", *[f"__o_{c}" for c in value_cols])
-
-
-def exact_quantiles(
-    df: DataFrame,
-    value_col: str,
-    probs: list[float],
-    group_cols: list[str] | tuple[str, ...] = (),
-    max_groups: int = 1024,
-    prefix: str = "q",
-) -> DataFrame:
-    """Exact linear-interpolated quantiles (numpy ``percentile`` / DuckDB
-    ``quantile_cont``) per group, without buffering a group in one task.
-
-    ``percentile`` keeps every value of a group in one aggregation buffer; a
-    group holding a third of the rows would sit in one task.  Here:
-
-    1. values are folded to (group, distinct value, count) with a map-side
-       combine;
-    2. the distinct values are cut into ranges of (group, value) and the
-       counts per (group, range) are collected: at most groups + ranges rows,
-       and the groups are counted against ``max_groups``;
-    3. the driver locates, for every requested rank floor/ceil((n-1)*p), the
-       bucket holding it and the count before that bucket;
-    4. only those few buckets are ranked (running count inside the bucket),
-       and the order statistics are interpolated.
-
-    Output: group columns + ``{prefix}0, {prefix}1, ...``.
-    """
-    import math
-
-    spark = df.sparkSession
-    groups = list(group_cols)
-    v = F.col(value_col).cast("double")
-    base = df.select(*groups, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    key = F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
-    vc = base.groupBy(*groups, "__v").agg(F.count(F.lit(1)).alias("__c")).withColumn("__pk", key)
-    keyed = _ranged(vc, "__pk", "__v")
-    counts: dict[str, dict[int, int]] = {}
-    per_range = keyed.groupBy("__pk", "__bk").agg(F.sum("__c").alias("n"))
-    n_groups = per_range.select("__pk").distinct().limit(max_groups + 1).count() if groups else 1
-    if n_groups > max_groups:
-        raise ValueError(f"quantiles for more than {max_groups} groups: raise max_groups")
-    for r in per_range.collect():
-        counts.setdefault(r["__pk"], {})[r["__bk"]] = r["n"]
-    targets, ranks = set(), []
-    for pk, per in counts.items():
-        order = sorted(per)
-        n = sum(per.values())
-        starts, acc = {}, 0
-        for b in order:
-            starts[b] = acc
-            acc += per[b]
-
-        def locate(rank):
-            for b in order:
-                if starts[b] <= rank < starts[b] + per[b]:
-                    return b
-            return order[-1]
-
-        for i, p in enumerate(probs):
-            h = (n - 1) * float(p)
-            lo, hi = math.floor(h), math.ceil(h)
-            for rk in (lo, hi):
-                b = locate(rk)
-                targets.add((pk, b, starts[b]))
-            ranks.append((pk, i, lo, hi, h - lo))
-    if not ranks:
-        schema = ", ".join([f"{g} string" for g in groups] + [f"{prefix}{i} double" for i in range(len(probs))])
-        return spark.createDataFrame([], schema)
-    tdf = spark.createDataFrame(sorted(targets), "__tpk string, __tbk int, __off long")
-    sel = keyed.join(bounded_broadcast(tdf, 2 * len(probs) * max_groups),
-                     (F.col("__pk") == F.col("__tpk")) & (F.col("__bk") == F.col("__tbk")))
-    w = Window.partitionBy("__pk", "__bk").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    sel = sel.withColumn("__before", F.col("__off") + F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    rdf = spark.createDataFrame(ranks, "__rpk string, __i int, __lo long, __hi long, __d double")
-    j = sel.join(bounded_broadcast(rdf, len(probs) * max_groups), F.col("__pk") == F.col("__rpk"))
-    start, end = F.col("__before"), F.col("__before") + F.col("__c") - 1
-    picked = j.groupBy("__pk", *groups, "__i").agg(
-        F.max(F.when((F.col("__lo") >= start) & (F.col("__lo") <= end), F.col("__v"))).alias("__vl"),
-        F.max(F.when((F.col("__hi") >= start) & (F.col("__hi") <= end), F.col("__v"))).alias("__vh"),
-        F.first("__d").alias("__d"))
-    val = F.col("__vl") + (F.col("__vh") - F.col("__vl")) * F.col("__d")
-    wide = picked.groupBy("__pk", *groups).agg(*[F.max(F.when(F.col("__i") == i, val)).alias(f"{prefix}{i}")
-                                                  for i in range(len(probs))]).drop("__pk")
-    return wide

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import hash_key
 from tessera.operators import curate as C
 from tessera.operators import eda as E
-from tessera.operators.ranks import exact_quantiles
+from tessera.operators.radix_select import exact_quantiles
 from tessera.plans import register
 from tessera.sources.tables import table
 

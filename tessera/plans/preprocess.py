@@ -10,7 +10,7 @@ from tessera.operators.align import row_overlap
 from tessera.operators.split import random_holdout
 from tessera.plans import register
 from tessera.plans.splits import _holdout_sql
-from tessera.session import cut_lineage
+from tessera.session import written
 from tessera.sources.tables import LINEITEM_KEY_SQL, ROW_INDEX, lineitem_rows
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_gross", "l_disc10"]
@@ -24,12 +24,12 @@ def _features(spark, sf_dir):
 
 
 def _with_split(spark, sf_dir):
-    """Features joined with their split, checkpointed once into the shared
-    checkpoint folder: the fit makes two aggregate passes and the transform a
-    third, and none of them should recompute the split (lineage cut, so a
-    lost executor re-reads the checkpoint instead of re-ranking)."""
+    """Features joined with their split, written once to the shared checkpoint
+    folder: the fit makes several passes and the transform another, and none of
+    them should recompute the split (a lost executor re-reads the table instead
+    of re-ranking)."""
     f = _features(spark, sf_dir)
-    return cut_lineage(random_holdout(f, test_size=0.2, val_size=0.1, seed=42, keep_columns=True))
+    return written(random_holdout(f, test_size=0.2, val_size=0.1, seed=42, keep_columns=True), "split")
 
 
 BASE_SQL = (f"base AS (SELECT {LINEITEM_KEY_SQL} AS rid, l_quantity, l_extendedprice, l_discount, l_tax, "
@@ -98,7 +98,7 @@ VAR_T = {"robust": X.DEFAULT_VARIANCE_THRESHOLD, "standard": X.DEFAULT_VARIANCE_
 def _fit_query(scaler: str, cols: str):
     def q(spark, sf_dir):
         d = _with_split(spark, sf_dir)
-        fitted = X.fit(d.filter(F.col("split") == "train"), FEATURES, scaler=scaler, variance_threshold=VAR_T[scaler])
+        fitted = X.fit(d.filter(F.col("split") == "train"), FEATURES, scaler=scaler, variance_threshold=VAR_T[scaler], stored=True)
         t = fitted.table(spark)
         t = t.select("feature", "scaler", F.round("center", 6).alias("center"), F.round("scale", 6).alias("scale"),
                      F.round("scaled_variance", 6).alias("scaled_variance"), "passes_variance", "corr_dropped")
@@ -141,7 +141,7 @@ def _transform_query(scaler: str, full_fit: bool = False):
     def q(spark, sf_dir):
         d = _with_split(spark, sf_dir)
         fitted = X.fit(d if full_fit else d.filter(F.col("split") == "train"), FEATURES, scaler=scaler,
-                       variance_threshold=VAR_T[scaler])
+                       variance_threshold=VAR_T[scaler], stored=True)
         t = X.transform(d, fitted, keep=["split"])
         long = t.select("split", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("v"))
                                                      for c in fitted.kept])).alias("s")).select("split", "s.*")
@@ -160,7 +160,7 @@ register("x9_full_data_fit_transform", _transform_sql("robust", "true"))(_transf
           + "\nSELECT feature, round(scaled_variance, 6) AS scaled_variance, passes_variance FROM fit")
 def x5(spark, sf_dir):
     d = _with_split(spark, sf_dir).filter(F.col("split") == "train")
-    fitted = X.fit(d, FEATURES, scaler="robust", variance_threshold=0.3)
+    fitted = X.fit(d, FEATURES, scaler="robust", variance_threshold=0.3, stored=True)
     return fitted.table(spark).select("feature", F.round("scaled_variance", 6).alias("scaled_variance"),
                                       "passes_variance")
 
@@ -169,7 +169,7 @@ def x5(spark, sf_dir):
           + "\nSELECT feature, passes_variance, corr_dropped FROM fit")
 def x6(spark, sf_dir):
     d = _with_split(spark, sf_dir).filter(F.col("split") == "train")
-    fitted = X.fit(d, FEATURES, scaler="standard", corr_threshold=0.9)
+    fitted = X.fit(d, FEATURES, scaler="standard", corr_threshold=0.9, stored=True)
     return fitted.table(spark).select("feature", "passes_variance", "corr_dropped")
 
 

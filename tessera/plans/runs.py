@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import runs as R
-from tessera.operators.ranks import exact_quantiles, rank_within_key
+from tessera.operators.radix_select import exact_quantiles
+from tessera.operators.ranks import rank_within_key
 from tessera.functions.scalar import elapsed_seconds
 from tessera.plans import register
 from tessera.sources.tables import table

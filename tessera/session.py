@@ -10,6 +10,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,6 +67,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def import_in_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it
+    (on a cluster: a path that all nodes have, or ship it with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
+def written(df, tag: str = "rows"):
+    """Cut lineage with a Parquet table in the shared checkpoint folder: read
+    back by column, so passes over some columns read only those.  The folder
+    goes when the driver ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tessera/{tag}-{uuid.uuid4().hex}"
+    atexit.register(_remove_quietly, spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove_quietly(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    try:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception as exc:  # at interpreter exit only: the JVM may be gone
+        print(f"left behind: {path}: {exc}")
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (never local).
 

@@ -24,14 +24,12 @@ def lineitem_key():
     """Natural row id of lineitem (P20).  (l_orderkey, l_linenumber) is not
     unique in the test data; (l_orderkey, l_linenumber, l_partkey, l_suppkey)
     is.  Padded with zeros, so up to the given widths string order is numeric
-    order; a longer key is kept whole (``format_string`` pads, never cuts)."""
-    return F.concat_ws(
-        "-",
-        F.format_string("%012d", F.col("l_orderkey").cast("long")),
-        F.col("l_linenumber").cast("string"),
-        F.format_string("%010d", F.col("l_partkey").cast("long")),
-        F.format_string("%010d", F.col("l_suppkey").cast("long")),
-    )
+    order; a longer key is kept whole."""
+    def padded(c: str, width: int):
+        digits = F.col(c).cast("long").cast("string")
+        return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+    return F.concat_ws("-", padded("l_orderkey", 12), F.col("l_linenumber").cast("string"), padded("l_partkey", 10), padded("l_suppkey", 10))
 
 
 # DuckDB twin of ``lineitem_key`` for oracle SQL.
