@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.operators.ranks import bounded_broadcast
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -160,93 +159,6 @@ def set_similarity(c: Column, a: Column, b: Column, n: Column | None = None, met
     raise ValueError(metric)
 
 
-def overlap_counts(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, bits: str = "bits",
-                   max_query_bits: int = 5_000_000) -> DataFrame:
-    """(q_id, c_id, c, a, b) for every pair sharing at least one on-bit.
-
-    Inverted index: explode (id, bit) on both sides and equi-join on bit.  The
-    query side is broadcast only when its exploded size is under
-    ``max_query_bits`` (counted first); otherwise the join shuffles on the
-    bit, with AQE splitting hot bits.  Pair counts are aggregated with a
-    map-side combine.
-    """
-    qb = queries.select(F.col(q_id).alias("__q"), F.size(bits).alias("__a"), F.explode(bits).alias("__bit"))
-    cb = corpus.select(F.col(c_id).alias("__c"), F.size(bits).alias("__b"), F.explode(bits).alias("__bit"))
-    n_q = qb.count()
-    qside = bounded_broadcast(qb, n_q, limit=max_query_bits)
-    pairs = cb.join(qside, "__bit").groupBy("__q", "__c").agg(
-        F.count(F.lit(1)).alias("c"), F.first("__a").alias("a"), F.first("__b").alias("b"))
-    return pairs.withColumnRenamed("__q", q_id).withColumnRenamed("__c", c_id)
-
-
-def overlap_counts_indexed(queries: DataFrame, corpus: DataFrame, q_id: str, c_id: str, n_bits: int,
-                           bits: str = "bits", max_query_bits: int = 2_000_000, top_k: int | None = None) -> DataFrame | None:
-    """Same result as ``overlap_counts`` without exploding and shuffling the
-    corpus.
-
-    The query side's inverted index (bit -> query positions, CSR arrays) is
-    size-checked (at most ``max_query_bits`` (query, bit) pairs) and shipped
-    with the task closure.  Each Arrow batch of corpus rows looks its bits up
-    in the index and counts hits per query with ``numpy.bincount``; only
-    (row, query) pairs that share a bit are emitted.  With ``top_k`` a batch
-    emits, per query, only pairs whose Tanimoto similarity is among the batch's
-    ``top_k`` largest (ties included), which loses none of the corpus's
-    ``top_k``.  Returns None when the
-    query side is too large; the caller then uses the shuffle join of
-    ``overlap_counts``.
-    """
-    import numpy as np
-
-    qb = queries.select(F.col(q_id).alias("__q"), F.explode(bits).alias("__bit"))
-    if qb.count() > max_query_bits:
-        return None
-    q_rows = queries.select(q_id, F.size(bits).alias("a")).orderBy(q_id).collect()
-    q_ids = np.array([r[q_id] for r in q_rows], dtype=np.int64)
-    q_sizes = np.array([r["a"] for r in q_rows], dtype=np.int64)
-    pos = {r[q_id]: i for i, r in enumerate(q_rows)}
-    per_bit: list[list[int]] = [[] for _ in range(n_bits)]
-    for r in qb.collect():
-        per_bit[r["__bit"]].append(pos[r["__q"]])
-    offsets = np.zeros(n_bits + 1, dtype=np.int64)
-    offsets[1:] = np.cumsum([len(v) for v in per_bit])
-    members = np.array([i for v in per_bit for i in v], dtype=np.int64)
-    n_q = len(q_rows)
-
-    def count(batches):
-        for pdf in batches:
-            out_q, out_c, out_n, out_b = [], [], [], []
-            for cid, arr in zip(pdf[c_id].to_numpy(), pdf[bits]):
-                b = np.asarray(arr, dtype=np.int64)
-                if b.size == 0:
-                    continue
-                lo, hi = offsets[b], offsets[b + 1]
-                lens = hi - lo
-                if lens.sum() == 0:
-                    continue
-                idx = np.repeat(lo - np.cumsum(np.r_[0, lens[:-1]]), lens) + np.arange(lens.sum())
-                counts = np.bincount(members[idx], minlength=n_q)
-                nz = np.nonzero(counts)[0]
-                out_q.append(nz)
-                out_c.append(counts[nz])
-                out_n.append(np.full(nz.size, cid, dtype=np.int64))
-                out_b.append(np.full(nz.size, b.size, dtype=np.int64))
-            if out_q:
-                qi, hits, sizes = np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_b)
-                out = pd.DataFrame({q_id: q_ids[qi], c_id: np.concatenate(out_n), "c": hits, "a": q_sizes[qi], "b": sizes})
-                if top_k is not None:
-                    score = hits / (q_sizes[qi] + sizes - hits)
-                    by_query = np.lexsort((-score, qi))
-                    first = np.flatnonzero(np.diff(qi[by_query], prepend=-1))
-                    last = np.minimum(first + top_k, np.append(first[1:], len(qi))) - 1
-                    least = np.zeros(n_q)
-                    least[qi[by_query[first]]] = score[by_query[last]]
-                    out = out[score >= least[qi]]
-                yield out
-
-    schema = f"{q_id} long, {c_id} long, c long, a long, b long"
-    return corpus.select(F.col(c_id).cast("long").alias(c_id), bits).mapInPandas(count, schema)
-
-
 def top_k_neighbours(pairs: DataFrame, q_id: str, c_id: str, score: str, k: int = 5) -> DataFrame:
     """Top-k per query by score (ties by id).  ``row_number <= k`` lets
     Catalyst insert a per-partition WindowGroupLimit before the shuffle, so

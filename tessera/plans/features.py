@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tessera.operators import features as V
 from tessera.operators.ranks import rank_within_key
+from tessera.operators.similarity import overlap_counts, similarity_join
 from tessera.operators.split import group_holdout
 from tessera.plans import register
 from tessera.plans.flagship import greedy_group_split_sql
@@ -179,9 +180,7 @@ sims AS (SELECT *, c / (a + b - c) AS tanimoto, 2.0 * c / (a + b) AS dice, c / s
 def similarity_pairs(spark, sf_dir, top_k=None):
     q = doc_bits(spark, sf_dir, "benchmark", "item_id")
     c = doc_bits(spark, sf_dir)
-    pairs = V.overlap_counts_indexed(q, c, "item_id", "doc_id", n_bits=2048, top_k=top_k)
-    if pairs is None:  # query side above the broadcast bound: shuffle join on the bit
-        pairs = V.overlap_counts(q, c, "item_id", "doc_id")
+    pairs = overlap_counts(q, c, "item_id", "doc_id", top_k=top_k)
     metrics = ["tanimoto", "dice", "cosine", "sokal", "russel", "kulczynski", "mcconnaughey", "tversky"]
     return pairs.select("*", *[V.set_similarity(F.col("c"), F.col("a"), F.col("b"), F.lit(2048), m).alias(m)
                                for m in metrics])
@@ -210,6 +209,23 @@ def v12(spark, sf_dir):
                       F.round("tanimoto", 6).alias("tanimoto"))
 
 
+SELF_THRESHOLD = 0.9
+SELF_SQL = "WITH " + _bits_sql("documents", "doc_id") + f""",
+sets AS (SELECT bits, min(id) AS id, len(bits) AS n FROM fb WHERE len(bits) > 0 GROUP BY bits),
+strings AS (SELECT any_value(id) AS id, any_value(n) AS n, bitstring_agg(bit, 0, 2047) AS s FROM (SELECT id, n, unnest(bits) AS bit FROM sets) GROUP BY id),
+found AS (SELECT x.id AS a_id, y.id AS b_id, x.n AS a, y.n AS b, CAST(bit_count(x.s & y.s) AS BIGINT) AS c FROM strings x JOIN strings y
+          ON x.id < y.id AND least(x.n, y.n) >= {SELF_THRESHOLD} * greatest(x.n, y.n))"""
+
+
+@register("v10_similarity_join_documents", SELF_SQL + f"""
+SELECT a_id, b_id, a, b, c, round(c / (a + b - c), 6) AS similarity FROM found WHERE c / (a + b - c) >= {SELF_THRESHOLD}""")
+def v10_self(spark, sf_dir):
+    """All documents against all: pairs of different fingerprints that are
+    similar, by the smallest doc_id that has each."""
+    pairs, _, _ = similarity_join(doc_bits(spark, sf_dir), "doc_id", threshold=SELF_THRESHOLD)
+    return pairs.withColumn("similarity", F.round("similarity", 6))
+
+
 # ------------------------------------------------------------ V13-V14
 
 # The pattern catalogue used by the catalogue-flag query.

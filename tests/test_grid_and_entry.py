@@ -48,4 +48,4 @@ def test_entry_contract(spark):
     corpus = sorted(set(q) - set(QUERIES))
     assert not [name for name in QUERIES if name == "pipeline" or name.startswith("op")]
     present = os.path.isdir(os.path.join(REPO, "tessera", "llm")) and os.path.exists(os.path.join(REPO, "corpus_pipeline.py"))
-    assert sorted(name.split("_")[0] for name in corpus) == (sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"]) if present else [])
+    assert sorted(name.split("_")[0] for name in corpus) == (sorted([*(f"op{n}" for n in range(1, 14)), "pipeline"]) if present else [])
