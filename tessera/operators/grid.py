@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.bijection import permute
+
 DEFAULT_MAX_CASES = 10_000
 # Keys removed before hashing a runtime config (G5) and, in addition, the
 # execution-slice indices removed for the scientific id.
@@ -28,19 +31,21 @@ def sanitize(c: Column) -> Column:
 
 
 def axes_row(axes: dict[str, DataFrame], max_cases: int = DEFAULT_MAX_CASES) -> DataFrame:
-    """One row: map axis -> sorted distinct values.  Each axis is a one-column
-    DataFrame derived from data; the union is folded without joins.  Axis
-    sizes are checked first (distinct counts, one small job), so no axis
-    larger than the grid limit is ever gathered into an array."""
+    """One local row: map axis -> sorted distinct values.  Each axis is a
+    one-column DataFrame derived from data; at most ``max_cases`` + 1 values of
+    an axis leave its distinct, so no axis larger than the grid limit is ever
+    gathered.  Nulls are no values."""
     long = reduce(lambda a, b: a.unionByName(b), [
-        df.select(F.lit(name).alias("axis"), F.col(df.columns[0]).cast("string").alias("value")).distinct()
+        df.select(F.lit(name).alias("axis"), F.col(f"`{df.columns[0]}`").cast("string").alias("value")).where("value is not null").distinct().limit(max_cases + 1)
         for name, df in axes.items()])
-    sizes = {r["axis"]: r["n"] for r in long.groupBy("axis").agg(F.count(F.lit(1)).alias("n")).collect()}
-    too_big = {a: n for a, n in sizes.items() if n > max_cases}
+    values: dict[str, list[str]] = {name: [] for name in axes}
+    for r in long.collect():
+        values[r["axis"]].append(r["value"])
+    too_big = sorted(a for a, v in values.items() if len(v) > max_cases)
     if too_big:
         raise ValueError(f"grid axes above max_cases={max_cases}: {too_big}")
-    per = long.groupBy("axis").agg(F.array_sort(F.collect_set("value")).alias("values"))
-    return per.agg(F.map_from_entries(F.collect_list(F.struct("axis", "values"))).alias("axes"))
+    spark = next(iter(axes.values())).sparkSession
+    return spark.createDataFrame([({a: sorted(v, key=lambda x: x.encode()) for a, v in values.items()},)], "axes map<string,array<string>>")
 
 
 def size_guard(row: DataFrame, names: list[str], max_cases: int = DEFAULT_MAX_CASES) -> int:
@@ -56,18 +61,40 @@ def size_guard(row: DataFrame, names: list[str], max_cases: int = DEFAULT_MAX_CA
     return total
 
 
+def decoded(numbers: DataFrame, values: dict[str, list[str]]) -> DataFrame:
+    """A number column ``combo_index`` decoded to factor values: mixed radix
+    over the axes in name order, the first the slowest."""
+    out, stride = numbers, 1
+    for n in sorted(values, reverse=True):
+        at = F.expr(f"int((combo_index div {stride}) % {len(values[n])})")
+        out = out.withColumn(n, F.get(F.lit(values[n]), at))
+        stride *= len(values[n])
+    return out.select("combo_index", *[F.col(f"`{n}`") for n in sorted(values)])
+
+
 def expand(row: DataFrame, names: list[str]) -> DataFrame:
     """Cartesian product of the axes, axes in sorted name order, with the
-    product position ``combo_index`` (first axis slowest) computed from the
-    value positions -- an ``explode`` chain on one row, no join."""
-    names = sorted(names)
-    out = row
+    product position ``combo_index``: each row decodes its own number.  The
+    size guard bounds the rows, so they are one partition, and what is numbered
+    or grouped over the grid needs no shuffle."""
+    axes = row.first()["axes"]
+    total = 1
     for n in names:
-        out = out.select("*", F.posexplode(F.col("axes")[n]).alias(f"__p_{n}", n))
-    idx = F.lit(0)
+        total *= len(axes[n])
+    numbers = row.sparkSession.range(0, total, 1, 1).select(F.col("id").alias("combo_index"))
+    return decoded(numbers, {n: axes[n] for n in names})
+
+
+def draw_cases(row: DataFrame, names: list[str], k: int, seed: int = 42) -> DataFrame:
+    """k different cases of the grid (all, if there are fewer) without
+    expanding it: drawn numbers (``draw`` is their order), decoded."""
+    axes = row.first()["axes"]
+    total = 1
     for n in names:
-        idx = idx * F.size(F.col("axes")[n]) + F.col(f"`__p_{n}`")
-    return out.withColumn("combo_index", idx.cast("long")).drop("axes", *[f"__p_{n}" for n in names])
+        total *= len(axes[n])
+    drawn = [(i, int(x)) for i, x in enumerate(permute(np.arange(min(k, total)), total, seed))]
+    numbers = row.sparkSession.createDataFrame(drawn, "draw int, combo_index long")
+    return decoded(numbers.select("combo_index"), {n: axes[n] for n in names}).join(numbers, "combo_index")
 
 
 def overlay(defaults: dict[str, str], factors: Column) -> Column:
@@ -100,10 +127,8 @@ def scientific_id(m: Column) -> Column:
     return F.sha2(canonical(m, VOLATILE_KEYS + SLICE_KEYS), 256)
 
 
-def execution_slices(cases: DataFrame, merged: str = "merged") -> DataFrame:
-    """CV -> repeats x folds; nested (inner stage) the same on the inner
-    keys; otherwise one slice.  Adds the slice factors to the merged map."""
-    m = F.col(merged)
+def _slice_numbers(m: Column) -> tuple[Column, Column, Column, Column, Column, Column]:
+    """(mode, stage, is CV, is inner CV, folds, repeats) of a merged config."""
     mode = F.lower(F.trim(get_dotted(m, "split.mode", "holdout")))
     stage = F.lower(F.trim(get_dotted(m, "split.stage", "inner")))
     cv = mode == "cv"
@@ -114,6 +139,20 @@ def execution_slices(cases: DataFrame, merged: str = "merged") -> DataFrame:
         .cast("int")
     n_f = F.greatest(F.coalesce(folds, F.lit(1)), F.lit(1))
     n_r = F.greatest(F.coalesce(reps, F.lit(1)), F.lit(1))
+    return mode, stage, cv, inner, n_f, n_r
+
+
+def execution_count(m: Column) -> Column:
+    """Slices of a merged config, without expanding them."""
+    *_, n_f, n_r = _slice_numbers(m)
+    return (n_f * n_r).cast("long")
+
+
+def execution_slices(cases: DataFrame, merged: str = "merged") -> DataFrame:
+    """CV -> repeats x folds; nested (inner stage) the same on the inner
+    keys; otherwise one slice.  Adds the slice factors to the merged map."""
+    m = F.col(merged)
+    mode, stage, cv, inner, n_f, n_r = _slice_numbers(m)
     out = cases.withColumn("execution_count", (n_f * n_r).cast("long")) \
         .withColumn("__slice", F.explode(F.sequence(F.lit(0), n_f * n_r - 1)))
     r = (F.col("__slice") / n_f).cast("int")

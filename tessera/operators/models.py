@@ -2,27 +2,33 @@
 
 Estimators are built from a registry (B4).  A fit step scores the whole split
 table in one ``transform`` (not once per split); metrics come from the exact
-metric operators.  Permutation importance shuffles a column by joining its
-values in hash order back onto the rows in id order -- all repeats and
-columns in one job.
+metric operators.  Permutation importance moves feature values by a keyed
+bijection of stored row ranks, all repeats and columns in one job; the search
+draws settings from a numbered space and scores them on one fold table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        RandomForestClassifier)
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash_key
+from tessera.functions.bijection import draw, permute
 from tessera.operators.metrics import auc_ap, classification_counts, regression_metrics
 from tessera.operators.ranks import bucketed_rank
+from tessera.operators.split import repeated_kfold
+from tessera.session import import_in_workers, written
 from tessera.sources.tables import ROW_INDEX
 
 # Model registry.  No RBF kernel SVM / SVR in Spark: ``svm`` is linear.
@@ -96,30 +102,78 @@ def ensemble(scored: list[DataFrame], id_col: str, pred_col: str) -> DataFrame:
 def permutation_importance(model: PipelineModel, df: DataFrame, feature_cols: list[str], label: str, task: str,
                            n_repeats: int = 10, seed: int = 42, id_col: str = ROW_INDEX) -> DataFrame:
     """Per feature, mean drop of R^2 (regression) or AUROC when the
-    column is permuted.  Permutation r of column c: the value at hash-order
-    rank k moves to the row at id-order rank k (both ranks bucketed, no
-    single-partition sort).  All (column, repeat) copies are scored in one
-    transform and one grouped metric."""
-    base_rank = bucketed_rank(df, F.md5(F.col(id_col).cast("string")), tie_cols=[id_col], out="__rid")
-    copies = []
-    for c in feature_cols:
-        for r in range(n_repeats):
-            donors = bucketed_rank(df.select(id_col, F.col(c).alias("__v")), hash_key(seed + r, F.lit(c), id_col),
-                                   tie_cols=[id_col], out="__rid").select("__rid", "__v")
-            shuffled = base_rank.join(donors, "__rid").withColumn(c, F.col("__v")).drop("__v", "__rid")
-            copies.append(shuffled.withColumn("__perm", F.lit(f"{c}|{r}")))
-    allc = copies[0]
-    for x in copies[1:]:
-        allc = allc.unionByName(x)
-    scored = score(model, allc, task)
-    pred = "pred_0" if task == "regression" else "pred_proba"
+    column is permuted, greatest first.
+
+    Rows are ranked once and stored.  In repeat r the values of rank i go to
+    the row of rank p_r(i), a keyed bijection of the ranks, so one shuffle of
+    feature values by rank serves all features: a feature's permuted copy
+    differs from the row in that feature only."""
+    spark = df.sparkSession
+    import_in_workers(spark)
+    features = [F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(feature_cols)]
+    ranked = bucketed_rank(df.select(id_col, F.col(label).alias("__y"), *features), F.md5(F.col(id_col).cast("string")), tie_cols=[id_col], out="__rank")
+    ranked = written(ranked, "ranked")
+    n, width = ranked.count(), len(feature_cols)
+
+    def donate(batches):
+        for b in batches:
+            rank = b.column(0).to_numpy() - 1
+            for r in range(n_repeats):
+                to = permute(rank, n, seed + r)
+                yield pa.RecordBatch.from_arrays([pa.array(to + 1), pa.array(np.full(len(to), r, np.int32)), *b.columns[1:]], ["__to", "__r", *[f"d{i}" for i in range(width)]])
+
+    schema = ", ".join(["__to long", "__r int", *[f"d{i} double" for i in range(width)]])
+    donors = ranked.select("__rank", *[f"f{i}" for i in range(width)]).mapInArrow(donate, schema)
+    variants = [
+        F.struct(F.lit(j).alias("__f"), *[F.col(f"d{i}" if i == j else f"f{i}").alias(c) for i, c in enumerate(feature_cols)]) for j in range(width)
+    ]
+    rows = ranked.join(donors, F.col("__rank") == F.col("__to")).select(F.col("__y").alias(label), "__r", F.explode(F.array(*variants)).alias("__v"))
+    rows = rows.select(label, (F.col("__r") * width + F.col("__v")["__f"]).alias("__perm"), *[F.col("__v")[c].alias(c) for c in feature_cols])
+    plain = ranked.select(F.col("__y").alias(label), *[F.col(f"f{i}").alias(c) for i, c in enumerate(feature_cols)])
     if task == "regression":
-        m = regression_metrics(scored, label, pred, by="__perm").select(F.col("__perm"), F.col("r2").alias("m"))
-        base = regression_metrics(score(model, df, task), label, pred).select(F.col("r2").alias("base"))
+        m = regression_metrics(score(model, rows, task), label, "pred_0", by="__perm").select("__perm", F.col("r2").alias("m"))
+        base = regression_metrics(score(model, plain, task), label, "pred_0").select(F.col("r2").alias("base"))
     else:
-        m = auc_ap(scored, label, pred, by="__perm", max_groups=len(feature_cols) * n_repeats).select(F.col("__perm"), F.col("auc").alias("m"))
-        base = auc_ap(score(model, df, task), label, pred).select(F.col("auc").alias("base"))
-    per = m.join(base, how="inner").select(F.split("__perm", r"\|")[0].alias("feature"),
-                                           (F.col("base") - F.col("m")).alias("drop"))
-    return per.groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
-                                      F.stddev_pop("drop").alias("importance_std"))
+        m = auc_ap(score(model, rows, task), label, "pred_proba", by="__perm", max_groups=width * n_repeats).select("__perm", F.col("auc").alias("m"))
+        base = auc_ap(score(model, plain, task), label, "pred_proba").select(F.col("auc").alias("base"))
+    name = F.get(F.lit(list(feature_cols)), (F.col("__perm") % width).cast("int"))
+    per = m.join(base, how="inner").select(name.alias("feature"), (F.col("base") - F.col("m")).alias("drop"))
+    out = per.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
+    return out.orderBy(F.desc("importance_mean"), "feature")
+
+
+def top_importances(importances: DataFrame, k: int = 20) -> DataFrame:
+    """The k most important features (feature, importance), ties by name."""
+    return importances.select("feature", "importance").orderBy(F.desc("importance"), "feature").limit(k)
+
+
+def benchmark_summary(runs: DataFrame, by: str, metrics: list[str]) -> DataFrame:
+    """Mean and population standard deviation of each metric over the
+    runs (seeds) of each ``by``; runs without a value do not count."""
+    aggs = [x for m in metrics for x in (F.avg(m).alias(f"{m}_mean"), F.stddev_pop(m).alias(f"{m}_std"))]
+    return runs.groupBy(by).agg(F.count(F.lit(1)).alias("n_runs"), *aggs)
+
+
+def sampled_search(train: DataFrame, feature_cols: list[str], label: str, model_type: str, task: str, space: dict[str, list], n_draws: int = 100,
+                   folds: int = 5, seed: int = 42, id_col: str = ROW_INDEX, parallelism: int = 4) -> DataFrame:
+    """M6: ``n_draws`` settings drawn without replacement from the product of
+    ``space`` (all of them, if there are fewer), each scored by cross
+    validation on one stored fold table: mean R^2, or mean accuracy.  One row
+    per draw (draw, params, mean_score), best first, ties in drawn order.  The
+    space is numbered, not expanded."""
+    names = sorted(space)
+    if not names or not all(space[n] for n in names):
+        raise ValueError("every searched parameter needs a value")
+    est = build(model_type, task, seed, label)
+    drawn = [{n: space[n][i] for n, i in zip(names, at)} for at in draw([len(space[n]) for n in names], n_draws, seed)]
+    table = repeated_kfold(train.select(id_col), k=folds, repeats=1, seed=seed, id_col=id_col).select(id_col, F.col("fold").cast("int").alias("__fold"))
+    rows = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="skip").transform(train.select(id_col, label, *feature_cols))
+    rows = written(rows.select(id_col, label, "features").join(table, id_col).drop(id_col), "folds")
+    if task == "regression":
+        judge = RegressionEvaluator(labelCol=label, metricName="r2")
+    else:
+        judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    maps = [{est.getParam(n): v for n, v in d.items()} for d in drawn]
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=judge, numFolds=folds, foldCol="__fold", parallelism=parallelism)
+    found = [(i, {n: str(v) for n, v in d.items()}, float(m)) for i, (d, m) in enumerate(zip(drawn, cv.fit(rows).avgMetrics))]
+    return train.sparkSession.createDataFrame(found, "draw int, params map<string,string>, mean_score double").orderBy(F.desc("mean_score"), "draw")

@@ -63,19 +63,17 @@ def grid_parents(spark, sf_dir):
     c = c.withColumn("factors", factors).withColumn("config", G.overlay(DEFAULTS, rendered))
     c = c.withColumn("scientific_config_id", G.scientific_id(F.col("config")))
     # Parent dedupe: the first combination (product order) per scientific id.
-    first = c.groupBy("scientific_config_id").agg(F.min("combo_index").alias("__first"))
-    kept = c.join(first, "scientific_config_id").filter(F.col("combo_index") == F.col("__first")).drop("__first")
+    first = F.min("combo_index").over(Window.partitionBy("scientific_config_id"))
+    kept = c.withColumn("__first", first).filter(F.col("combo_index") == F.col("__first")).drop("__first")
     return G.numbered(kept, "combo_index", "parent_%04d", "parent_case_id")
 
 
 def grid_cases(spark, sf_dir):
     p = grid_parents(spark, sf_dir)
-    s = G.execution_slices(p, "config")
-    # case numbering runs over all slices in parent order (grid is bounded by G11)
+    # cases are numbered in parent order: a parent's first number is the slices of those before it
     w = Window.orderBy("combo_index").rowsBetween(Window.unboundedPreceding, -1)
-    per_parent = s.select("combo_index", "execution_count").distinct()
-    per_parent = per_parent.withColumn("__off", F.coalesce(F.sum("execution_count").over(w), F.lit(0)))
-    s = s.join(per_parent.select("combo_index", "__off"), "combo_index")
+    p = p.withColumn("__off", F.coalesce(F.sum(G.execution_count(F.col("config"))).over(w), F.lit(0)))
+    s = G.execution_slices(p, "config")
     s = s.withColumn("case_index", F.col("__off") + F.col("slice_index") + 1).drop("__off")
     s = s.withColumn("case_id", F.format_string("case_%04d", F.col("case_index")))
     m = F.col("config")
@@ -96,8 +94,7 @@ def grid_cases(spark, sf_dir):
     ]
     s = s.withColumn("issues", G.rule_issues(rules))
     # D7 on the runtime config: a later case rendering an already seen config is skipped.
-    firstfp = s.groupBy("config_fingerprint").agg(F.min("case_index").alias("__ff"))
-    s = s.join(firstfp, "config_fingerprint")
+    s = s.withColumn("__ff", F.min("case_index").over(Window.partitionBy("config_fingerprint")))
     dup = F.col("case_index") != F.col("__ff")
     dup_issue = F.array(F.struct(F.lit("DOE_DUPLICATE_CONFIG").alias("code"), F.lit("search_space").alias("path"),
                                  F.lit("Different factor combinations rendered the same runtime config.").alias("message")))

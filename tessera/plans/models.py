@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import models as M
+from tessera.operators.correlation import correlations
 from tessera.operators.split import random_holdout, repeated_kfold
 from tessera.plans import register
 from tessera.session import ensure_checkpoint_dir
-from tessera.sources.tables import ROW_INDEX, lineitem_rows
+from tessera.sources.tables import ROW_INDEX, lineitem_rows, table
 
 REG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 CLS_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
@@ -74,25 +75,14 @@ def m5(spark, sf_dir):
     return M.split_metrics(ens, "y_reg", "regression")
 
 
+M6_SPACE = {"numTrees": [5, 10, 20], "maxDepth": [3, 4, 6], "minInstancesPerNode": [1, 5, 20]}
+
+
 @register("m6_hyperparameter_search_cv")
 def m6(spark, sf_dir):
-    """Grid search with k-fold CV on the T5 fold table (``foldCol``)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    d = model_table(spark, sf_dir).filter(F.col("split") == "train")
-    folds = repeated_kfold(d.select(ROW_INDEX), k=3, repeats=1, seed=42)
-    d = d.join(folds.select(ROW_INDEX, "fold"), ROW_INDEX)
-    rf = RandomForestRegressor(labelCol="y_reg", seed=42)
-    grid = ParamGridBuilder().addGrid(rf.numTrees, [10, 20]).addGrid(rf.maxDepth, [3, 6]).build()
-    cv = CrossValidator(estimator=Pipeline(stages=[VectorAssembler(inputCols=REG_FEATURES, outputCol="features"), rf]),
-                        estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y_reg", metricName="r2"),
-                        foldCol="fold", parallelism=4)
-    model = cv.fit(d)
-    rows = [(i, float(m)) for i, m in enumerate(model.avgMetrics)]
-    return spark.createDataFrame(rows, "param_set int, mean_r2 double")
+    """Ten settings of 27, five folds (the operator's default is 100 draws)."""
+    train = model_table(spark, sf_dir).filter(F.col("split") == "train")
+    return M.sampled_search(train, REG_FEATURES, "y_reg", "random_forest", "regression", M6_SPACE, n_draws=10)
 
 
 @register("m7_fit_step_split_metrics")
@@ -129,14 +119,26 @@ def m10(spark, sf_dir):
     d = model_table(spark, sf_dir).cache()
     train = d.filter(F.col("split") == "train")
     runs = None
-    for seed in range(3):
+    for seed in range(5):
         for t in ("random_forest", "decision_tree"):
             m = M.fit(train, REG_FEATURES, "y_reg", t, "regression", seed=seed)
             r = M.split_metrics(M.score(m, d, "regression"), "y_reg", "regression").filter(F.col("split") == "test") \
                 .select(F.lit(t).alias("model_type"), F.lit(seed).alias("seed"), "r2", "mae")
             runs = r if runs is None else runs.unionByName(r)
-    return runs.groupBy("model_type").agg(F.count(F.lit(1)).alias("n_runs"), F.avg("r2").alias("r2_mean"),
-                                          F.stddev_pop("r2").alias("r2_std"), F.avg("mae").alias("mae_mean"))
+    return M.benchmark_summary(runs, "model_type", ["r2", "mae"])
+
+
+@register("m10_benchmark_summary_of_stored_runs", """
+WITH runs AS (SELECT event_type AS model_type, user_id % 5 AS seed, avg(value) AS r2, max(value) AS mae FROM events GROUP BY 1, 2)
+SELECT model_type, count(*) AS n_runs, round(avg(r2), 6) AS r2_mean, round(stddev_pop(r2), 6) AS r2_std,
+       round(avg(mae), 6) AS mae_mean, round(stddev_pop(mae), 6) AS mae_std FROM runs GROUP BY 1""")
+def m10_summary(spark, sf_dir):
+    """The aggregate of the benchmark over a stored run table: five seeds per
+    model, their metrics taken from events."""
+    e = table(spark, sf_dir, "events")
+    runs = e.groupBy(F.col("event_type").alias("model_type"), (F.col("user_id") % 5).alias("seed")).agg(F.avg("value").alias("r2"), F.max("value").alias("mae"))
+    out = M.benchmark_summary(runs, "model_type", ["r2", "mae"])
+    return out.select("model_type", "n_runs", *[F.round(c, 6).alias(c) for c in out.columns[2:]])
 
 
 @register("m11_model_leaderboard")
@@ -156,7 +158,7 @@ def m11(spark, sf_dir):
 def m12(spark, sf_dir):
     d, model, _, label = _fit_score(spark, sf_dir, "random_forest", "regression")
     test = d.filter(F.col("split") == "test").drop("split")
-    return M.permutation_importance(model, test, REG_FEATURES, label, "regression", n_repeats=3)
+    return M.permutation_importance(model, test, REG_FEATURES, label, "regression")
 
 
 @register("m13_top20_importances")
@@ -165,7 +167,20 @@ def m13(spark, sf_dir):
     _, model, _, _ = _fit_score(spark, sf_dir, "random_forest", "regression")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     t = spark.createDataFrame(list(zip(REG_FEATURES, [float(x) for x in imp])), "feature string, importance double")
-    return t.orderBy(F.desc("importance"), "feature").limit(20)
+    return M.top_importances(t)
+
+
+M13_COLUMNS = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey", "l_orderkey"]
+
+
+@register("m13_top20_correlation_importances", "SELECT feature, round(importance, 6) AS importance FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, abs(corr({c}, l_extendedprice)) AS importance FROM lineitem" for c in M13_COLUMNS)
+    + ") ORDER BY importance DESC, feature LIMIT 20")
+def m13_correlation(spark, sf_dir):
+    """The same report over a model-free importance: |r| with the target."""
+    r = correlations(table(spark, sf_dir, "lineitem"), [*M13_COLUMNS, "l_extendedprice"]).where(F.col("j") == len(M13_COLUMNS))
+    named = r.select(F.get(F.lit(M13_COLUMNS), F.col("i")).alias("feature"), F.abs("r").alias("importance"))
+    return M.top_importances(named).select("feature", F.round("importance", 6).alias("importance"))
 
 
 @register("x10_stable_top_k_features")
