@@ -124,3 +124,11 @@ def pearson(x: Column, y: Column) -> Column:
     (``corr`` divides by zero there under ANSI)."""
     a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
+def whole_number(c: Column) -> Column:
+    """Long of an integer in any notation (``7``, ``7.0``, ``1E3``), exact over
+    the whole range of longs; null for anything else."""
+    text = F.trim(c.cast("string"))
+    number = text.try_cast("decimal(38,10)")
+    return F.coalesce(text.try_cast("long"), F.when(number == F.floor(number), number).try_cast("long"))

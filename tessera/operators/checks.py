@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.scalar import whole_number
 from tessera.functions.scalar import is_finite
 from tessera.operators.ranks import rank_within_key
 from tessera.sources.tables import ROW_INDEX
@@ -63,14 +64,14 @@ def valid_row_index(df: DataFrame, col: str = ROW_INDEX) -> DataFrame:
     wrong: absent, null, not an integer, or repeated (count and ten ids)."""
     if col not in df.columns:
         raise ValueError(f"no row index column {col!r}")
-    number = F.col(f"`{col}`").cast("string").try_cast("double")
+    number = whole_number(F.col(f"`{col}`"))
     seen = df.agg(
         F.count_if(F.col(f"`{col}`").isNull()).alias("null"),
-        F.count_if(F.col(f"`{col}`").isNotNull() & (number.isNull() | (number != F.floor(number)))).alias("odd"),
+        F.count_if(F.col(f"`{col}`").isNotNull() & number.isNull()).alias("odd"),
     ).first()
     if seen["null"] or seen["odd"]:
         raise ValueError(f"row index {col!r}: {seen['null']} nulls, {seen['odd']} values that are not integers")
-    out = df.withColumn(col, number.cast("long"))
+    out = df.withColumn(col, number)
     repeated = out.groupBy(col).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     ids = _preview(repeated, col)
     if ids:

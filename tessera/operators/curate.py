@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.scalar import whole_number
+from tessera.operators.ranks import rank_within_key
+from tessera.session import ensure_checkpoint_dir, written
 from tessera.functions.scalar import binary01, is_finite, token
 from tessera.sources.tables import ROW_INDEX
 
@@ -206,40 +209,67 @@ def complete_cases(df: DataFrame, cols: list[str]) -> DataFrame:
     return cleaned.na.drop(subset=cols)
 
 
-def one_hot(df: DataFrame, cols: list[str]) -> DataFrame:
+def one_hot(df: DataFrame, cols: list[str], max_categories: int = 1000) -> DataFrame:
     """Null -> 'missing'; one 0/1 column per sorted value, named
-    ``col_value``, appended at the end.  The category list is a small
-    ``distinct`` collect per column (bounded by the column's cardinality)."""
+    ``col_value``, appended at the end.  A column with more than
+    ``max_categories`` values is refused (``one_hot_sparse`` takes any number)."""
     out = df
     for c in cols:
         filled = F.coalesce(_q(c).cast("string"), F.lit("missing"))
-        cats = sorted(r[0] for r in df.select(filled.alias("v")).distinct().collect())
+        cats = sorted(r[0] for r in df.select(filled.alias("v")).distinct().limit(max_categories + 1).collect())
+        if len(cats) > max_categories:
+            raise ValueError(f"column {c!r} has more than {max_categories} values: use one_hot_sparse")
         out = out.select(*[_q(x) for x in out.columns if x != c],
                          *[(filled == F.lit(v)).cast("int").alias(f"{c}_{v}") for v in cats])
     return out
 
 
+def one_hot_sparse(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
+    """P18 at any cardinality: (rows, dictionary).  ``dictionary`` (value,
+    position) numbers the values (null is 'missing') in sorted order from 0, by
+    ranges, so neither the driver nor a task holds them all; ``rows`` is ``df``
+    with ``col`` replaced by the sparse vector struct (size, indices, values)."""
+    filled = F.coalesce(_q(col).cast("string"), F.lit("missing"))
+    values = df.select(filled.alias("value")).distinct().withColumn("__all", F.lit(0))
+    dictionary = rank_within_key(values, "__all", "value", out="position").select("value", (F.col("position") - 1).alias("position"))
+    dictionary = written(dictionary, "dictionary")
+    size = dictionary.count()
+    vector = F.struct(F.lit(size).cast("long").alias("size"), F.array("__position").alias("indices"), F.array(F.lit(1.0)).alias("values"))
+    found = df.withColumn("__value", filled).join(dictionary.select(F.col("value").alias("__value"), F.col("position").alias("__position")), "__value")
+    return found.select(*[vector.alias(c) if c == col else _q(c) for c in df.columns]), dictionary
+
+
 def clip(c, lo: float = -1e10, hi: float = 1e10) -> Column:
     """Clip to [lo, hi]; NULL and NaN pass through."""
     col = _q(c) if isinstance(c, str) else c
     return F.when(col.isNull() | F.isnan(col), col).otherwise(F.least(F.greatest(col, F.lit(lo)), F.lit(hi)))
 
 
-def assign_row_index(df: DataFrame, natural_key: Column | None = None) -> DataFrame:
-    """P20: natural key when the table has one; otherwise a dense, stable
-    position from ``zipWithIndex`` over the scan order (one pass, no shuffle)."""
+def assign_row_index(df: DataFrame, natural_key: Column | None = None, stored: bool = False) -> DataFrame:
+    """P20: natural key when the table has one; otherwise a dense position
+    0..n-1 in scan order.  Two passes: rows per partition, then the rows of
+    earlier partitions plus the position within, all in the JVM.  Both passes
+    must see the same partitions, so ``df`` is checkpointed, unless it is the
+    plain scan of a ``stored`` table."""
     if ROW_INDEX in df.columns:
         return df
     if natural_key is not None:
         return df.withColumn(ROW_INDEX, natural_key.cast("long"))
-    schema = T.StructType(df.schema.fields + [T.StructField(ROW_INDEX, T.LongType(), False)])
-    rdd = df.rdd.zipWithIndex().map(lambda p: tuple(p[0]) + (p[1],))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    if not stored:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    sizes = {r["p"]: r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per partition
+    before, offsets = 0, []
+    for p in range(max(sizes, default=-1) + 1):
+        offsets.append(before)
+        before += sizes.get(p, 0)
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    start = F.get(F.lit(offsets).cast("array<long>"), F.spark_partition_id()) if offsets else F.lit(0)
+    return df.withColumn(ROW_INDEX, (start + within).cast("long"))
 
 
 def row_index_report(df: DataFrame, col: str = ROW_INDEX) -> DataFrame:
     """One-row report: rows, NULL ids, non-integer ids, duplicate ids."""
-    d = _q(col).cast("string").try_cast("double")
     per_id = df.groupBy(_q(col).alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
     dups = per_id.agg(
         F.coalesce(F.sum(F.when((F.col("__n") > 1) & F.col("__id").isNotNull(), F.col("__n"))), F.lit(0)).cast("long").alias("duplicate_rows"),
@@ -248,7 +278,7 @@ def row_index_report(df: DataFrame, col: str = ROW_INDEX) -> DataFrame:
     base = df.agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"),
         F.count_if(_q(col).isNull()).cast("long").alias("null_ids"),
-        F.count_if(_q(col).isNotNull() & (d.isNull() | (d != F.floor(d)))).cast("long").alias("non_integer_ids"),
+        F.count_if(_q(col).isNotNull() & whole_number(_q(col)).isNull()).cast("long").alias("non_integer_ids"),
     )
     # Both sides are one-row aggregates.
     return base.join(dups, how="inner")

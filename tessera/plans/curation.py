@@ -202,6 +202,25 @@ def p20_p21(spark, sf_dir):
     return C.row_index_report(li)
 
 
+@register("p20_dense_row_index", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS first_id, count(*) - 1 AS last_id, count(*) AS n_ids FROM lineitem""")
+def p20_dense(spark, sf_dir):
+    """Row ids of a table without a key of its own: dense positions."""
+    li = C.assign_row_index(table(spark, sf_dir, "lineitem"), stored=True)
+    return li.agg(F.count(F.lit(1)).alias("n_rows"), F.min(C.ROW_INDEX).alias("first_id"), F.max(C.ROW_INDEX).alias("last_id"),
+                  F.count_distinct(C.ROW_INDEX).alias("n_ids"))
+
+
+@register("p18_one_hot_sparse", """
+WITH d AS (SELECT l_partkey, row_number() OVER (ORDER BY CAST(l_partkey AS VARCHAR)) - 1 AS position FROM (SELECT DISTINCT l_partkey FROM lineitem))
+SELECT position, (SELECT count(*) FROM d) AS size, count(*) AS n FROM lineitem JOIN d USING (l_partkey) GROUP BY 1""")
+def p18_sparse(spark, sf_dir):
+    """One-hot of a column with many values: sparse vectors, summed up."""
+    rows, _ = C.one_hot_sparse(table(spark, sf_dir, "lineitem").select("l_partkey"), "l_partkey")
+    v = F.col("l_partkey")
+    return rows.groupBy(v["indices"][0].alias("position"), v["size"].alias("size")).agg(F.sum(v["values"][0]).cast("long").alias("n"))
+
+
 @register("p22_rule_flags", """
 WITH f AS (SELECT coalesce(o_totalprice <= 300000.0, false) AS r_price,
                   coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'), false) AS r_priority,

@@ -222,14 +222,14 @@ def h19(spark, sf_dir):
 
 
 @register("h20_h21_dataset_probe_task_inference", """
-SELECT 'quality' AS target, count(*) AS n_rows, least(count(DISTINCT quality), 20000) AS n_distinct_target,
+SELECT 'quality' AS target, count(*) AS n_rows, count(DISTINCT quality) AS n_distinct_target,
        bool_and(quality IN (0, 1)) AS binary_target,
        CASE WHEN bool_and(quality IN (0, 1)) THEN 'classification' ELSE 'regression' END AS task_type FROM labels
 UNION ALL
-SELECT 'o_totalprice', count(*), least(count(DISTINCT o_totalprice), 20000), bool_and(o_totalprice IN (0, 1)),
+SELECT 'o_totalprice', count(*), count(DISTINCT o_totalprice), bool_and(o_totalprice IN (0, 1)),
        CASE WHEN bool_and(o_totalprice IN (0, 1)) THEN 'classification' ELSE 'regression' END FROM orders
 UNION ALL
-SELECT 'l_linestatus', count(*), least(count(DISTINCT l_linestatus), 20000), false, 'regression' FROM lineitem""")
+SELECT 'l_linestatus', count(*), count(DISTINCT l_linestatus), false, 'regression' FROM lineitem""")
 def h20(spark, sf_dir):
     a = E.probe(table(spark, sf_dir, "labels"), "quality").select(F.lit("quality").alias("target"), "*")
     b = E.probe(table(spark, sf_dir, "orders"), "o_totalprice").select(F.lit("o_totalprice").alias("target"), "*")

@@ -431,12 +431,9 @@ SELECT row_number() OVER (ORDER BY gap DESC, aggregate_key, metric_name) AS rank
        round(gap, 6) AS gap_train_minus_test FROM aggr""")
 def r17(spark, sf_dir):
     a = aggregated(spark, sf_dir)
-    # The ranked list is over the aggregated table (one row per config group
-    # and metric, orders of magnitude smaller than the runs), so a plain
-    # ordered window is used here.
-    from pyspark.sql import Window
-    ordered = a.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.desc("gap_train_minus_test"), "aggregate_key", "metric_name")))
+    # greatest gap first, unknown gaps last, ranked by ranges
+    keyed = a.withColumn("__all", F.lit(0)).withColumn("__null", F.col("gap_train_minus_test").isNull()).withColumn("__neg", -F.col("gap_train_minus_test"))
+    ordered = rank_within_key(keyed, "__all", ["__null", "__neg", "aggregate_key", "metric_name"], out="rank")
     return ordered.select(F.col("rank").cast("long").alias("rank"), "aggregate_key", "metric_name",
                           F.round("gap_train_minus_test", 6).alias("gap_train_minus_test"))
 
