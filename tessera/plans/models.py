@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tessera.operators import models as M
 from tessera.operators.correlation import correlations
+from tessera.operators.kernel_svm import fit_kernel_svm
 from tessera.operators.split import random_holdout, repeated_kfold
 from tessera.plans import register
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, written
 from tessera.sources.tables import ROW_INDEX, lineitem_rows, table
 
 REG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
@@ -65,6 +66,22 @@ def m4(spark, sf_dir):
     return M.split_metrics(scored, label, "classification")
 
 
+@register("m4_rbf_svc_split_metrics")
+def m4_svc(spark, sf_dir):
+    """RBF support vectors, classification: metrics per split."""
+    d = written(model_table(spark, sf_dir), "svm")
+    model = fit_kernel_svm(d.where("split = 'train'"), CLS_FEATURES, "y_cls", "classification", components=64)
+    return M.fit_step_metrics(model.score(d), "y_cls")
+
+
+@register("m4_rbf_svr_split_metrics")
+def m4_svr(spark, sf_dir):
+    """RBF support vectors, regression: metrics per split."""
+    d = written(model_table(spark, sf_dir), "svm")
+    model = fit_kernel_svm(d.where("split = 'train'"), REG_FEATURES, "y_reg", "regression", components=64)
+    return M.split_metrics(model.score(d), "y_reg", "regression")
+
+
 @register("m5_voting_ensemble")
 def m5(spark, sf_dir):
     d = model_table(spark, sf_dir).cache()
