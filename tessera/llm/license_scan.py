@@ -83,7 +83,10 @@ def license_scan(
     bands = math.ceil(math.log(1 - certainty) / math.log(1 - containment / (5 - containment)))
     listed = spark.createDataFrame(list((TEMPLATES if templates is None else templates).items()), "license string, text string")
     listed = listed.withColumn("words", _words("text")).withColumn("hashes", _hashes("words")).withColumn("shingles", _shingles("words"))
-    listed = listed.where(F.size("shingles") > 0).withColumn("step", F.expr("cast(pow(2, ceil(log2(size(shingles)))) as int)"))
+    short = [r["license"] for r in listed.where(F.size("shingles") == 0).select("license").collect()]  # the stated templates
+    if short:
+        raise ValueError(f"templates of fewer than {WORDS} words have no shingle to find: {short}")
+    listed = listed.withColumn("step", F.expr("cast(pow(2, ceil(log2(size(shingles)))) as int)"))
     own = listed.select("step", "hashes").collect()  # the stated templates
     if not own:
         return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.lit("").alias("license"), F.lit(0.0).alias("containment")).where("false")

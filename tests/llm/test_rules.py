@@ -50,7 +50,9 @@ def test_license_scan(make, rows):
     want = brute_licenses(table)
     assert len(want) > 15 and any(c < 1 for _, _, c in want)
     assert got(license_scan.license_scan(make(table)), "doc_id", "license", "containment") == sorted(want, key=repr)
-    assert license_scan.license_scan(make(table), templates={"short": "four words are few"}).collect() == []
+    assert license_scan.license_scan(make(table), templates={}).collect() == []
+    with pytest.raises(ValueError, match="short"):
+        license_scan.license_scan(make(table), templates={"short": "four words are few"})
 
 
 # --- host quality ----------------------------------------------------------
