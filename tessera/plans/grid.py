@@ -13,6 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators import grid as G
+from tessera.operators import grid_rules as R
 from tessera.plans import register
 from tessera.sources.tables import table
 
@@ -264,3 +265,117 @@ def g1_flatten(spark, sf_dir):
     return m.groupBy(G.get_dotted(F.col("m"), "train.model.type").alias("model_type"),
                      G.get_dotted(F.col("m"), "split.mode").alias("split_mode")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(G.get_dotted(F.col("m"), "extra.k").cast("long")).cast("long").alias("sum_k"))
+
+
+# One run config per order: a table of any size against the whole rule catalogue.
+RULE_NODES = {
+    0: "get_data,curate,featurize.none,split,preprocess.features,select.features,train,explain",
+    1: "get_data,curate,split,train",
+    2: "get_data,curate,featurize.rdkit,split,select.features,train",
+    3: "curate,featurize.morgan,split,preprocess.features,train,train.tdc",
+    4: "get_data,curate,split,explain",
+    5: "curate,featurize.none,train",
+    6: "curate,label.normalize,featurize.none,split,train",
+}
+RULE_MODELS = {"1-URGENT": "random_forest", "2-HIGH": "chemprop", "3-MEDIUM": "dl_simple",
+               "4-NOT SPECIFIED": "catboost_classifier", "5-LOW": ""}
+RULE_PROBE = R.Probe(columns=("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"), key=None, binary_target=False)
+
+
+def order_configs(spark, sf_dir):
+    """``config`` of every order: nodes by its key, model by its priority, split
+    by its status and sizes by its price (cents of the price move them)."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+
+    def pick(of, values):
+        out = F.lit(None).cast("string")
+        for key, value in values.items():
+            out = F.when(of == key, value).otherwise(out)
+        return out
+
+    tenths = F.format_string("0.%d", (F.floor("o_totalprice") % 10).cast("int"))
+    config = {
+        "pipeline.nodes": pick(k % 7, RULE_NODES),
+        "pipeline.feature_input": F.when(k % 3 == 0, "smiles_native").otherwise("none"),
+        "preprocess.scaler": F.when(c % 2 == 0, "none").otherwise("robust"),
+        "train.model.type": pick(F.col("o_orderpriority"), RULE_MODELS),
+        "train_tdc.model.type": F.when(c % 2 == 0, "catboost_classifier").otherwise("other"),
+        "train.model.foundation": F.when(c % 11 == 0, "chemeleon").otherwise("none"),
+        "get_data.data_source": F.when(c % 5 == 0, "chembl").otherwise("local_csv"),
+        "get_data.source.path": F.when(c % 3 == 0, " ").otherwise("/data/x.csv"),
+        "global.task_type": F.when(c % 4 == 0, "classification").otherwise("regression"),
+        "global.target_column": F.when(k % 4 == 0, "price").otherwise("o_totalprice"),
+        "curate.dedupe_strategy": F.when(c % 7 == 0, "best").otherwise("keep_first"),
+        "curate.properties": F.when(k % 2 == 0, "o_totalprice, o_custkey").otherwise("o_custkey"),
+        "curate.smiles_column": F.when(k % 5 == 0, "o_clerk").when(k % 5 == 1, "").otherwise("o_orderkey"),
+        "curate.required_non_null_columns": F.when(c % 6 == 0, "o_custkey,canonical_smiles, o_comment").otherwise("o_custkey"),
+        "split.mode": pick(F.col("o_orderstatus"), {"F": "cv", "O": "holdout", "P": "nested_holdout_cv"}),
+        "split.strategy": F.when(c % 9 == 0, "tdc_scaffold").otherwise("random"),
+        "split.test_size": tenths,
+        "split.val_size": F.when(c % 8 == 0, "0.5").otherwise("0"),
+        "split.cv.n_splits": (k % 6).cast("string"),
+        "split.cv.fold_index": (c % 5).cast("string"),
+        "split.stage": F.when(c % 10 == 0, "middle").otherwise("outer"),
+        "label.source_column": F.when(k % 2 == 0, "o_orderstatus").otherwise("status"),
+        "label.positive": F.lit("F"),
+        "label.negative": F.when(c % 3 == 0, "").otherwise("O,P"),
+    }
+    pairs = F.create_map(*[x for key, value in config.items() for x in (F.lit(key), value.cast("string"))])
+    return table(spark, sf_dir, "orders").select("o_orderkey", pairs.alias("config"))
+
+
+RULES_SQL = """
+WITH a AS (
+  SELECT o_orderkey, o_orderkey % 7 AS n, o_orderkey AS k, o_custkey AS c,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'rf' WHEN '2-HIGH' THEN 'text' WHEN '3-MEDIUM' THEN 'deep'
+                         WHEN '4-NOT SPECIFIED' THEN 'cat' ELSE '' END AS configured,
+    o_orderkey % 3 = 0 AS raw, CASE o_orderstatus WHEN 'F' THEN 'cv' WHEN 'O' THEN 'holdout' ELSE 'nested' END AS mode,
+    floor(o_totalprice) % 10 AS tenths, CASE WHEN o_custkey % 8 = 0 THEN 5 ELSE 0 END AS val FROM orders),
+b AS (
+  SELECT *, n <> 4 AS trains, n IN (0, 2, 3, 5, 6) AS features, n IN (0, 2, 3) AS prepares, n <> 5 AS splits, n IN (0, 1, 2, 4) AS gets,
+    CASE WHEN n = 4 THEN '' ELSE configured END AS model,
+    n IN (1, 4) AND raw AS text_input, c % 4 = 0 AS clf, k % 5 = 1 AS no_key, c % 5 = 0 AS chembl FROM a),
+r AS (
+  SELECT o_orderkey, n, unnest([
+    CASE WHEN n = 3 THEN 'DOE_TRAIN_NODE_CONFLICT' END,
+    CASE WHEN n = 4 THEN 'DOE_EXPLAIN_REQUIRES_TRAIN' END,
+    CASE WHEN gets AND chembl THEN 'DOE_SOURCE_NOT_SUPPORTED_FOR_PROFILE' END,
+    CASE WHEN gets AND NOT chembl AND c % 3 = 0 THEN 'DOE_DATA_SOURCE_CONFIG_INVALID' END,
+    CASE WHEN gets AND chembl THEN 'DOE_DATA_SOURCE_CONFIG_INVALID' END,
+    CASE WHEN c % 7 = 0 THEN 'DOE_CURATE_DEDUPE_INVALID' END,
+    CASE WHEN model = '' THEN 'DOE_MISSING_MODEL_TYPE' END,
+    CASE WHEN model = 'cat' THEN 'DOE_MODEL_NOT_SUPPORTED_FOR_PROFILE' END,
+    CASE WHEN model = 'cat' AND NOT clf THEN 'DOE_MODEL_TASK_MISMATCH' END,
+    CASE WHEN model IN ('rf', 'deep', 'cat') AND text_input THEN 'DOE_SMILES_NATIVE_MODEL_UNSUPPORTED' END,
+    CASE WHEN model IN ('rf', 'deep', 'cat') AND NOT text_input AND NOT features THEN 'DOE_FEATURE_INPUT_REQUIRED' END,
+    CASE WHEN model = 'text' AND NOT text_input THEN 'DOE_CHEMPROP_FEATURE_INPUT_UNSUPPORTED' END,
+    CASE WHEN model = 'text' AND prepares THEN 'DOE_CHEMPROP_PREPROCESS_UNSUPPORTED' END,
+    CASE WHEN model <> '' AND c % 11 = 0 THEN 'DOE_CHEMELEON_CHECKPOINT_REQUIRED' END,
+    CASE WHEN model <> '' AND n = 2 THEN 'DOE_SELECT_REQUIRES_PREPROCESS' END,
+    CASE WHEN model <> '' AND splits AND c % 9 = 0 THEN 'DOE_SPLIT_STRATEGY_MODE_INVALID' END,
+    CASE WHEN model <> '' AND splits AND mode = 'holdout' AND tenths = 0 THEN 'DOE_SPLIT_PARAM_INVALID' END,
+    CASE WHEN model <> '' AND splits AND mode = 'holdout' AND tenths + val >= 10 THEN 'DOE_SPLIT_PARAM_INVALID' END,
+    CASE WHEN model <> '' AND splits AND mode = 'cv' AND k % 6 < 2 THEN 'DOE_SPLIT_PARAM_INVALID' END,
+    CASE WHEN model <> '' AND splits AND mode = 'cv' AND c % 5 >= k % 6 THEN 'DOE_SPLIT_PARAM_INVALID' END,
+    CASE WHEN model <> '' AND splits AND mode = 'nested' AND c % 10 = 0 THEN 'DOE_SPLIT_PARAM_INVALID' END,
+    CASE WHEN model IN ('text', 'deep') AND splits AND (mode <> 'holdout' OR val = 0) THEN 'DOE_VALIDATION_SPLIT_REQUIRED' END,
+    CASE WHEN model <> '' AND NOT clf AND k % 4 = 0 THEN 'DOE_TARGET_COLUMN_MISSING' END,
+    CASE WHEN model <> '' AND NOT clf AND k % 2 = 1 AND n NOT IN (0, 5, 6) THEN 'DOE_CURATE_TARGET_DROPPED' END,
+    CASE WHEN model <> '' AND k % 5 = 0 THEN 'DOE_DATASET_COLUMN_MISSING' END,
+    CASE WHEN model <> '' AND no_key AND NOT chembl THEN 'DOE_SMILES_COLUMN_MISSING' END,
+    CASE WHEN model <> '' AND c % 6 = 0 THEN 'DOE_CURATE_REQUIRED_COLUMNS_MISSING' END,
+    CASE WHEN model <> '' AND clf AND n = 6 AND k % 2 = 1 THEN 'DOE_DATASET_COLUMN_MISSING' END,
+    CASE WHEN model <> '' AND clf AND (n <> 6 OR c % 3 = 0) THEN 'DOE_LABEL_MAPPING_REQUIRED' END,
+    CASE WHEN model <> '' AND n = 3 AND c % 2 = 1 THEN 'DOE_TDC_MODEL_UNSUPPORTED' END]) AS code FROM b),
+o AS (SELECT o_orderkey, n, array_agg(code ORDER BY code) FILTER (WHERE code IS NOT NULL) AS codes FROM r GROUP BY 1, 2)
+SELECT o_orderkey, CASE WHEN codes IS NULL AND n <> 5 THEN 'valid' ELSE 'skipped' END AS status,
+       coalesce(array_to_string(codes, ','), CASE WHEN n = 5 THEN 'DOE_RUNTIME_SCHEMA_INVALID' ELSE '' END) AS issue_codes FROM o"""
+
+
+@register("g7_rule_catalogue", RULES_SQL)
+def g7_catalogue(spark, sf_dir):
+    """Every rule of the catalogue on one config per order."""
+    found = R.with_issues(order_configs(spark, sf_dir), R.PROFILES[PROFILE], RULE_PROBE)
+    codes = found.select("o_orderkey", F.array_sort(F.transform("issues", lambda i: i["code"])).alias("codes"))
+    return codes.select("o_orderkey", F.when(F.size("codes") == 0, "valid").otherwise("skipped").alias("status"),
+                        F.array_join("codes", ",").alias("issue_codes"))
