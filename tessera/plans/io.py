@@ -120,6 +120,30 @@ def s6(spark, sf_dir):
                       F.count_distinct("lang").alias("n_langs"))
 
 
+@register("s6_partitioned_record_source", """
+SELECT doc_id AS id, lang, octet_length(encode(coalesce(text, ''))) AS n_bytes, md5(coalesce(text, '')) AS text_md5,
+       CAST(1 AS BIGINT) AS n_plain, CAST(1 AS BIGINT) AS n_gzip, CAST(0 AS BIGINT) AS n_bad FROM documents""")
+def s6_partitioned(spark, sf_dir):
+    """Whole documents as multi-line records in plain and in gzip files, read
+    back in splits of a megabyte."""
+    d = table(spark, sf_dir, "documents")
+    body = F.concat(F.col("doc_id").cast("string"), F.lit("\n  lang\n> <lang>\n"), F.coalesce("lang", F.lit("")),
+                    F.lit("\n> <text>\n"), F.coalesce("text", F.lit("")), F.lit("\n"))
+    read = []
+    for packing in ("none", "gzip"):
+        path = S.scratch_path(spark, f"records-{packing}")
+        d.select(body.alias("value")).write.option("lineSep", "$$$$\n").option("compression", packing).text(path)
+        read.append(S.get_data(spark, "sdf", path=path, split_bytes=1 << 20).withColumn("packing", F.lit(packing)))
+    text = F.expr("substring(record, instr(record, '\\n> <text>\\n') + 10)")
+    parsed = read[0].unionByName(read[1]).select(
+        "packing", "bad", F.regexp_extract("record", r"^(-?\d+)\n", 1).try_cast("long").alias("id"),
+        F.regexp_extract("record", r"> <lang>\n([^\n]*)", 1).alias("lang"), text.alias("text"))
+    parsed = parsed.withColumn("text", F.expr("left(text, length(text) - 1)"))
+    return parsed.groupBy("id", "lang", F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("text_md5")).agg(
+        F.count_if(F.col("packing") == "none").alias("n_plain"), F.count_if(F.col("packing") == "gzip").alias("n_gzip"),
+        F.count("bad").alias("n_bad"))
+
+
 @register("s7_line_record_scan", """
 SELECT count(*) AS n_rows, CAST(sum(p_partkey) AS BIGINT) AS sum_keys, count(DISTINCT p_brand) AS n_names FROM part""")
 def s7(spark, sf_dir):

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.scalar import PANDAS_NA_TOKENS
 from tessera.session import ensure_checkpoint_dir
+from tessera.sources.records import read_records
 
 # Record schemas of the study documents (FIXTURES.md section 3).
 ISSUE = T.StructType([T.StructField("code", T.StringType()), T.StructField("path", T.StringType()),
@@ -145,6 +146,7 @@ SOURCES: dict[str, Callable[..., DataFrame]] = {
     "jsonl": lambda spark, opts: spark.read.schema(opts["schema"]).json(opts["path"]) if opts.get("schema")
     else spark.read.json(opts["path"]),
     "lines": lambda spark, opts: read_line_records(spark, opts["path"]),
+    "sdf": lambda spark, opts: read_records(spark, opts["path"], opts.get("delimiter", "$$$$\n"), opts.get("split_bytes")),
     "records": lambda spark, opts: read_multi_records(spark, opts["path"], opts.get("delimiter", "$$$$\n")),
 }
 
