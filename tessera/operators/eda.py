@@ -7,6 +7,7 @@ min/max per histogram column, the fence table of box statistics.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -173,7 +174,8 @@ def rule_compliance(flags: DataFrame, rules: list[str]) -> DataFrame:
 
 def probe(df: DataFrame, target: str, key_candidates: list[str] | None = None) -> DataFrame:
     """Rows, distinct target values, binary
-    target test and the inferred task, in one aggregate."""
+    target test and the inferred task, in one aggregate; with ``key_candidates``
+    also ``resolved_key``, the first of them that is a column (null if none is)."""
     t = _q(target)
     tok = F.lower(F.trim(t.cast("string")))
     num = t.cast("string").try_cast("double")
@@ -189,8 +191,35 @@ def probe(df: DataFrame, target: str, key_candidates: list[str] | None = None) -
     numeric_binary = (F.col("n_non_numeric") == 0) & (F.col("n_numeric_not_01") == 0)
     token_binary = (F.col("n_tokens") > 0) & (F.col("n_token_not_binary") == 0)
     binary = (F.col("n_non_null") > 0) & (numeric_binary | token_binary)
+    key = next((c for c in key_candidates or [] if c in df.columns), None)
     return agg.select("n_rows", "n_distinct_target", binary.alias("binary_target"),
-                      F.when(binary, F.lit("classification")).otherwise(F.lit("regression")).alias("task_type"))
+                      F.when(binary, F.lit("classification")).otherwise(F.lit("regression")).alias("task_type"),
+                      *([F.lit(key).cast("string").alias("resolved_key")] if key_candidates is not None else []))
+
+
+TASKS = ("classification", "regression")
+
+
+def resolved_task(requested: Column, confirmed: Column, binary: Column) -> Column:
+    """``struct<task,problem>`` of a declared task.  A stated task stands;
+    ``auto`` follows the target once confirmed; anything else is a problem, as is
+    ``auto`` without confirmation or without a target (``binary`` null)."""
+    asked = F.lower(F.trim(F.coalesce(requested, F.lit(""))))
+    auto = asked == "auto"
+    problem = F.when(asked.isin(*TASKS), F.lit(None)) \
+        .when(~auto, "the task must be classification, regression or auto") \
+        .when(~F.coalesce(confirmed, F.lit(False)), "an automatic task must be confirmed") \
+        .when(binary.isNull(), "no target to infer the task from")
+    task = F.when(asked.isin(*TASKS), asked).when(problem.isNull(), F.when(binary, TASKS[0]).otherwise(TASKS[1]))
+    return F.struct(task.alias("task"), problem.alias("problem"))
+
+
+def task_of(probed: DataFrame, requested: str, confirmed: bool = False) -> str:
+    """H21 for one probed dataset: its task, or ValueError with the problem."""
+    found = probed.select(resolved_task(F.lit(requested), F.lit(confirmed), F.col("binary_target")).alias("r")).first()["r"]
+    if found["problem"]:
+        raise ValueError(f"{found['problem']}: {requested!r}")
+    return found["task"]
 
 
 def contract_violations(df: DataFrame, required: list[str], any_of: list[list[str]], min_columns: int,
@@ -220,6 +249,50 @@ def contract_violations(df: DataFrame, required: list[str], any_of: list[list[st
     return schema_part.unionByName(vals)
 
 
+# Words of a declared column type and how a cell is parsed for it.
+ROW_TYPES = {"number": "double", "integer": "decimal(38,0)", "boolean": "boolean", "date": "date", "timestamp": "timestamp"}
+
+
+def row_type_violations(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Cells that do not parse as the declared type of their column (rule,
+    detail, count), all rows in one aggregate.  ``string`` always holds, a null
+    cell and an absent column (the schema rules' matter) too; an integer may be
+    written 2.0 but not 2.5."""
+    unknown = {t for t in types.values() if t != "string" and t not in ROW_TYPES}
+    if unknown:
+        raise ValueError(f"unknown row types {sorted(unknown)}; known: {['string', *ROW_TYPES]}")
+
+    def wrong(c: str, t: str) -> Column:
+        text = F.trim(_q(c).cast("string"))
+        parsed = text.try_cast(ROW_TYPES[t])
+        bad = parsed.isNull() if t != "integer" else parsed.isNull() | (text.try_cast("decimal(38,18)") % 1 != 0)
+        return F.count_if(_q(c).isNotNull() & bad)
+
+    checked = [c for c, t in types.items() if t != "string" and c in df.columns]
+    if not checked:
+        return df.sparkSession.createDataFrame([], "rule string, detail string, count long")
+    counts = df.agg(*[wrong(c, types[c]).alias(f"n{i}") for i, c in enumerate(checked)])
+    cells = [F.struct(F.lit(f"not_{types[c]}").alias("rule"), F.lit(c).alias("detail"), F.col(f"n{i}").cast("long").alias("count"))
+             for i, c in enumerate(checked)]
+    return counts.select(F.inline(F.array(*cells))).where("count > 0")
+
+
+def checked_contract(df: DataFrame, name: str, required: list[str] = (), any_of: list[list[str]] = (), min_columns: int = 0,
+                     types: dict[str, str] | None = None, mode: str = "warn") -> bool:
+    """Whether the table keeps its contract.  ``warn`` warns of every
+    violation and returns False, ``fail`` raises with all of them."""
+    if mode not in ("warn", "fail"):
+        raise ValueError(f"mode must be warn or fail, not {mode!r}")
+    found = contract_violations(df, list(required), [g for g in any_of if g], min_columns, []).collect()
+    found += row_type_violations(df, types or {}).collect()
+    problems = [f"{r['rule']} {r['detail']} ({r['count']})" for r in found]
+    if problems and mode == "fail":
+        raise ValueError(f"{name}: " + "; ".join(problems))
+    for p in problems:
+        warnings.warn(f"{name}: {p}", stacklevel=2)
+    return not problems
+
+
 def shared_groups(df: DataFrame, keys: list[str], item: str) -> DataFrame:
     """Groups of more than one row and all their members, one row each
     (keys, n, member); a hot group is never gathered."""

@@ -110,6 +110,42 @@ def get_dotted(m: Column, key: str, default: str | None = None) -> Column:
     return F.coalesce(v, F.lit(default)) if default is not None else v
 
 
+def _below(k: Column, key: str) -> Column:
+    return (k == key) | k.startswith(key + ".")
+
+
+def _path(key: str) -> str:
+    return ".".join(p for p in key.split(".") if p)
+
+
+def set_dotted(m: Column, key: str, value: Column | str | None) -> Column:
+    """G1: the map with ``key`` set; what stood below the key, or as a value
+    above it, goes.  An empty key changes nothing, a null map is an empty one."""
+    key = _path(key)
+    base = F.coalesce(m, F.create_map().cast("map<string,string>"))
+    if not key:
+        return base
+    parts = key.split(".")
+    above = [".".join(parts[:i]) for i in range(1, len(parts))]
+    kept = F.map_filter(base, lambda k, v: ~_below(k, key) & (~k.isin(*above) if above else F.lit(True)))
+    return F.map_concat(kept, F.create_map(F.lit(key), (value if isinstance(value, Column) else F.lit(value)).cast("string")))
+
+
+def remove_dotted(m: Column, key: str) -> Column:
+    """G1: the map without ``key`` and all below it (parents left empty have no
+    entry in a flat map, so they go too)."""
+    key = _path(key)
+    return F.map_filter(m, lambda k, v: ~_below(k, key)) if key else m
+
+
+def extract_prefixed(m: Column, prefix: str) -> Column:
+    """G1: the entries whose key starts with ``prefix``, under the rest of it;
+    the key that equals the prefix is left out."""
+    hits = F.filter(F.map_entries(m), lambda e: e["key"].startswith(prefix) & (F.length(e["key"]) > len(prefix)))
+    rest = F.transform(hits, lambda e: F.struct(F.substring(e["key"], len(prefix) + 1, 1 << 30).alias("key"), e["value"].alias("value")))
+    return F.map_from_entries(rest)
+
+
 def canonical(m: Column, drop: list[str]) -> Column:
     """Sorted ``key=value`` list of a map without ``drop`` keys (G1 remove)."""
     kept = F.map_filter(m, lambda k, v: ~k.isin(*drop)) if drop else m

@@ -353,6 +353,23 @@ def with_issues(cases: DataFrame, profile: Profile, probe: Probe = Probe(), conf
                 .otherwise(F.col("__rule_found")).alias(out))
 
 
+def resolve_profile(task: str, source: str = "local_csv", name: str | None = None) -> Profile:
+    """The profile of a study by its resolved task and source, or the named
+    one, which must be of that task."""
+    if name:
+        if name.strip() not in PROFILES:
+            raise ValueError(f"unknown profile {name!r}; known: {sorted(PROFILES)}")
+        found = PROFILES[name.strip()]
+        if found.task != task:
+            raise ValueError(f"profile {found.name} is for {found.task}, the task is {task}")
+        return found
+    source = source.strip().lower()
+    if source == "tdc" and task != "classification":
+        raise ValueError("this source has classification benchmarks only")
+    chosen = {"tdc": "clf_tdc_benchmark", "chembl": "reg_chembl_ic50" if task == "regression" else "clf_local_csv"}
+    return PROFILES[chosen.get(source, "reg_local_csv" if task == "regression" else "clf_local_csv")]
+
+
 def unordered(nodes: Column) -> Column:
     """Whether a list of nodes has two splits or two tdc trainings, a tdc training
     that is not the last node, a node on the wrong side of the split, or a node

@@ -66,6 +66,29 @@ def classification_counts(df: DataFrame, y: str, pred: str, by: str | None = Non
                     F.when(denom == 0, F.lit(0.0)).otherwise(2 * F.col("tp") / denom).alias("f1"))
 
 
+def input_problems(df: DataFrame, cols: list[str]) -> DataFrame:
+    """K5: per column of metric inputs the cells that are missing and those that
+    are not finite, in one aggregate (column, n, n_missing, n_non_finite)."""
+    def stats(i: int, c: str) -> list[Column]:
+        number = F.col(f"`{c}`").cast("string").try_cast("double")
+        return [F.count_if(number.isNull()).alias(f"m{i}"), F.count_if(number.isNotNull() & ~is_finite(number)).alias(f"f{i}")]
+
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[s for i, c in enumerate(cols) for s in stats(i, c)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("n"), F.col(f"m{i}").alias("n_missing"), F.col(f"f{i}").alias("n_non_finite"))
+        for i, c in enumerate(cols)])))
+
+
+def checked_inputs(df: DataFrame, y: str, pred: str, context: str = "metrics") -> DataFrame:
+    """K5, error mode: the table, if targets and predictions are all finite
+    numbers; else ValueError with the cells that are not."""
+    bad = [r for r in input_problems(df, [y, pred]).collect() if r["n_missing"] + r["n_non_finite"]]
+    if bad:
+        raise ValueError(f"{context}: " + "; ".join(
+            f"{r['column']}: {r['n_missing']} of {r['n']} missing, {r['n_non_finite']} not finite" for r in bad))
+    return df
+
+
 def regression_metrics(df: DataFrame, y: str, pred: str, by: str | None = None) -> DataFrame:
     """K4 (+ K5): R^2 = 1 - SSE/SST (constant target: 1 if perfect else 0),
     MAE; NULL when any input is non-finite."""

@@ -223,6 +223,15 @@ def feature_input(nodes: str, declared: str, model: str):
     )
 
 
+def factor_counts(df: DataFrame, factors: dict[str, Column], by: list[str] | None = None) -> DataFrame:
+    """Rows per value of every factor (factor, value, n), in one pass; an
+    absent value is ''.  ``by``: columns kept apart."""
+    by = by or []
+    pairs = [F.struct(F.lit(name).alias("factor"), F.coalesce(c.cast("string"), F.lit("")).alias("value")) for name, c in factors.items()]
+    rows = df.select(*by, F.explode(F.array(*pairs)).alias("f")).select(*by, "f.factor", "f.value")
+    return rows.groupBy(*by, "factor", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def complete_only(records: DataFrame, completion: DataFrame) -> DataFrame:
     """Aggregated records of groups of which every slice completed.
     ``completion``: (aggregate_key, slice_count, completed_slices)."""

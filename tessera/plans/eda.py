@@ -237,6 +237,36 @@ def h20(spark, sf_dir):
     return a.unionByName(b).unionByName(c)
 
 
+@register("h21_task_modes", """
+WITH p AS (SELECT 'quality' AS target, bool_and(quality IN (0, 1)) AS b FROM labels
+           UNION ALL SELECT 'o_totalprice', bool_and(o_totalprice IN (0, 1)) FROM orders),
+m(requested, confirmed) AS (VALUES ('Regression', false), (' classification ', false), ('auto', true), ('AUTO', false), ('ranking', true), (NULL, true))
+SELECT target, coalesce(requested, '-') AS requested, confirmed,
+       CASE WHEN lower(trim(requested)) IN ('regression', 'classification') THEN lower(trim(requested))
+            WHEN lower(requested) = 'auto' AND confirmed THEN CASE WHEN b THEN 'classification' ELSE 'regression' END END AS task,
+       CASE WHEN lower(requested) = 'auto' AND NOT confirmed THEN 'an automatic task must be confirmed'
+            WHEN requested = 'ranking' OR requested IS NULL THEN 'the task must be classification, regression or auto' END AS problem
+FROM p, m""")
+def h21_modes(spark, sf_dir):
+    modes = [("Regression", False), (" classification ", False), ("auto", True), ("AUTO", False), ("ranking", True), (None, True)]
+    cells = [F.struct(F.lit(r).cast("string").alias("requested"), F.lit(c).alias("confirmed")) for r, c in modes]
+    probes = [E.probe(table(spark, sf_dir, t), c).select(F.lit(c).alias("target"), "binary_target", F.inline(F.array(*cells)))
+              for t, c in (("labels", "quality"), ("orders", "o_totalprice"))]
+    found = probes[0].unionByName(probes[1]).withColumn("r", E.resolved_task(F.col("requested"), F.col("confirmed"), F.col("binary_target")))
+    return found.select("target", F.coalesce("requested", F.lit("-")).alias("requested"), "confirmed", "r.task", "r.problem")
+
+
+@register("h22_row_types", """
+SELECT 'not_number' AS rule, 'o_orderpriority' AS detail, count(*) AS count FROM orders WHERE o_orderpriority IS NOT NULL
+UNION ALL SELECT 'not_integer', 'o_totalprice', count(*) FROM orders WHERE o_totalprice % 1 <> 0
+UNION ALL SELECT 'not_boolean', 'o_orderstatus', count(*) FROM orders WHERE o_orderstatus <> 'F'""")
+def h22_row_types(spark, sf_dir):
+    """Every cell of orders against declared types; F reads as a boolean."""
+    return E.row_type_violations(table(spark, sf_dir, "orders"), {
+        "o_orderkey": "integer", "o_totalprice": "integer", "o_orderpriority": "number", "o_orderstatus": "boolean",
+        "o_orderdate": "timestamp", "o_custkey": "number", "absent": "number"})
+
+
 @register("h22_contract_check", """
 SELECT 'missing_required_column' AS rule, 'missing_col' AS detail, CAST(1 AS BIGINT) AS count
 UNION ALL SELECT 'missing_any_of', 'smiles|SMILES', 1

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import grid as G
 from tessera.operators import grid_rules as R
+from tessera.operators.runs import factor_counts
 from tessera.plans import register
 from tessera.sources.tables import table
 
@@ -379,3 +380,37 @@ def g7_catalogue(spark, sf_dir):
     codes = found.select("o_orderkey", F.array_sort(F.transform("issues", lambda i: i["code"])).alias("codes"))
     return codes.select("o_orderkey", F.when(F.size("codes") == 0, "valid").otherwise("skipped").alias("status"),
                         F.array_join("codes", ",").alias("issue_codes"))
+
+
+@register("r30_factor_counts_of_cases", "WITH cases AS (" + RULES_SQL + """),
+f AS (SELECT status, o_orderpriority, o_orderstatus, o_orderkey % 3 = 0 AS raw, o_custkey % 2 = 0 AS even, o_custkey % 9 = 0 AS imported
+      FROM cases JOIN orders USING (o_orderkey)),
+v AS (SELECT status, unnest([
+  {'factor': 'model', 'value': CASE o_orderpriority WHEN '1-URGENT' THEN 'random_forest' WHEN '2-HIGH' THEN 'chemprop'
+     WHEN '3-MEDIUM' THEN 'dl_simple' WHEN '4-NOT SPECIFIED' THEN 'catboost_classifier' ELSE '' END},
+  {'factor': 'feature', 'value': CASE WHEN raw THEN 'smiles_native' ELSE 'none' END},
+  {'factor': 'scaler', 'value': CASE WHEN even THEN 'none' ELSE 'robust' END},
+  {'factor': 'split', 'value': CASE WHEN imported THEN 'tdc_scaffold' ELSE 'random' END}]) AS s FROM f)
+SELECT status, s.factor AS factor, s.value AS value, count(*) AS n FROM v GROUP BY ALL""")
+def r30_cases(spark, sf_dir):
+    """Cases per model, feature input, scaler and split strategy, valid and skipped."""
+    cases = R.with_issues(order_configs(spark, sf_dir), R.PROFILES[PROFILE], RULE_PROBE)
+    m = F.col("config")
+    cases = cases.select(F.when(F.size("issues") == 0, "valid").otherwise("skipped").alias("status"), "config")
+    return factor_counts(cases, {
+        "model": G.get_dotted(m, "train.model.type"), "feature": G.get_dotted(m, "pipeline.feature_input"),
+        "scaler": G.get_dotted(m, "preprocess.scaler"), "split": G.get_dotted(m, "split.strategy")}, by=["status"])
+
+
+@register("g1_set_remove_extract", """
+SELECT user_id % 3 AS kind, CASE WHEN user_id % 2 = 0 THEN 'fold=1,n_splits=5,stage=inner' ELSE 'fold=1,n_splits=5' END AS split_part,
+       CAST(2 AS INTEGER) + CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0 END + 1 AS n_keys, count(*) AS n FROM events GROUP BY ALL""")
+def g1_paths(spark, sf_dir):
+    """A model branch becomes a value, a value becomes a branch, a branch goes."""
+    e = table(spark, sf_dir, "events")
+    m = F.create_map(*[F.lit(x) for x in ("train.model.type", "rf", "train.model.depth", "3", "split.fold", "0", "split.n_splits", "5", "io.a.b", "x")])
+    m = G.set_dotted(G.set_dotted(m, "train.model", F.col("event_type")), "split.fold", "1")
+    m = F.when(F.col("user_id") % 2 == 0, G.set_dotted(m, ".split..stage", "inner")).otherwise(m)
+    m = G.remove_dotted(m, "io.a")
+    return e.select((F.col("user_id") % 3).alias("kind"), G.canonical(G.extract_prefixed(m, "split."), []).alias("split_part"),
+                    F.size(m).alias("n_keys")).groupBy("kind", "split_part", "n_keys").agg(F.count(F.lit(1)).alias("n"))

@@ -73,6 +73,16 @@ def k4(spark, sf_dir):
     return r.select("n", F.round("r2", 6).alias("r2"), F.round("mae", 6).alias("mae"))
 
 
+@register("k5_input_problems", """
+SELECT 'l_extendedprice' AS column, count(*) AS n, CAST(count_if(l_extendedprice IS NULL) AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_non_finite FROM lineitem
+UNION ALL SELECT 'v', count(*), CAST(count_if(l_tax = 0) AS BIGINT), CAST(count_if(l_tax <> 0 AND l_discount = 0) AS BIGINT) FROM lineitem""")
+def k5_problems(spark, sf_dir):
+    """Predictions missing where the tax is 0 and infinite where the discount is."""
+    li = lineitem_rows(spark, sf_dir).withColumn("v", F.when(F.col("l_tax") == 0, F.lit(None))
+        .when(F.col("l_discount") == 0, F.lit(float("inf"))).otherwise(F.col("l_extendedprice")))
+    return K.input_problems(li, ["l_extendedprice", "v"])
+
+
 @register("k5_input_validation", """
 SELECT CAST(sum(CASE WHEN isfinite(v) THEN 0 ELSE 1 END) AS BIGINT) AS n_non_finite, count(*) AS n,
        NULL::DOUBLE AS r2, NULL::DOUBLE AS mae

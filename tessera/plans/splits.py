@@ -218,6 +218,37 @@ def t12(spark, sf_dir):
     return j.select(F.col(f"r_{ROW_INDEX}").alias(ROW_INDEX), "split")
 
 
+@register("t12_nested_payload_import", """
+WITH pl AS (SELECT o_custkey AS k, CASE o_orderpriority WHEN '1-URGENT' THEN 'test' WHEN '2-HIGH' THEN 'val'
+                     WHEN '3-MEDIUM' THEN 'val' ELSE 'train' END AS split,
+                   row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS occ FROM orders),
+cur AS (SELECT o_custkey AS k, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS occ FROM orders)
+SELECT cur.o_orderkey AS __row_index, pl.split FROM pl JOIN cur ON pl.k = cur.k AND pl.occ = cur.occ""")
+def t12_nested(spark, sf_dir):
+    """A payload of two strategies, of which the scaffold one is imported."""
+    o = table(spark, sf_dir, "orders")
+    part = F.when(F.col("o_orderpriority") == "1-URGENT", "TEST").when(F.col("o_orderpriority") == "2-HIGH", "valid") \
+        .when(F.col("o_orderpriority") == "3-MEDIUM", "Validation").otherwise("train")
+    paths = F.array(F.concat(F.lit("by_Scaffold."), part), F.concat(F.lit("at_random."), F.reverse(part)))
+    payload = o.select(F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("p"), F.col("o_orderkey").alias("id"), F.explode(paths).alias("path"))
+    cur = o.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias(ROW_INDEX))
+    chosen = S.chosen_parts(payload, "scaffold").select("k", "split", "p", "id")
+    j = nth_occurrence_join(chosen, cur, "k", ["p", "id"], ROW_INDEX, how="inner")
+    return j.select(F.col(f"r_{ROW_INDEX}").alias(ROW_INDEX), "split")
+
+
+@register("t14_split_coverage", "WITH " + _holdout_sql("(SELECT * FROM orders WHERE o_totalprice > 20000)", "o_orderkey", 42, 0.2, 0.1) + """
+, n AS (SELECT (SELECT count(*) FROM orders) AS s, count(*) AS c FROM orders WHERE o_totalprice > 20000)
+SELECT s AS source_rows, c AS curated_rows, s - c AS dropped_before_split, a AS assigned_rows, round(a / greatest(c, 1), 6) AS assigned_fraction
+FROM n, (SELECT count(DISTINCT o_orderkey) AS a FROM h WHERE split <> 'val')""")
+def t14_coverage(spark, sf_dir):
+    """Orders over a price are curated; the validation part is left out."""
+    o = _orders(spark, sf_dir)
+    curated = o.filter(F.col("o_totalprice") > 20000)
+    sp = S.random_holdout(curated.select(ROW_INDEX), test_size=0.2, val_size=0.1, seed=42).where("split <> 'val'")
+    return S.split_coverage(sp, curated, o)
+
+
 @register("t13_split_validation", "WITH " + _holdout_sql("orders", "o_orderkey", 42, 0.2, 0.1) + """
 , sp AS (SELECT o_orderkey AS id, split FROM h WHERE o_totalprice > 5000 UNION ALL SELECT -1, 'test'),
 per AS (SELECT id, count(DISTINCT split) AS k FROM sp GROUP BY id),
