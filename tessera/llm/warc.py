@@ -7,11 +7,15 @@ are plain WARC/1.1 wherever Spark can write.  Of equal payloads of at least
 the smallest id per digest comes from a combined aggregate, so a payload that
 a third of all pages share meets no single task.
 
-Reading: files are read as binary rows (``archive_records`` bounds their
-size) and parsed by ``salvage``, which takes plain and gzip-member archives.
+Reading: files are read as binary rows and parsed by ``salvage``, which takes
+plain and gzip-member archives.  A file is bounded by ``archive_records`` and, to
+a factor of two, by ``archive_bytes``: pages larger than their quotient go by
+powers of two to files of fewer records, so a file of long pages is no larger
+than one of short ones (but for a single page over the bound).
 After a failed check (version line, headers, length, record end, digest,
 damaged gzip member) it searches for the next valid member or version line,
-goes on there, and reports the bytes between as a quarantined gap.
+goes on there, and reports the bytes between as a quarantined gap, with their
+length and digest; ``log_gaps`` writes these as JSON lines.
 
 Defined cases: null html is an empty payload; a null page_id is written
 without a page id and comes back as null; rows that repeat the smallest
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -58,7 +63,11 @@ def revisits(pages: DataFrame, id_col: str, payload_col: str, revisit_bytes: int
     return rows.join(again.withColumnsRenamed({"page_id": "id", "digest": "d"}), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")), "left").drop("id", "d")
 
 
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", revisit_bytes: int = 100, archive_records: int = 2000) -> None:
+def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", revisit_bytes: int = 100, archive_records: int = 2000, archive_bytes: int = 128 << 20) -> None:
+    bound = max(1, archive_bytes // archive_records)
+    doublings = lambda n: F.greatest(F.ceil(F.log2(n / bound)), F.lit(0)).cast("int")
+    found = pages.select(doublings(F.octet_length(F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("x")))).alias("k"))
+    sizes = sorted(r["k"] for r in found.distinct().collect()) or [0]  # at most 31 of them: a payload is under 2 GB
     rows = revisits(pages, id_col, payload_col, revisit_bytes)
     revisit = F.col("first").isNotNull()
     line = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts], F.lit("\r\n"))
@@ -77,8 +86,10 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload
         F.lit(HTTP),
         F.when(revisit, F.lit("")).otherwise(F.col("payload")),
     )
-    writer = rows.select(record.alias("value")).write.option("lineSep", END.decode()).option("compression", "none")
-    writer.option("maxRecordsPerFile", archive_records).text(path)
+    for k in sizes:
+        part = rows if len(sizes) == 1 else rows.where(doublings(F.greatest(F.col("n_bytes"), F.lit(1))) == k)
+        writer = part.select(record.alias("value")).write.mode("append").option("lineSep", END.decode()).option("compression", "none")
+        writer.option("maxRecordsPerFile", max(1, archive_records >> k)).text(path)
 
 
 def member(record: bytes) -> bytes:
@@ -137,7 +148,7 @@ def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
     """(offset, length, gap, headers, block): a record, or with a reason in
-    ``gap`` bytes that hold no valid record."""
+    ``gap`` bytes that hold no valid record (then the block is those bytes)."""
     at, bad, why = 0, -1, ""
     while at < len(data):
         try:
@@ -155,12 +166,12 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
             at = min(nexts, default=len(data))
             continue
         if bad >= 0:
-            yield bad, at - bad, why, {}, b""
+            yield bad, at - bad, why, {}, data[bad:at]
             bad = -1
         yield at, end - at, None, headers, block
         at = end
     if bad >= 0:
-        yield bad, len(data) - bad, why, {}, b""
+        yield bad, len(data) - bad, why, {}, data[bad:]
 
 
 class _Nowhere:
@@ -178,7 +189,8 @@ def _page(name: str | None) -> int | None:
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """One row per record and per quarantined gap (``gap`` tells why)."""
+    """One row per record and per quarantined gap (``gap`` tells why; payload and
+    its length and digest are those of the gap's bytes)."""
 
     def run(batches):
         names = [f.split()[0] for f in RECORDS.split(", ")]
@@ -187,8 +199,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
             for file, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 rows = []
                 for at, length, gap, h, block in salvage(content):
-                    body = block[block.find(END) + 4 :] if gap is None else None
-                    n = h.get("warc-payload-length", "") or (str(len(body)) if body is not None else "")
+                    if gap is not None:
+                        h = {"warc-payload-digest": hashlib.sha256(block).hexdigest(), "warc-payload-length": str(length)}
+                    body = block[block.find(END) + 4 :] if gap is None else block
+                    n = h.get("warc-payload-length", "") or str(len(body))
                     digest = h.get("warc-payload-digest", "").removeprefix("sha256:") or None
                     own = (_page(h.get("warc-record-id")), int(n) if n.isdigit() else None, digest, h.get("warc-type"), _page(h.get("warc-refers-to")))
                     rows.append((file, at, length, gap, *own, body if payloads else None))
@@ -202,6 +216,14 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     return files.select("path", "content").mapInArrow(run, RECORDS)
 
 
+def log_gaps(records: DataFrame, path: str) -> DataFrame:
+    """Writes the quarantined gaps of read archives as JSON lines and returns them
+    (file, at, length, gap, payload_digest)."""
+    gaps = records.where("gap is not null").select("file", "at", "length", "gap", "payload_digest")
+    gaps.write.json(path)
+    return records.sparkSession.read.schema(gaps.schema).json(path)
+
+
 ORACLE = """
 WITH t AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
 f AS (SELECT page_id, octet_length(encode(p)) AS payload_bytes, sha256(p) AS payload_digest, min(page_id) OVER (PARTITION BY p) AS first FROM t),
@@ -215,5 +237,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     path = scratch(spark, "warc")
     write_archives(documents(spark, sf_dir, "pages"), path)
-    records = read_archives(spark, path, payloads=False)
+    records, _ = store(read_archives(spark, path, payloads=False).drop("payload"), "warc-records")
+    lost = log_gaps(records, scratch(spark, "warc-gaps")).agg(F.count("*"), F.sum("length")).first()
+    if lost[0]:
+        warnings.warn(f"{path}: {lost[0]} gaps of {lost[1]} bytes are quarantined", stacklevel=2)
     return records.where("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

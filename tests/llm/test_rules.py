@@ -215,6 +215,35 @@ def test_salvage():
     assert list(warc.salvage(b"")) == []
 
 
+def test_damaged_archives_through_spark(spark, tmp_path):
+    """Whole records come back, every gap is logged with its bytes' digest."""
+    rnd = random.Random(31)
+    plain = [record(i, rnd.randbytes(200)) for i in range(6)]
+    plain[2] = plain[2][:100]
+    packed = [warc.member(record(i, rnd.randbytes(300))) for i in range(10, 16)]
+    noise = rnd.randbytes(64).replace(b"\x1f", b"")
+    (tmp_path / "part-a").write_bytes(b"".join(plain))
+    (tmp_path / "part-b").write_bytes(b"".join([*packed[:3], noise, *packed[3:]]))
+    (tmp_path / "part-c").write_bytes(b"")
+    records = warc.read_archives(spark, str(tmp_path))
+    assert sorted(r.page_id for r in records.where("gap is null").collect()) == [0, 1, 3, 4, 5, *range(10, 16)]
+    log = scratch(spark, "gaps-test")
+    gaps = {r.file[-6:]: r for r in warc.log_gaps(records, log).collect()}
+    assert {f: (r.at, r.length, r.payload_digest) for f, r in gaps.items()} == {
+        "part-a": (len(plain[0] + plain[1]), 100, hashlib.sha256(plain[2]).hexdigest()),
+        "part-b": (len(b"".join(packed[:3])), len(noise), hashlib.sha256(noise).hexdigest())}
+    assert spark.read.json(log).count() == 2
+
+
+def test_archives_are_bounded_by_bytes(spark, make):
+    table = [(i, f"{i} " + "x" * (3000 if i % 3 == 0 else 20), "s") for i in range(60)] + [(99, None, "s"), (100, "y" * 20_000, "s")]
+    path = scratch(spark, "warc-test")
+    warc.write_archives(make(table), path, "doc_id", "text", archive_records=50, archive_bytes=50_000)
+    files = spark.read.format("binaryFile").load(path).select("length").collect()
+    assert max(r[0] for r in files) < 2 * 50_000
+    assert sorted(r.page_id for r in warc.read_archives(spark, path).where("gap is null").collect()) == sorted(r[0] for r in table)
+
+
 def test_empty_tables(spark, make):
     none = make([])
     assert license_scan.license_scan(none).collect() == []
