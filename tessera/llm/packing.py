@@ -13,9 +13,9 @@ lengths (at most ``capacity`` rows, whatever the corpus size):
    that still holds them.
 
 The number of groups and what counts as large are chosen by the histogram:
-the scheme that needs the fewest sequences wins (``best_plan``).  In the first
-scheme a configuration is a single large piece, so it is plain best fit
-decreasing; grouping has an effect in the others only.
+the scheme that needs the fewest sequences wins (``best_plan``).  Every scheme has
+configurations of two large pieces at least.  Groups of one rounded size are one
+class, so there are at most as many classes as lengths, however fine the groups.
 
 All steps work on runs: ranges of pieces of one length and of sequences with
 equal room.  The number of runs depends on the number of distinct lengths, not
@@ -82,7 +82,7 @@ def _configurations(sizes: list[int], capacity: int) -> list[tuple[int, tuple[in
     return out
 
 
-def plan_runs(histogram: dict[int, int], capacity: int = 2048, groups: int = 24, large: int = 6) -> list[tuple[int, int, int, int, int]]:
+def plan_runs(histogram: dict[int, int], capacity: int = 2048, groups: int = 24, large: float = 6) -> list[tuple[int, int, int, int, int]]:
     """(length, first rank, count, first sequence, offset) runs that place
     every piece: rank r of the run goes to sequence first + (r - first rank)."""
     runs: list[tuple[int, int, int, int, int]] = []
@@ -100,7 +100,8 @@ def plan_runs(histogram: dict[int, int], capacity: int = 2048, groups: int = 24,
         rank, left = 0, histogram[n]
         while left:
             if not room:
-                classes.append([])
+                if not classes or classes[-1][0][0] != n:
+                    classes.append([])
                 room = share
             take = min(left, room)
             classes[-1].append([n, rank, take])
@@ -184,8 +185,9 @@ def plan_runs(histogram: dict[int, int], capacity: int = 2048, groups: int = 24,
     return runs
 
 
-# (groups, large) tried: from few pieces in a configuration to many.
-SCHEMES = ((24, 2), (8, 3), (24, 3), (12, 4), (16, 6))
+# (groups, large) tried: from few pieces in a configuration to many.  Fine groups go with
+# few large lengths, which bounds the configurations.
+SCHEMES = ((4096, 2.2), (8, 3), (24, 3), (12, 4), (16, 6))
 
 
 def best_plan(histogram: dict[int, int], capacity: int = 2048) -> list[tuple[int, int, int, int, int]]:
