@@ -12,6 +12,7 @@ from tessera.operators import curate as C
 from tessera.operators.split import split_summary
 from tessera.plans import register
 from tessera.plans.dedupe import KEYED_SQL, _keyed
+from tessera.session import import_in_workers, written
 from tessera.sources.tables import ROW_INDEX, events_rows, table
 
 K_SQL = "CAST(json_extract(props, '$.k') AS BIGINT)"
@@ -239,18 +240,21 @@ def b6(spark, sf_dir):
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-MAJ_SCHEMA = "__k long, __first long, __win long, __nl long, __ntop long"
+MAJ_SCHEMA = "__first long, __win long, __nl long, __ntop long"
+MAJ_ROWS = 50_000  # counts decided at once
+NO_ID = (1 << 63) - 1
 
 
 def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
-    """B7 escape hatch: majority decision in pandas over one key's per-label
-    counts (bounded by the number of distinct labels, never raw rows)."""
-    voted = pdf[pdf["__l"].notna()]
-    top = voted["__n"].max() if len(voted) else None
-    winners = voted[voted["__n"] == top] if top is not None else voted
-    return pd.DataFrame({"__k": [pdf["__k"].iloc[0]], "__first": [pdf["__f"].min()],
-                         "__win": [winners["__f"].min() if len(winners) else None],
-                         "__nl": [len(voted)], "__ntop": [len(winners)]})
+    """B7 escape hatch: majority decisions in pandas over the per-label counts
+    of a block of whole keys (never raw rows)."""
+    key = pdf.groupby(["__null", "__k"], sort=False).ngroup()
+    first = pdf["__f"].groupby(key).min()
+    voted = pdf["__l"].notna()
+    top = pdf["__n"].where(voted, 0).groupby(key).transform("max")
+    won = voted & (pdf["__n"] == top)
+    return pd.DataFrame({"__first": first, "__win": pdf["__f"].where(won, NO_ID).groupby(key).min(),
+                         "__nl": voted.groupby(key).sum(), "__ntop": won.groupby(key).sum()})
 
 
 @register("b7_group_apply_majority", f"""
@@ -264,14 +268,18 @@ pick AS (SELECT CASE WHEN pk.nl <= 1 THEN pk.first_any WHEN win.ntop = 1 THEN wi
          FROM pk LEFT JOIN win ON pk.key = win.key)
 SELECT k.__row_index, k.key, k.event_type, k.value FROM k JOIN pick ON k.__row_index = pick.id""")
 def b7(spark, sf_dir):
-    """Same result as the native D3, with the per-key decision in
-    ``applyInPandas`` after a map-side (key, label) count."""
+    """Same result as the native D3, with the decisions in ``applyInPandas``
+    after a map-side (key, label) count.  A call takes a block of keys, about
+    ``MAJ_ROWS`` counts at any size of the table, not one key."""
+    import_in_workers(spark)
     rows = _keyed(spark, sf_dir)
-    per = rows.groupBy(F.col("key").alias("__k"), F.col("event_type").alias("__l")).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(ROW_INDEX).alias("__f"))
-    dec = per.groupBy("__k").applyInPandas(_decide, MAJ_SCHEMA)
+    per = rows.groupBy(F.col("key").alias("__key"), F.col("event_type").alias("__l")).agg(
+        F.count(F.lit(1)).alias("__n"), F.coalesce(F.min(ROW_INDEX), F.lit(NO_ID)).alias("__f"))
+    per = written(per.select(F.col("__key").isNull().alias("__null"), F.coalesce("__key", F.lit(0)).alias("__k"), "__l", "__n", "__f"), "label-counts")
+    blocks = max(per.count() // MAJ_ROWS + 1, spark.sparkContext.defaultParallelism)
+    dec = per.groupBy(F.pmod(F.xxhash64("__k"), F.lit(blocks)).alias("__block")).applyInPandas(_decide, MAJ_SCHEMA)
     pick = dec.select(F.when(F.col("__nl") <= 1, F.col("__first")).when(F.col("__ntop") == 1, F.col("__win"))
-                      .alias(ROW_INDEX)).filter(F.col(ROW_INDEX).isNotNull())
+                      .alias(ROW_INDEX)).filter(F.col(ROW_INDEX) != NO_ID)
     return rows.join(pick, ROW_INDEX).select(ROW_INDEX, "key", "event_type", "value")
 
 
