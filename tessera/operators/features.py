@@ -84,13 +84,17 @@ def canonical_key(text: Column, separator: str = r"\.", prefer_largest: bool = T
 
 
 def map_features(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType,
-                 keep: list[str], on_error: str = "null") -> DataFrame:
+                 keep: list[str], on_error: str = "null", per_row: bool = False) -> DataFrame:
     """V1 / V2: user featuriser over Arrow batches.
 
     ``fn`` maps a pandas frame to one row of feature columns per input row,
     each from its own row.  A batch that raises is halved until only the rows
     that raise are left; those get NULL features (``on_error='null'``) or are
     dropped (``'drop'``).  Ids in ``keep`` are carried through.
+
+    With ``per_row``, ``fn`` maps one row (a dict) to a dict of its features and
+    is called once a row: the way for featurisers that often fail, which would
+    have most batches halved down to rows.  A batch leaves as one batch.
     """
     feat_names = [f.name for f in schema.fields if f.name not in keep]
 
@@ -108,10 +112,27 @@ def map_features(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], sche
             return []
         return [part[keep].reset_index(drop=True).assign(**dict.fromkeys(feat_names))]
 
+    def one_by_one(pdf: pd.DataFrame) -> pd.DataFrame:
+        names, found, held = list(pdf.columns), [], []
+        for row in zip(*(pdf[c] for c in names)):
+            try:
+                out = fn(dict(zip(names, row)))
+                found.append([out[f] for f in feat_names])
+                held.append(True)
+            except Exception:  # noqa: BLE001 - failure of a row is the contract
+                found.append([None] * len(feat_names))
+                held.append(on_error != "drop")
+        columns = {f: pd.Series([x[i] for x in found], dtype=object) for i, f in enumerate(feat_names)}
+        return pd.concat([pdf[keep].reset_index(drop=True), pd.DataFrame(columns)], axis=1)[held]
+
     def run(batches):
         for pdf in batches:
-            if len(pdf):
-                yield from features(pdf)
+            if per_row:
+                yield one_by_one(pdf)
+            elif len(pdf):
+                found = features(pdf)
+                if found:  # a batch of its own for every piece would cost more than the features
+                    yield pd.concat([x.astype(object) for x in found], ignore_index=True)
 
     return df.mapInPandas(run, schema)
 

@@ -33,13 +33,13 @@ FEATURE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructFi
                                T.StructField("n_lines", T.LongType())])
 
 
-def _describe(pdf: pd.DataFrame) -> pd.DataFrame:
+def _describe(row: dict) -> dict:
     """Example user featuriser: fails (raises) on texts whose length is a
     multiple of 13, standing in for an unparsable record."""
-    text = pdf["text"].iloc[0]
+    text = row["text"]
     if len(text) % 13 == 0:
         raise ValueError("unparsable record")
-    return pd.DataFrame({"n_chars": [len(text)], "n_lines": [text.count("\n") + 1]})
+    return {"n_chars": len(text), "n_lines": text.count("\n") + 1}
 
 
 def _describe_batch(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -53,7 +53,7 @@ SELECT count(*) AS n_rows, count(*) FILTER (WHERE length(text) % 13 = 0) AS n_fa
        CAST(sum(length(text)) FILTER (WHERE length(text) % 13 <> 0) AS BIGINT) AS sum_chars FROM documents""")
 def v1(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    f = V.map_features(d, _describe, FEATURE_SCHEMA, keep=["doc_id"], on_error="null")
+    f = V.map_features(d, _describe, FEATURE_SCHEMA, keep=["doc_id"], on_error="null", per_row=True)
     return f.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("n_chars").isNull()).alias("n_failed"),
                  F.sum("n_chars").cast("long").alias("sum_chars"))
 
@@ -63,7 +63,7 @@ SELECT count(*) AS n_rows, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT)
 FROM documents WHERE length(text) % 13 <> 0""")
 def v2(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    f = V.map_features(d, _describe, FEATURE_SCHEMA, keep=["doc_id"], on_error="drop")
+    f = V.map_features(d, _describe, FEATURE_SCHEMA, keep=["doc_id"], on_error="drop", per_row=True)
     return f.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_lines").cast("long").alias("sum_lines"))
 
 

@@ -9,6 +9,37 @@ from tessera.plans import scalars
 from tessera.plans.features import FEATURE_SCHEMA
 
 
+def test_row_featuriser_is_called_once_a_row(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(row):
+        calls.add(1)
+        if row["text"] is None or len(row["text"]) % 3 == 0:
+            raise ValueError
+        return {"n_chars": len(row["text"]), "n_lines": 2**60 + 1}
+
+    df = spark.createDataFrame([(i, "x" * (i % 10) if i else None) for i in range(50)], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_chars, r.n_lines) for r in V.map_features(df, fn, FEATURE_SCHEMA, ["doc_id"], per_row=True).collect()}
+    assert calls.value == 50
+    assert got == {i: (None, None) if i % 10 % 3 == 0 else (i % 10, 2**60 + 1) for i in range(50)}
+    assert V.map_features(df, fn, FEATURE_SCHEMA, ["doc_id"], on_error="drop", per_row=True).count() == sum(i % 10 % 3 > 0 for i in range(50))
+
+
+def test_a_halved_batch_leaves_as_one_batch(spark):
+    def fn(pdf):
+        if (pdf["doc_id"] % 5 == 0).any():
+            raise ValueError
+        return pd.DataFrame({"n_chars": pdf["doc_id"] + 2**60, "n_lines": pdf["doc_id"]})
+
+    def count(batches):
+        yield pd.DataFrame({"n": [sum(1 for _ in batches)]})
+
+    df = spark.range(64).withColumnRenamed("id", "doc_id").coalesce(1)
+    out = V.map_features(df, fn, FEATURE_SCHEMA, ["doc_id"])
+    assert {r.doc_id: r.n_chars for r in out.collect()} == {i: None if i % 5 == 0 else i + 2**60 for i in range(64)}
+    assert out.mapInPandas(count, "n long").first().n == 1
+
+
 def test_a_block_of_keys_is_decided_at_once():
     no = scalars.NO_ID
     counts = pd.DataFrame(
