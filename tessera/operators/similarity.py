@@ -3,7 +3,8 @@ table with itself.
 
 ``overlap_counts`` reads the queries in blocks of at most ``block_bits`` (query,
 bit) pairs; a block's inverted index (bit -> queries) goes to the tasks, and each
-Arrow batch of rows counts its hits there.  Neither side is exploded or
+Arrow batch of rows counts its hits there, in slices of at most ``BLOCK_PAIRS``
+pairs.  Neither side is exploded or
 shuffled, and a query set of any size takes the same way, in more passes.
 
 ``similarity_join`` is exact and has no all-pairs way:
@@ -35,6 +36,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import import_in_workers, written
 
+BLOCK_PAIRS = 500_000  # (query, row) pairs that a task holds at once
+
 
 def _query_blocks(queries: DataFrame, q_id: str, bits: str, block_bits: int) -> Iterator[list[tuple[int, list[int]]]]:
     block, size = [], 0
@@ -58,10 +61,11 @@ def _count_block(block: list[tuple[int, list[int]]], corpus: DataFrame, q_id: st
     members, used = members[order], flat[order]
     offsets = np.searchsorted(used, np.arange(int(used[-1]) + 2))  # bits are numbered from 0
     n_q, n_bits = len(block), len(offsets) - 1
+    rows = max(1, BLOCK_PAIRS // n_q)
 
     def count(batches):
         best = np.zeros((n_q, top_k or 0))  # the k best of the task so far, per query, worst first
-        for pdf in batches:
+        for pdf in (whole.iloc[s : s + rows] for whole in batches for s in range(0, len(whole), rows)):
             sizes = pdf[bits].map(lambda b: 0 if b is None else len(b)).to_numpy(np.int64)
             if not sizes.sum():
                 continue

@@ -40,6 +40,21 @@ def test_a_halved_batch_leaves_as_one_batch(spark):
     assert out.mapInPandas(count, "n long").first().n == 1
 
 
+def test_set_counts_hold_few_pairs_at_once(spark, monkeypatch):
+    sets = spark.createDataFrame([(i, sorted({i % 7, i % 5, 9})) for i in range(40)], "doc_id long, bits array<int>").coalesce(1)
+    queries = sets.where("doc_id < 3").withColumnRenamed("doc_id", "item_id")
+    whole = sorted(similarity.overlap_counts(queries, sets, "item_id", "doc_id").collect())
+    monkeypatch.setattr(similarity, "BLOCK_PAIRS", 6)
+    found = similarity.overlap_counts(queries, sets, "item_id", "doc_id")
+    assert sorted(found.collect()) == whole and len(whole) == 120
+
+    def largest(batches):
+        yield pd.DataFrame({"n": [max(len(b) for b in batches)]})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    assert found.mapInPandas(largest, "n int").first().n <= 120
+
+
 def test_a_block_of_keys_is_decided_at_once():
     no = scalars.NO_ID
     counts = pd.DataFrame(
