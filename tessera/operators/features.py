@@ -13,11 +13,15 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, ByteType, StructField, StructType
 
+EXPAND_ROWS = 1_000  # fingerprints expanded at once
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -54,10 +58,33 @@ def hashed_bits(text: Column, radius: int = 2, n_bits: int = 2048) -> Column:
 
 def expand_bits(df: DataFrame, bits_col: str, n_bits: int, prefix: str = "fp_") -> DataFrame:
     """V5: on-bit array -> ``fp_0 .. fp_{n-1}`` 0/1 columns (small n only;
-    large n stays sparse)."""
+    large n stays sparse).  Every set is read once, not once per column; as with
+    ``array_contains``, all columns of a null set are null, and those not found
+    in a set with a null bit."""
     if n_bits > 4096:
         raise ValueError("expand only small fingerprints; keep large ones as on-bit arrays")
-    return df.select("*", *[F.array_contains(bits_col, i).cast("int").alias(f"{prefix}{i}") for i in range(n_bits)])
+    at = df.columns.index(bits_col)
+
+    def expand(batches):
+        for whole in batches:
+            for start in range(0, len(whole), EXPAND_ROWS):
+                b = whole.slice(start, EXPAND_ROWS)
+                sets = b.column(at)
+                bits = sets.flatten()  # without those of null sets
+                sizes = pc.fill_null(pc.list_value_length(sets), 0).to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(len(b)), sizes)
+                unknown = np.zeros(len(b), bool)
+                unknown[row[bits.is_null().to_numpy(zero_copy_only=False)]] = True
+                bit = pc.fill_null(bits, -1).to_numpy(zero_copy_only=False)
+                held = (bit >= 0) & (bit < n_bits)
+                wide = np.zeros((len(b), n_bits), np.int8)
+                wide[row[held], bit[held]] = 1
+                mask = (unknown[:, None] & (wide == 0)).ravel() if unknown.any() else None
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1, dtype=np.int32) * n_bits), pa.array(wide.ravel(), mask=mask), mask=sets.is_null())
+                yield pa.RecordBatch.from_arrays([*b.columns, lists], names=[*b.schema.names, "__wide"])
+
+    wide = df.mapInArrow(expand, StructType([*df.schema.fields, StructField("__wide", ArrayType(ByteType()))]))
+    return wide.select(*[F.col(f"`{c}`") for c in df.columns], *[F.get("__wide", F.lit(i)).cast("int").alias(f"{prefix}{i}") for i in range(n_bits)])
 
 
 def text_descriptors(text: Column) -> list[Column]:

@@ -40,6 +40,14 @@ def test_a_halved_batch_leaves_as_one_batch(spark):
     assert out.mapInPandas(count, "n long").first().n == 1
 
 
+def test_expanded_bits_are_those_of_array_contains(spark):
+    df = spark.createDataFrame([(1, [0, 3]), (2, []), (3, None), (4, [1, None]), (5, [2, 9, 2])], "id int, bits array<int>")
+    wide = V.expand_bits(df, "bits", 4)
+    plain = df.select("*", *[F.array_contains("bits", i).cast("int").alias(f"fp_{i}") for i in range(4)])
+    assert sorted(wide.collect()) == sorted(plain.collect()) and wide.schema == plain.schema
+    assert "array_contains" not in wide._jdf.queryExecution().toString()
+
+
 def test_set_counts_hold_few_pairs_at_once(spark, monkeypatch):
     sets = spark.createDataFrame([(i, sorted({i % 7, i % 5, 9})) for i in range(40)], "doc_id long, bits array<int>").coalesce(1)
     queries = sets.where("doc_id < 3").withColumnRenamed("doc_id", "item_id")
