@@ -66,3 +66,16 @@ def test_search_scores_are_those_of_the_rows(spark):
     at = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(at).cache()
     est, judge = M.build("decision_tree", "regression", 42, "y").setMaxDepth(2), RegressionEvaluator(labelCol="y", metricName="r2")
     assert got == pytest.approx(np.mean([judge.evaluate(est.fit(at.where(f"f <> {f}")).transform(at.where(f"f = {f}"))) for f in (0, 1)]))
+
+
+def test_fit_step_metrics_score_a_row_once(spark):
+    from pyspark.sql import functions as F
+    calls = spark.sparkContext.accumulator(0)
+
+    def proba(x):
+        calls.add(1)
+        return x / 10
+
+    rows = spark.range(10).select(F.lit("train").alias("split"), (F.col("id") % 2).cast("double").alias("c"), F.udf(proba, "double")("id").alias("pred_proba"))
+    got = M.fit_step_metrics(rows.withColumn("pred_label", (F.col("pred_proba") >= 0.5).cast("int")), "c").first()
+    assert got.n == 10 and calls.value == 10
