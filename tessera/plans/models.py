@@ -27,7 +27,7 @@ def model_table(spark, sf_dir):
 
 
 def _fit_score(spark, sf_dir, model_type, task):
-    d = model_table(spark, sf_dir).cache()
+    d = written(model_table(spark, sf_dir), "model-rows")
     feats, label = (REG_FEATURES, "y_reg") if task == "regression" else (CLS_FEATURES, "y_cls")
     model = M.fit(d.filter(F.col("split") == "train"), feats, label, model_type, task)
     return d, model, M.score(model, d, task), label
@@ -84,7 +84,7 @@ def m4_svr(spark, sf_dir):
 
 @register("m5_voting_ensemble")
 def m5(spark, sf_dir):
-    d = model_table(spark, sf_dir).cache()
+    d = written(model_table(spark, sf_dir), "model-rows")
     train = d.filter(F.col("split") == "train")
     scored = [M.score(M.fit(train, REG_FEATURES, "y_reg", t, "regression"), d, "regression")
               for t in ("random_forest", "boosted_trees")]
@@ -133,7 +133,7 @@ def m8(spark, sf_dir):
 @register("m10_multi_seed_benchmark", None)
 def m10(spark, sf_dir):
     """Seeds x models -> per-run metrics -> mean and population std per model."""
-    d = model_table(spark, sf_dir).cache()
+    d = written(model_table(spark, sf_dir), "model-rows")
     train = d.filter(F.col("split") == "train")
     runs = None
     for seed in range(5):
@@ -160,7 +160,7 @@ def m10_summary(spark, sf_dir):
 
 @register("m11_model_leaderboard")
 def m11(spark, sf_dir):
-    d = model_table(spark, sf_dir).cache()
+    d = written(model_table(spark, sf_dir), "model-rows")
     train = d.filter(F.col("split") == "train")
     out = None
     for t in M.REGRESSORS:
