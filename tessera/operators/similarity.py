@@ -18,19 +18,27 @@ shuffled, and a query set of any size takes the same way, in more passes.
 4. Sets that meet are compared in full, once a pair.
 
 A part holds about t / (1 - t) bits, so parts tell sets apart well for high
-thresholds and less for low ones; the number of pairs compared is returned with
+thresholds and less for low ones; the pairs that met are returned with
 ``candidates``.  Hot parts (the empty one of small sets) are left to the
 adaptive skew join; no list of a part is gathered in one row or task.
+
+Parts do not tell sets apart that hold most of the bits there are, and near
+copies meet once per part.  So every eighth part is counted first, and a band
+whose sets would meet too often is compared in blocks instead: its sets are
+packed, and each pair of blocks is one group, a product of two 0/1 matrices.
+That is all pairs of the band, in bounded memory; many of them are similar.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +46,12 @@ from tessera.session import import_in_workers, written
 
 BLOCK_PAIRS = 500_000  # (query, row) pairs that a task holds at once
 
+FEW_PAIRS = 1_000_000  # a band of no more pairs is left to its parts
+MEETING_COST = 50  # a meeting costs about as much as so many pairs of a block
+COUNTED_PARTS = 8  # one part in so many is counted to choose
+WIDEST = 1 << 14  # bits of a set that is packed
+BLOCK_VALUES = 1 << 22  # of a block's matrix
+
 
 def _query_blocks(queries: DataFrame, q_id: str, bits: str, block_bits: int) -> Iterator[list[tuple[int, list[int]]]]:
     block, size = [], 0
@@ -147,11 +161,12 @@ def part_hashes(sizes: np.ndarray, bits: np.ndarray, n_parts: np.ndarray) -> np.
     return out.view(np.int64)
 
 
-def _signatures(reps: DataFrame, threshold: float, bands: list[tuple[int, int]]) -> DataFrame:
-    """(band, part, hash, id, size, upper): a set is in its own band and, as
-    the larger side, in the one below."""
+def _signatures(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], chosen: list[int], every: int = 1) -> DataFrame:
+    """(band, part, hash, id, size, upper) of the chosen bands: a set is in its
+    own band and, as the larger side, in the one below.  One part in ``every``."""
     tops = np.array([hi for _, hi in bands])
     parts = np.array([_parts(threshold, hi) for _, hi in bands])
+    use = np.isin(np.arange(len(bands)), chosen)
 
     def run(batches):
         for b in batches:
@@ -161,12 +176,15 @@ def _signatures(reps: DataFrame, threshold: float, bands: list[tuple[int, int]])
             ids, own = b.column("id").to_numpy(), np.searchsorted(tops, sizes)
             for upper in (False, True):
                 band = own - upper
-                held = band >= 0
+                held = (band >= 0) & use[np.maximum(band, 0)]
                 n = np.where(held, parts[np.maximum(band, 0)], 0)
                 keep = np.repeat(held, sizes)
                 hashes = part_hashes(np.where(held, sizes, 0), bits[keep], n)
                 of = np.repeat(np.arange(len(sizes)), n)
                 part = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                if every > 1:
+                    kept = part % every == 0
+                    hashes, of, part = hashes[kept], of[kept], part[kept]
                 for s in range(0, len(of), 100_000):
                     at = slice(s, s + 100_000)
                     o = of[at]
@@ -178,12 +196,86 @@ def _signatures(reps: DataFrame, threshold: float, bands: list[tuple[int, int]])
     return reps.select("id", "bits").mapInArrow(run, "band int, part int, hash long, id long, size long, upper boolean")
 
 
-def set_classes(rows: DataFrame, id_col: str, bits: str = "bits") -> DataFrame:
-    """(id, class_id, bits): the class of equal sets that a row is in, by its smallest id."""
-    sets = rows.select(F.col(id_col).cast("long").alias("id"), F.array_sort(F.array_distinct(F.col(bits).cast("array<int>"))).alias("bits"))
-    sets = sets.where(F.col("id").isNotNull() & (F.size("bits") > 0))
-    first = sets.groupBy("bits").agg(F.min("id").alias("class_id"))
-    return sets.join(first, "bits").select("id", "class_id", "bits")
+def _dense_bands(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], sets_in: list[int]) -> set[int]:
+    """The bands to compare in blocks, by how often their sets would meet in parts."""
+    pairs = [n * (n - 1) // 2 + n * above for n, above in zip(sets_in, [*sets_in[1:], 0])]
+    large = [k for k, n in enumerate(pairs) if n > FEW_PAIRS]
+    if not large:
+        return set()
+    counted = _signatures(reps, threshold, bands, large, COUNTED_PARTS).groupBy("band", "part", "hash")
+    counted = counted.agg(F.count_if(~F.col("upper")).cast("double").alias("low"), F.count_if("upper").alias("high"))
+    met = counted.groupBy("band").agg(F.sum(F.col("low") * ((F.col("low") - 1) / 2 + F.col("high"))).alias("n")).collect()  # a row per band
+    dense = set()
+    for r in met:
+        n_parts = _parts(threshold, bands[r.band][1])
+        if r.n * n_parts / math.ceil(n_parts / COUNTED_PARTS) * MEETING_COST > pairs[r.band]:
+            dense.add(r.band)
+    return dense
+
+
+def _packed(reps: DataFrame, bands: list[tuple[int, int]], wanted: list[int], width: int) -> DataFrame:
+    """(band, id, size, packed): the sets of the wanted bands, ``width`` bits each."""
+    tops = np.array([hi for _, hi in bands])
+
+    def run(batches):
+        for whole in batches:
+            for start in range(0, len(whole), max(1, BLOCK_VALUES // width)):
+                b = whole.slice(start, max(1, BLOCK_VALUES // width))
+                sets = b.column("bits")
+                sizes = pc.list_value_length(sets).to_numpy().astype(np.int64)
+                matrix = np.zeros((len(b), width), np.uint8)
+                matrix[np.repeat(np.arange(len(b)), sizes), sets.flatten().to_numpy()] = 1
+                rows = pa.array([r.tobytes() for r in np.packbits(matrix, axis=1)], pa.binary())
+                band = np.searchsorted(tops, sizes).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(band), b.column("id"), pa.array(sizes), rows], ["band", "id", "size", "packed"])
+
+    first, last = F.lit([bands[k][0] for k in wanted]), F.lit([bands[k][1] for k in wanted])
+    in_band = F.exists(F.arrays_zip(first.alias("lo"), last.alias("hi")), lambda z: F.size("bits").between(z["lo"], z["hi"]))
+    return reps.where(in_band).select("id", "bits").mapInArrow(run, "band int, id long, size long, packed binary")
+
+
+def _block_pairs(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], sets_in: list[int], dense: set[int], width: int) -> DataFrame:
+    """(a_id, b_id, a, b, c) of the dense bands: all pairs similar up to rounding.
+
+    A band's sets are cut into blocks by hash.  Group (band, i, j) holds blocks i
+    and j of the band, or, numbered on, block j of the band above."""
+    wanted = sorted(dense | {k + 1 for k in dense if k + 1 < len(bands)})
+    blocks = [math.ceil(n / max(1, BLOCK_VALUES // width)) for n in [*sets_in, 0]]
+    share = threshold / (1 + threshold)
+    rows = _packed(reps, bands, wanted, width)
+    rows = rows.select("*", F.pmod(F.xxhash64("id", "packed"), F.greatest(F.get(F.lit(blocks), F.col("band")), F.lit(1))).cast("int").alias("own"))
+    in_dense = lambda band: band.isin(sorted(dense))
+    n_of = lambda band: F.get(F.lit(blocks), band)
+    low = rows.where(in_dense(F.col("band"))).select("band", "own", "id", "size", "packed", F.explode(F.sequence(F.lit(0), n_of(F.col("band")) + n_of(F.col("band") + 1) - 1)).alias("other"))
+    high = rows.where(in_dense(F.col("band") - 1)).withColumn("band", F.col("band") - 1).select("band", (n_of(F.col("band")) + F.col("own")).alias("own"), "id", "size", "packed", F.explode(F.sequence(F.lit(0), n_of(F.col("band")) - 1)).alias("other"))
+    grouped = low.unionByName(high).select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "size", "packed")
+
+    def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        i, j = key[1].as_py(), key[2].as_py()
+        b = pa.Table.from_batches(batches)
+        own, ids, sizes = (b.column(c).to_numpy() for c in ("own", "id", "size"))
+        bits = np.frombuffer(b"".join(b.column("packed").to_pylist()), np.uint8).reshape(len(own), -1)
+
+        def side(n):
+            at = np.flatnonzero(own == n)
+            return ids[at], sizes[at], np.unpackbits(bits[at], axis=1).astype(np.float32)
+
+        x_id, x_size, x = side(i)
+        y_id, y_size, y = (x_id, x_size, x) if i == j else side(j)
+        y = y.T
+        x_need, y_need = ((share * n).astype(np.float32) for n in (x_size, y_size))
+        for s in range(0, len(x_id), 256):
+            common = x[s : s + 256] @ y
+            p, q = np.nonzero(common >= x_need[s : s + 256, None] + (y_need - np.float32(0.01)))
+            if i == j:
+                p, q = p[q > p + s], q[q > p + s]
+            if len(p):
+                c, p = common[p, q].astype(np.int64), p + s
+                swap = x_id[p] > y_id[q]
+                columns = [np.where(swap, v, u) for u, v in ((x_id[p], y_id[q]), (y_id[q], x_id[p]), (x_size[p], y_size[q]), (y_size[q], x_size[p]))]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*columns, c)], ["a_id", "b_id", "a", "b", "c"])
+
+    return grouped.groupBy("band", "i", "j").applyInArrow(compare, "a_id long, b_id long, a long, b long, c long").where("a_id < b_id")
 
 
 def similarity_join(rows: DataFrame, id_col: str, bits: str = "bits", threshold: float = 0.9) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -192,25 +284,39 @@ def similarity_join(rows: DataFrame, id_col: str, bits: str = "bits", threshold:
     ``pairs`` (a_id, b_id, a, b, c, similarity): all pairs of different sets with
     Tanimoto similarity of at least ``threshold``, by the smallest ids of their
     classes, a_id < b_id; ``members`` (id, class_id): every row with a set;
-    ``candidates`` (a_id, b_id): the pairs that were compared.  Null and empty
+    ``candidates`` (a_id, b_id): the pairs that met in parts (bands compared in
+    blocks are compared whole and not listed).  Null and empty
     sets are similar to nothing; repeated bits count once; rows without an id
     are left out."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
     spark: SparkSession = rows.sparkSession
     import_in_workers(spark)
-    classes = written(set_classes(rows, id_col, bits), "set-classes")
-    reps = classes.where("id = class_id").dropDuplicates(["id", "bits"]).select("id", "bits")
-    largest = reps.agg(F.max(F.size("bits"))).first()[0] or 0
-    signatures = written(_signatures(reps, threshold, size_bands(threshold, largest)), "set-parts")
+    sets = rows.select(F.col(id_col).cast("long").alias("id"), F.array_sort(F.array_distinct(F.col(bits).cast("array<int>"))).alias("bits"))
+    sets = written(sets.where(F.col("id").isNotNull() & (F.size("bits") > 0)), "sets")  # their bits may be costly to make
+    reps = written(sets.groupBy("bits").agg(F.min("id").alias("id")), "set-classes")
+    members = sets.join(reps.withColumnRenamed("id", "class_id"), "bits").select("id", "class_id")
+    span = reps.agg(F.max(F.size("bits")).alias("largest"), F.min(F.get("bits", F.lit(0))).alias("first"), F.max(F.element_at("bits", -1)).alias("last")).first()
+    bands = size_bands(threshold, span.largest or 0)
+    dense: set[int] = set()
+    if bands and span.first >= 0 and span.last < WIDEST:
+        sets_in = [0] * len(bands)
+        tops = [hi for _, hi in bands]
+        for r in reps.groupBy(F.size("bits").alias("size")).agg(F.count(F.lit(1)).alias("n")).collect():  # a row per size, at most WIDEST
+            sets_in[bisect.bisect_left(tops, r["size"])] += r["n"]
+        dense = _dense_bands(reps, threshold, bands, sets_in)
+    signatures = written(_signatures(reps, threshold, bands, [k for k in range(len(bands)) if k not in dense]), "set-parts")
     low = signatures.where("not upper").select("band", "part", "hash", F.col("id").alias("x"), F.col("size").alias("nx"))
     high = signatures.select("band", "part", "hash", F.col("id").alias("y"), F.col("size").alias("ny"), "upper")
     meet = low.join(high, ["band", "part", "hash"]).where((F.col("upper") | (F.col("x") < F.col("y"))) & (F.least("nx", "ny") >= threshold * F.greatest("nx", "ny") - 1e-9))
     candidates = meet.select(F.least("x", "y").alias("a_id"), F.greatest("x", "y").alias("b_id")).distinct()
     candidates = written(candidates, "set-candidates")
-    left, right = reps.toDF("a_id", "x"), reps.toDF("b_id", "y")
+    left, right = reps.select(F.col("id").alias("a_id"), F.col("bits").alias("x")), reps.select(F.col("id").alias("b_id"), F.col("bits").alias("y"))
     found = candidates.join(left, "a_id").join(right, "b_id")
     found = found.select("a_id", "b_id", F.size("x").cast("long").alias("a"), F.size("y").cast("long").alias("b"), F.size(F.array_intersect("x", "y")).cast("long").alias("c"))
+    if dense:
+        width = -(-(span.last + 1) // 8) * 8
+        found = found.unionByName(_block_pairs(reps, threshold, bands, sets_in, dense, width))
     similarity = F.col("c") / (F.col("a") + F.col("b") - F.col("c"))
     pairs = found.withColumn("similarity", similarity).where(F.col("similarity") >= threshold)
-    return pairs, classes.select("id", "class_id"), candidates
+    return pairs, members, candidates

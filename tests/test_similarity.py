@@ -92,3 +92,42 @@ def test_overlap_counts_in_blocks(spark):
         assert sorted((score(r.q, r.doc, r.c) for r in top if r.q == i), reverse=True)[:3] == pytest.approx(best)
     assert Y.overlap_counts(table(spark, []).withColumnRenamed("doc", "q"), table(spark, rows), "q", "doc").collect() == []
     assert Y.similarity_join(table(spark, []), "doc")[0].collect() == []
+
+
+def brute_pairs(spark, rows, t, **limits):
+    with pytest.MonkeyPatch.context() as m:
+        for name, value in limits.items():
+            m.setattr(Y, name, value, raising=False)
+        pairs, members, candidates = Y.similarity_join(table(spark, rows), "doc", threshold=t)
+        want, classes = brute(rows, t)
+        size = {i: len(set(b)) for i, b in rows if b}
+        assert sorted((r.a_id, r.b_id, r.c) for r in pairs.collect()) == want
+        assert all((r.a, r.b) == (size[r.a_id], size[r.b_id]) for r in pairs.collect())
+        assert sorted((r.id, r.class_id) for r in members.collect()) == classes
+        return want, candidates.count()
+
+
+def test_dense_sets_do_not_meet_in_parts(spark):
+    rnd = random.Random(11)
+    rows = [(i, rnd.sample(range(2048), rnd.randrange(1500, 2000))) for i in range(150)]
+    want, met = brute_pairs(spark, rows, 0.9, FEW_PAIRS=100)
+    assert len(want) > 200 and met < len(want) / 10
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.9, 1.0])
+def test_blocks_find_the_same_pairs(spark, threshold):
+    want, met = brute_pairs(spark, sets(), threshold, FEW_PAIRS=-1, MEETING_COST=10**9, BLOCK_VALUES=2048 * 16)
+    assert met < len(want) + 100
+
+
+def test_sets_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    rows = spark.createDataFrame([(i, [i % 5, 7, 9]) for i in range(30)], "doc long, bits array<int>")
+    pairs, members, _ = Y.similarity_join(rows.mapInPandas(make, rows.schema), "doc", threshold=0.5)
+    assert (pairs.count(), members.count(), made.value) == (10, 30, 30)
