@@ -203,14 +203,13 @@ def m13_correlation(spark, sf_dir):
 @register("x10_stable_top_k_features")
 def x10(spark, sf_dir):
     """Importances averaged over 5 shuffled folds of the training rows
-    (forest refit per fold), top k (ties by column order)."""
-    d = model_table(spark, sf_dir).filter(F.col("split") == "train").cache()
-    folds = repeated_kfold(d.select(ROW_INDEX), k=5, repeats=1, seed=42)
-    d = d.join(folds.select(ROW_INDEX, "fold"), ROW_INDEX)
+    (forest refit per fold), top k (ties by column order).  The rows are stored
+    with their fold and added up in one scan for all folds."""
     feats = CLS_FEATURES
+    train = written(model_table(spark, sf_dir).filter(F.col("split") == "train").select(ROW_INDEX, *feats, "y_reg"), "model-rows")
+    d = written(repeated_kfold(train, k=5, repeats=1, seed=42, keep_columns=True).select(*feats, "y_reg", "fold"), "folds")
     acc = [0.0] * len(feats)
-    for f in range(5):
-        m = M.fit(d.filter(F.col("fold") != f), feats, "y_reg", "random_forest", "regression", seed=42)
+    for m in M.fit_without_folds(d, feats, "y_reg", "random_forest", "regression", "fold", 5, seed=42):
         for i, v in enumerate(m.stages[-1].featureImportances.toArray().tolist()):
             acc[i] += v / 5
     rows = [(c, i, float(v)) for i, (c, v) in enumerate(zip(feats, acc))]
