@@ -40,6 +40,37 @@ def test_pieces_equal_whole_texts(path):
     assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(sample)] == [w.ids for w in want]
 
 
+@pytest.mark.parametrize("path", [BPE, WORD])
+def test_full_table_keeps_pieces_met_often(path):
+    """Emptied, it would hand the common words to the library again and again."""
+    rnd = random.Random(2)
+    parts = ["a", "b ", " ", "\n", "'s", "é", "<|endoftext|>", "\0", "中", " \n", "..."]
+    enc = PieceEncoder(path, max_pieces=60)
+    learnt, learn = [], enc._learn
+    enc._learn = lambda new: (learnt.extend(new), learn(new))
+    for k in range(40):
+        sample = ["words met often " + " ".join(f"{rnd.random()}" for _ in range(20)), *("".join(rnd.choices(parts, k=rnd.randint(0, 9))) for _ in range(20))]
+        want = enc.lib.encode_batch(sample, add_special_tokens=False)
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(sample)] == [w.ids for w in want]
+    assert learnt.count("met") == learnt.count("often") == 1
+    assert len(enc.table) < 200
+
+
+def test_pieces_are_looked_up_once_a_group():
+    class Table(dict):
+        asked = 0
+
+        def get(self, *args):
+            Table.asked += 1
+            return super().get(*args)
+
+    enc = PieceEncoder(BPE, max_pieces=1000)
+    enc.table = Table()
+    sample = ["the same few words again", "the few"] * 500
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(sample)] == [encode(BPE, t) for t in sample[:2]] * 500
+    assert Table.asked <= 5
+
+
 def test_token_counts(make, rows):
     out = token_counts.token_counts(make(rows), WORD, limit=100)
     want = [(d, len((t or "").encode()), n := len(encode(WORD, t)), n > 100) for d, t, _ in rows]
