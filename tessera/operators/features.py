@@ -2,14 +2,15 @@
 
 Per-row library calls of the reference (descriptor calculators, fingerprint
 generators) become either native column expressions over the whole text
-(V4-V8: tokenise, n-grams, md5-hashed bits -- all inside one row, no shuffle)
-or a user-supplied Python function applied per Arrow batch with
+(V4-V8, all inside one row, no shuffle; V4 hashes the n-grams of Spark's tokens
+in Arrow batches, many at once) or a user-supplied Python function applied per Arrow batch with
 ``mapInPandas`` (V1-V3).  Similarity search (V10-V12) is an inverted-index
 join against a size-checked broadcast query side, never a cross join.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable
 
@@ -19,9 +20,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, ByteType, StructField, StructType
+from pyspark.sql.types import ArrayType, ByteType, IntegerType, StructField, StructType
+
+from tessera.session import import_in_workers
 
 EXPAND_ROWS = 1_000  # fingerprints expanded at once
+SLICE_BYTES, SLICE_BITS = 1 << 20, 1 << 20  # of texts whose bits are made at once, and of their bitmaps
+GRAMS = 1 << 14  # n-grams hashed at once
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -31,29 +36,121 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
 
 
-def ngrams(toks: Column, length: int) -> Column:
-    """Token n-grams of one length as strings.  Built by zipping shifted
-    slices, so the token array is evaluated a fixed number of times per row
-    (a lambda that indexed into ``toks`` would re-evaluate the tokenizer for
-    every element: quadratic on long texts)."""
-    if length == 1:
-        return toks
-    n = F.greatest(F.size(toks) - length + 1, F.lit(0))
-    shifted = [F.slice(toks, i + 1, n) for i in range(length)]
-    zipped = F.arrays_zip(*shifted)
-    return F.transform(zipped, lambda z: F.concat_ws(" ", *[z[str(i)] for i in range(length)]))
-
-
-def hashed_bits(text: Column, radius: int = 2, n_bits: int = 2048) -> Column:
-    """V4: sorted distinct on-bits of the token n-grams of length 1..radius+1,
-    bit = first 32 md5 bits mod n_bits.  Evaluated inside the row with
-    higher-order functions over whole texts: no explode, no shuffle."""
-    toks = tokens(text)
-    per_len = [F.transform(ngrams(toks, length),
-                           lambda g: F.pmod(F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("long"),
-                                            F.lit(n_bits)).cast("int"))
-               for length in range(1, radius + 2)]
-    return F.array_sort(F.array_distinct(F.flatten(F.array(*per_len))))
+_MD5_SINES = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
+_MD5_TURNS = [7, 12, 17, 22] * 4 + [5, 9, 14, 20] * 4 + [4, 11, 16, 23] * 4 + [6, 10, 15, 21] * 4
+_MD5_LONGEST = 55  # bytes of a message that is one block
+
+
+def _md5_of_blocks(words: np.ndarray) -> np.ndarray:
+    """First 32 bits of the md5 of one-block messages; ``words`` (16, n) holds the padded blocks."""
+    n = words.shape[1]
+    a, b, c, d = (np.full(n, x, np.uint32) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476))
+    f, turned = np.empty(n, np.uint32), np.empty(n, np.uint32)
+    for i in range(61):  # the first word is set in step 60 for the last time
+        if i < 16:
+            k = i
+            np.bitwise_xor(c, d, out=f)
+            np.bitwise_and(f, b, out=f)
+            np.bitwise_xor(f, d, out=f)
+        elif i < 32:
+            k = (5 * i + 1) % 16
+            np.bitwise_xor(b, c, out=f)
+            np.bitwise_and(f, d, out=f)
+            np.bitwise_xor(f, c, out=f)
+        elif i < 48:
+            k = (3 * i + 5) % 16
+            np.bitwise_xor(b, c, out=f)
+            np.bitwise_xor(f, d, out=f)
+        else:
+            k = 7 * i % 16
+            np.invert(d, out=f)
+            np.bitwise_or(f, b, out=f)
+            np.bitwise_xor(f, c, out=f)
+        np.add(f, a, out=f)
+        np.add(f, np.uint32(_MD5_SINES[i]), out=f)
+        np.add(f, words[k], out=f)
+        np.left_shift(f, np.uint32(_MD5_TURNS[i]), out=turned)
+        np.right_shift(f, np.uint32(32 - _MD5_TURNS[i]), out=f)
+        np.bitwise_or(f, turned, out=f)
+        np.add(f, b, out=a)
+        a, b, c, d = d, a, b, c
+    return (b + np.uint32(0x67452301)).byteswap()
+
+
+def md5_numbers(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """First 32 bits of the md5 of each ``data[first:last]`` (bytes), as in its hex digits."""
+    low = int(first.min(initial=0))
+    data = np.concatenate([data[low : int(last.max(initial=0))], np.zeros(4 * 16, np.uint8)]).astype(np.uint32)
+    at = data[:-3] | data[1:-2] << np.uint32(8) | data[2:-1] << np.uint32(16) | data[3:] << np.uint32(24)  # the word from each byte on
+    size = last - first
+    one = np.flatnonzero(size <= _MD5_LONGEST)
+    words = np.zeros((16, len(one)), np.uint32)
+    start, left, held = first[one] - low, size[one], np.arange(len(one))
+    words[14] = left * 8
+    kept = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+    ending = np.array([0x80, 0x8000, 0x800000, 0x80000000, 0], np.uint32)
+    for k in range(14):
+        of = np.minimum(left, 4)
+        words[k, held] = at[start] & kept[of] | ending[of]
+        more = left >= 4
+        start, left, held = start[more] + 4, left[more] - 4, held[more]
+        if not len(held):
+            break
+    out = np.empty(len(size), np.uint32)
+    out[one] = _md5_of_blocks(words)
+    for k in np.flatnonzero(size > _MD5_LONGEST):
+        message = data[first[k] - low : last[k] - low].astype(np.uint8).tobytes()
+        out[k] = int.from_bytes(hashlib.md5(message, usedforsecurity=False).digest()[:4], "big")
+    return out
+
+
+def hashed_bits(df: DataFrame, id_col: str, text_col: str, radius: int = 2, n_bits: int = 2048, out: str = "bits") -> DataFrame:
+    """V4: (id_col, out), the sorted distinct on-bits of the token n-grams of
+    length 1..radius+1, bit = first 32 md5 bits mod n_bits.  Null for a null text.
+
+    Spark lower-cases the whole text and puts a space between its tokens, so an
+    n-gram is a piece of the text; Arrow batches hash them all at once, in slices
+    of ``SLICE_BYTES`` (a longer text alone) and ``GRAMS`` n-grams."""
+    import_in_workers(df.sparkSession)
+    most = max(1, SLICE_BITS // n_bits)
+    words = F.regexp_replace(F.lower(F.col(text_col)), TOKEN_SPLIT, " ")
+
+    def bits_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of the texts' sets, and their bits; ``ends``: of the texts in ``data``, from 0."""
+        inner = data != 32
+        edge = np.diff(np.concatenate([[False], inner, [False]]).astype(np.int8))
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        # tokens of two texts can touch
+        cut = ends[1:-1][(ends[1:-1] > 0) & (ends[1:-1] < len(data))]
+        cut = np.unique(cut[inner[cut] & inner[cut - 1]])
+        begin, end = np.sort(np.concatenate([begin, cut])), np.sort(np.concatenate([end, cut]))
+        text = np.searchsorted(ends[1:], begin, side="right")
+        on = np.zeros((len(ends) - 1, n_bits), np.bool_)
+        for length in range(1, radius + 2):
+            n = len(begin) - length + 1
+            for s in range(0, n, GRAMS):
+                f, of = np.arange(s, min(n, s + GRAMS)), text[s : min(n, s + GRAMS)]
+                f, of = (x[of == text[f + length - 1]] for x in (f, of))
+                if len(f):
+                    on[of, (md5_numbers(data, begin[f], end[f + length - 1]) % np.uint32(n_bits)).astype(np.int64)] = True
+        return np.count_nonzero(on, axis=1), np.nonzero(on)[1].astype(np.int32)
+
+    def run(batches):
+        for b in batches:
+            texts = b.column("words").cast(pa.string())
+            null = texts.is_null().to_numpy(zero_copy_only=False)
+            at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            s = 0
+            while s < len(texts):
+                e = min(max(s + 1, int(np.searchsorted(at, at[s] + SLICE_BYTES, side="right")) - 1), s + most, len(texts))
+                sizes, bits = bits_of(data[at[s] : at[e]], at[s : e + 1] - at[s])
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.append(null[s:e], False))
+                yield pa.RecordBatch.from_arrays([b.column(id_col).slice(s, e - s), pa.ListArray.from_arrays(offsets, pa.array(bits))], [id_col, out])
+                s = e
+
+    schema = StructType([df.schema[id_col], StructField(out, ArrayType(IntegerType()))])
+    return df.select(id_col, words.alias("words")).mapInArrow(run, schema)
 
 
 def expand_bits(df: DataFrame, bits_col: str, n_bits: int, prefix: str = "fp_") -> DataFrame:

@@ -9,24 +9,28 @@ shuffled, and a query set of any size takes the same way, in more passes.
 
 ``similarity_join`` is exact and has no all-pairs way:
 
-1. Equal sets are folded into classes; only one row of a class is compared.
+1. Sets are written as short byte strings (a bitmap or a list of their bits,
+   whichever is shorter), and equal sets are folded into classes; only one row
+   of a class is compared.
 2. Sizes are cut into bands in which the larger is at most 1/threshold times
    the smaller, so similar sets lie in one band or in neighbours.
 3. Sets of one band with similarity t or more differ in at most
-   ``size * (1 - t) / t`` bits.  The bits are cut into one part more than that,
-   so at least one part is equal: sets meet by the hash of a part.
-4. Sets that meet are compared in full, once a pair.
+   ``d = size * (1 - t) / t`` bits.  The bits are cut into d + m parts, so at
+   least m parts are equal: sets meet by the hash of a part, and pairs that met
+   m times are candidates (m is 1 for small sets and at most ``MOST_SHARED``).
+4. Candidates are compared in full, once a pair, on the byte strings.
 
 A part holds about t / (1 - t) bits, so parts tell sets apart well for high
-thresholds and less for low ones; the pairs that met are returned with
-``candidates``.  Hot parts (the empty one of small sets) are left to the
-adaptive skew join; no list of a part is gathered in one row or task.
+thresholds and less for low ones; the candidates are returned.  Hot parts (the
+empty one of small sets) are left to the adaptive skew join; no list of a part
+is gathered in one row or task.
 
 Parts do not tell sets apart that hold most of the bits there are, and near
-copies meet once per part.  So every eighth part is counted first, and a band
-whose sets would meet too often is compared in blocks instead: its sets are
-packed, and each pair of blocks is one group, a product of two 0/1 matrices.
-That is all pairs of the band, in bounded memory; many of them are similar.
+copies meet once per part.  Few sets are compared sooner than their parts are
+dealt out.  So a band is compared in blocks where that costs less: each pair of
+blocks is one group, a product of two 0/1 matrices.  That is all pairs of the
+band, in bounded memory.  For bands too large to decide by their number of sets,
+every eighth part is counted first.
 """
 
 from __future__ import annotations
@@ -39,18 +43,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import import_in_workers, written
 
 BLOCK_PAIRS = 500_000  # (query, row) pairs that a task holds at once
 
-FEW_PAIRS = 1_000_000  # a band of no more pairs is left to its parts
-MEETING_COST = 50  # a meeting costs about as much as so many pairs of a block
+# costs, in pairs of a block
+SIGNATURE_COST = 100  # of a part's hash: made, dealt out and sorted
+MEETING_COST = 50  # of two sets that meet in a part
 COUNTED_PARTS = 8  # one part in so many is counted to choose
-WIDEST = 1 << 14  # bits of a set that is packed
-BLOCK_VALUES = 1 << 22  # of a block's matrix
+MOST_SHARED = 4  # parts that candidates share at least, in large sets
+WIDEST = 1 << 14  # bits of a set that is compared in blocks
+BLOCK_VALUES = 1 << 21  # of a tile's matrix
+BLOCK_TILES = 16  # of a block
 
 
 def _query_blocks(queries: DataFrame, q_id: str, bits: str, block_bits: int) -> Iterator[list[tuple[int, list[int]]]]:
@@ -141,8 +148,67 @@ def size_bands(threshold: float, largest: int) -> list[tuple[int, int]]:
     return bands
 
 
+def _differing(threshold: float, hi: int) -> int:
+    """Bits in which similar sets differ at most, the smaller of at most ``hi`` bits."""
+    return math.floor(hi * (1 - threshold) / threshold + 1e-9)
+
+
+def _shared(threshold: float, hi: int) -> int:
+    """Parts that similar sets share at least."""
+    return min(MOST_SHARED, 1 + _differing(threshold, hi) // 16)
+
+
 def _parts(threshold: float, hi: int) -> int:
-    return math.floor(hi * (1 - threshold) / threshold + 1e-9) + 1
+    return _differing(threshold, hi) + _shared(threshold, hi)
+
+
+# A set as bytes, the same for equal sets: the kind, then its bits as 32-bit or
+# 16-bit numbers in order, or as a bitmap up to the last bit.
+NUMBERS, SHORTS, BITMAP = 0, 1, 2
+
+
+def encode_set(bits: np.ndarray) -> tuple[int, bytes]:
+    """(size, code) of a set that is not empty; repeated bits count once."""
+    if bits.min() < 0 or bits.max() > 0xFFFF:
+        bits = np.unique(bits)
+        return len(bits), b"\0" + bits.astype("<i4").tobytes()
+    on = np.zeros(int(bits.max()) + 1, np.uint8)
+    on[bits] = 1
+    size = int(np.count_nonzero(on))
+    if 2 * size <= -(-len(on) // 8):
+        return size, b"\1" + np.flatnonzero(on).astype("<u2").tobytes()
+    return size, b"\2" + np.packbits(on, bitorder="little").tobytes()
+
+
+def decode_set(code: bytes) -> np.ndarray:
+    if code[0] == BITMAP:
+        return np.flatnonzero(np.unpackbits(np.frombuffer(code, np.uint8, offset=1), bitorder="little"))
+    return np.frombuffer(code, "<i4" if code[0] == NUMBERS else "<u2", offset=1).astype(np.int64)
+
+
+def common_bits(x: bytes, y: bytes) -> int:
+    if x[0] == y[0] == BITMAP:
+        return (int.from_bytes(x[1:], "little") & int.from_bytes(y[1:], "little")).bit_count()
+    return len(np.intersect1d(decode_set(x), decode_set(y), assume_unique=True))
+
+
+def _encoded(rows: DataFrame, id_col: str, bits: str) -> DataFrame:
+    """(id, size, code, first, last) of the rows that have an id and a set."""
+
+    def run(batches):
+        for b in batches:
+            sets, ids = b.column("bits"), b.column("id").to_numpy()
+            held = np.flatnonzero(pc.fill_null(pc.list_value_length(sets), 0).to_numpy(zero_copy_only=False))
+            if not len(held):
+                continue
+            values, at = sets.values.to_numpy(zero_copy_only=False), sets.offsets.to_numpy()
+            made = [encode_set(values[at[k] : at[k + 1]]) for k in held]
+            first, last = ([int(f(values[at[k] : at[k + 1]])) for k in held] for f in (np.min, np.max))
+            columns = [pa.array(ids[held]), pa.array([n for n, _ in made], pa.int32()), pa.array([c for _, c in made], pa.binary()), pa.array(first, pa.int32()), pa.array(last, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "size", "code", "first", "last"])
+
+    sets = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(bits).cast("array<int>").alias("bits"))
+    return sets.where(F.col("id").isNotNull()).mapInArrow(run, "id long, size int, code binary, first int, last int")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -162,161 +228,188 @@ def part_hashes(sizes: np.ndarray, bits: np.ndarray, n_parts: np.ndarray) -> np.
 
 
 def _signatures(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], chosen: list[int], every: int = 1) -> DataFrame:
-    """(band, part, hash, id, size, upper) of the chosen bands: a set is in its
-    own band and, as the larger side, in the one below.  One part in ``every``."""
+    """(key, id, size, band, upper) of the chosen bands: a set is in its own band
+    and, as the larger side, in the one below.  A key for each part, of one part
+    in ``every``; it mixes the band, the part and the hash of its bits."""
     tops = np.array([hi for _, hi in bands])
     parts = np.array([_parts(threshold, hi) for _, hi in bands])
     use = np.isin(np.arange(len(bands)), chosen)
 
     def run(batches):
-        for b in batches:
-            sets = b.column("bits")
-            sizes = np.diff(sets.offsets.to_numpy()).astype(np.int64)
-            bits = sets.flatten().to_numpy()
-            ids, own = b.column("id").to_numpy(), np.searchsorted(tops, sizes)
-            for upper in (False, True):
-                band = own - upper
-                held = (band >= 0) & use[np.maximum(band, 0)]
-                n = np.where(held, parts[np.maximum(band, 0)], 0)
-                keep = np.repeat(held, sizes)
-                hashes = part_hashes(np.where(held, sizes, 0), bits[keep], n)
-                of = np.repeat(np.arange(len(sizes)), n)
-                part = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-                if every > 1:
-                    kept = part % every == 0
-                    hashes, of, part = hashes[kept], of[kept], part[kept]
-                for s in range(0, len(of), 100_000):
-                    at = slice(s, s + 100_000)
-                    o = of[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(band[o].astype(np.int32)), pa.array(part[at].astype(np.int32)), pa.array(hashes[at]), pa.array(ids[o]), pa.array(sizes[o]), pa.array(np.full(len(o), upper))],
-                        ["band", "part", "hash", "id", "size", "upper"],
-                    )
-
-    return reps.select("id", "bits").mapInArrow(run, "band int, part int, hash long, id long, size long, upper boolean")
-
-
-def _dense_bands(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], sets_in: list[int]) -> set[int]:
-    """The bands to compare in blocks, by how often their sets would meet in parts."""
-    pairs = [n * (n - 1) // 2 + n * above for n, above in zip(sets_in, [*sets_in[1:], 0])]
-    large = [k for k, n in enumerate(pairs) if n > FEW_PAIRS]
+        for whole in batches:
+            for start in range(0, len(whole), 1_000):
+                b = whole.slice(start, 1_000)
+                sizes, ids = b.column("size").to_numpy().astype(np.int64), b.column("id").to_numpy()
+                bits = np.concatenate([decode_set(c) for c in b.column("code").to_pylist()])
+                own = np.searchsorted(tops, sizes)
+                for upper in (False, True):
+                    band = own - upper
+                    held = (band >= 0) & use[np.maximum(band, 0)]
+                    n = np.where(held, parts[np.maximum(band, 0)], 0)
+                    hashes = part_hashes(np.where(held, sizes, 0), bits[np.repeat(held, sizes)], n)
+                    of = np.repeat(np.arange(len(sizes)), n)
+                    part = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                    if every > 1:
+                        kept = part % every == 0
+                        hashes, of, part = hashes[kept], of[kept], part[kept]
+                    key = _mix(hashes.view(np.uint64) ^ _mix((band[of].astype(np.uint64) << np.uint64(32)) | part.astype(np.uint64))).view(np.int64)
+                    for s in range(0, len(of), 100_000):
+                        o = of[s : s + 100_000]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(key[s : s + 100_000]), pa.array(ids[o]), pa.array(sizes[o].astype(np.int32)), pa.array(band[o].astype(np.int32)), pa.array(np.full(len(o), upper))],
+                            ["key", "id", "size", "band", "upper"],
+                        )
+
+    rows = reps.where(_band(bands, F.col("size")).isin(sorted({*chosen, *(k + 1 for k in chosen)})))
+    return rows.select("id", "size", "code").mapInArrow(run, "key long, id long, size int, band int, upper boolean")
+
+
+def _band(bands: list[tuple[int, int]], size: Column) -> Column:
+    return F.size(F.filter(F.lit([hi for _, hi in bands]), lambda hi: hi < size))
+
+
+def _block_bands(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], sets_in: list[int]) -> set[int]:
+    """The bands to compare in blocks: by their number of sets, or else by how often
+    their sets would meet in parts."""
+    sides = list(zip(sets_in, [*sets_in[1:], 0]))
+    pairs = [n * (n - 1) // 2 + n * above for n, above in sides]
+    dealt = [(n + above) * _parts(threshold, hi) * SIGNATURE_COST for (n, above), (_, hi) in zip(sides, bands)]
+    blocks = {k for k in range(len(bands)) if pairs[k] <= dealt[k]}
+    large = [k for k in range(len(bands)) if k not in blocks]
     if not large:
-        return set()
-    counted = _signatures(reps, threshold, bands, large, COUNTED_PARTS).groupBy("band", "part", "hash")
+        return blocks
+    counted = _signatures(reps, threshold, bands, large, COUNTED_PARTS).groupBy("band", "key")
     counted = counted.agg(F.count_if(~F.col("upper")).cast("double").alias("low"), F.count_if("upper").alias("high"))
     met = counted.groupBy("band").agg(F.sum(F.col("low") * ((F.col("low") - 1) / 2 + F.col("high"))).alias("n")).collect()  # a row per band
-    dense = set()
     for r in met:
         n_parts = _parts(threshold, bands[r.band][1])
-        if r.n * n_parts / math.ceil(n_parts / COUNTED_PARTS) * MEETING_COST > pairs[r.band]:
-            dense.add(r.band)
-    return dense
-
-
-def _packed(reps: DataFrame, bands: list[tuple[int, int]], wanted: list[int], width: int) -> DataFrame:
-    """(band, id, size, packed): the sets of the wanted bands, ``width`` bits each."""
-    tops = np.array([hi for _, hi in bands])
-
-    def run(batches):
-        for whole in batches:
-            for start in range(0, len(whole), max(1, BLOCK_VALUES // width)):
-                b = whole.slice(start, max(1, BLOCK_VALUES // width))
-                sets = b.column("bits")
-                sizes = pc.list_value_length(sets).to_numpy().astype(np.int64)
-                matrix = np.zeros((len(b), width), np.uint8)
-                matrix[np.repeat(np.arange(len(b)), sizes), sets.flatten().to_numpy()] = 1
-                rows = pa.array([r.tobytes() for r in np.packbits(matrix, axis=1)], pa.binary())
-                band = np.searchsorted(tops, sizes).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(band), b.column("id"), pa.array(sizes), rows], ["band", "id", "size", "packed"])
+        if dealt[r.band] + r.n * n_parts / math.ceil(n_parts / COUNTED_PARTS) * MEETING_COST > pairs[r.band]:
+            blocks.add(r.band)
+    return blocks
 
-    first, last = F.lit([bands[k][0] for k in wanted]), F.lit([bands[k][1] for k in wanted])
-    in_band = F.exists(F.arrays_zip(first.alias("lo"), last.alias("hi")), lambda z: F.size("bits").between(z["lo"], z["hi"]))
-    return reps.where(in_band).select("id", "bits").mapInArrow(run, "band int, id long, size long, packed binary")
 
-
-def _block_pairs(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], sets_in: list[int], dense: set[int], width: int) -> DataFrame:
-    """(a_id, b_id, a, b, c) of the dense bands: all pairs similar up to rounding.
+def _block_pairs(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], sets_in: list[int], chosen: set[int], width: int) -> DataFrame:
+    """(a_id, b_id, a, b, c) of the chosen bands: all pairs similar up to rounding.
 
     A band's sets are cut into blocks by hash.  Group (band, i, j) holds blocks i
-    and j of the band, or, numbered on, block j of the band above."""
-    wanted = sorted(dense | {k + 1 for k in dense if k + 1 < len(bands)})
-    blocks = [math.ceil(n / max(1, BLOCK_VALUES // width)) for n in [*sets_in, 0]]
+    and j of the band, or, numbered on, block j of the band above.  A group is
+    compared in tiles in order of size; tiles too far apart are left out."""
+    wanted = sorted({k for k in chosen if sets_in[k]})
+    tile = max(1, BLOCK_VALUES // width)
+    blocks = [math.ceil(n / (BLOCK_TILES * tile)) for n in [*sets_in, 0]]
     share = threshold / (1 + threshold)
-    rows = _packed(reps, bands, wanted, width)
-    rows = rows.select("*", F.pmod(F.xxhash64("id", "packed"), F.greatest(F.get(F.lit(blocks), F.col("band")), F.lit(1))).cast("int").alias("own"))
-    in_dense = lambda band: band.isin(sorted(dense))
+    rows = reps.select("id", "size", "code", _band(bands, F.col("size")).alias("band"))
+    rows = rows.select("*", F.pmod(F.xxhash64("id", "code"), F.greatest(F.get(F.lit(blocks), F.col("band")), F.lit(1))).cast("int").alias("own"))
     n_of = lambda band: F.get(F.lit(blocks), band)
-    low = rows.where(in_dense(F.col("band"))).select("band", "own", "id", "size", "packed", F.explode(F.sequence(F.lit(0), n_of(F.col("band")) + n_of(F.col("band") + 1) - 1)).alias("other"))
-    high = rows.where(in_dense(F.col("band") - 1)).withColumn("band", F.col("band") - 1).select("band", (n_of(F.col("band")) + F.col("own")).alias("own"), "id", "size", "packed", F.explode(F.sequence(F.lit(0), n_of(F.col("band")) - 1)).alias("other"))
-    grouped = low.unionByName(high).select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "size", "packed")
+    low = rows.where(F.col("band").isin(wanted)).select("band", "own", "id", "size", "code", F.explode(F.sequence(F.lit(0), n_of(F.col("band")) + n_of(F.col("band") + 1) - 1)).alias("other"))
+    high = rows.where((F.col("band") - 1).isin(wanted)).withColumn("band", F.col("band") - 1).select("band", (n_of(F.col("band")) + F.col("own")).alias("own"), "id", "size", "code", F.explode(F.sequence(F.lit(0), n_of(F.col("band")) - 1)).alias("other"))
+    grouped = low.unionByName(high).select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "size", "code")
 
     def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, j = key[1].as_py(), key[2].as_py()
         b = pa.Table.from_batches(batches)
         own, ids, sizes = (b.column(c).to_numpy() for c in ("own", "id", "size"))
-        bits = np.frombuffer(b"".join(b.column("packed").to_pylist()), np.uint8).reshape(len(own), -1)
+        sizes = sizes.astype(np.int64)
+        bitmaps = np.zeros((len(own), width // 8), np.uint8)
+        for row, code in enumerate(b.column("code").to_pylist()):
+            if code[0] != BITMAP:
+                code = b"\2" + np.packbits(np.bincount(decode_set(code)).astype(np.uint8), bitorder="little").tobytes()
+            bitmaps[row, : len(code) - 1] = np.frombuffer(code, np.uint8, offset=1)
 
         def side(n):
             at = np.flatnonzero(own == n)
-            return ids[at], sizes[at], np.unpackbits(bits[at], axis=1).astype(np.float32)
-
-        x_id, x_size, x = side(i)
-        y_id, y_size, y = (x_id, x_size, x) if i == j else side(j)
-        y = y.T
-        x_need, y_need = ((share * n).astype(np.float32) for n in (x_size, y_size))
-        for s in range(0, len(x_id), 256):
-            common = x[s : s + 256] @ y
-            p, q = np.nonzero(common >= x_need[s : s + 256, None] + (y_need - np.float32(0.01)))
-            if i == j:
-                p, q = p[q > p + s], q[q > p + s]
-            if len(p):
-                c, p = common[p, q].astype(np.int64), p + s
-                swap = x_id[p] > y_id[q]
-                columns = [np.where(swap, v, u) for u, v in ((x_id[p], y_id[q]), (y_id[q], x_id[p]), (x_size[p], y_size[q]), (y_size[q], x_size[p]))]
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*columns, c)], ["a_id", "b_id", "a", "b", "c"])
+            at = at[np.argsort(sizes[at], kind="stable")]
+            return ids[at], sizes[at], bitmaps[at]
+
+        def ones(maps):
+            return np.unpackbits(maps, axis=1).astype(np.float32)
+
+        x_id, x_size, x_maps = side(i)
+        y_id, y_size, y_maps = (x_id, x_size, x_maps) if i == j else side(j)
+        for s in range(0, len(x_id), tile):
+            x, nx = ones(x_maps[s : s + tile]), x_size[s : s + tile]
+            for e in range(s if i == j else 0, len(y_id), tile):
+                ny = y_size[e : e + tile]
+                if min(nx[-1], ny[-1]) < threshold * max(nx[0], ny[0]) - 1e-9:
+                    continue
+                product = x @ ones(y_maps[e : e + tile]).T
+                x_need, y_need = (share * nx).astype(np.float32), (share * ny).astype(np.float32) - np.float32(0.01)
+                for r in range(0, len(x), 256):
+                    common = product[r : r + 256]
+                    p, q = np.nonzero(common >= x_need[r : r + 256, None] + y_need)
+                    c, p, q = common[p, q].astype(np.int64), p + s + r, q + e
+                    if i == j:
+                        above = q > p
+                        c, p, q = c[above], p[above], q[above]
+                    if len(p):
+                        swap = x_id[p] > y_id[q]
+                        columns = [np.where(swap, v, u) for u, v in ((x_id[p], y_id[q]), (y_id[q], x_id[p]), (x_size[p], y_size[q]), (y_size[q], x_size[p]))]
+                        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*columns, c)], ["a_id", "b_id", "a", "b", "c"])
 
     return grouped.groupBy("band", "i", "j").applyInArrow(compare, "a_id long, b_id long, a long, b long, c long").where("a_id < b_id")
 
 
+def _candidates(reps: DataFrame, threshold: float, bands: list[tuple[int, int]], chosen: list[int]) -> DataFrame:
+    """(a_id, b_id): pairs that share as many parts as similar ones do at least."""
+    sides = _signatures(reps, threshold, bands, chosen)
+    low, high = (sides.select("key", *[F.col(c).alias(c + n) for c in ("id", "size", "band", "upper")]) for n in ("_x", "_y"))
+    # each condition is on both sides, so that both read the same exchange
+    meet = F.when(F.col("upper_y"), ~F.col("upper_x")).otherwise(~F.col("upper_x") & (F.col("id_x") < F.col("id_y")))
+    met = low.join(high, "key").where(meet & (F.least("size_x", "size_y") >= threshold * F.greatest("size_x", "size_y") - 1e-9))
+    needed = F.get(F.lit([_shared(threshold, hi) for _, hi in bands]), F.least("band_x", "band_y"))
+    met = met.groupBy(F.least("id_x", "id_y").alias("a_id"), F.greatest("id_x", "id_y").alias("b_id"), needed.alias("needed")).agg(F.count(F.lit(1)).alias("n"))
+    return met.where("n >= needed").select("a_id", "b_id").distinct()
+
+
+def _compared(candidates: DataFrame, reps: DataFrame) -> DataFrame:
+    """(a_id, b_id, a, b, c) of the candidates."""
+
+    def run(batches):
+        for b in batches:
+            common = [common_bits(x, y) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("a_id", "b_id", "a", "b")), pa.array(common, pa.int64())], ["a_id", "b_id", "a", "b", "c"])
+
+    left, right = (reps.select(F.col("id").alias(f"{n}_id"), F.col("size").cast("long").alias(n), F.col("code").alias(v)) for n, v in (("a", "x"), ("b", "y")))
+    found = candidates.join(left, "a_id").join(right, "b_id").select("a_id", "b_id", "a", "b", "x", "y")
+    return found.mapInArrow(run, "a_id long, b_id long, a long, b long, c long")
+
+
 def similarity_join(rows: DataFrame, id_col: str, bits: str = "bits", threshold: float = 0.9) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pairs, members, candidates).
 
     ``pairs`` (a_id, b_id, a, b, c, similarity): all pairs of different sets with
     Tanimoto similarity of at least ``threshold``, by the smallest ids of their
     classes, a_id < b_id; ``members`` (id, class_id): every row with a set;
-    ``candidates`` (a_id, b_id): the pairs that met in parts (bands compared in
-    blocks are compared whole and not listed).  Null and empty
+    ``candidates`` (a_id, b_id): the pairs that met in enough parts (bands compared
+    in blocks are compared whole and not listed).  Null and empty
     sets are similar to nothing; repeated bits count once; rows without an id
     are left out."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
     spark: SparkSession = rows.sparkSession
     import_in_workers(spark)
-    sets = rows.select(F.col(id_col).cast("long").alias("id"), F.array_sort(F.array_distinct(F.col(bits).cast("array<int>"))).alias("bits"))
-    sets = written(sets.where(F.col("id").isNotNull() & (F.size("bits") > 0)), "sets")  # their bits may be costly to make
-    reps = written(sets.groupBy("bits").agg(F.min("id").alias("id")), "set-classes")
-    members = sets.join(reps.withColumnRenamed("id", "class_id"), "bits").select("id", "class_id")
-    span = reps.agg(F.max(F.size("bits")).alias("largest"), F.min(F.get("bits", F.lit(0))).alias("first"), F.max(F.element_at("bits", -1)).alias("last")).first()
+    sets = written(_encoded(rows, id_col, bits), "sets")  # their bits may be costly to make
+    reps = written(sets.groupBy("code").agg(F.min("id").alias("id"), F.first("size").alias("size")), "set-classes")
+    members = sets.join(reps.select("code", F.col("id").alias("class_id")), "code").select("id", "class_id")
+    span = sets.agg(F.max("size").alias("largest"), F.min("first").alias("first"), F.max("last").alias("last")).first()
     bands = size_bands(threshold, span.largest or 0)
-    dense: set[int] = set()
+    blocks: set[int] = set()
     if bands and span.first >= 0 and span.last < WIDEST:
         sets_in = [0] * len(bands)
         tops = [hi for _, hi in bands]
-        for r in reps.groupBy(F.size("bits").alias("size")).agg(F.count(F.lit(1)).alias("n")).collect():  # a row per size, at most WIDEST
+        for r in reps.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per size, at most WIDEST
             sets_in[bisect.bisect_left(tops, r["size"])] += r["n"]
-        dense = _dense_bands(reps, threshold, bands, sets_in)
-    signatures = written(_signatures(reps, threshold, bands, [k for k in range(len(bands)) if k not in dense]), "set-parts")
-    low = signatures.where("not upper").select("band", "part", "hash", F.col("id").alias("x"), F.col("size").alias("nx"))
-    high = signatures.select("band", "part", "hash", F.col("id").alias("y"), F.col("size").alias("ny"), "upper")
-    meet = low.join(high, ["band", "part", "hash"]).where((F.col("upper") | (F.col("x") < F.col("y"))) & (F.least("nx", "ny") >= threshold * F.greatest("nx", "ny") - 1e-9))
-    candidates = meet.select(F.least("x", "y").alias("a_id"), F.greatest("x", "y").alias("b_id")).distinct()
-    candidates = written(candidates, "set-candidates")
-    left, right = reps.select(F.col("id").alias("a_id"), F.col("bits").alias("x")), reps.select(F.col("id").alias("b_id"), F.col("bits").alias("y"))
-    found = candidates.join(left, "a_id").join(right, "b_id")
-    found = found.select("a_id", "b_id", F.size("x").cast("long").alias("a"), F.size("y").cast("long").alias("b"), F.size(F.array_intersect("x", "y")).cast("long").alias("c"))
-    if dense:
+        blocks = _block_bands(reps, threshold, bands, sets_in)
+    candidates = spark.createDataFrame([], "a_id long, b_id long")
+    found = spark.createDataFrame([], "a_id long, b_id long, a long, b long, c long")
+    if len(blocks) < len(bands):
+        candidates = written(_candidates(reps, threshold, bands, [k for k in range(len(bands)) if k not in blocks]), "set-candidates")
+        found = _compared(candidates, reps)
+        if blocks:  # ids can have several sets, compared in blocks
+            found = found.where(~_band(bands, F.least("a", "b")).isin(sorted(blocks)))
+    if blocks:
         width = -(-(span.last + 1) // 8) * 8
-        found = found.unionByName(_block_pairs(reps, threshold, bands, sets_in, dense, width))
+        found = found.unionByName(_block_pairs(reps, threshold, bands, sets_in, blocks, width))
     similarity = F.col("c") / (F.col("a") + F.col("b") - F.col("c"))
     pairs = found.withColumn("similarity", similarity).where(F.col("similarity") >= threshold)
     return pairs, members, candidates

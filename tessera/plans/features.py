@@ -78,8 +78,7 @@ def v3(spark, sf_dir):
 
 
 def doc_bits(spark, sf_dir, name="documents", id_col="doc_id", n_bits=2048):
-    d = spread(table(spark, sf_dir, name).select(id_col, "text"))
-    return d.select(F.col(id_col), V.hashed_bits(F.col("text"), radius=2, n_bits=n_bits).alias("bits"))
+    return V.hashed_bits(spread(table(spark, sf_dir, name).select(id_col, "text")), id_col, "text", radius=2, n_bits=n_bits)
 
 
 @register("v4_hashed_text_fingerprint", "WITH " + _bits_sql("documents", "doc_id") + """

@@ -1,5 +1,6 @@
 """Featurisers, majority decisions and set counts that cost the same at any size."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -70,3 +71,33 @@ def test_a_block_of_keys_is_decided_at_once():
         columns=["__null", "__k", "__l", "__n", "__f"])
     got = scalars._decide(counts)[["__first", "__win", "__nl", "__ntop"]].to_numpy().tolist()
     assert sorted(got) == sorted([[5, 10, 2, 1], [6, 6, 2, 2], [8, no, 0, 0], [9, 9, 1, 1], [no, no, 1, 1]])
+
+
+def test_hashed_bits_against_brute_force(spark, monkeypatch):
+    import hashlib
+    import re
+
+    texts = [None, "", " ,. ", "one", "Two words", "the cat, the cat the CAT", "a b", "c", "d-e", "é ü 漢字 ΑΣ", "x" * 300 + " y", ("w" * 18 + " ") * 4, "12 34.56\n7\t8 9", " lead and trail "]
+    texts += [" ".join(f"t{i * k % 97}" for i in range(k * 7)) for k in range(1, 25)]
+
+    def brute(text, n_bits):
+        t = re.findall(r"[^\W_]+", text.lower())
+        grams = {" ".join(t[i : i + n]) for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+        return sorted({int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % n_bits for g in grams})
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc long, text string").coalesce(1)
+    for limits, n_bits in (({}, 2048), ({"SLICE_BYTES": 40, "SLICE_BITS": 3000, "GRAMS": 5}, 1000)):
+        for name, value in limits.items():
+            monkeypatch.setattr(V, name, value)
+        got = {r.doc: r.bits for r in V.hashed_bits(df, "doc", "text", n_bits=n_bits).collect()}
+        assert got == {i: None if t is None else brute(t, n_bits) for i, t in enumerate(texts)}
+
+
+def test_md5_numbers():
+    import hashlib
+
+    data = np.random.default_rng(3).integers(0, 256, 5_000).astype(np.uint8)
+    first = np.arange(0, 4_800)
+    last = first + np.arange(4_800) % 130  # up to two blocks, and none
+    want = [int(hashlib.md5(data[a:b].tobytes()).hexdigest()[:8], 16) for a, b in zip(first, last)]
+    assert V.md5_numbers(data, first, last).tolist() == want

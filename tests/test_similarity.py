@@ -1,5 +1,6 @@
 """Set similarity against brute force."""
 
+import os
 import random
 
 import pytest
@@ -131,3 +132,72 @@ def test_sets_are_made_once(spark):
     rows = spark.createDataFrame([(i, [i % 5, 7, 9]) for i in range(30)], "doc long, bits array<int>")
     pairs, members, _ = Y.similarity_join(rows.mapInPandas(make, rows.schema), "doc", threshold=0.5)
     assert (pairs.count(), members.count(), made.value) == (10, 30, 30)
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.9, 1.0])
+def test_parts_find_the_same_pairs(spark, threshold):
+    want, met = brute_pairs(spark, sets(), threshold, SIGNATURE_COST=0, MEETING_COST=0)
+    assert met >= len(want)
+    wide = [(i, [b * 40_009 - 30_000_000 for b in bits or []]) for i, bits in sets(4, 120)]  # negative, over 16 bits
+    assert brute_pairs(spark, wide, threshold)[1] >= len(brute(wide, threshold)[0])
+
+
+def test_blocks_of_many_tiles(spark):
+    rnd = random.Random(12)
+    rows = [(i, rnd.sample(range(256), rnd.randrange(190, 256))) for i in range(400)] + [(500 + i, [i, i + 1]) for i in range(40)]
+    want, met = brute_pairs(spark, rows, 0.75, SIGNATURE_COST=10**6, BLOCK_VALUES=256 * 4, BLOCK_TILES=8)  # 32 sets a block, 4 a tile
+    assert len(want) > 5000 and met == 0
+
+
+def test_similar_sets_share_enough_parts():
+    import numpy as np
+
+    rnd = random.Random(8)
+    for _ in range(300):
+        n = rnd.choice([30, 150, 600])
+        a = set(rnd.sample(range(2048), n))
+        d = Y._differing(0.9, n)  # the worst case: as many differing bits as there can be
+        b = a | set(rnd.sample(sorted(set(range(2048)) - a), d))
+        parts = np.array([Y._parts(0.9, n)] * 2)
+        h = Y.part_hashes(np.array([len(a), len(b)]), np.array([*a, *b]), parts)
+        assert (h[: parts[0]] == h[parts[0] :]).sum() >= Y._shared(0.9, n)
+    assert [Y._shared(0.9, n) for n in (5, 150, 300, 2000)] == [1, 2, 3, 4]
+
+
+def test_codes_of_sets():
+    import numpy as np
+
+    for bits in ([0], [7, 3, 3], [2047], list(range(2048)), [1, 5000], [70_000, 2, 2], [-4, 9, 0], [65_535], [2**31 - 1, -(2**31)]):
+        size, code = Y.encode_set(np.array(bits, np.int32))
+        assert size == len(set(bits)) and Y.decode_set(code).tolist() == sorted(set(bits))
+        assert code == Y.encode_set(np.array(sorted(set(bits)), np.int32))[1]
+        other = [3, 9, 2047, 70_000, -4]
+        assert Y.common_bits(code, Y.encode_set(np.array(other, np.int32))[1]) == len(set(bits) & set(other))
+    assert len(Y.encode_set(np.arange(2048, dtype=np.int32))[1]) == 257 and len(Y.encode_set(np.array([5, 2000], np.int32))[1]) == 5
+
+
+def test_a_set_is_moved_as_a_few_hundred_bytes(spark):
+    """Tables and candidates carried the numbers of a set, some thousand bytes each."""
+    from urllib.parse import unquote, urlparse
+
+    rnd = random.Random(13)
+    rows = [(i, rnd.sample(range(2048), rnd.randrange(1500, 1700))) for i in range(120)]
+    stored = []
+    with pytest.MonkeyPatch.context() as m:
+        for name in ("FEW_PAIRS", "SIGNATURE_COST", "MEETING_COST"):  # all by parts
+            m.setattr(Y, name, 0, raising=False)
+        m.setattr(Y, "written", lambda df, tag, f=Y.written: stored.append((tag, f(df, tag))) or stored[-1][1])
+        pairs, _, candidates = Y.similarity_join(table(spark, rows), "doc", threshold=0.6)
+        assert pairs.count() > 1000 and candidates.count() > 1000
+    for tag, df in stored:
+        if tag in ("sets", "set-classes"):
+            assert sum(os.path.getsize(unquote(urlparse(f).path)) for f in df.inputFiles()) < 500 * len(rows)
+    assert not any("array<int>" in str(kind) for _, df in stored for _, kind in df.dtypes)
+
+
+def test_few_dense_sets_do_not_meet_in_parts(spark):
+    """Bands of up to a million pairs were left to their parts, in which each pair of dense sets met."""
+    rnd = random.Random(14)
+    rows = [(i, rnd.sample(range(2048), rnd.randrange(1900, 2000))) for i in range(60)]
+    want, met = brute_pairs(spark, rows, 0.9)
+    assert len(want) > 1000 and met == 0
