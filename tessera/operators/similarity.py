@@ -51,13 +51,13 @@ from tessera.session import import_in_workers, written
 BLOCK_PAIRS = 500_000  # (query, row) pairs that a task holds at once
 
 # costs, in pairs of a block
-SIGNATURE_COST = 100  # of a part's hash: made, dealt out and sorted
+SIGNATURE_COST = 250  # of a part's hash: made, dealt out and sorted, about 100 by time; the rest is for its disk
 MEETING_COST = 50  # of two sets that meet in a part
 COUNTED_PARTS = 8  # one part in so many is counted to choose
 MOST_SHARED = 4  # parts that candidates share at least, in large sets
 WIDEST = 1 << 14  # bits of a set that is compared in blocks
 BLOCK_VALUES = 1 << 21  # of a tile's matrix
-BLOCK_TILES = 16  # of a block
+BLOCK_TILES = 32  # of a block
 
 
 def _query_blocks(queries: DataFrame, q_id: str, bits: str, block_bits: int) -> Iterator[list[tuple[int, list[int]]]]:
